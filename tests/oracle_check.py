@@ -1,0 +1,68 @@
+"""Run registered queries beside their SQL and compare: python tests/oracle_check.py SF [NAME ...]"""
+
+from __future__ import annotations
+
+import math
+import sys
+import time
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
+
+
+def connect(sf_dir: str):
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"create view {name} as select * from read_parquet('{sf_dir}/{name}.parquet')")
+    return con
+
+
+def _plain(value):
+    if isinstance(value, float):
+        return None if math.isnan(value) else float(f"{value:.10g}")
+    return value
+
+
+def _bag(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
+
+
+def compare(spark, con, query, sql, sf_dir) -> str | None:
+    """None when both agree on column names and rows, else what differs."""
+    df = query(spark, sf_dir)
+    got = _bag(df.columns, df.collect())
+    cursor = con.execute(sql)
+    names = [d[0] for d in cursor.description]
+    want = _bag(names, cursor.fetchall())
+    if sorted(df.columns) != sorted(names):
+        return f"columns {sorted(df.columns)} against {sorted(names)}"
+    if got != want:
+        extra, lacking = list((got - want).items())[:2], list((want - got).items())[:2]
+        return f"{got.total()} rows against {want.total()}; extra {extra}; lacking {lacking}"
+    return None
+
+
+if __name__ == "__main__":
+    from __spark_entry__ import oracle_sql, queries
+    from riskflow.session import build_session
+
+    spark = build_session("oracle-check", "local[8]", spark__sql__shuffle__partitions="8")
+    spark.sparkContext.setLogLevel("ERROR")
+    folder = f"/root/testdata/sf{sys.argv[1]}"
+    con, failed = connect(folder), 0
+    for name in sys.argv[2:] or queries():
+        start = time.monotonic()
+        try:
+            problem = compare(spark, con, queries()[name], oracle_sql()[name], folder)
+        except Exception as error:  # report and go on to the next query
+            problem = f"{type(error).__name__}: {str(error)[:1500]}"
+        failed += problem is not None
+        print(f"{name}: {problem or 'same'} ({time.monotonic() - start:.1f} s)", flush=True)
+    sys.exit(failed)
