@@ -15,11 +15,11 @@ from riskflow import schemas
 from riskflow.sources.lookups import SPECS, Lookup, check_lookups
 
 # Fixed values of the test model.
-PLAN_ROWS = [
-    ("purchase", 299.99, "Low", 12),
-    ("view", 29.99, "Medium", 1),
-    ("click", 14.99, "High", 3),
-]
+PLAN_ROWS = """
+    values ('purchase', 299.99D, 'Low', 12), ('view', 29.99D, 'Medium', 1),
+           ('click', 14.99D, 'High', 3)
+    as plans(subscription_type, monthly_cost, churn_risk, plan_duration)
+"""
 IP_RISK_ROWS = 1024
 PRODUCT_MAX_SIZE = 40
 UNLISTED_SEGMENT = "FURNITURE"
@@ -103,7 +103,7 @@ def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _plans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame(PLAN_ROWS, schemas.PLANS)
+    return spark.sql(f"select * from {PLAN_ROWS}")
 
 
 def _ip_risk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,27 +78,33 @@ def read_lookup(spark: SparkSession, path: str, spec: LookupSpec) -> DataFrame:
 
 
 def lookup_profile(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per lookup: rows, keys that occur more than once, and an estimate of its bytes."""
-
-    def one(name: str, frame: DataFrame) -> DataFrame:
-        key = SPEC_BY_NAME[name].key
-        width = reduce(
-            lambda total, field: total + (
-                F.coalesce(F.octet_length(field.name), F.lit(0)) + 16
-                if isinstance(field.dataType, T.StringType) else F.lit(16)
-            ),
-            frame.schema.fields,
-            F.lit(0).cast("long"),
-        )
-        per_key = frame.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes"))
-        return per_key.agg(
+    """One row per lookup: rows, keys that occur more than once, and an estimate of its bytes.
+
+    The lookups are stacked as (lookup, key, bytes), so that one grouping serves all of them. An
+    empty lookup has no row.
+    """
+    stacked = reduce(DataFrame.union, [
+        frame.select(
             F.lit(name).alias("lookup"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-            F.count_if((F.col("n") > 1) & F.col(key).isNotNull()).alias("duplicate_keys"),
-            F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+            F.col(SPEC_BY_NAME[name].key).alias("key"),
+            _row_bytes(frame.schema).alias("bytes"),
         )
+        for name, frame in frames.items()
+    ])
+    per_key = stacked.groupBy("lookup", "key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")
+    )
+    return per_key.groupBy("lookup").agg(
+        F.sum("n").alias("row_count"),
+        F.count_if((F.col("n") > 1) & F.col("key").isNotNull()).alias("duplicate_keys"),
+        F.sum("bytes").alias("bytes"),
+    )
+
 
-    return reduce(DataFrame.unionByName, [one(name, frame) for name, frame in frames.items()])
+def _row_bytes(schema: T.StructType) -> Column:
+    """Bytes of a row: 16 per column, and the length of each text."""
+    texts = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
+    return F.octet_length(F.concat_ws("", *texts)) + F.lit(16 * len(schema.fields))
 
 
 def check_lookups(
@@ -109,10 +115,11 @@ def check_lookups(
     One job over all lookups; a few rows come back to the driver.
     """
     checked = {}
-    for row in lookup_profile(frames).collect():
-        spec, frame = SPEC_BY_NAME[row["lookup"]], frames[row["lookup"]]
-        if row["row_count"] == 0:
-            raise BadLookup(f"lookup {spec.name} is empty")
+    profile = {row["lookup"]: row for row in lookup_profile(frames).collect()}
+    for name, frame in frames.items():
+        spec, row = SPEC_BY_NAME[name], profile.get(name)
+        if row is None:
+            raise BadLookup(f"lookup {name} is empty")
         if row["duplicate_keys"]:
             repeated = (
                 frame.where(F.col(spec.key).isNotNull()).groupBy(spec.key).count()
@@ -123,7 +130,7 @@ def check_lookups(
                 f"lookup {spec.name}: {row['duplicate_keys']} keys occur more than once, "
                 f"among them {keys}"
             )
-        checked[spec.name] = Lookup(spec, frame, row["bytes"] <= broadcast_limit)
+        checked[name] = Lookup(spec, frame, row["bytes"] <= broadcast_limit)
     return checked
 
 

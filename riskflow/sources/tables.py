@@ -39,10 +39,15 @@ def event_dates(table: DataFrame) -> DataFrame:
     return table.select("event_date").distinct().orderBy("event_date")
 
 
-def write_table(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Batch write, partitioned by event_date.
+def by_date(df: DataFrame) -> DataFrame:
+    """Gather the rows of a date before a write, else every task writes a file per date it meets.
 
-    The rebalance hint gathers small dates into few files and lets adaptive execution split a
-    date that holds much of the data over many tasks.
+    Under adaptive execution the rebalance hint joins small dates into one task and splits a date
+    that holds much of the data over many.
     """
-    df.hint("rebalance", "event_date").write.mode(mode).partitionBy("event_date").parquet(path)
+    return df.hint("rebalance", "event_date")
+
+
+def write_table(df: DataFrame, path: str, mode: str = "append") -> None:
+    """Batch write, partitioned by event_date."""
+    by_date(df).write.mode(mode).partitionBy("event_date").parquet(path)

@@ -21,7 +21,7 @@ from riskflow.operators.enrich import enrich
 from riskflow.operators.validation import require_schema
 from riskflow.sources.feed import corrupt_rows, good_rows, stream_feed
 from riskflow.sources.lookups import Lookup
-from riskflow.sources.tables import read_table, stream_table
+from riskflow.sources.tables import by_date, read_table, stream_table
 from riskflow.streaming.sinks import (
     overwrite_batch_json, overwrite_batch_table, start_batch_sink, start_table_sink,
 )
@@ -71,7 +71,7 @@ def start_bronze(
     raw = require_schema(good_rows(lines), schemas.RAW, "raw")
     queries = [
         start_table_sink(
-            to_bronze(raw, card_salt), store.table("bronze"), store.checkpoint("bronze"),
+            by_date(to_bronze(raw, card_salt)), store.table("bronze"), store.checkpoint("bronze"),
             "bronze", interval=pace.interval,
         ),
         start_table_sink(

@@ -8,6 +8,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from riskflow.sources.tables import write_table
+
 
 def _trigger(interval: str | None) -> dict:
     return {"availableNow": True} if interval is None else {"processingTime": interval}
@@ -53,12 +55,7 @@ def overwrite_batch_json(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def overwrite_batch_table(df: DataFrame, path: str, batch_id: int) -> None:
-    (
-        df.hint("rebalance", "event_date")
-        .write.mode("overwrite")
-        .partitionBy("event_date")
-        .parquet(f"{path}/batch_id={batch_id}")
-    )
+    write_table(df, f"{path}/batch_id={batch_id}", mode="overwrite")
 
 
 def await_all(queries: Sequence[StreamingQuery], timeout: float | None = None) -> None:
