@@ -1,0 +1,144 @@
+from collections import Counter
+
+import pytest
+from conftest import sha
+from pyspark.sql import functions as F
+
+from riskflow import schemas
+from riskflow.operators.bronze import to_bronze
+from riskflow.operators.enrich import SPREAD, _attach_shuffled, enrich
+from riskflow.operators.validation import schema_diff
+from riskflow.plans import model
+from riskflow.sources.lookups import (
+    SPEC_BY_NAME, BadLookup, check_lookups, frequent_keys, load_lookups, with_heavy_keys,
+)
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_match_and_miss(raw, lookups):
+    df = to_bronze(raw(
+        {},
+        {"user_id": "nobody", "product_id": "none", "subscription_type": "gone",
+         "ip_address": "1.1.1.1"},
+        {"user_id": None, "product_id": None, "subscription_type": None, "ip_address": None},
+    ))
+    hit, miss, null = enrich(df, lookups).orderBy("transaction_id").collect()
+    assert (hit.country, hit.user_status, hit.product_name, hit.category, hit.price) == (
+        "India", "active", "Toolkit", "Tools", 9.5)
+    assert (hit.monthly_cost, hit.churn_risk, hit.plan_duration) == (50.0, "Low", 1)
+    assert (hit.risk_level, hit.risk_score, hit.ip_risk_location) == ("high", 9.0, "Region-1")
+    assert hit.usage_cost_ratio == 0.2
+    flags = [spec.flag for spec in SPEC_BY_NAME.values()]
+    assert [hit[f] for f in flags] == [False] * 4
+    for row in (miss, null):
+        assert [row[f] for f in flags] == [True] * 4
+        assert row.country is None and row.usage_cost_ratio is None
+
+
+def test_schema(raw, lookups):
+    silver = enrich(to_bronze(raw({})), lookups)
+    assert silver.columns == schemas.SILVER.names
+    assert schema_diff(silver, schemas.SILVER) == []
+
+
+@pytest.mark.parametrize("plan", ["free", "odd"])
+def test_no_cost_gives_no_ratio(raw, lookups, plan):
+    row = enrich(to_bronze(raw({"subscription_type": plan})), lookups).first()
+    assert row.missing_subscription is False
+    assert row.usage_cost_ratio is None
+
+
+def test_repeated_key_is_rejected(spark, lookup_frames):
+    users = lookup_frames["users"]
+    with pytest.raises(BadLookup, match=r"users.*u2"):
+        check_lookups({**lookup_frames, "users": users.union(users.where("user_id = 'u2'"))})
+
+
+def test_repeated_null_key_matches_nothing_and_is_let_through(spark, raw, lookup_frames):
+    spare = spark.createDataFrame([(None, "X", "x")] * 2, SPEC_BY_NAME["users"].schema)
+    checked = check_lookups({**lookup_frames, "users": lookup_frames["users"].union(spare)})
+    assert enrich(to_bronze(raw({"user_id": None}, {})), checked).count() == 2
+
+
+def test_empty_lookup_is_rejected(lookup_frames):
+    with pytest.raises(BadLookup, match="plans is empty"):
+        check_lookups({**lookup_frames, "plans": lookup_frames["plans"].where("false")})
+
+
+def test_csv_round_trip_and_header_check(spark, tmp_path, lookup_frames):
+    paths = {}
+    for name, frame in lookup_frames.items():
+        paths[name] = str(tmp_path / name)
+        frame.coalesce(1).write.option("header", True).csv(paths[name])
+    loaded = load_lookups(spark, paths)
+    for name, frame in lookup_frames.items():
+        assert loaded[name].frame.schema == SPEC_BY_NAME[name].schema
+        assert set(loaded[name].frame.collect()) == set(frame.collect())
+    swapped = tmp_path / "swapped"
+    lookup_frames["users"].select("country", "user_id", "user_status").coalesce(1).write.option(
+        "header", True).csv(str(swapped))
+    with pytest.raises(Exception, match="(?i)header"):
+        load_lookups(spark, {"users": str(swapped)})
+
+
+def test_join_of_large_lookups_equals_broadcast(spark, settings):
+    """With no broadcast allowed, and with and without frequent keys, the rows are the same."""
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    bronze = to_bronze(model.raw(spark, SF_DIR)).withColumn(
+        "user_id", F.when(F.col("transaction_id").cast("int") % 3 == 0, "7")
+        .when(F.col("transaction_id").cast("int") % 7 == 0, None).otherwise(F.col("user_id"))
+    )
+    frames = model.lookup_frames(spark, SF_DIR)
+    small = check_lookups(frames)
+    large = check_lookups(frames, broadcast_limit=0)
+    assert all(x.broadcast for x in small.values())
+    assert not any(x.broadcast for x in large.values())
+    heavy = with_heavy_keys(large, bronze)
+    assert "7" in heavy["users"].heavy_keys
+    want = Counter(enrich(bronze, small).collect())
+    assert want.total() == 1000
+    assert Counter(enrich(bronze, large).collect()) == want
+    assert Counter(enrich(bronze, heavy).collect()) == want
+
+
+def test_frequent_keys_are_bounded_and_skip_null(spark):
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, None)
+        .otherwise(F.col("id").cast("string")).alias("k")
+    )
+    assert frequent_keys(df, "k", share=0.01) == ("hot",)
+    assert frequent_keys(df.where("false"), "k") == ()
+
+
+def test_no_task_gets_a_whole_hot_key(spark, settings, lookup_frames):
+    """A key and the missing key with a third of the rows each spread over the shuffle tasks."""
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    feed = spark.range(12_000).select(
+        F.when(F.col("id") % 3 == 0, "u1").when(F.col("id") % 3 == 1, None)
+        .otherwise(F.concat(F.lit("x"), F.col("id").cast("string"))).alias("user_id"),
+        (F.rand(5) * 2**53).cast("long").alias(SPREAD),
+    )
+    lookup = with_heavy_keys(
+        check_lookups({"users": lookup_frames["users"]}, broadcast_limit=0), feed
+    )["users"]
+    assert lookup.heavy_keys == ("u1",)
+    joined = _attach_shuffled(feed, lookup)
+    assert joined.where("user_id = 'u1' and country = 'India'").count() == 4000
+    sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2000
+
+
+def test_lookup_row_of_heavy_key_may_be_missing(spark, raw, lookup_frames, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    df = to_bronze(raw(*[{"user_id": "ghost"}] * 5, {"user_id": "u2"}))
+    lookups = with_heavy_keys(check_lookups(lookup_frames, broadcast_limit=0), df)
+    assert "ghost" in lookups["users"].heavy_keys
+    rows = enrich(df, lookups, ["users"]).groupBy("user_id", "missing_user").count().collect()
+    assert set(rows) == {("ghost", True, 5), ("u2", False, 1)}
+
+
+def test_only_wanted_lookups_are_joined(raw, lookups):
+    df = enrich(to_bronze(raw({})), lookups, ["plans", "ip_risk"])
+    assert "country" not in df.columns and "price" not in df.columns
+    assert df.first().hash_ip == sha("10.0.0.1")
