@@ -22,7 +22,8 @@ def arguments() -> argparse.Namespace:
         job.add_argument("--timeout", type=float, help="seconds until the run is given up")
         if name == "bronze":
             job.add_argument("--feed", required=True, help="folder of newline-delimited JSON")
-            job.add_argument("--keep-pii", action="store_true")
+            job.add_argument("--keep-pii", action="store_true", help="write the clear-text copy")
+            job.add_argument("--no-quarantine", action="store_true", help="spare a second parse")
         if name == "silver":
             for spec in SPECS:
                 job.add_argument(f"--{spec.name.replace('_', '-')}", required=True, help="CSV file")
@@ -39,7 +40,8 @@ def main() -> None:
     store, pace = Store(args.store, args.restricted), Pace(args.max_files, args.max_bytes)
     if args.layer == "bronze":
         pipeline.run_bronze(
-            spark, args.feed, store, pace, keep_pii=args.keep_pii, timeout=args.timeout
+            spark, args.feed, store, pace, keep_corrupt=not args.no_quarantine,
+            keep_pii=args.keep_pii, timeout=args.timeout,
         )
     elif args.layer == "silver":
         paths = {spec.name: getattr(args, spec.name) for spec in SPECS}

@@ -17,10 +17,13 @@ from riskflow.streaming.sinks import await_all
 
 def run_bronze(
     spark: SparkSession, feed: str, store: Store, pace: Pace = Pace(), dq: bool = True,
-    keep_pii: bool = False, card_salt: str | None = None, timeout: float | None = None,
+    keep_corrupt: bool = True, keep_pii: bool = False, card_salt: str | None = None,
+    timeout: float | None = None,
 ) -> None:
     """``pace`` limits the feed; the report tails the bronze table, whose files are other ones."""
-    await_all(layers.start_bronze(spark, feed, store, pace, card_salt, keep_pii), timeout)
+    await_all(
+        layers.start_bronze(spark, feed, store, pace, card_salt, keep_corrupt, keep_pii), timeout
+    )
     if dq:
         await_all(layers.start_bronze_dq(spark, store, Pace(max_bytes=pace.max_bytes)), timeout)
 
@@ -30,9 +33,8 @@ def run_silver(
     dq: bool = True, timeout: float | None = None,
 ) -> None:
     """Lookups beyond the broadcast bound first get the frequent keys of the bronze table."""
-    if any(not lookup.broadcast for lookup in lookups.values()):
-        bronze = read_table(spark, store.table("bronze"), schemas.BRONZE)
-        lookups = with_heavy_keys(lookups, bronze)
+    bronze = read_table(spark, store.table("bronze"), schemas.BRONZE)
+    lookups = with_heavy_keys(lookups, bronze)
     await_all(layers.start_silver(spark, store, lookups, pace), timeout)
     if dq:
         await_all(layers.start_silver_dq(spark, store, pace), timeout)

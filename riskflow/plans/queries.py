@@ -248,9 +248,8 @@ def _run(spark, sf_dir, label, broken=False, silver=False, marts_wanted=(), dq=F
     root = scratch_dir(spark, label)
     files = model.write_feed(spark, sf_dir, f"{root}/feed", broken)
     store = Store(f"{root}/store")
-    pipeline.run_bronze(
-        spark, f"{root}/feed", store, Pace(max_files=-(-files // MICRO_BATCHES)), dq=dq
-    )
+    pace = Pace(max_files=-(-files // MICRO_BATCHES))
+    pipeline.run_bronze(spark, f"{root}/feed", store, pace, dq=dq, keep_corrupt=broken)
     if silver or marts_wanted:
         paths = model.write_lookups(spark, sf_dir, f"{root}/lookups")
         pipeline.run_silver(spark, store, load_lookups(spark, paths), _pace(spark, store, "bronze"),
@@ -304,7 +303,9 @@ def stream_pii(spark, sf_dir):
     files = model.write_feed(spark, sf_dir, f"{root}/feed")
     store = Store(f"{root}/store", f"{root}/restricted")
     pace = Pace(max_files=-(-files // MICRO_BATCHES))
-    pipeline.run_bronze(spark, f"{root}/feed", store, pace, dq=False, keep_pii=True)
+    pipeline.run_bronze(
+        spark, f"{root}/feed", store, pace, dq=False, keep_corrupt=False, keep_pii=True
+    )
     copy = spark.read.schema(schemas.PII).json(store.private("pii"))
     return copy.select("transaction_id", "ip_address", "card_number")
 
@@ -320,7 +321,7 @@ def stream_replay(spark, sf_dir):
     feed = store.root.removesuffix("/store") + "/feed"
     paths = store.root.removesuffix("/store") + "/lookups"
     again = load_lookups(spark, {name: f"{paths}/{name}" for name in SPEC_BY_NAME})
-    await_all(layers.start_bronze(spark, feed, store))
+    await_all(layers.start_bronze(spark, feed, store, keep_corrupt=False))
     await_all(layers.start_silver(spark, store, again))
     await_all(layers.start_spend(spark, store) + layers.start_risk(spark, store))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -141,25 +141,38 @@ def load_lookups(
     return check_lookups(frames, broadcast_limit)
 
 
-def frequent_keys(feed: DataFrame, column: str, share: float = 0.001) -> tuple[str, ...]:
-    """Keys that hold at least ``share`` of the rows: never more than ``1 / share`` of them.
+def frequent_keys(
+    feed: DataFrame, columns: Sequence[str], share: float = 0.001
+) -> dict[str, tuple[str, ...]]:
+    """Per column, the keys that hold at least ``share`` of the rows: at most ``1 / share`` keys.
 
-    A frequent-items sketch in one pass without a shuffle by key. It only decides the route of a
-    row through the join, so its estimates cannot change a result.
+    Frequent-items sketches of all columns in one pass, without a shuffle by key. They only decide
+    the route of a row through the join, so their estimates cannot change a result.
     """
     most = int(1 / share)
     row = feed.agg(
         F.count(F.lit(1)).alias("total"),
-        F.call_function("approx_top_k", F.col(column), F.lit(most), F.lit(10 * most)).alias("top"),
+        *[
+            F.call_function("approx_top_k", F.col(c), F.lit(most), F.lit(10 * most)).alias(c)
+            for c in columns
+        ],
     ).first()
-    found = [e["item"] for e in row["top"] or [] if e["count"] >= share * row["total"]]
-    return tuple(key for key in found if key is not None)
+    return {
+        c: tuple(
+            top["item"] for top in row[c] or []
+            if top["item"] is not None and top["count"] >= share * row["total"]
+        )
+        for c in columns
+    }
 
 
 def with_heavy_keys(lookups: Mapping[str, Lookup], feed: DataFrame) -> dict[str, Lookup]:
     """Note the frequent feed keys of each lookup that is too large to broadcast."""
-    return {
-        name: lookup if lookup.broadcast
-        else replace(lookup, heavy_keys=frequent_keys(feed, lookup.spec.feed_key))
-        for name, lookup in lookups.items()
+    large = {name: lookup for name, lookup in lookups.items() if not lookup.broadcast}
+    if not large:
+        return dict(lookups)
+    frequent = frequent_keys(feed, [lookup.spec.feed_key for lookup in large.values()])
+    return dict(lookups) | {
+        name: replace(lookup, heavy_keys=frequent[lookup.spec.feed_key])
+        for name, lookup in large.items()
     }

@@ -64,9 +64,13 @@ class Pace:
 
 def start_bronze(
     spark: SparkSession, feed: str, store: Store, pace: Pace = Pace(),
-    card_salt: str | None = None, keep_pii: bool = False,
+    card_salt: str | None = None, keep_corrupt: bool = True, keep_pii: bool = False,
 ) -> list[StreamingQuery]:
-    """Feed to bronze, corrupt lines to quarantine and, if asked for, the clear-text copy."""
+    """Feed to bronze, corrupt lines to quarantine and, if asked for, the clear-text copy.
+
+    Each of the three parses the feed. A run may leave the quarantine out: its checkpoint stands
+    still meanwhile, and the next run that has it takes up the lines of all files since.
+    """
     lines = stream_feed(spark, feed, pace.max_files, pace.max_bytes)
     raw = require_schema(good_rows(lines), schemas.RAW, "raw")
     queries = [
@@ -74,11 +78,12 @@ def start_bronze(
             by_date(to_bronze(raw, card_salt)), store.table("bronze"), store.checkpoint("bronze"),
             "bronze", interval=pace.interval,
         ),
-        start_table_sink(
+    ]
+    if keep_corrupt:
+        queries.append(start_table_sink(
             corrupt_rows(lines), store.private("quarantine"), store.checkpoint("quarantine"),
             "quarantine", partition_by=(), fmt="json", interval=pace.interval,
-        ),
-    ]
+        ))
     if keep_pii:
         def write_pii(batch: DataFrame, batch_id: int) -> None:
             overwrite_batch_json(batch, store.private("pii"), batch_id)

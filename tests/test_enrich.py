@@ -107,8 +107,8 @@ def test_frequent_keys_are_bounded_and_skip_null(spark):
         F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, None)
         .otherwise(F.col("id").cast("string")).alias("k")
     )
-    assert frequent_keys(df, "k", share=0.01) == ("hot",)
-    assert frequent_keys(df.where("false"), "k") == ()
+    assert frequent_keys(df, ["k"], share=0.01) == {"k": ("hot",)}
+    assert frequent_keys(df.where("false"), ["k"]) == {"k": ()}
 
 
 def test_no_task_gets_a_whole_hot_key(spark, settings, lookup_frames):
