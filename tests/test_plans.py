@@ -1,18 +1,21 @@
 """What the optimizer makes of the main queries."""
 
+import datetime as dt
 import re
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from riskflow import schemas
 from riskflow.operators import marts, quality
+from riskflow.operators.bronze import to_bronze
 from riskflow.operators.enrich import enrich
 from riskflow.operators.layout import cluster_table, write_clustered
 from riskflow.plans import model, queries
 from riskflow.sources.lookups import check_lookups
 from riskflow.sources.tables import date_slice, read_table, write_table
-
-import datetime as dt
+from riskflow.streaming.layers import Store, start_bronze
+from riskflow.streaming.sinks import await_all
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -69,6 +72,25 @@ def test_written_table_has_few_files_per_date(spark, tmp_path):
     assert len(list(path.glob("event_date=*/*.parquet"))) == len(dates)
 
 
+def test_a_hot_date_is_split_over_files(spark, tmp_path, settings):
+    """In a batch write and in the bronze stream, one date with most rows goes to many tasks."""
+    settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB")
+    hot = model.raw(spark, SF_DIR).withColumn(
+        "event_time",
+        F.when(F.col("transaction_id").cast("int") % 10 > 0, F.lit(dt.datetime(2024, 1, 15)))
+        .otherwise(F.col("event_time")),
+    ).repartition(8)
+    write_table(to_bronze(hot), str(tmp_path / "batch"))
+    hot.select(F.to_json(F.struct(*schemas.RAW.names)).alias("value")).write.text(
+        str(tmp_path / "feed"))
+    store = Store(str(tmp_path / "store"))
+    await_all(start_bronze(spark, str(tmp_path / "feed"), store, keep_corrupt=False), 300)
+    for table in (tmp_path / "batch", Path(store.table("bronze"))):
+        files = {d.name: len(list(d.glob("*.parquet"))) for d in table.glob("event_date=*")}
+        assert files.pop("event_date=2024-01-15") >= 4
+        assert len(files) == 29 and sum(files.values()) < 2 * 29
+
+
 def _skewed(spark):
     return spark.range(20_000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("user_id"),
