@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
+from riskflow.operators.layout import ROWS_PER_FILE
 from riskflow.plans import pipeline
 from riskflow.session import build_session
 from riskflow.sources.lookups import BROADCAST_LIMIT_BYTES, SPECS, load_lookups
@@ -24,13 +26,17 @@ def arguments() -> argparse.Namespace:
             job.add_argument("--feed", required=True, help="folder of newline-delimited JSON")
             job.add_argument("--keep-pii", action="store_true", help="write the clear-text copy")
             job.add_argument("--no-quarantine", action="store_true", help="spare a second parse")
+            job.add_argument("--one-date-files", action="store_true",
+                             help="the feed's files hold one date each: write without a shuffle")
         if name == "silver":
             for spec in SPECS:
                 job.add_argument(f"--{spec.name.replace('_', '-')}", required=True, help="CSV file")
             job.add_argument("--broadcast-limit", type=int, default=BROADCAST_LIMIT_BYTES)
+            job.add_argument("--since", type=dt.date.fromisoformat,
+                             help="first date in which to look for frequent keys")
         if name == "layout":
             job.add_argument("--target", required=True, help="new folder for the clustered copies")
-            job.add_argument("--files", type=int)
+            job.add_argument("--rows-per-file", type=int, default=ROWS_PER_FILE)
     return parser.parse_args()
 
 
@@ -41,16 +47,18 @@ def main() -> None:
     if args.layer == "bronze":
         pipeline.run_bronze(
             spark, args.feed, store, pace, keep_corrupt=not args.no_quarantine,
-            keep_pii=args.keep_pii, timeout=args.timeout,
+            keep_pii=args.keep_pii, gather_dates=not args.one_date_files, timeout=args.timeout,
         )
     elif args.layer == "silver":
         paths = {spec.name: getattr(args, spec.name) for spec in SPECS}
         lookups = load_lookups(spark, paths, args.broadcast_limit)
-        pipeline.run_silver(spark, store, lookups, pace, timeout=args.timeout)
+        pipeline.run_silver(
+            spark, store, lookups, pace, timeout=args.timeout, since=args.since
+        )
     elif args.layer == "gold":
         pipeline.run_gold(spark, store, pace, args.timeout)
     else:
-        pipeline.run_layout(spark, store, args.target, args.files)
+        pipeline.run_layout(spark, store, args.target, args.rows_per_file)
 
 
 if __name__ == "__main__":

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,25 +11,26 @@ from pyspark.sql import types as T
 ROWS_PER_FILE = 5_000_000
 
 
+def file_count(table: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Files for the rows of a stored table; the count comes from the Parquet footers."""
+    return max(1, math.ceil(table.count() / rows_per_file))
+
+
 def write_clustered(
-    df: DataFrame, target: str, key: str, tie: str | None = None, files: int | None = None
+    df: DataFrame, target: str, key: str, files: int, tie: str | None = None
 ) -> None:
     """Range-partition by date and key, sort, and write to ``target``, which must not exist yet.
 
     ``tie`` is a column that tells apart rows of one date and key; it lets the ranges cut through
-    a key with very many rows, and is not written. Without ``files`` the session's shuffle width
-    applies and adaptive execution joins small ranges.
+    a key with very many rows, and is not written.
     """
     order = ["event_date", key] + ([tie] if tie else [])
-    ranged = (
-        df.repartitionByRange(*order) if files is None else df.repartitionByRange(files, *order)
-    )
     columns = [name for name in df.columns if name != tie]
     (
-        ranged.sortWithinPartitions("event_date", key)
+        df.repartitionByRange(files, *order)
+        .sortWithinPartitions("event_date", key)
         .select(*columns)
         .write.mode("errorifexists")
-        .option("maxRecordsPerFile", ROWS_PER_FILE)
         .partitionBy("event_date")
         .parquet(target)
     )
@@ -35,9 +38,10 @@ def write_clustered(
 
 def cluster_table(
     spark: SparkSession, source: str, target: str, schema: T.StructType, key: str,
-    files: int | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> None:
     """Rewrite a layer table; a row's position in its file serves as the tie."""
     table = spark.read.schema(schema).parquet(source)
+    files = file_count(table, rows_per_file)
     table = table.select(*schema.names, F.col("_metadata.row_index").alias("_row_index"))
-    write_clustered(table, target, key, tie="_row_index", files=files)
+    write_clustered(table, target, key, files, tie="_row_index")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from riskflow import schemas
-from riskflow.operators.layout import cluster_table, write_clustered
+from riskflow.operators.layout import ROWS_PER_FILE, cluster_table, file_count, write_clustered
 from riskflow.sources.lookups import Lookup, with_heavy_keys
 from riskflow.sources.tables import read_table
 from riskflow.streaming import layers
@@ -18,22 +20,28 @@ from riskflow.streaming.sinks import await_all
 def run_bronze(
     spark: SparkSession, feed: str, store: Store, pace: Pace = Pace(), dq: bool = True,
     keep_corrupt: bool = True, keep_pii: bool = False, card_salt: str | None = None,
-    timeout: float | None = None,
+    gather_dates: bool = True, timeout: float | None = None,
 ) -> None:
     """``pace`` limits the feed; the report tails the bronze table, whose files are other ones."""
-    await_all(
-        layers.start_bronze(spark, feed, store, pace, card_salt, keep_corrupt, keep_pii), timeout
+    queries = layers.start_bronze(
+        spark, feed, store, pace, card_salt, keep_corrupt, keep_pii, gather_dates
     )
+    await_all(queries, timeout)
     if dq:
         await_all(layers.start_bronze_dq(spark, store, Pace(max_bytes=pace.max_bytes)), timeout)
 
 
 def run_silver(
     spark: SparkSession, store: Store, lookups: Mapping[str, Lookup], pace: Pace = Pace(),
-    dq: bool = True, timeout: float | None = None,
+    dq: bool = True, timeout: float | None = None, since: dt.date | None = None,
 ) -> None:
-    """Lookups beyond the broadcast bound first get the frequent keys of the bronze table."""
+    """Lookups beyond the broadcast bound first get the frequent keys of the bronze table.
+
+    ``since`` spares a later run the key columns of the dates it will not process again.
+    """
     bronze = read_table(spark, store.table("bronze"), schemas.BRONZE)
+    if since is not None:
+        bronze = bronze.where(F.col("event_date") >= F.lit(since))
     lookups = with_heavy_keys(lookups, bronze)
     await_all(layers.start_silver(spark, store, lookups, pace), timeout)
     if dq:
@@ -48,10 +56,19 @@ def run_gold(
     await_all([q for name in marts for q in start[name](spark, store, pace)], timeout)
 
 
-def run_layout(spark: SparkSession, store: Store, target: str, files: int | None = None) -> None:
-    """Clustered copies of the gold tables, with the daily tables merged to one row per key."""
+def run_layout(
+    spark: SparkSession, store: Store, target: str, rows_per_file: int = ROWS_PER_FILE
+) -> None:
+    """Clustered copies of the gold tables, with the daily tables merged to one row per key.
+
+    The partials bound the rows of a merged table from above, and counting them is cheap.
+    """
     cluster_table(
-        spark, store.table("risk"), f"{target}/risk", schemas.RISK, "user_id", files
+        spark, store.table("risk"), f"{target}/risk", schemas.RISK, "user_id", rows_per_file
     )
-    write_clustered(layers.read_spend(spark, store), f"{target}/spend", "user_id", files=files)
-    write_clustered(layers.read_usage(spark, store), f"{target}/usage", "product_id", files=files)
+    for name, partial, read, key in (
+        ("spend", schemas.SPEND_PARTIAL, layers.read_spend, "user_id"),
+        ("usage", schemas.USAGE_PARTIAL, layers.read_usage, "product_id"),
+    ):
+        files = file_count(read_table(spark, store.partials(name), partial), rows_per_file)
+        write_clustered(read(spark, store), f"{target}/{name}", key, files)

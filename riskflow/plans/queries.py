@@ -12,7 +12,7 @@ from riskflow.functions.privacy import mask_card, mask_card_unanchored
 from riskflow.operators import marts, quality
 from riskflow.operators.bronze import pii_copy, to_bronze
 from riskflow.operators.enrich import enrich
-from riskflow.operators.layout import cluster_table, write_clustered
+from riskflow.operators.layout import cluster_table, file_count, write_clustered
 from riskflow.operators.validation import schema_diff
 from riskflow.plans import model, pipeline
 from riskflow.session import scratch_dir
@@ -347,18 +347,22 @@ def clustered(spark, sf_dir):
     return _plain_time(read_table(spark, f"{path}/by_user", schemas.RISK))
 
 
-def clustered_spend(spark, sf_dir):
+def _clustered(spark, df, key):
+    """Write a daily table and a clustered copy of it, and read the copy."""
     path = scratch_dir(spark, "clustered")
-    spend = marts.user_spend(_bronze(spark, sf_dir))
-    write_clustered(spend, path, "user_id")
-    return _rounded_spend(read_table(spark, path, spend.schema))
+    write_table(df, f"{path}/daily")
+    daily = read_table(spark, f"{path}/daily", df.schema)
+    write_clustered(daily, f"{path}/by_key", key, file_count(daily))
+    return read_table(spark, f"{path}/by_key", df.schema)
+
+
+def clustered_spend(spark, sf_dir):
+    return _rounded_spend(_clustered(spark, marts.user_spend(_bronze(spark, sf_dir)), "user_id"))
 
 
 def clustered_usage(spark, sf_dir):
-    path = scratch_dir(spark, "clustered")
     usage = marts.product_usage(_silver(spark, sf_dir, ["plans"]))
-    write_clustered(usage, path, "product_id")
-    return _rounded_usage(read_table(spark, path, usage.schema))
+    return _rounded_usage(_clustered(spark, usage, "product_id"))
 
 
 QUERIES = {

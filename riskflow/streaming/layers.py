@@ -65,17 +65,20 @@ class Pace:
 def start_bronze(
     spark: SparkSession, feed: str, store: Store, pace: Pace = Pace(),
     card_salt: str | None = None, keep_corrupt: bool = True, keep_pii: bool = False,
+    gather_dates: bool = True,
 ) -> list[StreamingQuery]:
     """Feed to bronze, corrupt lines to quarantine and, if asked for, the clear-text copy.
 
     Each of the three parses the feed. A run may leave the quarantine out: its checkpoint stands
     still meanwhile, and the next run that has it takes up the lines of all files since.
+    Gathering the dates shuffles the feed; turn it off for a feed whose files hold one date each.
     """
     lines = stream_feed(spark, feed, pace.max_files, pace.max_bytes)
     raw = require_schema(good_rows(lines), schemas.RAW, "raw")
+    bronze = to_bronze(raw, card_salt)
     queries = [
         start_table_sink(
-            by_date(to_bronze(raw, card_salt)), store.table("bronze"), store.checkpoint("bronze"),
+            by_date(bronze) if gather_dates else bronze, store.table("bronze"), store.checkpoint("bronze"),
             "bronze", interval=pace.interval,
         ),
     ]
@@ -104,13 +107,19 @@ def start_bronze_dq(spark: SparkSession, store: Store, pace: Pace = Pace()) -> l
 def start_silver(
     spark: SparkSession, store: Store, lookups: Mapping[str, Lookup], pace: Pace = Pace()
 ) -> list[StreamingQuery]:
-    """Bronze to silver: a row-wise stream-static join."""
+    """Bronze to silver: a row-wise stream-static join.
+
+    With broadcast lookups there is no shuffle, and files hold one date as those of bronze do. A
+    shuffle join mixes the dates, so they are gathered again.
+    """
     bronze = stream_table(
         spark, store.table("bronze"), schemas.BRONZE, pace.max_files, pace.max_bytes
     )
     silver = require_schema(enrich(bronze, lookups), schemas.SILVER, "silver")
+    silver = silver.select(*schemas.SILVER.names)
+    shuffled = any(not lookup.broadcast for lookup in lookups.values())
     return [start_table_sink(
-        silver.select(*schemas.SILVER.names), store.table("silver"), store.checkpoint("silver"),
+        by_date(silver) if shuffled else silver, store.table("silver"), store.checkpoint("silver"),
         "silver", interval=pace.interval,
     )]
 

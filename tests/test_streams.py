@@ -190,7 +190,7 @@ def test_dates_and_slices(finished):
 
 def test_layout_of_gold(finished, tmp_path):
     target = tmp_path / "clustered"
-    run_layout(finished.spark, finished.store, str(target), files=2)
+    run_layout(finished.spark, finished.store, str(target), rows_per_file=3)
     before = finished.rows()
     for name in ("risk", "spend", "usage"):
         df = finished.tables()[name]
@@ -204,11 +204,13 @@ def test_large_lookups_in_streams(run, lookup_frames, settings):
     run.lookups = check_lookups(lookup_frames, broadcast_limit=0)
     run.all()
     assert run.rows() == want
+    silver = Path(run.store.table("silver"))
+    assert len(list(silver.glob("event_date=2024-01-03/*.parquet"))) <= 3
 
 
 def test_empty_feed_file(run):
     run.add("e.json", [""])
-    run.all()
+    run.all(gather_dates=False)
     assert run.rows() == run.batch_rows()
 
 
