@@ -10,6 +10,7 @@ CARD_FORMAT = r"^\d{12,19}$"
 CURRENCY_FORMAT = r"^[A-Z]{3}$"
 MASK_PREFIX = "**** **** **** "
 MASK_INVALID = "****"
+LINE_ENDS = "\n\r\u0085\u2028\u2029"
 UNANCHORED_CARD = r"\d{12}(\d{4})"
 
 
@@ -23,8 +24,11 @@ def hash_pii(value: Column, salt: str | None = None) -> Column:
 
 
 def mask_card(card: Column) -> Column:
-    """Keep the last four digits of a well-formed card number, nothing of any other value."""
-    last_four = F.regexp_extract(card, r"(\d{4})$", 1)
+    """Keep the last four digits of a well-formed card number, nothing of any other value.
+
+    The format lets a line end follow the number; it is cut off here without a second pattern.
+    """
+    last_four = F.right(F.rtrim(card, F.lit(LINE_ENDS)), F.lit(4))
     return (
         F.when(card.rlike(CARD_FORMAT), F.concat(F.lit(MASK_PREFIX), last_four))
         .when(card.isNotNull(), F.lit(MASK_INVALID))

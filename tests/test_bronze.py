@@ -22,6 +22,10 @@ MASKED = "**** **** **** "
     ("1" * 12 + "23456", MASKED + "3456", MASKED + "23456"),
     ("1" * 12 + "234567", MASKED + "4567", MASKED + "234567"),
     ("1" * 12 + "2345678", MASKED + "5678", MASKED + "2345678"),
+    ("1" * 12 + "2345\n", MASKED + "2345", MASKED + "2345\n"),
+    ("1" * 12 + "2345\r\n", MASKED + "2345", MASKED + "2345\r\n"),
+    ("1" * 12 + "2345\u2028", MASKED + "2345", MASKED + "2345\u2028"),
+    ("1" * 12 + "2345 ", "****", MASKED + "2345 "),
     ("1" * 20, "****", MASKED + "11111111"),
     ("12345678901", "****", "12345678901"),
     ("4000-0000-0000-1234", "****", "4000-0000-0000-1234"),
