@@ -54,6 +54,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hinted(df: DataFrame, max_rows: int) -> DataFrame:
+    """``df`` (narrow rows, cheap to count) marked for a broadcast if it has ``max_rows`` at most.
+
+    Beyond that the mark is left out and the join shuffles.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def id_remainder(id_col: str, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod``; a null id counts as an empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % mod

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskflow.llm.common import table, with_code
+from riskflow.llm.decontaminate import contamination
 from riskflow.llm.packing import pack
 from riskflow.llm.token_files import read_documents, write_token_files
 from riskflow.llm.tokens import vocabulary_path
@@ -22,7 +24,50 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.drop("ids")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return report.select(
+        F.col("doc").alias("doc_id"), "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 LLM_QUERIES = {query.__name__: with_code(query) for query in (
-    op4_token_files, op9_packing,
+    op4_token_files, op9_packing, op10_decontamination,
 )}
-LLM_ORACLE: dict[str, str] = {}
+WORDS = r"""
+    list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')
+"""
+
+LLM_ORACLE = {
+    "op10_decontamination": f"""
+        with d as (select doc_id, coalesce({WORDS}, []) as words from documents),
+        i as (select item_id, {WORDS} as words from benchmark where text is not null),
+        w as (
+            select distinct item_id, len(words[s:s + 9]) as n, words[s:s + 9] as phrase
+            from (select *, unnest(range(1, greatest(len(words) - 9, 1) + 1)) as s
+                  from i where len(words) > 0)
+        ),
+        lengths as (select distinct n from w),
+        g as (
+            select doc_id, n, s, words[s:s + n - 1] as phrase
+            from (select doc_id, n, words, unnest(range(1, len(words) - n + 2)) as s
+                  from d, lengths where len(words) >= n)
+        ),
+        m as (select distinct doc_id, item_id, n, s from g join w using (n, phrase)),
+        hit as (
+            select doc_id, count(distinct p) as n_hit
+            from (select doc_id, unnest(range(s, s + n)) as p from m) group by doc_id
+        ),
+        items as (
+            select doc_id, count(*) as n_items, sha256(string_agg(item, ',' order by item)) as h
+            from (select distinct doc_id, item_id::varchar as item from m) group by doc_id
+        )
+        select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+            coalesce(n_items, 0)::bigint as n_items, coalesce(h, sha256('')) as items_sha256,
+            coalesce(n_hit, 0) > 0 as contaminated
+        from d left join hit using (doc_id) left join items using (doc_id)
+    """,
+}
