@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskflow.llm.common import table, with_code
 from riskflow.llm.decontaminate import contamination
 from riskflow.llm.packing import pack
+from riskflow.llm.simhash import near_duplicates
 from riskflow.llm.token_files import read_documents, write_token_files
 from riskflow.llm.tokens import vocabulary_path
 from riskflow.session import scratch_dir
@@ -19,6 +20,13 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, folder)
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return found.withColumn(
+        "fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    )
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack(table(spark, sf_dir, "documents"), vocabulary_path(), end_id=2, with_ids=False)
     return packed.drop("ids")
@@ -34,7 +42,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {query.__name__: with_code(query) for query in (
-    op4_token_files, op9_packing, op10_decontamination,
+    op4_token_files, op5_simhash, op9_packing, op10_decontamination,
 )}
 WORDS = r"""
     list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
