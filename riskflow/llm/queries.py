@@ -8,12 +8,32 @@ from pyspark.sql import functions as F
 from riskflow.llm.common import table, with_code
 from riskflow.llm.decontaminate import contamination
 from riskflow.llm.packing import pack
+from riskflow.llm.pii import KINDS, with_spans
 from riskflow.llm.simhash import near_duplicates
 from riskflow.llm.token_files import read_documents, write_token_files
 from riskflow.llm.tokens import vocabulary_path
 from riskflow.session import scratch_dir
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = [k.name for k in KINDS if k.base]
+
+    def of(kind: str):
+        return F.filter("all", lambda s: s["kind"] == kind)
+
+    def listed(spans):
+        each = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(each, ",")
+
+    return found.select("doc_id", F.col("__spans").alias("all")).select(
+        "doc_id",
+        *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in base],
+        F.sha2(listed(F.filter("all", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        listed(F.col("all")).alias("spans"),
+    )
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "op4")
     write_token_files(table(spark, sf_dir, "documents"), folder, vocabulary_path(), end_id=1)
@@ -42,7 +62,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {query.__name__: with_code(query) for query in (
-    op4_token_files, op5_simhash, op9_packing, op10_decontamination,
+    op3_pii, op4_token_files, op5_simhash, op9_packing, op10_decontamination,
 )}
 WORDS = r"""
     list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
