@@ -5,16 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import table, with_code
+from riskflow.llm.common import id_remainder, table, with_code
 from riskflow.llm.decontaminate import contamination
 from riskflow.llm.packing import pack
 from riskflow.llm.pii import KINDS, with_spans
 from riskflow.llm.simhash import near_duplicates
+from riskflow.llm.toxicity import train as train_toxicity
+from riskflow.llm.toxicity import with_scores
 from riskflow.llm.token_files import read_documents, write_token_files
 from riskflow.llm.tokens import vocabulary_path
 from riskflow.session import scratch_dir
 
 
+TOXIC_FROM = 0.3
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train_toxicity(docs, table(spark, sf_dir, "labels"), id_remainder("doc_id", 4) != 2)
+    return with_scores(docs, model).select(
+        "doc_id", (id_remainder("doc_id", 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), "sentences",
+    )
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = [k.name for k in KINDS if k.base]
@@ -62,7 +76,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {query.__name__: with_code(query) for query in (
-    op3_pii, op4_token_files, op5_simhash, op9_packing, op10_decontamination,
+    op1_toxicity, op3_pii, op4_token_files, op5_simhash, op9_packing, op10_decontamination,
 )}
 WORDS = r"""
     list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
