@@ -9,6 +9,7 @@ from riskflow.llm.common import id_remainder, table, with_code
 from riskflow.llm.decontaminate import contamination
 from riskflow.llm.packing import pack
 from riskflow.llm.pii import KINDS, with_spans
+from riskflow.llm.quality import scored as quality_scored
 from riskflow.llm.simhash import near_duplicates
 from riskflow.llm.toxicity import train as train_toxicity
 from riskflow.llm.toxicity import with_scores
@@ -61,6 +62,13 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_remainder("doc_id", 3) == 1
+    found = quality_scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "score",
+                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack(table(spark, sf_dir, "documents"), vocabulary_path(), end_id=2, with_ids=False)
     return packed.drop("ids")
@@ -76,7 +84,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {query.__name__: with_code(query) for query in (
-    op1_toxicity, op3_pii, op4_token_files, op5_simhash, op9_packing, op10_decontamination,
+    op1_toxicity, op3_pii, op4_token_files, op5_simhash, op8_quality, op9_packing, op10_decontamination,
 )}
 WORDS = r"""
     list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
