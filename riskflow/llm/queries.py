@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from riskflow.llm.common import id_remainder, table, with_code
 from riskflow.llm.decontaminate import contamination
+from riskflow.llm.language import train as train_languages
+from riskflow.llm.language import with_languages
 from riskflow.llm.packing import pack
 from riskflow.llm.pii import KINDS, with_spans
 from riskflow.llm.quality import scored as quality_scored
@@ -62,6 +64,13 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_remainder("doc_id", 4) == 2
+    found = with_languages(docs, train_languages(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = id_remainder("doc_id", 3) == 1
     found = quality_scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
@@ -84,7 +93,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {query.__name__: with_code(query) for query in (
-    op1_toxicity, op3_pii, op4_token_files, op5_simhash, op8_quality, op9_packing, op10_decontamination,
+    op1_toxicity, op3_pii, op4_token_files, op5_simhash, op6_language, op8_quality, op9_packing, op10_decontamination,
 )}
 WORDS = r"""
     list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
