@@ -14,9 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import hinted, stored
+from riskflow.llm.common import ascii_lower, hinted, stored
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # All that is no word character: ASCII but for digits and letters.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW_WORDS = 10
@@ -27,12 +26,6 @@ DOC = ["doc", "text_key"]
 PLACE = [*DOC, "position", "term"]
 
 
-def ascii_lower(text: Column) -> Column:
-    """A-Z to a-z and no other letter."""
-    plain = F.octet_length(text) == F.char_length(text)
-    return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
-
-
 @dataclass(frozen=True)
 class Phrases:
     """The benchmark's windows: ``table`` (phrase, words, items) and ``terms`` (word, term)."""

@@ -13,10 +13,13 @@ from riskflow.llm.packing import pack
 from riskflow.llm.pii import KINDS, with_spans
 from riskflow.llm.quality import scored as quality_scored
 from riskflow.llm.simhash import near_duplicates
+from riskflow.llm.topk import quantised, top_k
 from riskflow.llm.toxicity import train as train_toxicity
 from riskflow.llm.toxicity import with_scores
 from riskflow.llm.token_files import read_documents, write_token_files
 from riskflow.llm.tokens import vocabulary_path
+from riskflow.llm.urls import Rule, judged, labelled_by_rules
+from riskflow.llm.urls import train as train_urls
 from riskflow.session import scratch_dir
 
 
@@ -32,6 +35,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", quantised(F.col("embedding")).alias("vector")
+    )
+    return top_k(vectors.where("vec_id % 50 = 0"), vectors, 5)
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = [k.name for k in KINDS if k.base]
@@ -71,6 +81,18 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+URL_RULES = [
+    Rule("allow", "org"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/"),
+]
+
+
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    model = train_urls(labelled_by_rules(pages, URL_RULES))
+    return judged(pages, URL_RULES, model).drop("url")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = id_remainder("doc_id", 3) == 1
     found = quality_scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
@@ -93,7 +115,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {query.__name__: with_code(query) for query in (
-    op1_toxicity, op3_pii, op4_token_files, op5_simhash, op6_language, op8_quality, op9_packing, op10_decontamination,
+    op1_toxicity, op2_topk, op3_pii, op4_token_files, op5_simhash, op6_language, op7_urls, op8_quality, op9_packing, op10_decontamination,
 )}
 WORDS = r"""
     list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -101,6 +123,25 @@ WORDS = r"""
 """
 
 LLM_ORACLE = {
+    "op2_topk": """
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as w
+            from embeddings where embedding is not null
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0
+        ),
+        s as (
+            select q.vec_id as query_id, d.vec_id,
+                list_sum(list_transform(range(1, len(q.w) + 1), lambda i: q.w[i] * d.w[i]))::bigint
+                    as score
+            from v q join v d on q.vec_id <> d.vec_id where q.vec_id % 50 = 0
+        ),
+        r as (
+            select query_id, row_number() over (
+                partition by query_id order by score desc, vec_id)::integer as rank, vec_id, score
+            from s
+        )
+        select * from r where rank <= 5
+    """,
     "op10_decontamination": f"""
         with d as (select doc_id, coalesce({WORDS}, []) as words from documents),
         i as (select item_id, {WORDS} as words from benchmark where text is not null),
