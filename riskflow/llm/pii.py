@@ -159,10 +159,10 @@ def with_spans(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     return split.select(*docs.columns, spans.alias("__spans"))
 
 
-def masked(docs: DataFrame, *, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
+def masked(docs: DataFrame, *, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """``docs`` with each span of its texts replaced by its kind, as in ``<EMAIL>``.
 
-    Rows without spans are unchanged, a null text too. ``length_col``, if given, takes the new
+    Rows without spans are unchanged, a null text too. ``length_col``, if there, takes the new
     number of characters in changed rows.
     """
     text = F.col(text_col)
@@ -184,7 +184,7 @@ def masked(docs: DataFrame, *, text_col: str = "text", length_col: str | None =
     found = with_spans(docs, text_col=text_col)
     new = F.when(F.size("__spans") > 0, F.aggregate(ordered, start, cut, joined)).otherwise(text)
     out = found.withColumn("__text", new)
-    if length_col:
+    if length_col in docs.columns:
         length = F.when(F.size("__spans") > 0, F.char_length("__text").cast(docs.schema[length_col].dataType))
         out = out.withColumn(length_col, F.coalesce(length, F.col(length_col)))
     return out.withColumn(text_col, F.col("__text")).select(*docs.columns)
