@@ -117,7 +117,7 @@ class Filters:
         return self.languages[best], float(real[best] / every) if every else 1 / len(real)
 
 
-def _sample(docs: DataFrame, allowed: Column, sizes: Sizes, id_col: str, text_col: str,
+def _sample(docs: DataFrame, allowed: Column | str, sizes: Sizes, id_col: str, text_col: str,
             lang_col: str) -> DataFrame:
     """Bounded training rows: the same number per language at most, by hashed id."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
@@ -131,7 +131,7 @@ def _sample(docs: DataFrame, allowed: Column, sizes: Sizes, id_col: str, text_co
     return rows.join(F.broadcast(chosen.distinct()), ["doc_id", "lang"])
 
 
-def train(docs: DataFrame, allowed: Column, sizes: Sizes | None = None, *, id_col: str = "doc_id",
+def train(docs: DataFrame, allowed: Column | str, sizes: Sizes | None = None, *, id_col: str = "doc_id",
           text_col: str = "text", lang_col: str = "lang") -> Filters:
     """Fill the filters with each language's n-grams of the most documents of a bounded sample.
 

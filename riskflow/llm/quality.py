@@ -218,7 +218,7 @@ def fit(x: np.ndarray, y: np.ndarray, how: Fit | None = None) -> Model:
     return model
 
 
-def train(measured: DataFrame, labels: DataFrame, allowed: Column, how: Fit | None = None, *,
+def train(measured: DataFrame, labels: DataFrame, allowed: Column | str, how: Fit | None = None, *,
           label: str = "quality", id_col: str = "doc_id") -> Model:
     """Fit the model on at most ``how.max_rows`` labelled rows, those of the smallest hashed ids.
 
@@ -248,7 +248,7 @@ def with_scores(measured: DataFrame, model: Model) -> DataFrame:
     return measured.mapInArrow(run, "doc_id long, score double")
 
 
-def scored(docs: DataFrame, labels: DataFrame, allowed: Column, how: Fit | None = None, *,
+def scored(docs: DataFrame, labels: DataFrame, allowed: Column | str, how: Fit | None = None, *,
            label: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Measure every row once, learn from the allowed labels, and score every row.
 

@@ -150,7 +150,7 @@ def _bags(rows: DataFrame, words: list[str]) -> pd.DataFrame:
     return bags.sort_values("doc_id", kind="stable", ignore_index=True)
 
 
-def train(docs: DataFrame, labels: DataFrame, allowed: Column, sample: Sample | None = None, *,
+def train(docs: DataFrame, labels: DataFrame, allowed: Column | str, sample: Sample | None = None, *,
           label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
           rounds: int = 300, rate: float = 0.1, spread: float = 2.0) -> Model:
     """Fit the noisy-or likelihood of document labels by gradient steps on a bounded sample.

@@ -1,0 +1,109 @@
+"""Decontamination against SQL on the test tables and brute force on edge rows."""
+
+import re
+
+from edge_rows import ROWS, documents
+from oracle_check import compare, connect
+
+from riskflow.llm.decontaminate import (
+    build_index,
+    contamination,
+    find_phrases,
+    phrases_of,
+    without_contaminated,
+)
+from riskflow.llm.queries import LLM_ORACLE, LLM_QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def words_of(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def brute(text, items, window=10):
+    words, hit, names = words_of(text), set(), set()
+    for item, item_text in items:
+        own = words_of(item_text)
+        n = min(window, len(own))
+        for s in range(len(own) - n + 1) if n else ():
+            for p in range(len(words) - n + 1):
+                if words[p:p + n] == own[s:s + n]:
+                    hit.update(range(p, p + n))
+                    if item is not None:
+                        names.add(str(item))
+    return len(words), len(hit), sorted(names)
+
+
+def items_frame(spark, rows):
+    return spark.createDataFrame(rows, "item_id long, text string").selectExpr(
+        "*", "'z' as term", "'z' as words", "1 as phrase")
+
+
+def test_query_agrees_with_sql(spark):
+    name = "op10_decontamination"
+    assert compare(spark, connect(SF_DIR), LLM_QUERIES[name], LLM_ORACLE[name], SF_DIR) is None
+
+
+ITEMS = [
+    (10, "quick brown fox"), (10, "quick brown fox"), (2, "x"), (3, None), (4, " .. "),
+    (5, "Lorem ipsum dolor sit amet lorem ipsum dolor sit amet lorem ipsum"),
+    (None, "over the lazy dog"), (7, "never written anywhere at all"), (8, "the the"), (9, "É"),
+]
+
+
+def test_edge_rows(spark):
+    got = contamination(documents(spark), items_frame(spark, ITEMS)).collect()
+    assert len(got) == len(ROWS)
+    by_id = {r["doc"]: r for r in got}
+    for doc_id, text, *_ in ROWS:
+        if doc_id == 5:
+            continue
+        r = by_id[doc_id]
+        assert (r["n_words"], r["n_hit"], r["items"]) == brute(text, ITEMS)
+        assert r["contaminated"] == (r["n_hit"] > 0)
+    assert (by_id[5]["n_words"], by_id[5]["n_hit"], by_id[5]["items"]) == (20000, 20000, ["5"])
+
+
+def test_random_texts(spark):
+    import random
+    rng = random.Random(5)
+
+    def text(n):
+        return " ".join(rng.choice(["a", "b", "c", "dé", "E", "7"]) for _ in range(n))
+
+    docs = [(i, text(rng.randint(0, 60)), None, None, None) for i in range(60)]
+    items = [(i, text(rng.randint(0, 7))) for i in range(25)]
+    got = contamination(documents(spark, docs), items_frame(spark, items), window=4).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        assert (r["n_words"], r["n_hit"], r["items"]) == brute(docs[r["doc"]][1], items, 4)
+
+
+def test_empty_tables(spark):
+    items = items_frame(spark, ITEMS)
+    assert contamination(documents(spark, []), items).isEmpty()
+    clean = contamination(documents(spark), items.limit(0))
+    assert clean.count() == len(ROWS) and clean.where("contaminated").isEmpty()
+
+
+def test_hit_documents_go(spark):
+    docs = documents(spark)
+    kept = without_contaminated(docs, items_frame(spark, ITEMS[:1] + ITEMS[2:3]))
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 2, 3, 4, 5, 6, 7, 10]
+
+
+def test_proximity(spark):
+    docs = documents(spark, [(1, "alpha beta then gamma", None, None, None),
+                             (2, "alpha beta one two three gamma", None, None, None)])
+    phrases = phrases_of(items_frame(spark, [(1, "alpha beta gamma")]))
+    index = build_index(docs, phrases.terms)
+    assert find_phrases(phrases, index).isEmpty()
+    assert {r["doc"] for r in find_phrases(phrases, index, slop=1).collect()} == {1}
+
+
+def test_plan_has_no_python(spark):
+    plan = contamination(documents(spark), items_frame(spark, ITEMS))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -1,0 +1,103 @@
+"""Personal data against Python's regular expressions."""
+
+import hashlib
+import random
+import re
+
+from edge_rows import LONG, ROWS, documents
+from pyspark.sql import functions as F
+
+from riskflow.llm.pii import masked, with_spans
+from riskflow.llm.queries import LLM_QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    each = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+    return sum(d - 9 if d > 9 else d for d in each) % 10 == 0
+
+
+def base_spans(text):
+    out = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {
+                "email": True,
+                "ip": kind != "ip" or all(int(p) <= 255 for p in m[0].split(".")),
+                "card": 16 <= len(digits) <= 19 and luhn(digits),
+                "phone": 8 <= len(digits) <= 15,
+            }[kind]
+            if good:
+                out.append(f"{kind}:{m.start()}:{m.end()}")
+    return out
+
+
+def found(rows):
+    return {r["doc_id"]: [f"{s['kind']}:{s['start']}:{s['end']}" for s in r["__spans"]]
+            for r in rows.collect()}
+
+
+def frame(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+
+def test_query(spark):
+    got = {r["doc_id"]: r for r in LLM_QUERIES["op3_pii"](spark, SF_DIR).collect()}
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    assert len(got) == len(rows)
+    for row in rows:
+        want, r = base_spans(row["text"]), got[row["doc_id"]]
+        assert r["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in PATTERNS] == [
+            sum(s.startswith(k + ":") for s in want) for k in PATTERNS]
+        assert [s for s in r["spans"].split(",") if s.split(":")[0] in PATTERNS] == want
+
+
+def test_random_texts(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("a1.@+- ()é𝔘9_%4") for _ in range(rng.randint(0, 80)))
+             for _ in range(1500)]
+    texts += ["a.b@c.d_e@f.g h@i.j.k-@l.m", "1.2.3.4.5.6.7.8", "256.1.1.1 001.002.003.004", "1" * 30000,
+              "a" * 100000 + "@b.c", "1 " * 20000, "+" * 30000 + "1" * 9, None, "", LONG]
+    got = found(with_spans(frame(spark, texts)))
+    for i, text in enumerate(texts):
+        assert [s for s in got[i] if s.split(":")[0] in PATTERNS] == base_spans(text)
+
+
+def test_checksums_and_context_decide_on_further_kinds(spark):
+    got = found(with_spans(frame(spark, [
+        "account DE89 3704 0044 0532 0130 00 here", "account DE88 3704 0044 0532 0130 00 here",
+        "my SSN is 123-45-6789", "part 123-45-6789 of the list", "my SSN is 000-45-6789",
+    ])))
+    assert got == {0: ["iban:8:35"], 1: [], 2: ["ssn:10:21"], 3: [], 4: []}
+
+
+def test_masking(spark):
+    docs = documents(spark)
+    out = masked(docs)
+    assert out.columns == docs.columns and out.count() == len(ROWS)
+    rows = {r["doc_id"]: r for r in out.collect()}
+    assert rows[7]["text"] == "<CARD> and <PHONE> and <IP>" and rows[7]["n_chars"] == 27
+    assert rows[None]["text"] == "A text without an id, mail <EMAIL> now"
+    assert rows[2]["text"] is None and rows[2]["n_chars"] is None
+    assert rows[5]["text"] == LONG and rows[5]["n_chars"] == len(LONG)
+    assert masked(documents(spark, [])).isEmpty()
+
+
+def test_overlapping_spans_are_masked_once(spark):
+    text = masked(frame(spark, ["x 4111 1111 1111 1111@b.co y"])).select("text").first()[0]
+    assert text == "x <CARD> y"
+
+
+def test_plan_has_no_python(spark):
+    plan = with_spans(documents(spark))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert with_spans(documents(spark)).where(F.size("__spans") > 0).count() >= 2

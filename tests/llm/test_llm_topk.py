@@ -1,0 +1,72 @@
+"""Exact top-k search against SQL and brute force."""
+
+import random
+
+from oracle_check import compare, connect
+from pyspark.sql import functions as F
+
+from riskflow.llm import topk
+from riskflow.llm.queries import LLM_ORACLE, LLM_QUERIES
+from riskflow.llm.topk import quantised, top_k
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def brute(queries, rows, k):
+    out = []
+    for q, v in dict(queries).items():
+        scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in rows if i != q)
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])]
+    return sorted(out)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, vector array<bigint>").selectExpr(
+        "*", "'z' as score", "'z' as part", "'z' as chunk", "1 as rank")
+
+
+def found(df):
+    return sorted(tuple(r) for r in df.select("query_id", "rank", "vec_id", "score").collect())
+
+
+def test_query_agrees_with_sql(spark):
+    assert compare(spark, connect(SF_DIR), LLM_QUERIES["op2_topk"], LLM_ORACLE["op2_topk"], SF_DIR) is None
+
+
+def test_many_parts_chunks_and_ties(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = [(i, [rng.randint(-3, 3) for _ in range(4)]) for i in range(400)]
+    rows += [(i, [1, 1, 1, 1]) for i in range(400, 700)]  # one vector many times over
+    rng.shuffle(rows)
+    for name, size in (("BLOCK_ROWS", 16), ("PART_ROWS", 100), ("QUERY_ROWS", 8)):
+        monkeypatch.setattr(topk, name, size)
+    queries = [r for r in rows if r[0] % 20 == 0]
+    assert found(top_k(frame(spark, queries), frame(spark, rows), 5)) == brute(queries, rows, 5)
+
+
+def test_few_rows_short_vectors_and_large_values(spark):
+    big = 1 << 29
+    rows = [(1, [big, 3]), (2, [big]), (3, [-big, 1, 7]), (4, []), (5, None), (None, [1, 1])]
+    real = rows[:4]
+    assert found(top_k(frame(spark, rows), frame(spark, rows), 5)) == brute(real, real, 5)
+
+
+def test_repeated_rows(spark):
+    rows = [(1, [1]), (1, [1]), (2, [5]), (2, [5]), (3, [2])]
+    got = found(top_k(frame(spark, rows), frame(spark, rows), 3))
+    assert [r for r in got if r[0] == 1] == [(1, 1, 2, 5), (1, 2, 2, 5), (1, 3, 3, 2)]
+
+
+def test_empty_tables(spark):
+    empty = frame(spark, [])
+    some = frame(spark, [(1, [1])])
+    for queries, rows in ((empty, some), (some, empty), (some, some)):
+        assert top_k(queries, rows, 5).isEmpty()
+
+
+def test_vectors_that_are_not_finite_take_no_part(spark):
+    df = spark.sql("""select * from values (1, array(0.5D, -0.001D)), (2, array(1D, null)),
+        (3, array(double('nan'))), (4, array(double('-inf'))), (5, null),
+        (6, cast(array() as array<double>)) as t(vec_id, v)""")
+    got = {r[0]: r[1] for r in df.select("vec_id", quantised(F.col("v"))).collect()}
+    assert got == {1: [128, -1], 2: None, 3: None, 4: None, 5: None, 6: []}
