@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskflow.session import scratch_dir
@@ -75,6 +75,20 @@ def id_remainder(id_col: str, mod: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % mod
 
 
+def hashed_sample(rows: DataFrame, group: str, id_col: str, per_group: int) -> DataFrame:
+    """At most ``per_group`` rows of each group, those of the smallest hashed ids: (id, group, of).
+
+    ``of`` is the number of rows of the group. The groups are few (labels, languages). A share of
+    each group, by hash, a little more than needed, is kept before rows of a group meet in a task.
+    """
+    sizes = F.broadcast(rows.groupBy(group).agg(F.count("*").alias("of")))
+    place = F.xxhash64(id_col)
+    share = (F.lit(1.2 * per_group + 50) / F.col("of")) * float(1 << 64) - float(1 << 63)
+    near = rows.select(id_col, group).join(sizes, group).where(place <= share)
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(place, id_col))
+    return near.withColumn("__rank", rank).where(F.col("__rank") <= per_group).drop("__rank")
+
+
 def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

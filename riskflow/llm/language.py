@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import slices, stored
+from riskflow.llm.common import hashed_sample, slices, stored
 
 UNKNOWN = "und"
 GRAM = 4
@@ -123,11 +123,8 @@ def _sample(docs: DataFrame, allowed: Column | str, sizes: Sizes, id_col: str, t
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.col(lang_col).cast("string").alias("lang")) \
         .where(allowed).where("lang is not null").where(F.char_length("text") <= sizes.max_chars)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "doc_id"))
-    chosen = stored(
-        rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("hash")).withColumn("rank", rank)
-        .where(F.col("rank") <= sizes.docs_per_language).select("doc_id", "lang"), "language-sample"
-    )
+    chosen = hashed_sample(rows, "lang", "doc_id", sizes.docs_per_language)
+    chosen = stored(chosen.select("doc_id", "lang"), "language-sample")
     return rows.join(F.broadcast(chosen.distinct()), ["doc_id", "lang"])
 
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import slices, stored
+from riskflow.llm.common import hashed_sample, slices, stored
 
 MEASURES = (
     "log_chars", "log_words", "word_length", "longest_word", "upper", "digit", "space", "symbol",
@@ -229,7 +229,8 @@ def train(measured: DataFrame, labels: DataFrame, allowed: Column | str, how: Fi
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")) \
         .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)) \
         .groupBy("doc_id").agg(F.max("label").alias("label")).where(allowed)
-    taken = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(how.max_rows)
+    taken = hashed_sample(known.withColumn("one", F.lit(1)), "one", "doc_id", how.max_rows)
+    taken = known.join(F.broadcast(taken.select("doc_id")), "doc_id")
     rows = measured.join(F.broadcast(taken), "doc_id").toPandas()
     rows = rows.sort_values("doc_id", kind="stable")
     x = np.array(rows["measures"].to_list(), dtype=float).reshape(-1, len(MEASURES))

@@ -13,10 +13,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import slices, stored
+from riskflow.llm.common import hashed_sample, slices, stored
 
 WORD = re.compile(r"\w+")
 BREAK = re.compile(r"[.!?\n]+")
@@ -73,7 +73,7 @@ class Model:
         return float(1 - np.exp(-hazard)), found
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column,
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column | str,
                     sample: Sample, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Bounded training rows: doc_id, text, label, weight (rows of the class per row taken).
 
@@ -82,12 +82,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Col
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")) \
         .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)) \
         .groupBy("doc_id").agg(F.max("label").alias("label")).where(allowed)
-    # The rank stops at the bound, so each task keeps that many rows of a class before the shuffle.
-    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    taken = known.withColumn("rank", rank).where(F.col("rank") <= sample.rows_per_class)
-    sizes = known.groupBy("label").agg(F.count("*").alias("of"))
-    share = sizes.select("label", (F.col("of") / F.least("of", F.lit(sample.rows_per_class))).alias("weight"))
-    chosen = taken.select("doc_id", "label").join(F.broadcast(share), "label")
+    chosen = hashed_sample(known, "label", "doc_id", sample.rows_per_class).select(
+        "doc_id", "label", (F.col("of") / F.least("of", F.lit(sample.rows_per_class))).alias("weight")
+    )
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return stored(
