@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import os
+from pathlib import Path
+
+from pyspark.sql import functions as F
 
 from riskflow.operators.layout import ROWS_PER_FILE
 from riskflow.plans import pipeline
 from riskflow.session import build_session
+from riskflow.sources.feed import MAX_FILE_AGE
+from riskflow.sources.limits import parse_bytes
 from riskflow.sources.lookups import BROADCAST_LIMIT_BYTES, SPECS, load_lookups
 from riskflow.streaming.layers import Pace, Store
 
@@ -15,40 +21,77 @@ from riskflow.streaming.layers import Pace, Store
 def arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="riskflow", description=__doc__)
     layer = parser.add_subparsers(dest="layer", required=True)
-    for name in ("bronze", "silver", "gold", "layout"):
+    for name in ("bronze", "silver", "gold", "compact", "layout"):
         job = layer.add_parser(name)
         job.add_argument("--store", required=True, help="root folder of tables and checkpoints")
-        job.add_argument("--restricted", help="root folder of clear personal data")
-        job.add_argument("--max-files", type=int, help="files per micro-batch")
-        job.add_argument("--max-bytes", help="bytes per micro-batch, such as 500g")
-        job.add_argument("--timeout", type=float, help="seconds until the run is given up")
+        if name in ("bronze", "silver", "gold"):
+            limit = job.add_mutually_exclusive_group()
+            limit.add_argument("--max-files", type=int, help="files per micro-batch")
+            limit.add_argument("--max-bytes", type=parse_bytes, help="bytes per micro-batch, such as 500g")
+            job.add_argument("--interval", help="keep running, a micro-batch each, such as '1 minute'")
+            job.add_argument("--timeout", type=float, help="seconds until the run is given up")
         if name == "bronze":
             job.add_argument("--feed", required=True, help="folder of newline-delimited JSON")
+            job.add_argument("--restricted", help="root folder of clear personal data")
             job.add_argument("--keep-pii", action="store_true", help="write the clear-text copy")
-            job.add_argument("--no-quarantine", action="store_true", help="spare a second parse")
+            job.add_argument("--no-quarantine", action="store_true",
+                             help="count corrupt lines, but leave them to a later run")
             job.add_argument("--one-date-files", action="store_true",
                              help="the feed's files hold one date each: write without a shuffle")
+            job.add_argument("--max-file-age", default=MAX_FILE_AGE,
+                             help="leave out files older than the newest by more than this")
+            salt = job.add_mutually_exclusive_group()
+            salt.add_argument("--card-salt-file", type=Path, help="file with the salt of card hashes")
+            salt.add_argument("--card-salt-env", help="environment variable with the salt")
         if name == "silver":
             for spec in SPECS:
                 job.add_argument(f"--{spec.name.replace('_', '-')}", required=True, help="CSV file")
-            job.add_argument("--broadcast-limit", type=int, default=BROADCAST_LIMIT_BYTES)
+            job.add_argument("--broadcast-limit", type=parse_bytes, default=BROADCAST_LIMIT_BYTES)
             job.add_argument("--since", type=dt.date.fromisoformat,
                              help="first date in which to look for frequent keys")
+        if name == "compact":
+            job.add_argument("--before", type=dt.date.fromisoformat, required=True,
+                             help="first date that is left as it is")
         if name == "layout":
-            job.add_argument("--target", required=True, help="new folder for the clustered copies")
+            job.add_argument("--target", required=True, help="folder of the clustered copies")
             job.add_argument("--rows-per-file", type=int, default=ROWS_PER_FILE)
-    return parser.parse_args()
+            job.add_argument("--from-date", type=dt.date.fromisoformat, help="first date to rewrite")
+            job.add_argument("--to-date", type=dt.date.fromisoformat, help="last date to rewrite")
+    args = parser.parse_args()
+    if args.layer == "bronze" and not args.restricted and (args.keep_pii or not args.no_quarantine):
+        parser.error("--restricted is needed for the quarantine and the clear-text copy")
+    return args
+
+
+def card_salt(args: argparse.Namespace) -> str | None:
+    if args.card_salt_file:
+        return args.card_salt_file.read_text().strip()
+    return os.environ[args.card_salt_env] if args.card_salt_env else None
+
+
+def dates(args: argparse.Namespace):
+    day, found = F.col("event_date"), None
+    if args.from_date:
+        found = day >= F.lit(args.from_date)
+    if args.to_date:
+        found = day <= F.lit(args.to_date) if found is None else found & (day <= F.lit(args.to_date))
+    return found
 
 
 def main() -> None:
     args = arguments()
     spark = build_session(f"riskflow-{args.layer}")
-    store, pace = Store(args.store, args.restricted), Pace(args.max_files, args.max_bytes)
+    store = Store(args.store, getattr(args, "restricted", None))
+    if args.layer in ("bronze", "silver", "gold"):
+        pace = Pace(args.max_files, args.max_bytes, args.interval)
     if args.layer == "bronze":
-        pipeline.run_bronze(
+        counts = pipeline.run_bronze(
             spark, args.feed, store, pace, keep_corrupt=not args.no_quarantine,
-            keep_pii=args.keep_pii, gather_dates=not args.one_date_files, timeout=args.timeout,
+            keep_pii=args.keep_pii, card_salt=card_salt(args),
+            gather_dates=not args.one_date_files, timeout=args.timeout,
+            max_file_age=args.max_file_age,
         )
+        print(f"lines {counts['lines']}, corrupt {counts['corrupt_lines']}")
     elif args.layer == "silver":
         paths = {spec.name: getattr(args, spec.name) for spec in SPECS}
         lookups = load_lookups(spark, paths, args.broadcast_limit)
@@ -57,8 +100,10 @@ def main() -> None:
         )
     elif args.layer == "gold":
         pipeline.run_gold(spark, store, pace, args.timeout)
+    elif args.layer == "compact":
+        pipeline.run_compact(spark, store, args.before)
     else:
-        pipeline.run_layout(spark, store, args.target, args.rows_per_file)
+        pipeline.run_layout(spark, store, args.target, args.rows_per_file, dates(args))
 
 
 if __name__ == "__main__":

@@ -15,9 +15,14 @@ def usage_cost_ratio(amount: Column, monthly_cost: Column) -> Column:
     return F.try_divide(amount, monthly_cost)
 
 
+def high_risk_condition(risk_level: Column, ratio: Column) -> Column:
+    """High-risk address and low usage; null or false when either is unknown."""
+    return (risk_level == HIGH_RISK_LEVEL) & (ratio < LOW_USAGE_RATIO)
+
+
 def is_high_risk(risk_level: Column, ratio: Column) -> Column:
-    """High-risk address and low usage; false, not null, when either is unknown."""
-    return F.coalesce((risk_level == HIGH_RISK_LEVEL) & (ratio < LOW_USAGE_RATIO), F.lit(False))
+    """The same as a flag: false, not null, when either is unknown."""
+    return F.coalesce(high_risk_condition(risk_level, ratio), F.lit(False))
 
 
 def percent(part: Column, whole: Column) -> Column:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.functions.measures import usage_cost_ratio
-from riskflow.sources.lookups import SPECS, Lookup, LookupSpec
+from riskflow.sources.lookups import SPECS, Lookup
 
 SPREAD = "_spread"
 
@@ -42,14 +42,10 @@ def _side(lookup: Lookup, prefix: str) -> DataFrame:
     spec = lookup.spec
     return lookup.frame.select(
         F.col(spec.key).alias(f"{prefix}key"),
-        *[_typed(spec, source).alias(f"{prefix}{name}") for source, name in spec.take.items()],
+        *[F.col(source).alias(f"{prefix}{name}") for source, name in spec.take.items()],
     )
 
 
-def _typed(spec: LookupSpec, column: str) -> Column:
-    return F.col(column).cast("double") if column == "risk_score" else F.col(column)
-
-
 def _attach_broadcast(df: DataFrame, lookup: Lookup) -> DataFrame:
     spec = lookup.spec
     joined = df.join(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,10 +17,12 @@ def file_count(table: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> int:
 
 
 def write_clustered(
-    df: DataFrame, target: str, key: str, files: int, tie: str | None = None
+    df: DataFrame, target: str, key: str, files: int, tie: str | None = None,
+    replace_dates: bool = False,
 ) -> None:
     """Range-partition by date and key, sort, and write to ``target``, which must not exist yet.
 
+    With ``replace_dates`` it may: the dates in ``df`` are replaced there and no other is touched.
     ``tie`` is a column that tells apart rows of one date and key; it lets the ranges cut through
     a key with very many rows, and is not written.
     """
@@ -30,7 +32,8 @@ def write_clustered(
         df.repartitionByRange(files, *order)
         .sortWithinPartitions("event_date", key)
         .select(*columns)
-        .write.mode("errorifexists")
+        .write.mode("overwrite" if replace_dates else "errorifexists")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_date")
         .parquet(target)
     )
@@ -38,10 +41,15 @@ def write_clustered(
 
 def cluster_table(
     spark: SparkSession, source: str, target: str, schema: T.StructType, key: str,
-    rows_per_file: int = ROWS_PER_FILE,
+    rows_per_file: int = ROWS_PER_FILE, dates: Column | None = None,
 ) -> None:
-    """Rewrite a layer table; a row's position in its file serves as the tie."""
+    """Rewrite a layer table, or the dates in it that a condition names, into the same target.
+
+    A row's position in its file serves as the tie.
+    """
     table = spark.read.schema(schema).parquet(source)
+    if dates is not None:
+        table = table.where(dates)
     files = file_count(table, rows_per_file)
     table = table.select(*schema.names, F.col("_metadata.row_index").alias("_row_index"))
-    write_clustered(table, target, key, files, tie="_row_index")
+    write_clustered(table, target, key, files, "_row_index", replace_dates=dates is not None)

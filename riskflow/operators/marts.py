@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.functions.measures import is_high_risk
+from riskflow.functions.measures import high_risk_condition, is_high_risk
+from riskflow.operators.enrich import enrich
+from riskflow.schemas import RISK
+from riskflow.sources.lookups import Lookup
 
 # Silver columns that each mart reads.
 SPEND_INPUT = ("user_id", "event_date", "amount")
@@ -37,6 +42,17 @@ def usage_partial(df: DataFrame) -> DataFrame:
     )
 
 
+def fold_spend(partials: DataFrame) -> DataFrame:
+    """Partials of several batches as one."""
+    return partials.groupBy("user_id", "event_date").agg(F.sum("spent_sum").alias("spent_sum"))
+
+
+def fold_usage(partials: DataFrame) -> DataFrame:
+    return partials.groupBy("product_id", "event_date").agg(
+        F.sum("ratio_sum").alias("ratio_sum"), F.sum("ratio_count").alias("ratio_count")
+    )
+
+
 def merge_spend(partials: DataFrame) -> DataFrame:
     return partials.groupBy("user_id", "event_date").agg(
         F.sum("spent_sum").alias("Total_spent_per_user")
@@ -56,6 +72,15 @@ def flag_high_risk(df: DataFrame) -> DataFrame:
     )
 
 
-def risk_alerts(df: DataFrame) -> DataFrame:
-    """The flagged rows only."""
-    return flag_high_risk(df).where("is_high_risk_txn")
+def risk_alerts(bronze: DataFrame, lookups: Mapping[str, Lookup]) -> DataFrame:
+    """The flagged rows only, enriched.
+
+    The two lookups that decide are joined first. The condition drops nulls in plain sight of the
+    optimizer, which makes both joins inner ones and takes the risk level into the lookup; the few
+    rows left meet the other lookups.
+    """
+    decided = enrich(bronze, lookups, ["plans", "ip_risk"])
+    flagged = decided.where(high_risk_condition(F.col("risk_level"), F.col("usage_cost_ratio")))
+    return enrich(flagged, lookups, ["users", "products"]).withColumn(
+        "is_high_risk_txn", F.lit(True)
+    ).select(*RISK.names)

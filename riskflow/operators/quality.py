@@ -15,6 +15,7 @@ from riskflow.functions.privacy import CARD_FORMAT, CURRENCY_FORMAT, MASK_INVALI
 # Fixed value: scores above this count as high risk in the high_risk_low_usage rule.
 HIGH_RISK_SCORE = 80.0
 
+# Fixed values here and below: names of columns and checks are the contract of the reports.
 FORMATS = {"card_number": CARD_FORMAT, "currency": CURRENCY_FORMAT}
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow import schemas
-from riskflow.sources.lookups import SPECS, Lookup, check_lookups
+from riskflow.sources.lookups import SPECS, Lookup, check_lookups, with_heavy_keys
 
 # Fixed values of the test model.
 PLAN_ROWS = """
@@ -22,6 +22,8 @@ PLAN_ROWS = """
 """
 IP_RISK_ROWS = 1024
 PRODUCT_MAX_SIZE = 40
+# A column of the flawed feed is null in every row whose number its value divides.
+FLAWS = dict(zip(schemas.RAW.names, (31, 37, 41, 43, 47, 53, 59, 61, 67, 71, 73, 79, 83, 89, 97)))
 UNLISTED_SEGMENT = "FURNITURE"
 
 # Columns that the model reads; declared, so that opening a table needs no job.
@@ -78,6 +80,38 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_view(table(spark, sf_dir, "events"))
 
 
+def of_many_lengths(df: DataFrame) -> DataFrame:
+    """Card numbers cut or filled up to 10 to 19 digits, some with a letter, some null."""
+    number = F.col("transaction_id").cast("long")
+    digits = F.concat("card_number", F.lit("987")).substr(F.lit(1), (number % 10 + 10).cast("int"))
+    return df.withColumn(
+        "card_number",
+        F.when(number % 29 == 0, None).when(number % 23 == 0, F.concat(digits, F.lit("x")))
+        .otherwise(digits),
+    )
+
+
+def flawed(df: DataFrame) -> DataFrame:
+    """The feed with bad cards and with nulls in every column."""
+    number = F.col("__number")
+    return of_many_lengths(df).withColumn("__number", F.col("transaction_id").cast("long")).select(*[
+        F.when(number % every != 0, F.col(name)).alias(name) for name, every in FLAWS.items()
+    ])
+
+
+def skewed(df: DataFrame) -> DataFrame:
+    """The feed with one user in a third of its rows and none in a tenth."""
+    number = F.col("transaction_id").cast("long")
+    return df.withColumn(
+        "user_id", F.when(number % 10 == 7, None).when(number % 3 == 0, "1").otherwise(F.col("user_id"))
+    )
+
+
+def large_lookups(spark: SparkSession, sf_dir: str, feed: DataFrame) -> dict[str, Lookup]:
+    """The lookups as if all were too large to broadcast, with the frequent keys of the feed."""
+    return with_heavy_keys(check_lookups(lookup_frames(spark, sf_dir), broadcast_limit=0), feed)
+
+
 def lookup_frames(
     spark: SparkSession, sf_dir: str, only: Sequence[str] | None = None
 ) -> dict[str, DataFrame]:
@@ -121,7 +155,7 @@ def _ip_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.range(0, IP_RISK_ROWS, numPartitions=1)
         .select(
             F.sha2(_ip_text(F.floor(n / 8), n % 8), 256).alias("ip_hash"),
-            (n % 10 + 1).cast("int").alias("risk_score"),
+            (n % 10 + 1).cast("double").alias("risk_score"),
             F.concat(F.lit("Region-"), _text(n % 5 + 1)).alias("location"),
         )
         .select(
@@ -134,14 +168,17 @@ def _ip_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_feed(spark: SparkSession, sf_dir: str, path: str, broken: bool = False) -> int:
+def write_feed(
+    spark: SparkSession, sf_dir: str, path: str, broken: bool = False, change=lambda rows: rows
+) -> int:
     """Write the feed as NDJSON, one file per shuffle partition, and return how many that are.
 
     With ``broken``, every 50th line is cut short and every 75th has a text as its amount.
+    ``change`` alters the rows first.
     """
     files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = raw(spark, sf_dir).repartition(files, "transaction_id")
-    number = F.col("transaction_id").cast("long")
+    rows = change(raw(spark, sf_dir)).repartition(files, "session_id")
+    number = F.substr("session_id", F.lit(2)).cast("long")
     line = F.to_json(F.struct(*schemas.RAW.names), {"timestampFormat": JSON_TIMESTAMP})
     if broken:
         line = (
@@ -155,6 +192,20 @@ def write_feed(spark: SparkSession, sf_dir: str, path: str, broken: bool = False
     return files
 
 
+def move_files(spark: SparkSession, source: str, target: str, prefix: str, days_back: int) -> None:
+    """Move the data files of a folder into another, dated some days back."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(source).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files.mkdirs(path(target))
+    for status in files.listStatus(path(source)):
+        name = status.getPath().getName()
+        if name.startswith("part-"):
+            new = path(f"{target}/{prefix}-{name}")
+            files.rename(status.getPath(), new)
+            files.setTimes(new, status.getModificationTime() - days_back * 86_400_000, -1)
+
+
 def write_lookups(spark: SparkSession, sf_dir: str, path: str) -> dict[str, str]:
     """Write the lookups as CSV folders with headers and return their paths."""
     paths = {}

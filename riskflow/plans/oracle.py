@@ -81,6 +81,14 @@ usage as (
   from silver group by product_id, event_date)
 """
 
+# The same layers from a feed with a hot user and rows without a user.
+SKEWED_LAYERS = LAYERS.replace(
+    "cast(user_id as varchar) as user_id",
+    "case when event_id % 10 = 7 then null when event_id % 3 = 0 then '1' "
+    "else cast(user_id as varchar) end as user_id",
+    1,
+)
+
 RAW_COLUMNS = """transaction_id event_time user_id product_id subscription_type amount location
 ip_address device_id payment_method card_number currency is_new_user referral_code
 session_id""".split()
@@ -91,6 +99,19 @@ card_number event_date country user_status missing_user product_name category pr
 missing_product monthly_cost churn_risk plan_duration missing_subscription risk_level risk_score
 ip_risk_location missing_ip usage_cost_ratio""".split()
 
+# The same layers from a feed with bad cards and nulls in every column.
+FLAWS = dict(zip(RAW_COLUMNS, (31, 37, 41, 43, 47, 53, 59, 61, 67, 71, 73, 79, 83, 89, 97)))
+FLAWED_LAYERS = LAYERS.replace("with raw as (", "with clean as (", 1).replace(
+    "as digits from raw)),",
+    "as digits from clean)),\nraw as (select "
+    + ", ".join(
+        f"case when cast(transaction_id as bigint) % {every} <> 0 then {name} end as {name}"
+        for name, every in FLAWS.items()
+    )
+    + " from lengths),",
+    1,
+)
+
 RANGE = [("amount", "range_check", "amount <= 0")]
 CURRENCY = [("currency", "format_check for currency",
              "not regexp_matches(currency, '^[A-Z]{3}$')")]
@@ -126,14 +147,14 @@ def _counts(layer, table, rules):
     )
 
 
-def _report(layer, table, rules):
-    return f"""{LAYERS} select *, round(violation_count * 100.0 / total_rows, 6)
+def _report(layer, table, rules, layers=LAYERS):
+    return f"""{layers} select *, round(violation_count * 100.0 / total_rows, 6)
     as violation_percent, case when violation_count > 0 then 'fail' else 'pass' end as status
     from ({_counts(layer, table, rules)})"""
 
 
-def _select(table, columns="*", rest=""):
-    return f"{LAYERS} select {columns} from {table} {rest}"
+def _select(table, columns="*", rest="", layers=LAYERS):
+    return f"{layers} select {columns} from {table} {rest}"
 
 
 def _profile(name, key):
@@ -163,7 +184,7 @@ SCHEMA_DIFF = """select layer, (select cast(count(*) as bigint) from events) as
     ('silver', 'plan_duration', 'int', 'bigint'),
     ('silver', 'risk_level', 'string', null)) v(layer, "column", expected, actual)"""
 
-STREAM_DQ = f"""{LAYERS} select layer, "column", "check", violation_count, total_rows from (
+STREAM_DQ = f"""{FLAWED_LAYERS} select layer, "column", "check", violation_count, total_rows from (
   {_counts('bronze', 'raw', BRONZE_REPORT)} union all
   {_counts('silver', 'silver', SILVER_REPORT)})"""
 
@@ -173,6 +194,7 @@ ORACLE = {
     "q_mask_parity": _select("lengths", PARITY_MASK),
     "q_mask_strict": _select("lengths", STRICT_MASK),
     "q_silver": _select("silver"),
+    "q_silver_shuffled": _select("silver", layers=SKEWED_LAYERS),
     "q_missing_flags": _select(
         "silver",
         "missing_user, missing_product, missing_subscription, missing_ip, "
@@ -184,6 +206,9 @@ ORACLE = {
         _profile("plans", "subscription_type"), _profile("ip_risk", "ip_hash"),
     ]),
     "q_lookup_csv": _select("products"),
+    "q_lookup_scores": _select(
+        "ip_risk", "ip_hash, risk_level, risk_score + 0.5::double as risk_score, location",
+        "where ip_hash in (select hash_ip from bronze)"),
     "q_event_dates": _select("bronze", "distinct event_date", "order by event_date"),
     "q_date_slice": _select("silver", rest="where event_date = date '2024-01-15'"),
     "q_schema_diff": SCHEMA_DIFF,
@@ -197,13 +222,20 @@ ORACLE = {
     "q_dq_format_parity": _report("bronze", "bronze", CARD + CURRENCY),
     "q_dq_custom": _report("silver", "silver", _consistency(80)),
     "q_dq_custom_rescaled": _report("silver", "silver", _consistency(7)),
-    "q_dq_bronze": _report("bronze", "raw", BRONZE_REPORT),
-    "q_dq_bronze_table": _report("bronze", "raw", BRONZE_REPORT),
+    "q_dq_bronze": _report("bronze", "raw", BRONZE_REPORT, FLAWED_LAYERS),
+    "q_dq_bronze_table": _report("bronze", "raw", BRONZE_REPORT, FLAWED_LAYERS),
     "q_dq_silver": _report("silver", "silver", SILVER_REPORT),
+    "q_dq_empty": f"""select 'all' as layer, cast(count(*) as bigint) as total_rows,
+        cast({len(BRONZE_REPORT)} as bigint) as report_rows from events""",
     "q_quarantine": _select("raw", "transaction_id", f"where {CORRUPT}"),
     "q_quarantine_rest": _select("bronze", rest=f"where not ({CORRUPT})"),
     "q_stream_bronze": _select("bronze"),
+    "q_stream_bytes": _select("bronze"),
+    "q_stream_late": _select("bronze"),
     "q_stream_silver": _select("silver"),
+    "q_stream_silver_shuffled": _select("silver", layers=SKEWED_LAYERS),
+    "q_stream_alerts": _select("risk", rest="where is_high_risk_txn"),
+    "q_stream_compacted": _select("spend"),
     "q_stream_spend": _select("spend"),
     "q_stream_usage": _select("usage"),
     "q_stream_risk": _select("risk"),

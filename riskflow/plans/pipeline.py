@@ -1,49 +1,112 @@
-"""The three layers run one after the other on all input there is."""
+"""The three layers run one after the other on all input there is, or kept running side by side."""
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from riskflow import schemas
 from riskflow.operators.layout import ROWS_PER_FILE, cluster_table, file_count, write_clustered
+from riskflow.sources.feed import MAX_FILE_AGE
 from riskflow.sources.lookups import Lookup, with_heavy_keys
 from riskflow.sources.tables import read_table
 from riskflow.streaming import layers
 from riskflow.streaming.layers import Pace, Store
-from riskflow.streaming.sinks import await_all
+from riskflow.streaming.sinks import (
+    await_all, observed, overwrite_batch_json, read_state, write_state,
+)
+
+# Files are taken for new if they were written this long before the last run began, as clocks differ.
+CLOCK_MARGIN = dt.timedelta(hours=1)
 
 
 def run_bronze(
     spark: SparkSession, feed: str, store: Store, pace: Pace = Pace(), dq: bool = True,
     keep_corrupt: bool = True, keep_pii: bool = False, card_salt: str | None = None,
-    gather_dates: bool = True, timeout: float | None = None,
-) -> None:
-    """``pace`` limits the feed; the report tails the bronze table, whose files are other ones."""
-    queries = layers.start_bronze(
-        spark, feed, store, pace, card_salt, keep_corrupt, keep_pii, gather_dates
-    )
-    await_all(queries, timeout)
+    gather_dates: bool = True, timeout: float | None = None, max_file_age: str = MAX_FILE_AGE,
+) -> dict[str, int | None]:
+    """Take all new files of the feed. Returns the numbers of lines and corrupt lines (None: more
+    batches than the session remembers), which are also written per batch, whatever is kept.
+
+    ``pace`` limits the feed; the report tails the bronze table, whose files are other ones. A
+    clean feed is parsed once: the quarantine runs only if corrupt lines were met, or if an
+    earlier run ended before it knew. With an interval all queries start side by side and go on.
+    """
+    if keep_corrupt:
+        store.private("quarantine")  # refuses a store without a restricted folder
+    pii = layers.start_pii(spark, feed, store, pace, max_file_age) if keep_pii else []
+    if pace.interval is not None:
+        queries = pii + start_bronze_layer(
+            spark, feed, store, pace, dq, keep_corrupt, card_salt, gather_dates, max_file_age)
+        await_all(queries, timeout)
+        return {"lines": None, "corrupt_lines": None}
+    # Marked before the feed is read and cleared when its corrupt lines are known to be kept.
+    pending = read_state(spark, store.state("quarantine"), "open").get("open") == "yes"
+    if not pending:
+        write_state(spark, store.state("quarantine"), open="yes")
+    bronze = layers.start_bronze(spark, feed, store, pace, card_salt, gather_dates, max_file_age)
+    await_all(bronze + pii, timeout)
+    counts = observed(bronze[0], "feed")
+    _write_counts(spark, store, counts or [])
+    corrupt = None if counts is None else sum(c["corrupt_lines"] for c in counts)
+    missing = corrupt != 0 or pending
+    if missing and keep_corrupt:
+        await_all(layers.start_quarantine(spark, feed, store, pace, max_file_age), timeout)
+    if keep_corrupt or not missing:  # else a later run with a quarantine takes the lines up
+        write_state(spark, store.state("quarantine"), open="no")
     if dq:
-        await_all(layers.start_bronze_dq(spark, store, Pace(max_bytes=pace.max_bytes)), timeout)
+        await_all(layers.start_bronze_dq(spark, store, pace.of_tables()), timeout)
+    lines = None if counts is None else sum(c["lines"] for c in counts)
+    return {"lines": lines, "corrupt_lines": corrupt}
+
+
+def start_bronze_layer(
+    spark: SparkSession, feed: str, store: Store, pace: Pace, dq: bool = True,
+    keep_corrupt: bool = True, card_salt: str | None = None, gather_dates: bool = True,
+    max_file_age: str = MAX_FILE_AGE,
+) -> list[StreamingQuery]:
+    """Bronze, quarantine and report side by side."""
+    queries = layers.start_bronze(spark, feed, store, pace, card_salt, gather_dates, max_file_age)
+    if keep_corrupt:
+        queries += layers.start_quarantine(spark, feed, store, pace, max_file_age)
+    if dq:
+        queries += layers.start_bronze_dq(spark, store, pace.of_tables())
+    return queries
+
+
+def _write_counts(spark: SparkSession, store: Store, counts: list[dict]) -> None:
+    """A folder per batch under the reports, layer ``feed``; a replay replaces it."""
+    for c in counts:
+        row = spark.createDataFrame([(c["lines"], c["corrupt_lines"])], "lines long, corrupt_lines long")
+        overwrite_batch_json(row.coalesce(1), store.feed_counts(), c["batch_id"])
 
 
 def run_silver(
     spark: SparkSession, store: Store, lookups: Mapping[str, Lookup], pace: Pace = Pace(),
     dq: bool = True, timeout: float | None = None, since: dt.date | None = None,
 ) -> None:
-    """Lookups beyond the broadcast bound first get the frequent keys of the bronze table.
+    """Lookups beyond the broadcast bound first get the frequent keys of what is to be joined.
 
-    ``since`` spares a later run the key columns of the dates it will not process again.
+    That is looked for in the bronze files written since the last run began, so old rows cannot
+    outweigh a key that is frequent only now. ``since`` leaves out earlier dates.
     """
-    bronze = read_table(spark, store.table("bronze"), schemas.BRONZE)
+    started = dt.datetime.now(dt.timezone.utc)
+    last = read_state(spark, store.state("silver"), "started").get("started")
+    after = dt.datetime.fromisoformat(last) - CLOCK_MARGIN if last else None
+    bronze = read_table(spark, store.table("bronze"), schemas.BRONZE, after)
     if since is not None:
         bronze = bronze.where(F.col("event_date") >= F.lit(since))
     lookups = with_heavy_keys(lookups, bronze)
+    if pace.interval is not None:
+        queries = layers.start_silver(spark, store, lookups, pace)
+        await_all(queries + (layers.start_silver_dq(spark, store, pace.of_tables()) if dq else []), timeout)
+        return
     await_all(layers.start_silver(spark, store, lookups, pace), timeout)
+    write_state(spark, store.state("silver"), started=started.isoformat())
     if dq:
         await_all(layers.start_silver_dq(spark, store, pace), timeout)
 
@@ -56,19 +119,55 @@ def run_gold(
     await_all([q for name in marts for q in start[name](spark, store, pace)], timeout)
 
 
+def run_compact(spark: SparkSession, store: Store, before: dt.date) -> None:
+    """Fold the partials of closed dates of both daily tables."""
+    for name in layers.DAILY:
+        layers.compact(spark, store, name, before)
+
+
+def _changed_dates(spark: SparkSession, path: str, schema, after: dt.datetime) -> Column | None:
+    """A condition on event_date for the dates with files written after a time, None if none.
+
+    The list has an entry per date at most.
+    """
+    rows = read_table(spark, path, schema, after).select("event_date").distinct().collect()
+    if not rows:
+        return None
+    days = [r[0] for r in rows if r[0] is not None]
+    condition = F.col("event_date").isin(days) if days else F.lit(False)
+    return condition | F.col("event_date").isNull() if len(days) < len(rows) else condition
+
+
 def run_layout(
-    spark: SparkSession, store: Store, target: str, rows_per_file: int = ROWS_PER_FILE
+    spark: SparkSession, store: Store, target: str, rows_per_file: int = ROWS_PER_FILE,
+    dates: Column | None = None,
 ) -> None:
     """Clustered copies of the gold tables, with the daily tables merged to one row per key.
 
-    The partials bound the rows of a merged table from above, and counting them is cheap.
+    The first run into a target takes all dates; a later one those that have new files, or those
+    that ``dates`` (a condition on event_date) names, and replaces them there. The partials bound
+    the rows of a merged table from above, and counting them is cheap.
     """
-    cluster_table(
-        spark, store.table("risk"), f"{target}/risk", schemas.RISK, "user_id", rows_per_file
-    )
-    for name, partial, read, key in (
-        ("spend", schemas.SPEND_PARTIAL, layers.read_spend, "user_id"),
-        ("usage", schemas.USAGE_PARTIAL, layers.read_usage, "product_id"),
-    ):
-        files = file_count(read_table(spark, store.partials(name), partial), rows_per_file)
-        write_clustered(read(spark, store), f"{target}/{name}", key, files)
+    started = dt.datetime.now(dt.timezone.utc)
+    done = read_state(spark, store.state("layout"), "target", "started")
+    again = done.get("target") == target
+    after = dt.datetime.fromisoformat(done["started"]) if again else None
+
+    def wanted(path: str, schema) -> tuple[bool, Column | None]:
+        if not again:
+            return True, dates
+        found = dates if dates is not None else _changed_dates(spark, path, schema, after)
+        return found is not None, found
+
+    some, which = wanted(store.table("risk"), schemas.RISK)
+    if some:
+        cluster_table(spark, store.table("risk"), f"{target}/risk", schemas.RISK, "user_id",
+                      rows_per_file, which)
+    for name, daily in layers.DAILY.items():
+        some, which = wanted(store.partials(name), daily.schema)
+        if some:
+            rows = layers.partials(spark, store, name)
+            rows = rows if which is None else rows.where(which)
+            write_clustered(daily.merge(rows), f"{target}/{name}", daily.key,
+                            file_count(rows, rows_per_file), replace_dates=which is not None)
+    write_state(spark, store.state("layout"), target=target, started=started.isoformat())

@@ -17,7 +17,9 @@ from riskflow.operators.validation import schema_diff
 from riskflow.plans import model, pipeline
 from riskflow.session import scratch_dir
 from riskflow.sources.feed import corrupt_rows, good_rows, read_feed
-from riskflow.sources.lookups import SPEC_BY_NAME, load_lookups, lookup_profile, read_lookup
+from riskflow.sources.lookups import (
+    BROADCAST_LIMIT_BYTES, SPEC_BY_NAME, load_lookups, lookup_profile, read_lookup,
+)
 from riskflow.sources.tables import date_slice, event_dates, read_table, write_table
 from riskflow.streaming import layers
 from riskflow.streaming.layers import Pace, Store
@@ -26,6 +28,7 @@ from riskflow.streaming.sinks import await_all
 SLICE_DAY = dt.date(2024, 1, 15)
 RESCALED_HIGH_RISK = 7.0
 MICRO_BATCHES = 3
+BATCH_BYTES = "2m"
 
 
 def _plain_time(df: DataFrame) -> DataFrame:
@@ -77,14 +80,11 @@ def mask_strict(spark, sf_dir):
 
 
 def _of_many_lengths(spark, sf_dir):
-    """Cards of 10 to 19 digits, some with a letter, some null."""
-    number = F.col("transaction_id").cast("long")
-    digits = F.concat("card_number", F.lit("987")).substr(F.lit(1), (number % 10 + 10).cast("int"))
-    return model.raw(spark, sf_dir).withColumn(
-        "card_number",
-        F.when(number % 29 == 0, None).when(number % 23 == 0, F.concat(digits, F.lit("x")))
-        .otherwise(digits),
-    )
+    return model.of_many_lengths(model.raw(spark, sf_dir))
+
+
+def _flawed(spark, sf_dir):
+    return model.flawed(model.raw(spark, sf_dir))
 
 
 # Silver
@@ -94,6 +94,12 @@ def silver(spark, sf_dir):
     return _plain_time(_silver(spark, sf_dir))
 
 
+def silver_shuffled(spark, sf_dir):
+    """All lookups joined by shuffle, on a feed with a hot user and rows without a user."""
+    df = to_bronze(model.skewed(model.raw(spark, sf_dir)))
+    return _plain_time(enrich(df, model.large_lookups(spark, sf_dir, df)))
+
+
 def missing_flags(spark, sf_dir):
     flags = [spec.flag for spec in SPEC_BY_NAME.values()]
     return _silver(spark, sf_dir).groupBy(*flags).agg(F.count(F.lit(1)).alias("row_count"))
@@ -109,6 +115,17 @@ def lookup_csv(spark, sf_dir):
     return read_lookup(spark, paths["products"], SPEC_BY_NAME["products"])
 
 
+def lookup_scores(spark, sf_dir):
+    """The addresses lookup by way of CSV, with scores that are no whole numbers."""
+    path = f"{scratch_dir(spark, 'lookups')}/ip_risk"
+    scores = model.lookup_frames(spark, sf_dir, ["ip_risk"])["ip_risk"].withColumn(
+        "risk_score", F.col("risk_score") + 0.5)
+    scores.write.option("header", True).csv(path)
+    lookup = read_lookup(spark, path, SPEC_BY_NAME["ip_risk"])
+    used = _bronze(spark, sf_dir).select("hash_ip").distinct()
+    return lookup.join(used, F.col("ip_hash") == F.col("hash_ip")).drop("hash_ip")
+
+
 def event_date_list(spark, sf_dir):
     return event_dates(_bronze(spark, sf_dir))
 
@@ -121,7 +138,10 @@ def day_slice(spark, sf_dir):
 
 
 def schema_mismatches(spark, sf_dir):
-    """Differences of two altered frames from their contracts, and how many rows each frame has."""
+    """Differences of two altered frames from their contracts, and how many rows the feed has.
+
+    The silver frame gives its schema only, so its joins never run.
+    """
     raw = model.raw(spark, sf_dir)
     altered = {
         "raw": (
@@ -143,7 +163,7 @@ def schema_mismatches(spark, sf_dir):
             )
             for m in schema_diff(df, expected)
         ]
-        rows = df.agg(F.count(F.lit(1)).alias("frame_rows"))
+        rows = raw.agg(F.count(F.lit(1)).alias("frame_rows"))
         reports.append(
             rows.select(F.lit(layer).alias("layer"), "frame_rows", F.inline(F.array(*found)))
         )
@@ -168,7 +188,7 @@ def risk_flag(spark, sf_dir):
 
 
 def risk_alerts(spark, sf_dir):
-    return _plain_time(marts.risk_alerts(_silver(spark, sf_dir)))
+    return _plain_time(marts.risk_alerts(_bronze(spark, sf_dir), model.lookups(spark, sf_dir)))
 
 
 # Data quality
@@ -209,12 +229,25 @@ def dq_custom_rescaled(spark, sf_dir):
 
 
 def dq_bronze(spark, sf_dir):
-    return _report(model.raw(spark, sf_dir), quality.raw_rules(), "bronze")
+    """On a feed with bad cards and nulls in every column, so that each rule has violations."""
+    return _report(_flawed(spark, sf_dir), quality.raw_rules(), "bronze")
 
 
 def dq_bronze_table(spark, sf_dir):
     """The same report from the bronze columns."""
-    return _report(_bronze(spark, sf_dir), quality.bronze_rules(), "bronze")
+    return _report(to_bronze(_flawed(spark, sf_dir)), quality.bronze_rules(), "bronze")
+
+
+def dq_empty(spark, sf_dir):
+    """Rows of the reports on all rows and on none: an empty batch has no report."""
+    raw = model.raw(spark, sf_dir)
+    reports = [
+        quality.dq_report(df, quality.raw_rules(), layer, 0)
+        for layer, df in (("all", raw), ("none", raw.where("transaction_id is null")))
+    ]
+    rows = reports[0].unionByName(reports[1]).groupBy("layer", "total_rows").agg(
+        F.count(F.lit(1)).alias("report_rows"))
+    return rows
 
 
 def dq_silver(spark, sf_dir):
@@ -243,17 +276,18 @@ def quarantine_rest(spark, sf_dir):
     return _plain_time(to_bronze(good_rows(read_feed(spark, path))))
 
 
-def _run(spark, sf_dir, label, broken=False, silver=False, marts_wanted=(), dq=False):
+def _run(spark, sf_dir, label, broken=False, silver=False, marts_wanted=(), dq=False,
+         change=lambda rows: rows, broadcast_limit=BROADCAST_LIMIT_BYTES):
     """Run the streams that a query needs over a new feed folder, in several micro-batches."""
     root = scratch_dir(spark, label)
-    files = model.write_feed(spark, sf_dir, f"{root}/feed", broken)
-    store = Store(f"{root}/store")
+    files = model.write_feed(spark, sf_dir, f"{root}/feed", broken, change)
+    store = Store(f"{root}/store", f"{root}/restricted")
     pace = Pace(max_files=-(-files // MICRO_BATCHES))
     pipeline.run_bronze(spark, f"{root}/feed", store, pace, dq=dq, keep_corrupt=broken)
     if silver or marts_wanted:
         paths = model.write_lookups(spark, sf_dir, f"{root}/lookups")
-        pipeline.run_silver(spark, store, load_lookups(spark, paths), _pace(spark, store, "bronze"),
-                            dq=dq)
+        pipeline.run_silver(spark, store, load_lookups(spark, paths, broadcast_limit),
+                            _pace(spark, store, "bronze"), dq=dq)
     if marts_wanted:
         pipeline.run_gold(spark, store, _pace(spark, store, "silver"), marts=marts_wanted)
     return store
@@ -270,6 +304,50 @@ def stream_bronze(spark, sf_dir):
     return _plain_time(read_table(spark, store.table("bronze"), schemas.BRONZE))
 
 
+def stream_bytes(spark, sf_dir):
+    """Bronze in micro-batches limited by bytes."""
+    root = scratch_dir(spark, "stream-bytes")
+    model.write_feed(spark, sf_dir, f"{root}/feed")
+    store = Store(f"{root}/store")
+    pipeline.run_bronze(spark, f"{root}/feed", store, Pace(max_bytes=BATCH_BYTES), dq=False,
+                        keep_corrupt=False)
+    return _plain_time(read_table(spark, store.table("bronze"), schemas.BRONZE))
+
+
+def stream_late(spark, sf_dir):
+    """Bronze in two runs, the second over files dated a month back."""
+    root = scratch_dir(spark, "stream-late")
+    store = Store(f"{root}/store")
+    for label, part, days in (("first", "id % 2 = 0", 0), ("late", "id % 2 = 1", 30)):
+        def half(rows, part=part):
+            return rows.where(part.replace("id", "cast(transaction_id as bigint)"))
+
+        model.write_feed(spark, sf_dir, f"{root}/{label}", change=half)
+        model.move_files(spark, f"{root}/{label}", f"{root}/feed", label, days)
+        pipeline.run_bronze(spark, f"{root}/feed", store, dq=False, keep_corrupt=False)
+    return _plain_time(read_table(spark, store.table("bronze"), schemas.BRONZE))
+
+
+def stream_silver_shuffled(spark, sf_dir):
+    """Silver with all lookups joined by shuffle, on a feed with a hot user."""
+    store = _run(spark, sf_dir, "stream-shuffled", silver=True, change=model.skewed,
+                 broadcast_limit=0)
+    return _plain_time(read_table(spark, store.table("silver"), schemas.SILVER))
+
+
+def stream_alerts(spark, sf_dir):
+    """The flagged rows of the stored table."""
+    store = _run(spark, sf_dir, "stream-alerts", marts_wanted=("risk",))
+    return _plain_time(layers.read_alerts(spark, store))
+
+
+def stream_compacted(spark, sf_dir):
+    """Daily spend after the partials of closed dates were folded."""
+    store = _run(spark, sf_dir, "stream-compacted", marts_wanted=("spend",))
+    layers.compact(spark, store, "spend", SLICE_DAY)
+    return _rounded_spend(layers.read_spend(spark, store))
+
+
 def stream_silver(spark, sf_dir):
     store = _run(spark, sf_dir, "stream-silver", silver=True)
     return _plain_time(read_table(spark, store.table("silver"), schemas.SILVER))
@@ -292,7 +370,7 @@ def stream_risk(spark, sf_dir):
 
 def stream_dq(spark, sf_dir):
     """Both reports of all micro-batches, added up by rule."""
-    store = _run(spark, sf_dir, "stream-dq", silver=True, dq=True)
+    store = _run(spark, sf_dir, "stream-dq", silver=True, dq=True, change=model.flawed)
     return layers.read_dq(spark, store).groupBy("layer", "column", "check").agg(
         F.sum("violation_count").alias("violation_count"), F.sum("total_rows").alias("total_rows")
     )
@@ -321,7 +399,7 @@ def stream_replay(spark, sf_dir):
     feed = store.root.removesuffix("/store") + "/feed"
     paths = store.root.removesuffix("/store") + "/lookups"
     again = load_lookups(spark, {name: f"{paths}/{name}" for name in SPEC_BY_NAME})
-    await_all(layers.start_bronze(spark, feed, store, keep_corrupt=False))
+    await_all(layers.start_bronze(spark, feed, store))
     await_all(layers.start_silver(spark, store, again))
     await_all(layers.start_spend(spark, store) + layers.start_risk(spark, store))
 
@@ -371,9 +449,11 @@ QUERIES = {
     "q_mask_parity": mask_parity,
     "q_mask_strict": mask_strict,
     "q_silver": silver,
+    "q_silver_shuffled": silver_shuffled,
     "q_missing_flags": missing_flags,
     "q_lookup_check": lookup_check,
     "q_lookup_csv": lookup_csv,
+    "q_lookup_scores": lookup_scores,
     "q_event_dates": event_date_list,
     "q_date_slice": day_slice,
     "q_schema_diff": schema_mismatches,
@@ -390,10 +470,16 @@ QUERIES = {
     "q_dq_bronze": dq_bronze,
     "q_dq_bronze_table": dq_bronze_table,
     "q_dq_silver": dq_silver,
+    "q_dq_empty": dq_empty,
     "q_quarantine": quarantine,
     "q_quarantine_rest": quarantine_rest,
     "q_stream_bronze": stream_bronze,
+    "q_stream_bytes": stream_bytes,
+    "q_stream_late": stream_late,
     "q_stream_silver": stream_silver,
+    "q_stream_silver_shuffled": stream_silver_shuffled,
+    "q_stream_alerts": stream_alerts,
+    "q_stream_compacted": stream_compacted,
     "q_stream_spend": stream_spend,
     "q_stream_usage": stream_usage,
     "q_stream_risk": stream_risk,

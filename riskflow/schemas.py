@@ -44,7 +44,7 @@ PRODUCTS = _struct("product_id string, product_name string, category string, pri
 PLANS = _struct(
     "subscription_type string, monthly_cost double, churn_risk string, plan_duration integer"
 )
-IP_RISK = _struct("ip_hash string, risk_level string, risk_score integer, location string")
+IP_RISK = _struct("ip_hash string, risk_level string, risk_score double, location string")
 
 DQ_REPORT = _struct("""
     layer string, batch_id long, column string, check string, violation_count long,

@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskflow.schemas import RAW
+from riskflow.sources.limits import limited
 
 CORRUPT = "_corrupt_record"
 FEED = T.StructType(RAW.fields + [T.StructField(CORRUPT, T.StringType())])
+# The file source skips files that are older than the newest one it has seen by more than this; a
+# feed's late files and copies that keep their times are data all the same.
+MAX_FILE_AGE = "36500d"
 OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
@@ -24,16 +28,29 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
 def stream_feed(
     spark: SparkSession,
     path: str,
-    max_files_per_trigger: int | None = None,
-    max_bytes_per_trigger: str | None = None,
+    max_files: int | None = None,
+    max_bytes: int | str | None = None,
+    max_file_age: str = MAX_FILE_AGE,
+    archive: str | None = None,
 ) -> DataFrame:
-    """Streaming read of the same columns, with an optional limit on the size of a micro-batch."""
-    reader = spark.readStream.schema(FEED).options(**OPTIONS)
-    if max_files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if max_bytes_per_trigger is not None:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return reader.json(path)
+    """Streaming read of the same columns, with an optional limit on the size of a micro-batch.
+
+    ``archive`` moves files that were read to that folder, so that the next run lists fewer. Give
+    it only where a single query reads the feed.
+    """
+    reader = spark.readStream.schema(FEED).options(**OPTIONS).option("maxFileAge", max_file_age)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return limited(reader, max_files, max_bytes).json(path)
+
+
+def counted(feed: DataFrame) -> DataFrame:
+    """The feed; a query that writes all its columns also counts lines and corrupt lines, which
+    its progress shows as the observed metric ``feed``."""
+    return feed.observe(
+        "feed", F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt_lines"),
+    )
 
 
 def _parsed_whole() -> Column:

@@ -8,24 +8,47 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskflow.sources.limits import limited
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+# Spark settings that split hot dates and keys at run time, in batches and in streams.
+ADAPTIVE_STREAMS = (
+    "spark.sql.adaptive.enabled", "spark.sql.adaptive.streaming.stateless.enabled",
+)
+
+
+def require_adaptive(spark: SparkSession) -> None:
+    """Refuse to start a stream that shuffles by date or key where nothing would split a hot one."""
+    off = [name for name in ADAPTIVE_STREAMS if spark.conf.get(name) != "true"]
+    if off:
+        raise ValueError(f"set {' and '.join(off)} to true: hot dates and keys are split by it")
+
+
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType, modified_after: dt.datetime | None = None
+) -> DataFrame:
+    """A layer table, or the files of it that were written after a time (UTC)."""
+    reader = spark.read.schema(schema)
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", modified_after.strftime("%Y-%m-%dT%H:%M:%S.%f"))
+    return reader.parquet(path).select(*schema.names)
 
 
 def stream_table(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    max_files_per_trigger: int | None = None,
-    max_bytes_per_trigger: str | None = None,
+    max_files: int | None = None,
+    max_bytes: int | str | None = None,
 ) -> DataFrame:
-    """Tail a table that a file-sink stream writes; only committed files are seen."""
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if max_bytes_per_trigger is not None:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    """Tail a table that a file-sink stream writes; only committed files are seen.
+
+    The table may be without files yet: its folder is made, so that a reader can start before the
+    first batch is written.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(folder)
+    reader = limited(spark.readStream.schema(schema), max_files, max_bytes)
     return reader.parquet(path).select(*schema.names)
 
 
@@ -43,7 +66,7 @@ def by_date(df: DataFrame) -> DataFrame:
     """Gather the rows of a date before a write, else every task writes a file per date it meets.
 
     Under adaptive execution the rebalance hint joins small dates into one task and splits a date
-    that holds much of the data over many.
+    that holds much of the data over many. In a stream this rests on ``ADAPTIVE_STREAMS``.
     """
     return df.hint("rebalance", "event_date")
 

@@ -7,11 +7,14 @@ layer can tail them. Reports and partial aggregates go to one folder per micro-b
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as dt
+import uuid
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskflow import schemas
@@ -19,17 +22,24 @@ from riskflow.operators import marts, quality
 from riskflow.operators.bronze import pii_copy, to_bronze
 from riskflow.operators.enrich import enrich
 from riskflow.operators.validation import require_schema
-from riskflow.sources.feed import corrupt_rows, good_rows, stream_feed
+from riskflow.sources.feed import MAX_FILE_AGE, corrupt_rows, counted, good_rows, stream_feed
+from riskflow.sources.limits import parse_bytes
 from riskflow.sources.lookups import Lookup
-from riskflow.sources.tables import by_date, read_table, stream_table
+from riskflow.sources.tables import (
+    by_date, read_table, require_adaptive, stream_table, write_table,
+)
 from riskflow.streaming.sinks import (
-    overwrite_batch_json, overwrite_batch_table, start_batch_sink, start_table_sink,
+    overwrite_batch_json, overwrite_batch_table, read_state, start_batch_sink, start_table_sink,
+    write_state,
 )
 
 
 @dataclass(frozen=True)
 class Store:
-    """Folders of the pipeline. ``restricted`` holds clear personal data; guard it accordingly."""
+    """Folders of the pipeline. ``restricted`` holds clear personal data; guard it accordingly.
+
+    Quarantine and the clear-text copy need it: they never go into the ordinary store.
+    """
 
     root: str
     restricted: str | None = None
@@ -46,11 +56,22 @@ class Store:
     def dq_root(self) -> str:
         return f"{self.root}/dq"
 
+    def feed_counts(self) -> str:
+        return f"{self.root}/feed_counts"
+
     def checkpoint(self, query: str) -> str:
         return f"{self.root}/checkpoints/{query}"
 
+    def state(self, job: str) -> str:
+        return f"{self.root}/state/{job}"
+
+    def compacted(self, name: str, run: str) -> str:
+        return f"{self.root}/compacted/{name}/run={run}"
+
     def private(self, name: str) -> str:
-        return f"{self.restricted or self.root + '/restricted'}/{name}"
+        if not self.restricted:
+            raise ValueError(f"{name} holds clear personal data: name a restricted folder")
+        return f"{self.restricted}/{name}"
 
 
 @dataclass(frozen=True)
@@ -58,43 +79,65 @@ class Pace:
     """Size limits of a micro-batch, and the interval of a query that is to keep running."""
 
     max_files: int | None = None
-    max_bytes: str | None = None
+    max_bytes: int | str | None = None
     interval: str | None = None
 
+    def __post_init__(self) -> None:
+        if self.max_files is not None and self.max_bytes is not None:
+            raise ValueError("limit a micro-batch by files or by bytes, not by both")
+        if self.max_bytes is not None:
+            parse_bytes(self.max_bytes)
+
+    def of_tables(self) -> Pace:
+        """The pace of a query over a layer table, whose files are others than the feed's."""
+        return Pace(max_bytes=self.max_bytes, interval=self.interval)
+
 
 def start_bronze(
     spark: SparkSession, feed: str, store: Store, pace: Pace = Pace(),
-    card_salt: str | None = None, keep_corrupt: bool = True, keep_pii: bool = False,
-    gather_dates: bool = True,
+    card_salt: str | None = None, gather_dates: bool = True,
+    max_file_age: str = MAX_FILE_AGE,
 ) -> list[StreamingQuery]:
-    """Feed to bronze, corrupt lines to quarantine and, if asked for, the clear-text copy.
+    """Feed to bronze, with the lines and corrupt lines of each batch as its metric ``feed``.
 
-    Each of the three parses the feed. A run may leave the quarantine out: its checkpoint stands
-    still meanwhile, and the next run that has it takes up the lines of all files since.
     Gathering the dates shuffles the feed; turn it off for a feed whose files hold one date each.
     """
-    lines = stream_feed(spark, feed, pace.max_files, pace.max_bytes)
-    raw = require_schema(good_rows(lines), schemas.RAW, "raw")
-    bronze = to_bronze(raw, card_salt)
-    queries = [
-        start_table_sink(
-            by_date(bronze) if gather_dates else bronze, store.table("bronze"), store.checkpoint("bronze"),
-            "bronze", interval=pace.interval,
-        ),
-    ]
-    if keep_corrupt:
-        queries.append(start_table_sink(
-            corrupt_rows(lines), store.private("quarantine"), store.checkpoint("quarantine"),
-            "quarantine", partition_by=(), fmt="json", interval=pace.interval,
-        ))
-    if keep_pii:
-        def write_pii(batch: DataFrame, batch_id: int) -> None:
-            overwrite_batch_json(batch, store.private("pii"), batch_id)
-
-        queries.append(start_batch_sink(
-            pii_copy(raw), write_pii, store.checkpoint("pii"), "pii", pace.interval,
-        ))
-    return queries
+    if gather_dates:
+        require_adaptive(spark)
+    lines = counted(stream_feed(spark, feed, pace.max_files, pace.max_bytes, max_file_age))
+    bronze = to_bronze(require_schema(good_rows(lines), schemas.RAW, "raw"), card_salt)
+    return [start_table_sink(
+        by_date(bronze) if gather_dates else bronze, store.table("bronze"),
+        store.checkpoint("bronze"), "bronze", interval=pace.interval,
+    )]
+
+
+def start_quarantine(
+    spark: SparkSession, feed: str, store: Store, pace: Pace = Pace(),
+    max_file_age: str = MAX_FILE_AGE,
+) -> list[StreamingQuery]:
+    """Corrupt lines to the restricted store. A parse of its own, of all files since its last run."""
+    lines = stream_feed(spark, feed, pace.max_files, pace.max_bytes, max_file_age)
+    return [start_table_sink(
+        corrupt_rows(lines), store.private("quarantine"), store.checkpoint("quarantine"),
+        "quarantine", partition_by=(), fmt="json", interval=pace.interval,
+    )]
+
+
+def start_pii(
+    spark: SparkSession, feed: str, store: Store, pace: Pace = Pace(),
+    max_file_age: str = MAX_FILE_AGE,
+) -> list[StreamingQuery]:
+    """The clear-text copy to the restricted store, a parse of its own."""
+    target = store.private("pii")
+
+    def write_pii(batch: DataFrame, batch_id: int) -> None:
+        overwrite_batch_json(batch, target, batch_id)
+
+    raw = good_rows(stream_feed(spark, feed, pace.max_files, pace.max_bytes, max_file_age))
+    return [start_batch_sink(
+        pii_copy(raw), write_pii, store.checkpoint("pii"), "pii", pace.interval,
+    )]
 
 
 def start_bronze_dq(spark: SparkSession, store: Store, pace: Pace = Pace()) -> list[StreamingQuery]:
@@ -118,6 +161,8 @@ def start_silver(
     silver = require_schema(enrich(bronze, lookups), schemas.SILVER, "silver")
     silver = silver.select(*schemas.SILVER.names)
     shuffled = any(not lookup.broadcast for lookup in lookups.values())
+    if shuffled:
+        require_adaptive(spark)
     return [start_table_sink(
         by_date(silver) if shuffled else silver, store.table("silver"), store.checkpoint("silver"),
         "silver", interval=pace.interval,
@@ -153,14 +198,66 @@ def start_usage(spark: SparkSession, store: Store, pace: Pace = Pace()) -> list[
     )]
 
 
+@dataclass(frozen=True)
+class Daily:
+    """A daily table: its partials' columns, how they fold, what they read as, and their key."""
+
+    schema: T.StructType
+    fold: Callable[[DataFrame], DataFrame]
+    merge: Callable[[DataFrame], DataFrame]
+    key: str
+
+
+DAILY = {
+    "spend": Daily(schemas.SPEND_PARTIAL, marts.fold_spend, marts.merge_spend, "user_id"),
+    "usage": Daily(schemas.USAGE_PARTIAL, marts.fold_usage, marts.merge_usage, "product_id"),
+}
+
+
+def partials(spark: SparkSession, store: Store, name: str) -> DataFrame:
+    """What batches added to a daily table, with closed dates folded as far as they were."""
+    daily = DAILY[name]
+    rows = read_table(spark, store.partials(name), daily.schema)
+    done = read_state(spark, store.state(f"compacted-{name}"), "run", "batch_id", "before")
+    if not done:
+        return rows
+    folded = (F.col("batch_id") <= int(done["batch_id"])) & (
+        F.col("event_date") < F.lit(dt.date.fromisoformat(done["before"]))
+    )
+    old = read_table(spark, store.compacted(name, done["run"]), daily.schema)
+    return rows.where(~F.coalesce(folded, F.lit(False))).unionByName(old)
+
+
+def compact(spark: SparkSession, store: Store, name: str, before: dt.date) -> None:
+    """Fold the partials of the dates before ``before`` into one row per key and date.
+
+    The folded copy is written first and becomes the one that is read with the small record of
+    this run; batches of these dates that come later are added as ever. Folders of earlier runs
+    and the folded partials may be removed when no reader uses them.
+    """
+    last = read_table(spark, store.partials(name), DAILY[name].schema).agg(F.max("batch_id")).first()[0]
+    if last is None:
+        return
+    closed = partials(spark, store, name).where(F.col("event_date") < F.lit(before))
+    run = uuid.uuid4().hex
+    folded = DAILY[name].fold(closed).withColumn("batch_id", F.lit(last).cast("long"))
+    write_table(folded, store.compacted(name, run))
+    write_state(spark, store.state(f"compacted-{name}"), run=run, batch_id=last, before=before)
+
+
 def read_spend(spark: SparkSession, store: Store) -> DataFrame:
     """One row per user-day over all batches."""
-    return marts.merge_spend(read_table(spark, store.partials("spend"), schemas.SPEND_PARTIAL))
+    return marts.merge_spend(partials(spark, store, "spend"))
 
 
 def read_usage(spark: SparkSession, store: Store) -> DataFrame:
     """One row per product-day over all batches."""
-    return marts.merge_usage(read_table(spark, store.partials("usage"), schemas.USAGE_PARTIAL))
+    return marts.merge_usage(partials(spark, store, "usage"))
+
+
+def read_alerts(spark: SparkSession, store: Store) -> DataFrame:
+    """The flagged rows of the stored table."""
+    return read_table(spark, store.table("risk"), schemas.RISK).where("is_high_risk_txn")
 
 
 def read_dq(spark: SparkSession, store: Store) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from riskflow.sources.tables import write_table
@@ -50,7 +51,11 @@ def start_batch_sink(
 
 
 def overwrite_batch_json(df: DataFrame, path: str, batch_id: int) -> None:
-    """Write the batch to a folder of its own; a replay replaces what it wrote before."""
+    """Write the batch to a folder of its own; a replay replaces what it wrote before.
+
+    While a replayed batch is written its folder is not whole: read such folders (reports, daily
+    tables, the clear-text copy) when no run is writing them.
+    """
     df.write.mode("overwrite").json(f"{path}/batch_id={batch_id}")
 
 
@@ -58,6 +63,38 @@ def overwrite_batch_table(df: DataFrame, path: str, batch_id: int) -> None:
     write_table(df, f"{path}/batch_id={batch_id}", mode="overwrite")
 
 
+def write_state(spark: SparkSession, path: str, **values: str | int) -> None:
+    """Replace a small record of what a run has done: one JSON object of texts."""
+    row = {name: str(value) for name, value in values.items()}
+    spark.createDataFrame([row], ", ".join(f"{n} string" for n in row)).coalesce(1) \
+        .write.mode("overwrite").json(path)
+
+
+def read_state(spark: SparkSession, path: str, *names: str) -> dict[str, str]:
+    """The record, empty if there is none."""
+    try:
+        rows = spark.read.schema(", ".join(f"{n} string" for n in names)).json(path).collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    return rows[0].asDict() if rows else {}
+
+
+def observed(query: StreamingQuery, metric: str) -> list[dict] | None:
+    """Batch id and the values of an observed metric for each batch of this run that is over.
+
+    None if there were more batches than the session remembers
+    (``spark.sql.streaming.numRecentProgressUpdates``).
+    """
+    progress = query.recentProgress
+    kept = int(query._jsq.sparkSession().conf().get("spark.sql.streaming.numRecentProgressUpdates"))
+    if len(progress) >= kept:
+        return None
+    rows = [(p["batchId"], (p["observedMetrics"] or {}).get(metric)) for p in progress]
+    return [{"batch_id": batch_id, **values.asDict()} for batch_id, values in rows if values]
+
+
 def await_all(queries: Sequence[StreamingQuery], timeout: float | None = None) -> None:
     """Wait until all queries end. On an error or at the time limit, stop all and raise."""
     deadline = None if timeout is None else time.monotonic() + timeout

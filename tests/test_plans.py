@@ -14,6 +14,7 @@ from riskflow.operators.bronze import to_bronze
 from riskflow.operators.enrich import enrich
 from riskflow.operators.layout import cluster_table, write_clustered
 from riskflow.plans import model, queries
+from riskflow.sources.feed import CORRUPT, good_rows, read_feed
 from riskflow.sources.lookups import check_lookups
 from riskflow.sources.tables import date_slice, read_table, write_table
 from riskflow.streaming.layers import Store, start_bronze
@@ -47,6 +48,27 @@ def test_lookups_over_the_bound_are_not_broadcast(spark, capsys, settings):
     assert "BroadcastHashJoin" not in tree and "SortMergeJoin LeftOuter" in tree
 
 
+def test_alerts_join_the_deciding_lookups_first(spark, capsys):
+    """Plans and addresses as inner joins, users and products above them for the rows left."""
+    tree = plan(queries.risk_alerts(spark, SF_DIR), capsys).split("\n\n")[0]
+    joins = re.findall(r"BroadcastHashJoin (\w+)", tree)
+    # The last inner join makes the users lookup of the test model.
+    assert joins == ["LeftOuter", "LeftOuter", "Inner", "Inner", "Inner"]
+
+
+def test_the_feed_is_read_with_all_its_columns(spark, tmp_path, capsys):
+    """Else a line with a bad value in a column that a query leaves out would pass for a good one."""
+    (tmp_path / "f.json").write_text("{}\n")
+    good = good_rows(read_feed(spark, str(tmp_path))).select("user_id")
+    text = plan(good, capsys)
+    (columns,) = re.findall(r"ReadSchema: struct<(.*)>", text)
+    assert [c.split(":")[0] for c in columns.split(",")] == [*schemas.RAW.names, CORRUPT]
+
+
+def test_schema_check_runs_no_join(spark, capsys):
+    assert "Join" not in plan(queries.schema_mismatches(spark, SF_DIR), capsys).split("\n\n")[0]
+
+
 def test_marts_read_only_their_columns(spark, capsys):
     text = plan(queries.user_spend(spark, SF_DIR), capsys)
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double>" in text
@@ -86,7 +108,7 @@ def test_a_hot_date_is_split_over_files(spark, tmp_path, settings):
     hot.select(F.to_json(F.struct(*schemas.RAW.names)).alias("value")).write.text(
         str(tmp_path / "feed"))
     store = Store(str(tmp_path / "store"))
-    await_all(start_bronze(spark, str(tmp_path / "feed"), store, keep_corrupt=False), 300)
+    await_all(start_bronze(spark, str(tmp_path / "feed"), store), 300)
     for table in (tmp_path / "batch", Path(store.table("bronze"))):
         files = {d.name: len(list(d.glob("*.parquet"))) for d in table.glob("event_date=*")}
         assert files.pop("event_date=2024-01-15") >= 4
