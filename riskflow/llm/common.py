@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskflow.session import scratch_dir
+from riskflow.sources.limits import parse_bytes
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -24,8 +25,18 @@ def _package_archive() -> str:
     return shutil.make_archive(base, "zip", root, "riskflow")
 
 
+# Texts go to Python in batches of about this size; the default of 64 MB, held several times over
+# by each task and worker, is much of a small executor.
+ARROW_BYTES = 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the code of this package to the Python workers, as ``--py-files`` would."""
+    """Give the code of this package to the Python workers, as ``--py-files`` would, and have
+    Arrow batches of moderate size."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    current = spark.conf.get(setting)
+    if current.startswith("-") or parse_bytes(current) > ARROW_BYTES:
+        spark.conf.set(setting, ARROW_BYTES)
     context = spark.sparkContext
     if not getattr(context, "_riskflow_shipped", False):
         context.addPyFile(_package_archive())
@@ -94,7 +105,7 @@ def width(spark: SparkSession) -> int:
 
 
 def slices(
-    batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 8 << 20
+    batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 4 << 20
 ) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the texts of each take about ``max_bytes``, one row at least."""
     for batch in batches:
