@@ -84,11 +84,13 @@ def build_index(docs: DataFrame, terms: DataFrame, *, id_col: str = "doc_id",
 
 def _steps(phrases: Phrases, index: DataFrame) -> DataFrame:
     """For each phrase whose terms all occur its slots (count, slot, term), rarest first."""
-    counts = index.where("term != 0").groupBy("term").agg(F.count("*").alias("n"))
+    counts = stored(index.where("term != 0").groupBy("term").agg(F.count("*").alias("n")),
+                    "term-counts")
     slots = (
         phrases.table.select("phrase", F.size("words").alias("length"),
                              F.posexplode("words").alias("slot", "word"))
-        .join(phrases.terms, "word").join(counts, "term")
+        .join(hinted(phrases.terms, MAX_BROADCAST_ROWS), "word")
+        .join(hinted(counts, MAX_BROADCAST_ROWS), "term")
     )
     return stored(
         slots.groupBy("phrase", "length")
