@@ -21,7 +21,7 @@ from riskflow.streaming.layers import Pace, Store
 def arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="riskflow", description=__doc__)
     layer = parser.add_subparsers(dest="layer", required=True)
-    for name in ("bronze", "silver", "gold", "compact", "layout"):
+    for name in ("bronze", "silver", "gold", "dates", "compact", "layout"):
         job = layer.add_parser(name)
         job.add_argument("--store", required=True, help="root folder of tables and checkpoints")
         if name in ("bronze", "silver", "gold"):
@@ -43,10 +43,15 @@ def arguments() -> argparse.Namespace:
             salt = job.add_mutually_exclusive_group()
             salt.add_argument("--card-salt-file", type=Path, help="file with the salt of card hashes")
             salt.add_argument("--card-salt-env", help="environment variable with the salt")
-        if name == "silver":
+        if name in ("silver", "dates"):
             for spec in SPECS:
                 job.add_argument(f"--{spec.name.replace('_', '-')}", required=True, help="CSV file")
             job.add_argument("--broadcast-limit", type=parse_bytes, default=BROADCAST_LIMIT_BYTES)
+        if name == "dates":
+            job.add_argument("--target", required=True, help="folder of the tables of these dates")
+            job.add_argument("--from-date", type=dt.date.fromisoformat, required=True)
+            job.add_argument("--to-date", type=dt.date.fromisoformat, required=True)
+        if name == "silver":
             job.add_argument("--since", type=dt.date.fromisoformat,
                              help="first date in which to look for frequent keys")
         if name == "compact":
@@ -92,12 +97,13 @@ def main() -> None:
             max_file_age=args.max_file_age,
         )
         print(f"lines {counts['lines']}, corrupt {counts['corrupt_lines']}")
-    elif args.layer == "silver":
+    elif args.layer in ("silver", "dates"):
         paths = {spec.name: getattr(args, spec.name) for spec in SPECS}
         lookups = load_lookups(spark, paths, args.broadcast_limit)
-        pipeline.run_silver(
-            spark, store, lookups, pace, timeout=args.timeout, since=args.since
-        )
+        if args.layer == "silver":
+            pipeline.run_silver(spark, store, lookups, pace, timeout=args.timeout, since=args.since)
+        else:
+            pipeline.run_dates(spark, store, lookups, args.target, args.from_date, args.to_date)
     elif args.layer == "gold":
         pipeline.run_gold(spark, store, pace, args.timeout)
     elif args.layer == "compact":

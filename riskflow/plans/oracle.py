@@ -246,6 +246,8 @@ ORACLE = {
         _rows("bronze", "bronze"), _rows("silver", "silver"), _rows("risk", "silver"),
         _rows("spend", "spend"),
     ]),
+    "q_dates_again": _select(
+        "risk", rest="where event_date between date '2024-01-15' and date '2024-01-17'"),
     "q_clustered": _select("risk"),
     "q_clustered_spend": _select("spend"),
     "q_clustered_usage": _select("usage"),

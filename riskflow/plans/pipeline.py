@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskflow import schemas
+from riskflow.operators import marts
+from riskflow.operators.enrich import enrich
 from riskflow.operators.layout import ROWS_PER_FILE, cluster_table, file_count, write_clustered
 from riskflow.sources.feed import MAX_FILE_AGE
 from riskflow.sources.lookups import Lookup, with_heavy_keys
-from riskflow.sources.tables import read_table
+from riskflow.sources.tables import read_table, write_table
 from riskflow.streaming import layers
 from riskflow.streaming.layers import Pace, Store
 from riskflow.streaming.sinks import (
@@ -113,10 +115,31 @@ def run_silver(
 
 def run_gold(
     spark: SparkSession, store: Store, pace: Pace = Pace(), timeout: float | None = None,
-    marts: tuple[str, ...] = ("risk", "spend", "usage"),
+    wanted: tuple[str, ...] = ("risk", "spend", "usage"),
 ) -> None:
     start = {"risk": layers.start_risk, "spend": layers.start_spend, "usage": layers.start_usage}
-    await_all([q for name in marts for q in start[name](spark, store, pace)], timeout)
+    await_all([q for name in wanted for q in start[name](spark, store, pace)], timeout)
+
+
+def run_dates(
+    spark: SparkSession, store: Store, lookups: Mapping[str, Lookup], target: str,
+    first: dt.date, last: dt.date,
+) -> None:
+    """Work on chosen dates again, from bronze: silver and the gold tables of these dates.
+
+    They go to a folder of their own, where a further run replaces the dates it takes; the
+    streams' tables and checkpoints stay as they are.
+    """
+    chosen = F.col("event_date").between(F.lit(first), F.lit(last))
+    bronze = read_table(spark, store.table("bronze"), schemas.BRONZE).where(chosen)
+    silver = enrich(bronze, with_heavy_keys(lookups, bronze)).select(*schemas.SILVER.names)
+    write_table(silver, f"{target}/silver", replace_dates=True)
+    silver = read_table(spark, f"{target}/silver", schemas.SILVER).where(chosen)
+    for name, df in (
+        ("risk", marts.flag_high_risk(silver)), ("spend", marts.user_spend(silver)),
+        ("usage", marts.product_usage(silver)),
+    ):
+        write_table(df, f"{target}/{name}", replace_dates=True)
 
 
 def run_compact(spark: SparkSession, store: Store, before: dt.date) -> None:

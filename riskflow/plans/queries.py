@@ -26,6 +26,7 @@ from riskflow.streaming.layers import Pace, Store
 from riskflow.streaming.sinks import await_all
 
 SLICE_DAY = dt.date(2024, 1, 15)
+LAST_DAY = dt.date(2024, 1, 17)
 RESCALED_HIGH_RISK = 7.0
 MICRO_BATCHES = 3
 BATCH_BYTES = "2m"
@@ -289,13 +290,13 @@ def _run(spark, sf_dir, label, broken=False, silver=False, marts_wanted=(), dq=F
         pipeline.run_silver(spark, store, load_lookups(spark, paths, broadcast_limit),
                             _pace(spark, store, "bronze"), dq=dq)
     if marts_wanted:
-        pipeline.run_gold(spark, store, _pace(spark, store, "silver"), marts=marts_wanted)
+        pipeline.run_gold(spark, store, _pace(spark, store, "silver"), wanted=marts_wanted)
     return store
 
 
 def _pace(spark, store, table):
     """A third of the table's files per micro-batch."""
-    files = len(spark.read.parquet(store.table(table)).inputFiles())
+    files = spark.read.parquet(store.table(table)).select("_metadata.file_path").distinct().count()
     return Pace(max_files=-(-files // MICRO_BATCHES))
 
 
@@ -434,6 +435,17 @@ def _clustered(spark, df, key):
     return read_table(spark, f"{path}/by_key", df.schema)
 
 
+def dates_again(spark, sf_dir):
+    """The flagged rows of some dates, worked on again and again replaced."""
+    root = scratch_dir(spark, "dates")
+    store = Store(f"{root}/store")
+    write_table(_bronze(spark, sf_dir), store.table("bronze"))
+    lookups = model.lookups(spark, sf_dir)
+    for _ in range(2):
+        pipeline.run_dates(spark, store, lookups, f"{root}/dates", SLICE_DAY, LAST_DAY)
+    return _plain_time(read_table(spark, f"{root}/dates/risk", schemas.RISK))
+
+
 def clustered_spend(spark, sf_dir):
     return _rounded_spend(_clustered(spark, marts.user_spend(_bronze(spark, sf_dir)), "user_id"))
 
@@ -487,6 +499,7 @@ QUERIES = {
     "q_stream_pii": stream_pii,
     "q_stream_quarantine": stream_quarantine,
     "q_stream_replay": stream_replay,
+    "q_dates_again": dates_again,
     "q_clustered": clustered,
     "q_clustered_spend": clustered_spend,
     "q_clustered_usage": clustered_usage,

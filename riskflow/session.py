@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -30,12 +32,14 @@ def build_session(app_name: str = "riskflow", master: str | None = None, **conf:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder name under the shared folder that the session names in spark.checkpoint.dir.
 
-    Only a local-mode session may do without that setting; executors on other machines could not
-    read a folder of the driver's own disk.
+    What queries leave there may be removed when none of them runs. Only a local-mode session may
+    do without that setting, and removes its own folder at its end; executors on other machines
+    could not read a folder of the driver's own disk.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="riskflow-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
     return f"{shared.rstrip('/')}/riskflow/{label}-{uuid.uuid4().hex}"

@@ -71,6 +71,11 @@ def by_date(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", "event_date")
 
 
-def write_table(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Batch write, partitioned by event_date."""
-    by_date(df).write.mode(mode).partitionBy("event_date").parquet(path)
+def write_table(
+    df: DataFrame, path: str, mode: str = "append", replace_dates: bool = False
+) -> None:
+    """Batch write, partitioned by event_date; ``replace_dates`` replaces those that ``df`` holds."""
+    writer = by_date(df).write.mode("overwrite" if replace_dates else mode)
+    if replace_dates:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("event_date").parquet(path)

@@ -43,6 +43,10 @@ def test_all_layers(spark, tmp_path):
          lookups["products"], "--plans", lookups["plans"], "--ip-risk", lookups["ip_risk"],
          "--max-bytes", "500g")
     call("gold", "--store", store, "--max-bytes", "100k")
+    call("dates", "--store", store, "--users", lookups["users"], "--products",
+         lookups["products"], "--plans", lookups["plans"], "--ip-risk", lookups["ip_risk"],
+         "--target", tmp_path / "dates", "--from-date", "2024-01-10", "--to-date", "2024-01-11")
+    assert (tmp_path / "dates" / "spend").exists()
     call("compact", "--store", store, "--before", "2024-01-15")
     call("layout", "--store", store, "--target", target, "--rows-per-file", 200)
     call("layout", "--store", store, "--target", target, "--from-date", "2024-01-10",

@@ -5,6 +5,7 @@ from riskflow.operators import quality
 from riskflow.operators.bronze import to_bronze
 from riskflow.operators.enrich import enrich
 from riskflow.operators.quality import dq_report
+from riskflow.plans import model
 
 BAD_ROWS = [
     {},
@@ -23,6 +24,14 @@ def violations(report):
     return {(r.column, r.check): r.violation_count for r in report.collect()}
 
 
+def test_every_bronze_rule_fires_on_the_flawed_feed(spark):
+    """So a rule that is broken turns the registered reports red."""
+    raw = model.flawed(model.raw(spark, "/root/testdata/sf0.001"))
+    for df, rules in ((raw, quality.raw_rules()), (to_bronze(raw), quality.bronze_rules())):
+        report = quality.dq_report(df, rules, "bronze", 0).collect()
+        assert len(report) == 18 and all(r.violation_count > 0 for r in report)
+
+
 def test_bronze_report(raw):
     found = violations(dq_report(raw(*BAD_ROWS), quality.raw_rules(), "bronze", 4))
     assert len(found) == 18
