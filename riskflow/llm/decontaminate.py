@@ -56,8 +56,8 @@ def phrases_of(items: DataFrame, window: int = WINDOW_WORDS, *, id_col: str = "i
         table.select(F.explode("words").alias("word")).distinct()
         .select("word", F.xxhash64("word").alias("term")), "phrase-terms"
     )
-    if terms.groupBy("term").count().where("count > 1").limit(1).count():
-        raise ValueError("two benchmark words share a 64-bit hash")
+    if not terms.groupBy("term").count().where("count > 1 or term = 0").isEmpty():
+        raise ValueError("two benchmark words share a 64-bit hash, or one has that of the empty word")
     return Phrases(table, terms)
 
 
@@ -69,7 +69,7 @@ def build_index(docs: DataFrame, terms: DataFrame, *, id_col: str = "doc_id",
     apart. The empty word is a term (0) of every document: its last position is the number of
     pieces that the text splits into, any other is an empty piece at either end.
     """
-    empty = docs.sparkSession.range(1).select(F.lit("").alias("word"), F.lit(0).cast("long").alias("term"))
+    empty = docs.sparkSession.sql("select '' as word, 0L as term")
     text = F.coalesce(F.col(text_col), F.lit(""))
     pieces = F.concat(F.split(text, SEPARATORS), F.array(F.lit("")))
     raw = docs.select(

@@ -46,7 +46,9 @@ def gram_codes(text: str) -> np.ndarray:
 
     Characters that are no letters count as one space each.
     """
-    lowered = "".join(c if c.isalpha() else " " for c in text.lower()) if not text.isascii() else text.lower()
+    lowered = text.lower()
+    if not text.isascii():
+        lowered = "".join(c if c.isalpha() else " " for c in lowered)
     points = np.frombuffer(f" {lowered} ".encode("utf-32-le"), np.uint32).astype(np.uint64)
     ascii_other = (points < 128) & ((points < 97) | (points > 122))
     points[ascii_other] = 32

@@ -185,6 +185,7 @@ def masked(docs: DataFrame, *, text_col: str = "text", length_col: str = "n_char
     new = F.when(F.size("__spans") > 0, F.aggregate(ordered, start, cut, joined)).otherwise(text)
     out = found.withColumn("__text", new)
     if length_col in docs.columns:
-        length = F.when(F.size("__spans") > 0, F.char_length("__text").cast(docs.schema[length_col].dataType))
-        out = out.withColumn(length_col, F.coalesce(length, F.col(length_col)))
+        length = F.char_length("__text").cast(docs.schema[length_col].dataType)
+        length = F.when(F.size("__spans") > 0, length).otherwise(F.col(length_col))
+        out = out.withColumn(length_col, length)
     return out.withColumn(text_col, F.col("__text")).select(*docs.columns)

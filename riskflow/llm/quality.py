@@ -54,7 +54,8 @@ def measures(text: str) -> list[float]:
     for w in words:
         seen[w] = seen.get(w, 0) + 1
     lines = text.split("\n")
-    last = CLASSES[np.frombuffer("".join([w[-1] if w[-1] < "\x7f" else "a" for w in words]).encode(), np.uint8)]
+    ends = "".join([w[-1] if w[-1] < "\x7f" else "a" for w in words])
+    last = CLASSES[np.frombuffer(ends.encode(), np.uint8)]
     return [
         np.log1p(len(text)), np.log1p(n), lengths.mean(), lengths.max(), share[UPPER], share[DIGIT],
         share[SPACE], share[[EXCLAIM, PIPE, MARK]].sum(), share[EXCLAIM], share[STOP],
@@ -226,8 +227,9 @@ def train(measured: DataFrame, labels: DataFrame, allowed: Column | str, how: Fi
     used. Of repeated labels of an id the larger counts; null ids and labels do not count.
     """
     how = how or Fit()
-    known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")) \
-        .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)) \
+    known = labels.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")
+    ).where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)) \
         .groupBy("doc_id").agg(F.max("label").alias("label")).where(allowed)
     taken = hashed_sample(known.withColumn("one", F.lit(1)), "one", "doc_id", how.max_rows)
     taken = known.join(F.broadcast(taken.select("doc_id")), "doc_id")

@@ -115,7 +115,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {query.__name__: with_code(query) for query in (
-    op1_toxicity, op2_topk, op3_pii, op4_token_files, op5_simhash, op6_language, op7_urls, op8_quality, op9_packing, op10_decontamination,
+    op1_toxicity, op2_topk, op3_pii, op4_token_files, op5_simhash, op6_language, op7_urls,
+    op8_quality, op9_packing, op10_decontamination,
 )}
 WORDS = r"""
     list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-KEPT_WORDS = 1_200_000
+KEPT_WORDS = 1_000_000
 ODD = r"[\x1c-\x1f]|<\|"  # or what may be a special token, whose case counts
 JOINED_WORDS = 2_000
 
@@ -85,21 +85,28 @@ class WordEncoder:
         found = list(map(self.known.get, words))
         missing = [w for w, i in zip(words, found, strict=True) if i is None]
         if missing:
-            new = self._learn(missing)
-            found = [new[w] if i is None else i for w, i in zip(words, found, strict=True)]
-            if len(self.known) + len(new) > KEPT_WORDS:
+            stems, marked = self._learn(missing)
+            found = [
+                i if i is not None else stems[w] if w in stems else marked[w]
+                for w, i in zip(words, found, strict=True)
+            ]
+            if len(self.known) + len(stems) > KEPT_WORDS:
                 self.known = {"": b""}
-            self.known.update(new)
+            self.known.update(stems)
         counts = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
         return np.frombuffer(b"".join(found), self.dtype), np.cumsum(counts) - counts, counts
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of new words; one that ends with a full stop or comma takes those of its letters."""
+    def _learn(self, words: list[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        """Ids of new words, and those of letters with a full stop or comma at their end.
+
+        The latter take the ids of their letters and are not worth keeping.
+        """
         stem_of, new_stems, rest = {}, {}, []
         for word in words:
             body = word[:-1] if word[-1] in ".," else word
             if body.isalpha():
-                stem_of[word] = body
+                if body is not word:
+                    stem_of[word] = body
                 if body not in self.known:
                     new_stems[body] = body.isascii()
             else:
@@ -107,16 +114,15 @@ class WordEncoder:
         stems = self._joined([s for s, plain in new_stems.items() if plain], self.letters)
         stems |= self._joined([s for s, plain in new_stems.items() if not plain], self.tokenizer)
         known, marks = self.known, self.marks
-        new = {
-            word: (stems[stem] if stem in stems else known[stem])
-            + (marks[word[-1]] if len(word) > 1 and word[-1] in marks else b"")
+        marked = {
+            word: (stems[stem] if stem in stems else known[stem]) + marks[word[-1]]
             for word, stem in stem_of.items()
         }
         for i in range(0, len(rest), JOINED_WORDS):
             part = rest[i:i + JOINED_WORDS]
             coded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            new.update((w, self._bytes(c.ids)) for w, c in zip(part, coded, strict=True))
-        return stems | new
+            stems.update((w, self._bytes(c.ids)) for w, c in zip(part, coded, strict=True))
+        return stems, marked
 
     def _joined(self, words: list[str], tokenizer) -> dict[str, bytes]:
         """Ids of words of letters, many in one call, cut after each end-of-word id."""

@@ -1,8 +1,10 @@
 """Toxicity by multiple-instance learning over sentences.
 
 A document is a bag of sentences. Each sentence has a probability from a logistic model over its
-X The model is trained from document labels alone; the sentences that carry a score
-are then located in the text.
+distinct words and their first letters (compounds share a stem). A document's score is the
+noisy-or of its sentences: one minus the product of the chances that each is clean, and that no
+cause outside the known words made the label (the leak). The model is trained from document labels
+alone; the sentences that carry a score are then located in the text.
 """
 
 from __future__ import annotations
@@ -62,7 +64,7 @@ class Model:
             known = self.weights.keys() & features(text[at:stop[0]])
             if known:
                 z = self.bias + sum(self.weights[w] for w in sorted(known))
-                yield at, stop[0], float(1 / (1 + np.exp(-z)))
+                yield at, stop[0], float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
             at = stop[1]
 
     def score(self, text: str) -> tuple[float, list[tuple[int, int, float]]]:
@@ -79,8 +81,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Col
 
     ``labels`` has one row per document at most (of repeated rows the larger label counts).
     """
-    known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")) \
-        .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)) \
+    known = labels.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")
+    ).where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)) \
         .groupBy("doc_id").agg(F.max("label").alias("label")).where(allowed)
     chosen = hashed_sample(known, "label", "doc_id", sample.rows_per_class).select(
         "doc_id", "label", (F.col("of") / F.least("of", F.lit(sample.rows_per_class))).alias("weight")
@@ -107,7 +110,6 @@ def _vocabulary(rows: DataFrame, sample: Sample) -> list[str]:
     stems = [F.transform(words, _left(n)) for n in STEMS]
     words = rows.select("label", F.explode(F.array_distinct(F.concat(words, *stems))).alias("word"))
     one, zero = F.col("one"), F.col("zero")
-
     with_word = one + zero
 
     def term(seen: Column, margin: Column, of: int) -> Column:
@@ -120,7 +122,8 @@ def _vocabulary(rows: DataFrame, sample: Sample) -> list[str]:
         words.groupBy("word").agg(F.sum("label").alias("one"), F.sum(1 - F.col("label")).alias("zero"))
         .where(one + zero >= sample.min_docs).where(one * n0 > zero * n1)
         .select("word", ratio.alias("ratio"))
-        .where(F.col("ratio") >= sample.min_ratio).orderBy(F.col("ratio").desc(), "word").limit(sample.max_words)
+        .where(F.col("ratio") >= sample.min_ratio)
+        .orderBy(F.col("ratio").desc(), "word").limit(sample.max_words)
     )
     return sorted(r["word"] for r in best.collect())
 
@@ -179,7 +182,8 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column | str, sample: Sam
         gradient = np.empty_like(theta)
         gradient[0] = slope.sum() / (1 + np.exp(-theta[0]))
         gradient[1] = push.sum()
-        gradient[2:] = np.bincount(word, push[sentence], minlength=len(words)) + theta[2:] / (spread**2 * len(bags))
+        gradient[2:] = np.bincount(word, push[sentence], minlength=len(words))
+        gradient[2:] += theta[2:] / (spread**2 * len(bags))
         first = 0.9 * first + 0.1 * gradient
         second = 0.99 * second + 0.01 * gradient**2
         theta -= rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-8)
@@ -191,9 +195,9 @@ SCORED = "score double, sentences array<struct<start:int,end:int,score:double>>"
 
 def with_scores(docs: DataFrame, model: Model, *, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
-    """doc_id, score, sentences (start, end, score of those of ``MIN_SCORE`` or more) of every row.
+    """doc_id, score, sentences (start, end, score of those of ``MIN_SENTENCE`` or more) of every row.
 
-    Null and empty texts score 0; repeated rows each have their row; an empty table gives none.
+    Null and empty texts score the leak alone; repeated rows each have their row; an empty table gives none.
     Positions count code points. Other columns are not read.
     """
     def run(batches):
@@ -203,7 +207,8 @@ def with_scores(docs: DataFrame, model: Model, *, id_col: str = "doc_id",
             scored = [model.score(t or "") for t in batch.column("text").to_pylist()]
             located = [[{"start": a, "end": b, "score": p} for a, b, p in found if p >= MIN_SENTENCE]
                        for _, found in scored]
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
+            kind = pa.list_(pa.struct(
+                [("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([s for s, _ in scored], pa.float64()),
                  pa.array(located, kind)], names=["doc_id", "score", "sentences"],
