@@ -231,6 +231,8 @@ ORACLE = {
     "q_quarantine_rest": _select("bronze", rest=f"where not ({CORRUPT})"),
     "q_stream_bronze": _select("bronze"),
     "q_stream_bytes": _select("bronze"),
+    "q_stream_named": """select 'bronze' as query_name, false as active,
+        cast(count(*) as bigint) as row_count from events""",
     "q_stream_late": _select("bronze"),
     "q_stream_silver": _select("silver"),
     "q_stream_silver_shuffled": _select("silver", layers=SKEWED_LAYERS),

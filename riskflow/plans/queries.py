@@ -315,6 +315,19 @@ def stream_bytes(spark, sf_dir):
     return _plain_time(read_table(spark, store.table("bronze"), schemas.BRONZE))
 
 
+def stream_named(spark, sf_dir):
+    """A query with a name of its own, waited for with a time limit."""
+    root = scratch_dir(spark, "stream-named")
+    model.write_feed(spark, sf_dir, f"{root}/feed")
+    store = Store(f"{root}/store")
+    (query,) = layers.start_bronze(spark, f"{root}/feed", store)
+    await_all([query], timeout=3600)
+    return read_table(spark, store.table("bronze"), schemas.BRONZE).agg(
+        F.lit(query.name).alias("query_name"), F.lit(query.isActive).alias("active"),
+        F.count(F.lit(1)).alias("row_count"),
+    )
+
+
 def stream_late(spark, sf_dir):
     """Bronze in two runs, the second over files dated a month back."""
     root = scratch_dir(spark, "stream-late")
@@ -487,6 +500,7 @@ QUERIES = {
     "q_quarantine_rest": quarantine_rest,
     "q_stream_bronze": stream_bronze,
     "q_stream_bytes": stream_bytes,
+    "q_stream_named": stream_named,
     "q_stream_late": stream_late,
     "q_stream_silver": stream_silver,
     "q_stream_silver_shuffled": stream_silver_shuffled,

@@ -57,7 +57,7 @@ if __name__ == "__main__":
     spark.sparkContext.setLogLevel("ERROR")
     folder = f"/root/testdata/sf{sys.argv[1]}"
     con, failed = connect(folder), 0
-    for name in sys.argv[2:] or queries():
+    for name in sys.argv[2:] or oracle_sql():
         start = time.monotonic()
         try:
             problem = compare(spark, con, queries()[name], oracle_sql()[name], folder)
