@@ -107,7 +107,10 @@ def width(spark: SparkSession) -> int:
 def slices(
     batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 4 << 20
 ) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that the texts of each take about ``max_bytes``, one row at least."""
+    """The batches cut so that the texts of each take about ``max_bytes``, one row at least.
+
+    At their end the worker, which waits for its next task, gives unused memory back.
+    """
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         at, n = 0, batch.num_rows
@@ -115,3 +118,4 @@ def slices(
         while at < n:
             yield batch.slice(at, rows)
             at += rows
+    pa.default_memory_pool().release_unused()
