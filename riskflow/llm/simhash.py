@@ -14,7 +14,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskflow.llm.common import hinted, slices, stored
@@ -50,20 +50,33 @@ def simhash(text: bytes, shingle: int) -> int:
     return int(ones.view("<i8")[0])
 
 
+def text_mark(text: Column) -> Column:
+    """SHA-256 of a text, 32 bytes; no bytes for a null text."""
+    return F.coalesce(F.unhex(F.sha2(text, 256)), F.lit(b""))
+
+
 def fingerprints(docs: DataFrame, shingle: int, *, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
-    """doc_id and fingerprint (a long) of every row; a null text counts as empty."""
+                 text_col: str = "text", marked: bool = False) -> DataFrame:
+    """doc_id and fingerprint (a long) of every row; a null text counts as empty.
+
+    ``marked`` adds the text's mark (``text_mark``), which tells apart rows of one id.
+    """
+    keys = {"doc_id": F.col(id_col).cast("long")}
+    if marked:
+        keys["mark"] = text_mark(F.col(text_col))
+    names = list(keys)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             texts = batch.column("text").cast(pa.large_binary()).to_pylist()
             found = pa.array([simhash(t or b"", shingle) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), found], names=["doc_id", "fingerprint"]
+                [*(batch.column(name) for name in names), found], names=[*names, "fingerprint"]
             )
 
     return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
-    ).mapInArrow(run, "doc_id long, fingerprint long")
+        *(key.alias(name) for name, key in keys.items()), F.col(text_col).alias("text")
+    ).mapInArrow(run, "doc_id long, " + "mark binary, " * marked + "fingerprint long")
 
 
 def links(distinct: DataFrame, max_bits: int) -> DataFrame:
@@ -93,8 +106,13 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, max_bits: int = 2,
     its component; an empty table gives no row; other columns are not read.
     """
     prints = stored(fingerprints(docs, shingle, id_col=id_col, text_col=text_col), "fingerprints")
+    return _with_least(prints, F.col("doc_id"), max_bits).withColumnRenamed("least", "component_id")
+
+
+def _with_least(prints: DataFrame, key: Column, max_bits: int) -> DataFrame:
+    """``prints``, a stored table, with the least ``key`` of each row's component as ``least``."""
     groups = stored(prints.groupBy("fingerprint").agg(
-        F.min("doc_id").alias("least"), F.count("*").alias("rows")
+        F.min(key).alias("least"), F.count("*").alias("rows")
     ), "fingerprint-groups")
     # With only exact copies there is no edge, and each fingerprint is its own root.
     roots = components(links(groups.select("fingerprint"), max_bits))
@@ -102,14 +120,14 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, max_bits: int = 2,
         roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left"
     ).select("fingerprint", "least", "rows", F.coalesce("root", "fingerprint").alias("root"))
     rooted = stored(rooted, "fingerprint-roots")
-    lowest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stored(rooted.join(lowest, "root").select("fingerprint", "rows", "component_id"),
+    lowest = rooted.groupBy("root").agg(F.min("least").alias("least"))
+    named = stored(rooted.drop("least").join(lowest, "root").select("fingerprint", "rows", "least"),
                    "fingerprint-components")
     # A fingerprint with a thousandth of all rows is joined by broadcast (a thousand rows at most).
     total = named.agg(F.sum("rows")).first()[0] or 0
     heavy = F.col("rows") * HEAVY_SHARE >= total
-    few = F.broadcast(named.where(heavy).select("fingerprint", "component_id"))
-    many = named.where(~heavy).select("fingerprint", "component_id")
+    few = F.broadcast(named.where(heavy).select("fingerprint", "least"))
+    many = named.where(~heavy).select("fingerprint", "least")
     light = prints.join(few, "fingerprint", "left_anti").join(many, "fingerprint")
     return prints.join(few, "fingerprint").unionByName(light)
 
@@ -118,23 +136,30 @@ def one_per_group(docs: DataFrame, *, shingle: int = 3, max_bits: int = 2,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all columns: of each component that of its smallest id.
 
-    Of repeated rows of that id one stays; of a component without ids one row stays.
+    Rows are told apart by id and text, so null and repeated ids lose no other component's rows. If
+    several texts of a component have its smallest id, or none of its rows has an id, that of the
+    least SHA-256 stays; of rows that repeat id and text, one.
     """
-    found = stored(
-        near_duplicates(docs, shingle=shingle, max_bits=max_bits, id_col=id_col, text_col=text_col),
-        "near-duplicates",
+    prints = stored(
+        fingerprints(docs, shingle, id_col=id_col, text_col=text_col, marked=True), "fingerprints"
     )
-    gone = found.where("doc_id != component_id or (doc_id is null and component_id is not null)")
-    gone = stored(gone.select(F.col("doc_id").alias("__id")).distinct(), "copies")
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
-    kept = docs.join(hinted(gone, MAX_BROADCAST_ROWS), same, "left_anti")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
+    found = stored(_with_least(prints, order, max_bits), "near-duplicates")
+    found = found.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"),
+                         order.eqNullSafe(F.col("least")).alias("stays"))
+    gone = stored(found.where("not stays").select("__id", "__mark").distinct(), "copies")
     again = stored(
-        found.where("doc_id <=> component_id").groupBy(F.col("doc_id").alias("__id")).count()
-        .where("count > 1").select("__id"), "repeated-ids"
-    )
-    if again.isEmpty():
-        return kept
-    again = hinted(again, MAX_BROADCAST_ROWS)
-    return kept.join(again, same, "left_anti").unionByName(
-        kept.join(again, same, "left_semi").dropDuplicates([id_col])
+        found.where("stays").groupBy("__id", "__mark").count().where("count > 1")
+        .select("__id", "__mark"), "repeated-rows"
     )
+    keyed = docs.withColumns({
+        "__doc": F.col(id_col).cast("long"), "__text": text_mark(F.col(text_col)),
+    })
+    same = F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__mark"))
+    kept = keyed.join(hinted(gone, MAX_BROADCAST_ROWS), same, "left_anti")
+    if not again.isEmpty():
+        again = hinted(again, MAX_BROADCAST_ROWS)
+        kept = kept.join(again, same, "left_anti").unionByName(
+            kept.join(again, same, "left_semi").dropDuplicates(["__doc", "__text"])
+        )
+    return kept.drop("__doc", "__text")

@@ -100,3 +100,37 @@ def test_one_row_of_each_group_stays(spark):
     ids = sorted((r["doc_id"] for r in kept.collect()), key=lambda i: (i is None, i))
     assert ids == [1, 2, 5, 6, 7, 8, 10, None]
     assert one_per_group(documents(spark, [])).isEmpty()
+
+
+A = "the river runs past the old mill and on to the sea"
+B = "seven grey lamps were lit above the harbour at night"
+C = "no one had counted the apples in the cellar this year"
+
+
+@pytest.mark.parametrize("rows, want", [
+    # texts without an id, one of them twice
+    ([(None, A), (None, B), (None, B), (4, C)], [(None, A), (None, B), (4, C)]),
+    # a copy without an id beside a text that only a row without an id has
+    ([(1, A), (None, A), (None, B), (None, C)], [(1, A), (None, B), (None, C)]),
+    # one id with two texts, the first a copy of another document's
+    ([(3, A), (7, A), (7, B), (7, B)], [(3, A), (7, B)]),
+    ([(7, A), (7, B), (8, B), (None, None), (9, "")], [(7, A), (7, B), (9, "")]),
+])
+def test_null_and_repeated_ids_lose_no_group(spark, rows, want):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(map(str, map(tuple, one_per_group(docs).collect())))
+    assert found == sorted(map(str, want))
+
+
+def test_a_third_of_rows_without_an_id_stays(spark):
+    docs = spark.range(300).selectExpr(
+        "if(id % 3 = 0, null, id) as doc_id", "sha2(string(id), 512) as text")
+    assert one_per_group(docs).count() == 300
+    twice = docs.union(docs)
+    assert one_per_group(twice).count() == 300
+
+
+def test_one_of_several_texts_with_the_smallest_id_stays(spark):
+    docs = spark.createDataFrame([(7, A), (7, A.upper()), (8, A)], "doc_id long, text string")
+    rows = one_per_group(docs).collect()
+    assert len(rows) == 1 and rows[0].doc_id == 7
