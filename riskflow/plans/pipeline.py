@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -148,12 +150,20 @@ def run_compact(spark: SparkSession, store: Store, before: dt.date) -> None:
         layers.compact(spark, store, name, before)
 
 
-def _changed_dates(spark: SparkSession, path: str, schema, after: dt.datetime) -> Column | None:
-    """A condition on event_date for the dates with files written after a time, None if none.
+def _files(spark: SparkSession, path: str, schema, after: dt.datetime | None) -> DataFrame:
+    """The dates and paths of the files of a table, or of those written after a time."""
+    rows = read_table(spark, path, schema, after)
+    return rows.select("event_date", F.col("_metadata.file_path").alias("file")).distinct()
+
+
+def _changed_dates(files: DataFrame, seen: DataFrame | None) -> Column | None:
+    """A condition on event_date for the dates with files that are not among the seen ones, None
+    if none.
 
     The list has an entry per date at most.
     """
-    rows = read_table(spark, path, schema, after).select("event_date").distinct().collect()
+    new = files if seen is None else files.join(seen, "file", "left_anti")
+    rows = new.select("event_date").distinct().collect()
     if not rows:
         return None
     days = [r[0] for r in rows if r[0] is not None]
@@ -167,19 +177,36 @@ def run_layout(
 ) -> None:
     """Clustered copies of the gold tables, with the daily tables merged to one row per key.
 
-    The first run into a target takes all dates; a later one those that have new files, or those
-    that ``dates`` (a condition on event_date) names, and replaces them there. The partials bound
-    the rows of a merged table from above, and counting them is cheap.
+    The first run into a target takes all dates, also those that ``dates`` leaves out; a later one
+    those that have new files, or those that ``dates`` (a condition on event_date) names, and
+    replaces them there. A run by ``dates`` is no substitute for one by new files and leaves the
+    record of the last such run as it is. The partials bound the rows of a merged table from above,
+    and counting them is cheap.
+
+    As clocks differ, files count as new from ``CLOCK_MARGIN`` before the last run; those of that
+    time which it took are listed with its record, before any table is read.
     """
     started = dt.datetime.now(dt.timezone.utc)
-    done = read_state(spark, store.state("layout"), "target", "started")
+    done = read_state(spark, store.state("layout"), "target", "started", "run")
     again = done.get("target") == target
-    after = dt.datetime.fromisoformat(done["started"]) if again else None
+    record = not again or dates is None
+    after = dt.datetime.fromisoformat(done["started"]) - CLOCK_MARGIN if again else None
+    old = done.get("run") if again else None
+    seen = spark.read.schema("file string").parquet(store.laid_out(old)) if old else None
+    run = uuid.uuid4().hex
+    if record:
+        paths = [(store.table("risk"), schemas.RISK)]
+        paths += [(store.partials(name), daily.schema) for name, daily in layers.DAILY.items()]
+        taken = [_files(spark, path, schema, started - CLOCK_MARGIN).select("file")
+                 for path, schema in paths]
+        reduce(DataFrame.unionByName, taken).write.parquet(store.laid_out(run))
 
     def wanted(path: str, schema) -> tuple[bool, Column | None]:
         if not again:
-            return True, dates
-        found = dates if dates is not None else _changed_dates(spark, path, schema, after)
+            return True, None
+        found = dates
+        if found is None:
+            found = _changed_dates(_files(spark, path, schema, after), seen)
         return found is not None, found
 
     some, which = wanted(store.table("risk"), schemas.RISK)
@@ -193,4 +220,5 @@ def run_layout(
             rows = rows if which is None else rows.where(which)
             write_clustered(daily.merge(rows), f"{target}/{name}", daily.key,
                             file_count(rows, rows_per_file), replace_dates=which is not None)
-    write_state(spark, store.state("layout"), target=target, started=started.isoformat())
+    if record:
+        write_state(spark, store.state("layout"), target=target, started=started.isoformat(), run=run)

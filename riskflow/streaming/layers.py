@@ -68,6 +68,9 @@ class Store:
     def compacted(self, name: str, run: str) -> str:
         return f"{self.root}/compacted/{name}/run={run}"
 
+    def laid_out(self, run: str) -> str:
+        return f"{self.root}/laid_out/run={run}"
+
     def private(self, name: str) -> str:
         if not self.restricted:
             raise ValueError(f"{name} holds clear personal data: name a restricted folder")

@@ -10,6 +10,7 @@ from pathlib import Path
 
 import pytest
 from conftest import BASE_ROW, LOOKUP_ROWS
+from pyspark.sql import functions as F
 
 from riskflow import schemas
 from riskflow.operators import marts, quality
@@ -326,6 +327,28 @@ def test_only_changed_dates_are_laid_out_again(run, tmp_path):
         assert Counter(map(_plain, copy.collect())) == run.rows()[name]
 
 
+def test_a_layout_of_some_dates_is_no_complete_one(run, tmp_path):
+    target = tmp_path / "clustered"
+    third = F.col("event_date") == F.lit(dt.date(2024, 1, 3))
+
+    def whole():
+        for name in ("risk", "spend", "usage"):
+            df = run.tables()[name]
+            copy = read_table(run.spark, str(target / name), df.schema)
+            assert Counter(map(_plain, copy.collect())) == run.rows()[name]
+
+    run.all()
+    run_layout(run.spark, run.store, str(target), dates=third)  # the first takes all dates
+    whole()
+    run.add("d.json", [line(41, amount=4.0), line(42, event_time=day(3))])
+    run.all()
+    for path in Path(run.store.root).rglob("*.parquet"):  # written by a clock ten minutes slow
+        dated(path, 600 / 86_400)
+    run_layout(run.spark, run.store, str(target), dates=third)
+    run_layout(run.spark, run.store, str(target))
+    whole()
+
+
 def test_compaction_of_closed_dates(run):
     run.all()
     want = run.rows()
