@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +21,7 @@ from riskflow.sources.tables import read_table, write_table
 from riskflow.streaming import layers
 from riskflow.streaming.layers import Pace, Store
 from riskflow.streaming.sinks import (
-    await_all, observed, overwrite_batch_json, read_state, write_state,
+    Observed, await_all, overwrite_batch_json, read_state, write_state,
 )
 
 # Files are taken for new if they were written this long before the last run began, as clocks differ.
@@ -33,8 +33,9 @@ def run_bronze(
     keep_corrupt: bool = True, keep_pii: bool = False, card_salt: str | None = None,
     gather_dates: bool = True, timeout: float | None = None, max_file_age: str = MAX_FILE_AGE,
 ) -> dict[str, int | None]:
-    """Take all new files of the feed. Returns the numbers of lines and corrupt lines (None: more
-    batches than the session remembers), which are also written per batch, whatever is kept.
+    """Take all new files of the feed. Returns the numbers of lines and corrupt lines (None with
+    an interval, or if a batch did not tell), which are also written per batch as batches end,
+    whatever is kept.
 
     ``pace`` limits the feed; the report tails the bronze table, whose files are other ones. A
     clean feed is parsed once: the quarantine runs only if corrupt lines were met, or if an
@@ -44,19 +45,17 @@ def run_bronze(
         store.private("quarantine")  # refuses a store without a restricted folder
     pii = layers.start_pii(spark, feed, store, pace, max_file_age) if keep_pii else []
     if pace.interval is not None:
-        queries = pii + start_bronze_layer(
-            spark, feed, store, pace, dq, keep_corrupt, card_salt, gather_dates, max_file_age)
-        await_all(queries, timeout)
+        _await_counted(spark, store, lambda: start_bronze_layer(
+            spark, feed, store, pace, dq, keep_corrupt, card_salt, gather_dates, max_file_age,
+        ), pii, timeout)
         return {"lines": None, "corrupt_lines": None}
     # Marked before the feed is read and cleared when its corrupt lines are known to be kept.
     pending = read_state(spark, store.state("quarantine"), "open").get("open") == "yes"
     if not pending:
         write_state(spark, store.state("quarantine"), open="yes")
-    bronze = layers.start_bronze(spark, feed, store, pace, card_salt, gather_dates, max_file_age)
-    await_all(bronze + pii, timeout)
-    counts = observed(bronze[0], "feed")
-    _write_counts(spark, store, counts or [])
-    corrupt = None if counts is None else sum(c["corrupt_lines"] for c in counts)
+    counts = _await_counted(spark, store, lambda: layers.start_bronze(
+        spark, feed, store, pace, card_salt, gather_dates, max_file_age), pii, timeout)
+    lines, corrupt = counts or (None, None)
     missing = corrupt != 0 or pending
     if missing and keep_corrupt:
         await_all(layers.start_quarantine(spark, feed, store, pace, max_file_age), timeout)
@@ -64,7 +63,6 @@ def run_bronze(
         write_state(spark, store.state("quarantine"), open="no")
     if dq:
         await_all(layers.start_bronze_dq(spark, store, pace.of_tables()), timeout)
-    lines = None if counts is None else sum(c["lines"] for c in counts)
     return {"lines": lines, "corrupt_lines": corrupt}
 
 
@@ -82,11 +80,38 @@ def start_bronze_layer(
     return queries
 
 
-def _write_counts(spark: SparkSession, store: Store, counts: list[dict]) -> None:
-    """A folder per batch under the reports, layer ``feed``; a replay replaces it."""
-    for c in counts:
-        row = spark.createDataFrame([(c["lines"], c["corrupt_lines"])], "lines long, corrupt_lines long")
-        overwrite_batch_json(row.coalesce(1), store.feed_counts(), c["batch_id"])
+def _await_counted(
+    spark: SparkSession, store: Store, start: Callable[[], list[StreamingQuery]],
+    others: list[StreamingQuery], timeout: float | None,
+) -> tuple[int, int] | None:
+    """Start queries, bronze first, and wait; each batch's counts are written after it has ended.
+
+    A folder per batch under the reports, layer ``feed``; a replay replaces it. Returns the sums
+    of lines and corrupt lines, None if a batch's counts did not come.
+    """
+    told, first, last, sums = Observed("feed"), None, None, [0, 0, 0]
+
+    def write() -> None:
+        nonlocal first, last
+        for c in told.take(queries[0]):
+            values = c["lines"], c["corrupt_lines"]
+            row = spark.createDataFrame([values], "lines long, corrupt_lines long")
+            overwrite_batch_json(row.coalesce(1), store.feed_counts(), c["batch_id"])
+            first, last = c["batch_id"] if first is None else first, c["batch_id"]
+            sums[:] = sums[0] + 1, sums[1] + values[0], sums[2] + values[1]
+
+    spark.streams.addListener(told)
+    try:
+        queries = start()
+        try:
+            await_all(queries + others, timeout, write)
+        finally:
+            whole = told.wait(queries[0])
+            write()
+    finally:
+        spark.streams.removeListener(told)
+    whole = whole and (first is None or sums[0] == last - first + 1)
+    return (sums[1], sums[2]) if whole else None
 
 
 def run_silver(

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections import deque
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from riskflow.sources.tables import write_table
 
@@ -81,25 +82,62 @@ def read_state(spark: SparkSession, path: str, *names: str) -> dict[str, str]:
     return rows[0].asDict() if rows else {}
 
 
-def observed(query: StreamingQuery, metric: str) -> list[dict] | None:
-    """Batch id and the values of an observed metric for each batch of this run that is over.
+class Observed(StreamingQueryListener):
+    """Batch id and the values of an observed metric for each batch of a query that is over.
 
-    None if there were more batches than the session remembers
-    (``spark.sql.streaming.numRecentProgressUpdates``).
+    Batches come as they end, however many the session remembers. Add it before the query starts.
     """
-    progress = query.recentProgress
-    kept = int(query._jsq.sparkSession().conf().get("spark.sql.streaming.numRecentProgressUpdates"))
-    if len(progress) >= kept:
-        return None
-    rows = [(p["batchId"], (p["observedMetrics"] or {}).get(metric)) for p in progress]
-    return [{"batch_id": batch_id, **values.asDict()} for batch_id, values in rows if values]
 
+    def __init__(self, metric: str) -> None:
+        self._metric = metric
+        self._came: deque[tuple[str, dict]] = deque()
+        self._ended: set[str] = set()
 
-def await_all(queries: Sequence[StreamingQuery], timeout: float | None = None) -> None:
-    """Wait until all queries end. On an error or at the time limit, stop all and raise."""
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        values = progress.observedMetrics.get(self._metric)
+        if values:
+            self._came.append((str(progress.runId), {"batch_id": progress.batchId, **values.asDict()}))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended.add(str(event.runId))
+
+    def take(self, query: StreamingQuery) -> Iterator[dict]:
+        """What has come of this query since the last call."""
+        while self._came:
+            run, row = self._came.popleft()
+            if run == str(query.runId):
+                yield row
+
+    def wait(self, query: StreamingQuery, seconds: float = 60) -> bool:
+        """Wait until a query that has ended has told of all its batches."""
+        until = time.monotonic() + seconds
+        while str(query.runId) not in self._ended and time.monotonic() < until:
+            time.sleep(0.05)
+        return str(query.runId) in self._ended
+
+
+def await_all(
+    queries: Sequence[StreamingQuery], timeout: float | None = None,
+    meanwhile: Callable[[], None] | None = None,
+) -> None:
+    """Wait until all queries end. On an error or at the time limit, stop all and raise.
+
+    ``meanwhile`` is called about each second.
+    """
     deadline = None if timeout is None else time.monotonic() + timeout
     try:
         for query in queries:
+            while meanwhile and not query.awaitTermination(1):
+                meanwhile()
+                if deadline is not None and time.monotonic() >= deadline:
+                    raise TimeoutError(f"stream {query.name} did not end within {timeout} s")
             if deadline is None:
                 query.awaitTermination()
             elif not query.awaitTermination(max(1, int(deadline - time.monotonic()))):

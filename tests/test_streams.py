@@ -228,6 +228,27 @@ def test_a_clean_feed_is_parsed_once(spark, tmp_path, lookups):
     assert sorted(counts.first()) == [1, 4]
 
 
+def test_counts_of_more_batches_than_are_remembered(run, settings):
+    settings(spark__sql__streaming__numRecentProgressUpdates="2")
+    for name in ("d.json", "e.json"):
+        run.add(name, [line(70), "{cut"])
+
+    def counts():
+        rows = run.spark.read.json(run.store.feed_counts()).collect()
+        return sorted((r.batch_id, r.lines) for r in rows), sum(r.corrupt_lines for r in rows)
+
+    assert run_bronze(run.spark, str(run.feed), run.store, ONE_FILE, dq=False, keep_corrupt=False,
+                      timeout=300) == {"lines": 14, "corrupt_lines": 4}
+    found, corrupt = counts()
+    assert ([b for b, _ in found], sum(n for _, n in found), corrupt) == ([0, 1, 2, 3, 4], 14, 4)
+    for name in ("f.json", "g.json", "h.json"):
+        run.add(name, [line(80)])
+    pace = Pace(max_files=1, interval="1 second")
+    with pytest.raises(TimeoutError):
+        run_bronze(run.spark, str(run.feed), run.store, pace, dq=False, keep_corrupt=False, timeout=12)
+    assert sum(n for _, n in counts()[0]) == 17
+
+
 def test_private_sinks_need_a_restricted_folder(spark, tmp_path):
     store = Store(str(tmp_path / "store"))
     for sink in ({"keep_corrupt": True}, {"keep_corrupt": False, "keep_pii": True}):
