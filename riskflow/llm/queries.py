@@ -101,8 +101,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = pack(table(spark, sf_dir, "documents"), vocabulary_path(), end_id=2, with_ids=False)
-    return packed.drop("ids")
+    packed = pack(table(spark, sf_dir, "documents"), vocabulary_path(), end_id=2)
+    return packed.withColumns({
+        "length": (F.octet_length("ids") / 4).cast("long"), "ids_crc32": F.crc32("ids"),
+    }).drop("ids")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

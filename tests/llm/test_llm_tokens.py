@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from riskflow.llm import queries
 from riskflow.llm.packing import closest_fill, pack, pack_block
 from riskflow.llm.queries import LLM_QUERIES
 from riskflow.llm.token_files import Shard, read_documents, write_token_files
@@ -152,3 +153,15 @@ def test_blocks_hold_every_id_once(lengths):
 def test_long_text_is_encoded_whole(tokenizer):
     ids, _ = WordEncoder(vocabulary_path()).encode(pa.array([LONG]))
     assert ids.tolist() == tokenizer.encode(LONG, add_special_tokens=False).ids
+
+
+def test_query_takes_its_digests_from_the_packed_ids(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(queries, "pack", lambda *a, **k: made.append(pack(*a, **k)) or made[0])
+    found = LLM_QUERIES["op9_packing"](spark, SF_DIR)
+    keys = ["doc_id", "start", "length", "ids_crc32"]
+    packed = made[0]
+    assert packed.where("ids is null or octet_length(ids) != 4 * length").isEmpty()
+    assert found.columns == [c for c in packed.columns if c != "ids"]
+    assert found.dtypes == packed.drop("ids").dtypes
+    assert sorted(found.select(keys).collect()) == sorted(packed.select(keys).collect())
