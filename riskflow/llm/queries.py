@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskflow.llm.alignment import Vocabularies, align, pair_counts
+from riskflow.llm.alignment import scored as alignment_scored
 from riskflow.llm.common import id_remainder, table, with_code
 from riskflow.llm.decontaminate import contamination
 from riskflow.llm.language import train as train_languages
@@ -12,6 +14,7 @@ from riskflow.llm.language import with_languages
 from riskflow.llm.packing import pack
 from riskflow.llm.pii import KINDS, with_spans
 from riskflow.llm.quality import scored as quality_scored
+from riskflow.llm.sharding import sharded
 from riskflow.llm.simhash import near_duplicates
 from riskflow.llm.topk import quantised, top_k
 from riskflow.llm.toxicity import train as train_toxicity
@@ -20,6 +23,7 @@ from riskflow.llm.token_files import read_documents, write_token_files
 from riskflow.llm.tokens import vocabulary_path
 from riskflow.llm.urls import Rule, judged, labelled_by_rules
 from riskflow.llm.urls import train as train_urls
+from riskflow.llm.whitening import whiten
 from riskflow.session import scratch_dir
 
 
@@ -116,9 +120,34 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, model = whiten(table(spark, sf_dir, "embeddings"), components=4)
+    explained = F.array(*[F.lit(float(share)) for share in model.explained])
+    return found.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"),
+        "deviation", "whitened", explained[F.col("at")].alias("explained"),
+        F.lit(model.error).cast("double").alias("identity_error"),
+    )
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded(table(spark, sf_dir, "documents"), 16).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model")
+    aligned, vocab = align(table(spark, sf_dir, "documents"), *paths), Vocabularies.of(*paths)
+    found = alignment_scored(aligned, pair_counts(aligned, vocab), vocab)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return found.withColumn("groups_sha256", digest).drop("groups")
+
+
 LLM_QUERIES = {query.__name__: with_code(query) for query in (
     op1_toxicity, op2_topk, op3_pii, op4_token_files, op5_simhash, op6_language, op7_urls,
-    op8_quality, op9_packing, op10_decontamination,
+    op8_quality, op9_packing, op10_decontamination, op11_whitening, op12_sharding, op13_alignment,
 )}
 WORDS = r"""
     list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
