@@ -65,6 +65,7 @@ def refined(matrix: np.ndarray, start: np.ndarray, depth: int = DEPTH) -> np.nda
     for _ in range(ROUNDS):
         r = unit - x.T @ x
         s = x.T @ matrix @ x
+        s = (s + s.T) / 2  # rounding that differs in s and its transpose would undo orthogonality
         values = np.diag(s) / (1 - np.diag(r))
         rest = s - np.diag(values)
         off = float(np.linalg.norm(rest.astype(float))) + scale * float(np.linalg.norm(r.astype(float)))
