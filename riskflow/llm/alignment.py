@@ -41,7 +41,7 @@ SPACE_MARK = chr(0x2581)
 PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 ODD = re.compile(f"[{SEPARATORS}]")
 JOINS = re.compile(f"[^{WHITE}{SPACE_MARK}][{WHITE}{SPACE_MARK}]")
-KEPT_PIECES = 500_000
+KEPT_PIECES = 300_000
 JOINED_CHARS = 1 << 16
 BATCH_BYTES = 2 << 20
 # Pairs with their counts that every task may hold: about 100 MB.
