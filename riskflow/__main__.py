@@ -10,21 +10,24 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from riskflow.operators.layout import ROWS_PER_FILE
+from riskflow.operators.timelines import VelocityRule
 from riskflow.plans import pipeline
 from riskflow.session import build_session
 from riskflow.sources.feed import MAX_FILE_AGE
 from riskflow.sources.limits import parse_bytes
 from riskflow.sources.lookups import BROADCAST_LIMIT_BYTES, SPECS, load_lookups
-from riskflow.streaming.layers import Pace, Store
+from riskflow.streaming.layers import TIMELINE_DELAY, Pace, Store
+
+STREAMED = ("bronze", "silver", "gold", "timelines")
 
 
 def arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="riskflow", description=__doc__)
     layer = parser.add_subparsers(dest="layer", required=True)
-    for name in ("bronze", "silver", "gold", "dates", "compact", "layout"):
+    for name in ("bronze", "silver", "gold", "timelines", "dates", "compact", "layout"):
         job = layer.add_parser(name)
         job.add_argument("--store", required=True, help="root folder of tables and checkpoints")
-        if name in ("bronze", "silver", "gold"):
+        if name in STREAMED:
             limit = job.add_mutually_exclusive_group()
             limit.add_argument("--max-files", type=int, help="files per micro-batch")
             limit.add_argument("--max-bytes", type=parse_bytes, help="bytes per micro-batch, such as 500g")
@@ -43,6 +46,12 @@ def arguments() -> argparse.Namespace:
             salt = job.add_mutually_exclusive_group()
             salt.add_argument("--card-salt-file", type=Path, help="file with the salt of card hashes")
             salt.add_argument("--card-salt-env", help="environment variable with the salt")
+        if name == "timelines":
+            job.add_argument("--delay", default=TIMELINE_DELAY,
+                             help="how far behind the newest event time a transaction may come")
+            job.add_argument("--window-seconds", type=int, default=VelocityRule.window_seconds)
+            job.add_argument("--limit", type=int, default=VelocityRule.limit,
+                             help="transactions in a window that score 100")
         if name in ("silver", "dates"):
             for spec in SPECS:
                 job.add_argument(f"--{spec.name.replace('_', '-')}", required=True, help="CSV file")
@@ -87,7 +96,7 @@ def main() -> None:
     args = arguments()
     spark = build_session(f"riskflow-{args.layer}")
     store = Store(args.store, getattr(args, "restricted", None))
-    if args.layer in ("bronze", "silver", "gold"):
+    if args.layer in STREAMED:
         pace = Pace(args.max_files, args.max_bytes, args.interval)
     if args.layer == "bronze":
         counts = pipeline.run_bronze(
@@ -106,6 +115,10 @@ def main() -> None:
             pipeline.run_dates(spark, store, lookups, args.target, args.from_date, args.to_date)
     elif args.layer == "gold":
         pipeline.run_gold(spark, store, pace, args.timeout)
+    elif args.layer == "timelines":
+        rule = VelocityRule(args.window_seconds, args.limit,
+                            max(args.window_seconds, VelocityRule.stretch_seconds))
+        pipeline.run_timelines(spark, store, pace, args.timeout, rule, args.delay)
     elif args.layer == "compact":
         pipeline.run_compact(spark, store, args.before)
     else:

@@ -107,6 +107,15 @@ def skewed(df: DataFrame) -> DataFrame:
     )
 
 
+def few_devices(df: DataFrame) -> DataFrame:
+    """Devices of which a user has few, none in some rows, and times cut to two hours."""
+    number = F.col("transaction_id").cast("long")
+    return df.withColumns({
+        "device_id": F.when(number % 11 != 0, F.concat(F.lit("device_"), _text(F.floor(number / 13) % 4))),
+        "event_time": F.timestamp_seconds(F.floor(F.unix_seconds("event_time") / 7200) * 7200),
+    })
+
+
 def large_lookups(spark: SparkSession, sf_dir: str, feed: DataFrame) -> dict[str, Lookup]:
     """The lookups as if all were too large to broadcast, with the frequent keys of the feed."""
     return with_heavy_keys(check_lookups(lookup_frames(spark, sf_dir), broadcast_limit=0), feed)

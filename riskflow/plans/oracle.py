@@ -188,6 +188,36 @@ STREAM_DQ = f"""{FLAWED_LAYERS} select layer, "column", "check", violation_count
   {_counts('bronze', 'raw', BRONZE_REPORT)} union all
   {_counts('silver', 'silver', SILVER_REPORT)})"""
 
+VELOCITY = """
+    transaction_id, user_id, event_time,
+    case when user_id is not null then count(*) over w end as velocity_count,
+    case when user_id is not null then coalesce(round(sum(amount) over w, 4), 0) end as velocity_amount,
+    case when user_id is not null then least(100.0::double, count(*) over w * 100.0::double / 5) end
+      as velocity_score"""
+VELOCITY_WINDOW = """window w as (partition by user_id order by event_time
+    range between interval 1 hour preceding and current row)"""
+
+DEVICES = f"""{SKEWED_LAYERS}, timed as (
+  select transaction_id, user_id, time_bucket(interval 2 hours, event_time) as event_time,
+    case when cast(transaction_id as bigint) % 11 <> 0
+      then concat('device_', cast(cast(transaction_id as bigint) // 13 % 4 as varchar)) end as device_id
+  from bronze),
+lined as (
+  select *, last_value(device_id ignore nulls) over (partition by user_id
+      order by event_time, transaction_id rows between unbounded preceding and 1 preceding) as previous,
+    device_id is not null and row_number() over (partition by user_id, device_id
+      order by event_time, transaction_id) = 1 as is_new
+  from timed)
+select transaction_id, user_id, event_time, device_id,
+  case when user_id is not null then previous end as previous_device,
+  case when user_id is not null then coalesce(device_id <> previous, false) end as device_changed,
+  case when user_id is not null then is_new end as device_is_new
+from lined"""  # a condition may follow
+
+# What a watermark of one hour has passed, of the rows with a user.
+PASSED = """user_id is not null and event_time <= (select date_trunc('millisecond', max(event_time))
+    - interval 1 hour from {table} where user_id is not null)"""
+
 ORACLE = {
     "q_bronze": _select("bronze"),
     "q_pii_copy": _select("raw", "transaction_id, ip_address, card_number"),
@@ -212,6 +242,8 @@ ORACLE = {
     "q_event_dates": _select("bronze", "distinct event_date", "order by event_date"),
     "q_date_slice": _select("silver", rest="where event_date = date '2024-01-15'"),
     "q_schema_diff": SCHEMA_DIFF,
+    "q_velocity": _select("bronze", VELOCITY, VELOCITY_WINDOW, SKEWED_LAYERS),
+    "q_device_change": DEVICES,
     "q_user_spend": _select("spend"),
     "q_product_usage": _select("usage"),
     "q_risk_flag": _select("risk", "transaction_id, is_high_risk_txn"),
@@ -234,6 +266,9 @@ ORACLE = {
     "q_stream_named": """select 'bronze' as query_name, false as active,
         cast(count(*) as bigint) as row_count from events""",
     "q_stream_late": _select("bronze"),
+    "q_stream_velocity": f"""{SKEWED_LAYERS}, measured as (select {VELOCITY} from bronze {VELOCITY_WINDOW})
+        select * from measured where {PASSED.format(table="bronze")}""",
+    "q_stream_devices": f"{DEVICES} where {PASSED.format(table='timed')}",
     "q_stream_silver": _select("silver"),
     "q_stream_silver_shuffled": _select("silver", layers=SKEWED_LAYERS),
     "q_stream_alerts": _select("risk", rest="where is_high_risk_txn"),

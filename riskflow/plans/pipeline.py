@@ -15,9 +15,10 @@ from riskflow import schemas
 from riskflow.operators import marts
 from riskflow.operators.enrich import enrich
 from riskflow.operators.layout import ROWS_PER_FILE, cluster_table, file_count, write_clustered
+from riskflow.operators.timelines import VelocityRule
 from riskflow.sources.feed import MAX_FILE_AGE
 from riskflow.sources.lookups import Lookup, with_heavy_keys
-from riskflow.sources.tables import read_table, write_table
+from riskflow.sources.tables import exists, find_table, read_table, table_or_empty, write_table
 from riskflow.streaming import layers
 from riskflow.streaming.layers import Pace, Store
 from riskflow.streaming.sinks import (
@@ -38,21 +39,25 @@ def run_bronze(
     whatever is kept.
 
     ``pace`` limits the feed; the report tails the bronze table, whose files are other ones. A
-    clean feed is parsed once: the quarantine runs only if corrupt lines were met, or if an
-    earlier run ended before it knew. With an interval all queries start side by side and go on.
+    clean feed is parsed once, also with an interval: the quarantine runs only when corrupt lines
+    were met, or if an earlier run ended before it knew, and takes all files since its last run.
     """
     if keep_corrupt:
         store.private("quarantine")  # refuses a store without a restricted folder
-    pii = layers.start_pii(spark, feed, store, pace, max_file_age) if keep_pii else []
-    if pace.interval is not None:
-        _await_counted(spark, store, lambda: start_bronze_layer(
-            spark, feed, store, pace, dq, keep_corrupt, card_salt, gather_dates, max_file_age,
-        ), pii, timeout)
-        return {"lines": None, "corrupt_lines": None}
     # Marked before the feed is read and cleared when its corrupt lines are known to be kept.
     pending = read_state(spark, store.state("quarantine"), "open").get("open") == "yes"
     if not pending:
         write_state(spark, store.state("quarantine"), open="yes")
+    pii = layers.start_pii(spark, feed, store, pace, max_file_age) if keep_pii else []
+    if pace.interval is not None:  # the mark stays: a stopped run may not know of its last batch
+        once = Pace(pace.max_files, pace.max_bytes)
+        late = _OnDemand(
+            lambda: layers.start_quarantine(spark, feed, store, once, max_file_age), pending,
+        ) if keep_corrupt else None
+        _await_counted(spark, store, lambda: start_bronze_layer(
+            spark, feed, store, pace, dq, False, card_salt, gather_dates, max_file_age,
+        ), pii, timeout, late)
+        return {"lines": None, "corrupt_lines": None}
     counts = _await_counted(spark, store, lambda: layers.start_bronze(
         spark, feed, store, pace, card_salt, gather_dates, max_file_age), pii, timeout)
     lines, corrupt = counts or (None, None)
@@ -80,13 +85,38 @@ def start_bronze_layer(
     return queries
 
 
+class _OnDemand:
+    """Queries that run to their end beside others whenever they are called for."""
+
+    def __init__(self, start: Callable[[], list[StreamingQuery]], due: bool) -> None:
+        self._start, self._due, self._running = start, due, []
+
+    def call(self) -> None:
+        self._due = True
+
+    def look(self) -> None:
+        """Start if due and not running yet; an error in a run is raised here."""
+        for query in self._running:
+            if query.isActive:
+                return
+            query.awaitTermination()
+        self._running = []
+        if self._due:
+            self._due, self._running = False, self._start()
+
+    def stop(self) -> None:
+        for query in self._running:
+            if query.isActive:
+                query.stop()
+
+
 def _await_counted(
     spark: SparkSession, store: Store, start: Callable[[], list[StreamingQuery]],
-    others: list[StreamingQuery], timeout: float | None,
+    others: list[StreamingQuery], timeout: float | None, on_corrupt: _OnDemand | None = None,
 ) -> tuple[int, int] | None:
     """Start queries, bronze first, and wait; each batch's counts are written after it has ended.
 
-    A folder per batch under the reports, layer ``feed``; a replay replaces it. Returns the sums
+    ``on_corrupt`` is called for by a batch with corrupt lines. A folder per batch under the reports, layer ``feed``; a replay replaces it. Returns the sums
     of lines and corrupt lines, None if a batch's counts did not come.
     """
     told, first, last, sums = Observed("feed"), None, None, [0, 0, 0]
@@ -99,6 +129,10 @@ def _await_counted(
             overwrite_batch_json(row.coalesce(1), store.feed_counts(), c["batch_id"])
             first, last = c["batch_id"] if first is None else first, c["batch_id"]
             sums[:] = sums[0] + 1, sums[1] + values[0], sums[2] + values[1]
+            if on_corrupt and values[1]:
+                on_corrupt.call()
+        if on_corrupt:
+            on_corrupt.look()
 
     spark.streams.addListener(told)
     try:
@@ -110,6 +144,8 @@ def _await_counted(
             write()
     finally:
         spark.streams.removeListener(told)
+        if on_corrupt:
+            on_corrupt.stop()
     whole = whole and (first is None or sums[0] == last - first + 1)
     return (sums[1], sums[2]) if whole else None
 
@@ -121,17 +157,21 @@ def run_silver(
     """Lookups beyond the broadcast bound first get the frequent keys of what is to be joined.
 
     That is looked for in the bronze files written since the last run began, so old rows cannot
-    outweigh a key that is frequent only now. ``since`` leaves out earlier dates.
+    outweigh a key that is frequent only now. ``since`` leaves out earlier dates. A query kept
+    running by an interval keeps the keys it began with, as it keeps its lookups; start it anew to
+    look again. The bronze table may be without files yet, and then no key is frequent.
     """
     started = dt.datetime.now(dt.timezone.utc)
-    last = read_state(spark, store.state("silver"), "started").get("started")
-    after = dt.datetime.fromisoformat(last) - CLOCK_MARGIN if last else None
-    bronze = read_table(spark, store.table("bronze"), schemas.BRONZE, after)
-    if since is not None:
-        bronze = bronze.where(F.col("event_date") >= F.lit(since))
-    lookups = with_heavy_keys(lookups, bronze)
+    if any(not lookup.broadcast for lookup in lookups.values()):
+        last = read_state(spark, store.state("silver"), "started").get("started")
+        after = dt.datetime.fromisoformat(last) - CLOCK_MARGIN if last else None
+        bronze = table_or_empty(spark, store.table("bronze"), schemas.BRONZE, after)
+        if since is not None:
+            bronze = bronze.where(F.col("event_date") >= F.lit(since))
+        lookups = with_heavy_keys(lookups, bronze)
     if pace.interval is not None:
         queries = layers.start_silver(spark, store, lookups, pace)
+        write_state(spark, store.state("silver"), started=started.isoformat())
         await_all(queries + (layers.start_silver_dq(spark, store, pace.of_tables()) if dq else []), timeout)
         return
     await_all(layers.start_silver(spark, store, lookups, pace), timeout)
@@ -148,6 +188,20 @@ def run_gold(
     await_all([q for name in wanted for q in start[name](spark, store, pace)], timeout)
 
 
+def run_timelines(
+    spark: SparkSession, store: Store, pace: Pace = Pace(), timeout: float | None = None,
+    rule: VelocityRule = VelocityRule(), delay: str = layers.TIMELINE_DELAY,
+    wanted: tuple[str, ...] = ("velocity", "devices"),
+) -> None:
+    """Velocity and changes of device of the bronze transactions, each written once final.
+
+    A transaction that comes more than ``delay`` behind the newest event time is on no timeline.
+    """
+    queries = layers.start_velocity(spark, store, pace, rule, delay) if "velocity" in wanted else []
+    queries += layers.start_devices(spark, store, pace, delay) if "devices" in wanted else []
+    await_all(queries, timeout)
+
+
 def run_dates(
     spark: SparkSession, store: Store, lookups: Mapping[str, Lookup], target: str,
     first: dt.date, last: dt.date,
@@ -177,7 +231,9 @@ def run_compact(spark: SparkSession, store: Store, before: dt.date) -> None:
 
 def _files(spark: SparkSession, path: str, schema, after: dt.datetime | None) -> DataFrame:
     """The dates and paths of the files of a table, or of those written after a time."""
-    rows = read_table(spark, path, schema, after)
+    rows = find_table(spark, path, schema, after)
+    if rows is None:
+        return spark.createDataFrame([], "event_date date, file string")
     return rows.select("event_date", F.col("_metadata.file_path").alias("file")).distinct()
 
 
@@ -202,6 +258,7 @@ def run_layout(
 ) -> None:
     """Clustered copies of the gold tables, with the daily tables merged to one row per key.
 
+    A table that does not exist yet is left out, and taken whole by the first run that finds it.
     The first run into a target takes all dates, also those that ``dates`` leaves out; a later one
     those that have new files, or those that ``dates`` (a condition on event_date) names, and
     replaces them there. A run by ``dates`` is no substitute for one by new files and leaves the
@@ -226,20 +283,22 @@ def run_layout(
                  for path, schema in paths]
         reduce(DataFrame.unionByName, taken).write.parquet(store.laid_out(run))
 
-    def wanted(path: str, schema) -> tuple[bool, Column | None]:
-        if not again:
+    def wanted(name: str, path: str, schema) -> tuple[bool, Column | None]:
+        if find_table(spark, path, schema) is None:
+            return False, None
+        if not again or not exists(spark, f"{target}/{name}"):
             return True, None
         found = dates
         if found is None:
             found = _changed_dates(_files(spark, path, schema, after), seen)
         return found is not None, found
 
-    some, which = wanted(store.table("risk"), schemas.RISK)
+    some, which = wanted("risk", store.table("risk"), schemas.RISK)
     if some:
         cluster_table(spark, store.table("risk"), f"{target}/risk", schemas.RISK, "user_id",
                       rows_per_file, which)
     for name, daily in layers.DAILY.items():
-        some, which = wanted(store.partials(name), daily.schema)
+        some, which = wanted(name, store.partials(name), daily.schema)
         if some:
             rows = layers.partials(spark, store, name)
             rows = rows if which is None else rows.where(which)

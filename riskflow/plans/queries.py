@@ -13,6 +13,7 @@ from riskflow.operators import marts, quality
 from riskflow.operators.bronze import pii_copy, to_bronze
 from riskflow.operators.enrich import enrich
 from riskflow.operators.layout import cluster_table, file_count, write_clustered
+from riskflow.operators.timelines import VelocityRule, device_changes, velocity
 from riskflow.operators.validation import schema_diff
 from riskflow.plans import model, pipeline
 from riskflow.session import scratch_dir
@@ -29,6 +30,7 @@ SLICE_DAY = dt.date(2024, 1, 15)
 LAST_DAY = dt.date(2024, 1, 17)
 RESCALED_HIGH_RISK = 7.0
 MICRO_BATCHES = 3
+TIME_CUTS = (dt.datetime(2024, 1, 11, 5, 30), dt.datetime(2024, 1, 20, 12))
 BATCH_BYTES = "2m"
 
 
@@ -171,6 +173,33 @@ def schema_mismatches(spark, sf_dir):
     return reports[0].unionByName(reports[1])
 
 
+# Timelines
+
+
+VELOCITY = VelocityRule(window_seconds=3600, limit=5, stretch_seconds=6 * 3600)
+
+
+def _skewed_bronze(spark, sf_dir):
+    """Bronze with one user in a third of its rows and none in a tenth."""
+    return to_bronze(model.skewed(model.raw(spark, sf_dir)))
+
+
+def user_velocity(spark, sf_dir):
+    found = velocity(_skewed_bronze(spark, sf_dir), VELOCITY)
+    return _plain_time(found.select(*VELOCITY_COLUMNS))
+
+
+VELOCITY_COLUMNS = ("transaction_id", "user_id", "event_time", "velocity_count", "velocity_amount",
+                    "velocity_score")
+DEVICE_COLUMNS = ("transaction_id", "user_id", "event_time", "device_id", "previous_device",
+                  "device_changed", "device_is_new")
+
+
+def device_change(spark, sf_dir):
+    """On a feed with few devices, times of which many are equal, and rows without a device."""
+    return _plain_time(device_changes(model.few_devices(_skewed_bronze(spark, sf_dir))).select(*DEVICE_COLUMNS))
+
+
 # Gold
 
 
@@ -342,6 +371,40 @@ def stream_late(spark, sf_dir):
     return _plain_time(read_table(spark, store.table("bronze"), schemas.BRONZE))
 
 
+def _in_order_of_time(spark, sf_dir, label, change, follow):
+    """Bronze in three runs, each over a third of the feed's time, ``follow`` after each of them."""
+    root = scratch_dir(spark, label)
+    store = Store(f"{root}/store")
+    for number, (first, last) in enumerate(zip((None, *TIME_CUTS), (*TIME_CUTS, None))):
+        def part(rows, first=first, last=last):
+            rows, time = change(rows), F.col("event_time")
+            rows = rows if first is None else rows.where(time >= F.lit(first))
+            return rows if last is None else rows.where(time < F.lit(last))
+
+        model.write_feed(spark, sf_dir, f"{root}/part{number}", change=part)
+        model.move_files(spark, f"{root}/part{number}", f"{root}/feed", f"part{number}", 0)
+        pipeline.run_bronze(spark, f"{root}/feed", store, dq=False, keep_corrupt=False)
+        follow(store)
+    return store
+
+
+def stream_velocity(spark, sf_dir):
+    """What the watermark has passed, after three runs that go on with the state of the last."""
+    store = _in_order_of_time(
+        spark, sf_dir, "stream-velocity", model.skewed,
+        lambda store: pipeline.run_timelines(spark, store, rule=VELOCITY, wanted=("velocity",)))
+    found = read_table(spark, store.table("velocity"), schemas.VELOCITY)
+    return _plain_time(found.select(*VELOCITY_COLUMNS))
+
+
+def stream_devices(spark, sf_dir):
+    store = _in_order_of_time(
+        spark, sf_dir, "stream-devices", lambda rows: model.few_devices(model.skewed(rows)),
+        lambda store: pipeline.run_timelines(spark, store, wanted=("devices",)))
+    found = read_table(spark, store.table("devices"), schemas.DEVICES)
+    return _plain_time(found.select(*DEVICE_COLUMNS))
+
+
 def stream_silver_shuffled(spark, sf_dir):
     """Silver with all lookups joined by shuffle, on a feed with a hot user."""
     store = _run(spark, sf_dir, "stream-shuffled", silver=True, change=model.skewed,
@@ -482,6 +545,8 @@ QUERIES = {
     "q_event_dates": event_date_list,
     "q_date_slice": day_slice,
     "q_schema_diff": schema_mismatches,
+    "q_velocity": user_velocity,
+    "q_device_change": device_change,
     "q_user_spend": user_spend,
     "q_product_usage": product_usage,
     "q_risk_flag": risk_flag,
@@ -502,6 +567,8 @@ QUERIES = {
     "q_stream_bytes": stream_bytes,
     "q_stream_named": stream_named,
     "q_stream_late": stream_late,
+    "q_stream_velocity": stream_velocity,
+    "q_stream_devices": stream_devices,
     "q_stream_silver": stream_silver,
     "q_stream_silver_shuffled": stream_silver_shuffled,
     "q_stream_alerts": stream_alerts,

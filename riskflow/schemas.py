@@ -59,3 +59,12 @@ SPEND_PARTIAL = _struct("user_id string, spent_sum double, batch_id long, event_
 USAGE_PARTIAL = _struct(
     "product_id string, ratio_sum double, ratio_count long, batch_id long, event_date date"
 )
+
+VELOCITY = _struct("""
+    transaction_id string, user_id string, event_time timestamp, velocity_count long,
+    velocity_amount double, velocity_score double, event_date date
+""")
+DEVICES = _struct("""
+    transaction_id string, user_id string, event_time timestamp, device_id string,
+    previous_device string, device_changed boolean, device_is_new boolean, event_date date
+""")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import functools
 import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -29,6 +31,20 @@ def build_session(app_name: str = "riskflow", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+@functools.lru_cache(maxsize=1)
+def _package_archive() -> str:
+    base = f"{tempfile.mkdtemp(prefix='riskflow-code-')}/riskflow-code"
+    return shutil.make_archive(base, "zip", Path(__file__).resolve().parents[1], "riskflow")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the code of this package to the Python workers, once, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if not getattr(context, "_riskflow_shipped", False):
+        context.addPyFile(_package_archive())
+        context._riskflow_shipped = True
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder name under the shared folder that the session names in spark.checkpoint.dir.
 

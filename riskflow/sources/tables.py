@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +35,30 @@ def read_table(
     return reader.parquet(path).select(*schema.names)
 
 
+def find_table(
+    spark: SparkSession, path: str, schema: T.StructType, modified_after: dt.datetime | None = None
+) -> DataFrame | None:
+    """The same, None for a table that no job has written to yet."""
+    try:
+        return read_table(spark, path, schema, modified_after)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def table_or_empty(
+    spark: SparkSession, path: str, schema: T.StructType, modified_after: dt.datetime | None = None
+) -> DataFrame:
+    found = find_table(spark, path, schema, modified_after)
+    return spark.createDataFrame([], schema) if found is None else found
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
+
+
 def stream_table(
     spark: SparkSession,
     path: str,

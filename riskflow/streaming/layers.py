@@ -21,17 +21,22 @@ from riskflow import schemas
 from riskflow.operators import marts, quality
 from riskflow.operators.bronze import pii_copy, to_bronze
 from riskflow.operators.enrich import enrich
+from riskflow.operators.timelines import VelocityRule
 from riskflow.operators.validation import require_schema
 from riskflow.sources.feed import MAX_FILE_AGE, corrupt_rows, counted, good_rows, stream_feed
 from riskflow.sources.limits import parse_bytes
 from riskflow.sources.lookups import Lookup
 from riskflow.sources.tables import (
-    by_date, read_table, require_adaptive, stream_table, write_table,
+    by_date, exists, read_table, require_adaptive, stream_table, table_or_empty, write_table,
 )
 from riskflow.streaming.sinks import (
     overwrite_batch_json, overwrite_batch_table, read_state, start_batch_sink, start_table_sink,
     write_state,
 )
+from riskflow.streaming.timelines import stream_device_changes, stream_velocity
+
+# How far behind the newest event time a transaction may come and still be on its timeline.
+TIMELINE_DELAY = "1 hour"
 
 
 @dataclass(frozen=True)
@@ -201,6 +206,27 @@ def start_usage(spark: SparkSession, store: Store, pace: Pace = Pace()) -> list[
     )]
 
 
+def start_velocity(
+    spark: SparkSession, store: Store, pace: Pace = Pace(), rule: VelocityRule = VelocityRule(),
+    delay: str = TIMELINE_DELAY,
+) -> list[StreamingQuery]:
+    """Velocity of bronze transactions, written once final."""
+    return [start_table_sink(
+        stream_velocity(_bronze(spark, store, pace), rule, delay), store.table("velocity"),
+        store.checkpoint("velocity"), "velocity", interval=pace.interval,
+    )]
+
+
+def start_devices(
+    spark: SparkSession, store: Store, pace: Pace = Pace(), delay: str = TIMELINE_DELAY,
+) -> list[StreamingQuery]:
+    """Changes of device of bronze transactions, written once final."""
+    return [start_table_sink(
+        stream_device_changes(_bronze(spark, store, pace), delay), store.table("devices"),
+        store.checkpoint("devices"), "devices", interval=pace.interval,
+    )]
+
+
 @dataclass(frozen=True)
 class Daily:
     """A daily table: its partials' columns, how they fold, what they read as, and their key."""
@@ -217,11 +243,18 @@ DAILY = {
 }
 
 
-def partials(spark: SparkSession, store: Store, name: str) -> DataFrame:
-    """What batches added to a daily table, with closed dates folded as far as they were."""
+def partials(
+    spark: SparkSession, store: Store, name: str, until: int | None = None
+) -> DataFrame:
+    """What batches added to a daily table, with closed dates folded as far as they were.
+
+    ``until`` leaves out batches after that one, whenever they come.
+    """
     daily = DAILY[name]
-    rows = read_table(spark, store.partials(name), daily.schema)
-    done = read_state(spark, store.state(f"compacted-{name}"), "run", "batch_id", "before")
+    rows = table_or_empty(spark, store.partials(name), daily.schema)
+    if until is not None:
+        rows = rows.where(F.col("batch_id") <= until)
+    done = _compacted(spark, store, name)
     if not done:
         return rows
     folded = (F.col("batch_id") <= int(done["batch_id"])) & (
@@ -231,17 +264,35 @@ def partials(spark: SparkSession, store: Store, name: str) -> DataFrame:
     return rows.where(~F.coalesce(folded, F.lit(False))).unionByName(old)
 
 
+def _compacted(spark: SparkSession, store: Store, name: str) -> dict[str, str]:
+    return read_state(spark, store.state(f"compacted-{name}"), "run", "batch_id", "before")
+
+
+def _last_batch(spark: SparkSession, store: Store, name: str) -> int | None:
+    """The last batch whose partials are whole: one that is being written has no success mark."""
+    rows = table_or_empty(spark, store.partials(name), DAILY[name].schema)
+    last = rows.agg(F.max("batch_id")).first()[0]
+    if last is None or exists(spark, f"{store.partials(name)}/batch_id={last}/_SUCCESS"):
+        return last
+    return rows.where(F.col("batch_id") < last).agg(F.max("batch_id")).first()[0]
+
+
 def compact(spark: SparkSession, store: Store, name: str, before: dt.date) -> None:
     """Fold the partials of the dates before ``before`` into one row per key and date.
 
-    The folded copy is written first and becomes the one that is read with the small record of
-    this run; batches of these dates that come later are added as ever. Folders of earlier runs
-    and the folded partials may be removed when no reader uses them.
+    It may run beside the query that writes them: what is folded is fixed first, all whole batches
+    up to the last one, and batches that end meanwhile are added as ever when the table is read.
+    The folded copy is written and becomes the one that is read with the small record of this run.
+    A record never goes back behind an earlier one, neither in batches nor in dates. Folders of
+    earlier runs and the folded partials may be removed when no reader uses them.
     """
-    last = read_table(spark, store.partials(name), DAILY[name].schema).agg(F.max("batch_id")).first()[0]
+    last, done = _last_batch(spark, store, name), _compacted(spark, store, name)
+    if done:
+        last = max(int(done["batch_id"]), -1 if last is None else last)
+        before = max(before, dt.date.fromisoformat(done["before"]))
     if last is None:
         return
-    closed = partials(spark, store, name).where(F.col("event_date") < F.lit(before))
+    closed = partials(spark, store, name, last).where(F.col("event_date") < F.lit(before))
     run = uuid.uuid4().hex
     folded = DAILY[name].fold(closed).withColumn("batch_id", F.lit(last).cast("long"))
     write_table(folded, store.compacted(name, run))
@@ -269,6 +320,12 @@ def read_dq(spark: SparkSession, store: Store) -> DataFrame:
     )
 
 
+def _bronze(spark: SparkSession, store: Store, pace: Pace) -> DataFrame:
+    return stream_table(
+        spark, store.table("bronze"), schemas.BRONZE, pace.max_files, pace.max_bytes
+    )
+
+
 def _silver(spark: SparkSession, store: Store, pace: Pace) -> DataFrame:
     return stream_table(
         spark, store.table("silver"), schemas.SILVER, pace.max_files, pace.max_bytes

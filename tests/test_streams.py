@@ -4,6 +4,8 @@ import contextlib
 import datetime as dt
 import json
 import os
+import shutil
+import threading
 import time
 from collections import Counter
 from pathlib import Path
@@ -26,7 +28,9 @@ from riskflow.sources.lookups import SPEC_BY_NAME, check_lookups
 from riskflow.sources.tables import date_slice, event_dates, read_table, stream_table
 from riskflow.streaming import layers
 from riskflow.streaming.layers import Pace, Store
-from riskflow.streaming.sinks import await_all, start_batch_sink, start_table_sink
+from riskflow.streaming.sinks import (
+    await_all, overwrite_batch_table, start_batch_sink, start_table_sink,
+)
 
 ONE_FILE = Pace(max_files=1)
 THREE_FILES = Pace(max_files=3)
@@ -454,3 +458,122 @@ def test_time_limit(run):
     with pytest.raises(TimeoutError, match="bronze"):
         await_all([query], 2)
     assert not query.isActive
+
+
+def test_a_batch_that_commits_during_a_compaction_counts_once(run, monkeypatch):
+    """The batch comes after the last one was looked up and before the partials are listed."""
+    run.all()
+    late = run.spark.createDataFrame([("u1", 11.0, dt.date(2024, 1, 2))], "user_id string, spent_sum double, event_date date")
+    usage = run.spark.createDataFrame([("p1", 1.5, 1, dt.date(2024, 1, 2))],
+                                      "product_id string, ratio_sum double, ratio_count long, event_date date")
+
+    def spend():
+        return {(r.user_id, r.event_date): r.Total_spent_per_user for r in layers.read_spend(run.spark, run.store).collect()}
+
+    def counts():
+        return {(r.product_id, r.event_date): r.ratio_count for r in layers.partials(run.spark, run.store, "usage")
+                .groupBy("product_id", "event_date").agg(F.sum("ratio_count").alias("ratio_count")).collect()}
+
+    key, product = ("u1", dt.date(2024, 1, 2)), ("p1", dt.date(2024, 1, 2))
+    before, counted = spend(), counts()
+    listed = layers.partials
+
+    def meanwhile(spark, store, name, until=None):
+        if until is not None:
+            df = late if name == "spend" else usage
+            overwrite_batch_table(df, store.partials(name), until + 1)
+        return listed(spark, store, name, until)
+
+    monkeypatch.setattr(layers, "partials", meanwhile)
+    run_compact(run.spark, run.store, dt.date(2024, 1, 4))
+    monkeypatch.undo()
+    for _ in range(2):  # the second compaction folds the late batch
+        assert spend() == {**before, key: before[key] + 11.0}
+        assert counts() == {**counted, product: counted[product] + 1}
+        run_compact(run.spark, run.store, dt.date(2024, 1, 4))
+    # Neither an earlier date nor removed partials take a compaction back.
+    run_compact(run.spark, run.store, dt.date(2024, 1, 2))
+    shutil.rmtree(run.store.partials("spend"))
+    run_compact(run.spark, run.store, dt.date(2024, 1, 4))
+    assert {k: v for k, v in spend().items() if k[1]} == {k: v for k, v in {**before, key: before[key] + 11.0}.items() if k[1]}
+
+
+def test_a_batch_without_its_success_mark_is_not_folded(run):
+    run.all()
+    want = run.rows()
+    last = max(Path(run.store.partials("spend")).glob("batch_id=*"), key=lambda p: int(p.name[9:]))
+    (last / "_SUCCESS").rename(last / "_moved")
+    run_compact(run.spark, run.store, dt.date(2024, 1, 4))
+    done = json.loads(next(Path(run.store.state("compacted-spend")).glob("part-*")).read_text())
+    assert int(done["batch_id"]) == int(last.name[9:]) - 1
+    assert run.rows() == want
+
+
+def test_layers_start_in_any_order_on_an_empty_store(run, lookup_frames):
+    """Gold and silver before bronze, with broadcast and shuffled lookups, all kept running."""
+    pace = Pace(max_files=1, interval="1 second")
+    want = run.batch_rows()
+    jobs = [
+        lambda: run_gold(run.spark, run.store, pace, timeout=300),
+        lambda: run_silver(run.spark, run.store, check_lookups(lookup_frames, broadcast_limit=0), pace, timeout=300),
+        lambda: run_bronze(run.spark, str(run.feed), run.store, pace, timeout=300),
+    ]
+    errors = []
+
+    def keep(job):
+        try:
+            job()
+        except Exception as error:  # stopped by the test, or told below
+            errors.append(error)
+
+    threads = [threading.Thread(target=keep, args=(job,)) for job in jobs]
+    for thread in threads:
+        thread.start()
+        time.sleep(3)
+    until = time.monotonic() + 240
+    while time.monotonic() < until and not errors:
+        with contextlib.suppress(Exception):  # tables that are not there yet
+            if run.rows() == want:
+                break
+        time.sleep(1)
+    quarantine = run.spark.read.schema(schemas.QUARANTINE).json(run.store.private("quarantine"))
+    while time.monotonic() < until and quarantine.count() < 2:
+        time.sleep(1)
+    names, failed = {q.name for q in run.spark.streams.active}, list(errors)
+    for query in run.spark.streams.active:
+        with contextlib.suppress(Exception):  # a batch that is cut off may tell so
+            query.stop()
+    for thread in threads:
+        thread.join(120)
+    assert not failed, failed
+    assert {"bronze", "silver", "risk", "spend", "usage"} <= names
+    assert run.rows() == want
+    assert quarantine.count() == 2
+
+
+def test_a_clean_feed_is_parsed_once_with_an_interval(run):
+    for name in FILES:
+        (run.feed / name).unlink()
+    run.add("z.json", [line(1), line(2)])
+    with pytest.raises(TimeoutError):
+        run_bronze(run.spark, str(run.feed), run.store, Pace(interval="1 second"), dq=False, timeout=12)
+    assert not Path(run.store.private("quarantine")).exists()
+    assert not Path(run.store.checkpoint("quarantine")).exists()
+    assert read_table(run.spark, run.store.table("bronze"), schemas.BRONZE).count() == 2
+
+
+def test_layout_takes_the_tables_that_exist(run, tmp_path):
+    target = tmp_path / "clustered"
+    run_layout(run.spark, run.store, str(target))  # none yet
+    assert not target.exists()
+    run_bronze(run.spark, str(run.feed), run.store, ONE_FILE, timeout=300)
+    run_silver(run.spark, run.store, run.lookups, THREE_FILES, timeout=300)
+    run_gold(run.spark, run.store, THREE_FILES, timeout=300, wanted=("usage",))
+    run_layout(run.spark, run.store, str(target))
+    assert {p.name for p in target.iterdir()} == {"usage"}
+    run_gold(run.spark, run.store, THREE_FILES, timeout=300)
+    run_layout(run.spark, run.store, str(target))
+    for name in ("risk", "spend", "usage"):
+        df = run.tables()[name]
+        copy = read_table(run.spark, str(target / name), df.schema)
+        assert Counter(map(_plain, copy.collect())) == run.rows()[name]
