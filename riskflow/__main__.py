@@ -5,15 +5,17 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import os
+import uuid
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from riskflow.operators.geo import load_places, read_ranges
 from riskflow.operators.layout import ROWS_PER_FILE
 from riskflow.operators.timelines import VelocityRule
 from riskflow.plans import pipeline
 from riskflow.session import build_session
-from riskflow.sources.feed import MAX_FILE_AGE
+from riskflow.sources.feed import MAX_FILE_AGE, good_rows, read_feed
 from riskflow.sources.limits import parse_bytes
 from riskflow.sources.lookups import BROADCAST_LIMIT_BYTES, SPECS, load_lookups
 from riskflow.streaming.layers import TIMELINE_DELAY, Pace, Store
@@ -43,6 +45,11 @@ def arguments() -> argparse.Namespace:
                              help="the feed's files hold one date each: write without a shuffle")
             job.add_argument("--max-file-age", default=MAX_FILE_AGE,
                              help="leave out files older than the newest by more than this")
+            job.add_argument("--audit", action="store_true",
+                             help="keep the source of each row, and a table of all lines' sources")
+            job.add_argument("--repeats-within",
+                             help="a transaction sent again within this time, such as '2 days', lands once")
+            job.add_argument("--geo", help="CSV file of address ranges: network,geo_country,geo_region")
             salt = job.add_mutually_exclusive_group()
             salt.add_argument("--card-salt-file", type=Path, help="file with the salt of card hashes")
             salt.add_argument("--card-salt-env", help="environment variable with the salt")
@@ -99,11 +106,16 @@ def main() -> None:
     if args.layer in STREAMED:
         pace = Pace(args.max_files, args.max_bytes, args.interval)
     if args.layer == "bronze":
+        places = None
+        if args.geo:
+            places = load_places(read_ranges(spark, args.geo), store.segments(uuid.uuid4().hex),
+                                 feed=good_rows(read_feed(spark, args.feed)))
         counts = pipeline.run_bronze(
             spark, args.feed, store, pace, keep_corrupt=not args.no_quarantine,
             keep_pii=args.keep_pii, card_salt=card_salt(args),
             gather_dates=not args.one_date_files, timeout=args.timeout,
-            max_file_age=args.max_file_age,
+            max_file_age=args.max_file_age, places=places, audit=args.audit,
+            repeats_within=args.repeats_within,
         )
         print(f"lines {counts['lines']}, corrupt {counts['corrupt_lines']}")
     elif args.layer in ("silver", "dates"):

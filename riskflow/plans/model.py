@@ -177,6 +177,32 @@ def _ip_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges of addresses of many lengths that overlap: a wide one, some of each nation within it,
+    some of customers within these and across their borders, and some given twice."""
+    nation = table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("10.0."), _text(F.col("n_nationkey") * 8), F.lit(".0/21")).alias("network"),
+        F.col("n_name").alias("geo_country"), F.lit("nation").alias("geo_region"))
+    key = F.col("c_custkey")
+    customer = table(spark, sf_dir, "customer").where(key % 3 != 0).select(
+        F.concat(_ip_text(key % 255, key % 4), F.lit("-"), _ip_text(key % 255 + key % 2, key % 4 + key % 5))
+        .alias("network"),
+        F.concat(F.lit("customer-"), _text(key)).alias("geo_country"),
+        F.col("c_mktsegment").alias("geo_region"))
+    wide = spark.sql("select '10.0.64.0-10.0.191.255' as network, 'wide' as geo_country, "
+                     "cast(null as string) as geo_region")
+    return nation.unionByName(customer).unionByName(wide)
+
+
+def odd_addresses(df: DataFrame) -> DataFrame:
+    """The feed with some addresses that are no IPv4 ones, and one address in a third of the rows."""
+    number = F.col("transaction_id").cast("long")
+    return df.withColumn(
+        "ip_address", F.when(number % 31 == 0, None).when(number % 37 == 0, "10.0.0.256")
+        .when(number % 41 == 0, "2001:db8::1").when(number % 43 == 0, F.concat("ip_address", F.lit("\n")))
+        .when(number % 3 == 0, "10.0.65.3").otherwise(F.col("ip_address")))
+
+
 def write_feed(
     spark: SparkSession, sf_dir: str, path: str, broken: bool = False, change=lambda rows: rows
 ) -> int:

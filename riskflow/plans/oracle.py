@@ -218,6 +218,42 @@ from lined"""  # a condition may follow
 PASSED = """user_id is not null and event_time <= (select date_trunc('millisecond', max(event_time))
     - interval 1 hour from {table} where user_id is not null)"""
 
+ODD_ADDRESSES = """
+  case when event_id % 31 = 0 then null when event_id % 37 = 0 then '10.0.0.256'
+    when event_id % 41 = 0 then '2001:db8::1'
+    when event_id % 43 = 0 then concat('10.0.', user_id % 256, '.', event_id % 8, chr(10))
+    when event_id % 3 = 0 then '10.0.65.3'
+    else concat('10.0.', user_id % 256, '.', event_id % 8) end"""
+
+GEO = f"""
+with odd as (select cast(event_id as varchar) as transaction_id, {ODD_ADDRESSES} as ip from events),
+numbered as (
+  select transaction_id, sha256(ip) as hash_ip,
+    case when regexp_full_match(ip, '10\.0\.[0-9]+\.[0-9]+')
+        and cast(split_part(ip, '.', 4) as integer) <= 255
+      then cast(split_part(ip, '.', 3) as integer) * 256 + cast(split_part(ip, '.', 4) as integer) end as n
+  from odd),
+ranges as (
+  select n_nationkey * 2048 as first, n_nationkey * 2048 + 2047 as last, n_name as geo_country,
+    'nation' as geo_region from nation
+  union all select c_custkey % 255 * 256 + c_custkey % 4,
+    (c_custkey % 255 + c_custkey % 2) * 256 + c_custkey % 4 + c_custkey % 5,
+    concat('customer-', c_custkey), c_mktsegment from customer where c_custkey % 3 <> 0
+  union all select 64 * 256, 191 * 256 + 255, 'wide', null),
+found as (
+  select transaction_id, geo_country, geo_region, row_number() over (partition by transaction_id
+    order by last - first, first, geo_country, geo_region nulls first) as place
+  from numbered join ranges on n between first and last)
+select transaction_id, hash_ip, geo_country, geo_region, geo_country is null as missing_geo
+from numbered left join (select * from found where place = 1) using (transaction_id)"""
+
+# A feed in which transactions are sent again; those without an id all land.
+SENT_AGAIN = f"""{LAYERS}, sent as (
+  select *, cast(transaction_id as bigint) as number from bronze),
+lined as (
+  select * from sent union all select * from sent where number % 3 = 0
+  union all select * from sent where number % 5 = 0)"""
+
 ORACLE = {
     "q_bronze": _select("bronze"),
     "q_pii_copy": _select("raw", "transaction_id, ip_address, card_number"),
@@ -242,6 +278,8 @@ ORACLE = {
     "q_event_dates": _select("bronze", "distinct event_date", "order by event_date"),
     "q_date_slice": _select("silver", rest="where event_date = date '2024-01-15'"),
     "q_schema_diff": SCHEMA_DIFF,
+    "q_geo": GEO,
+    "q_geo_shuffled": GEO,
     "q_velocity": _select("bronze", VELOCITY, VELOCITY_WINDOW, SKEWED_LAYERS),
     "q_device_change": DEVICES,
     "q_user_spend": _select("spend"),
@@ -266,6 +304,16 @@ ORACLE = {
     "q_stream_named": """select 'bronze' as query_name, false as active,
         cast(count(*) as bigint) as row_count from events""",
     "q_stream_late": _select("bronze"),
+    "q_stream_dedup": f"""{SENT_AGAIN},
+        counted as (select number, count(*) as lines from lined group by number)
+        select transaction_id, session_id, event_time, amount, hash_ip, true as has_source, lines, lines as files
+        from sent join counted using (number) where number % 20 <> 0
+        union all select null, session_id, event_time, amount, hash_ip, true, null, null
+        from lined where number % 20 = 0""",
+    "q_stream_feed_counts": f"""{SENT_AGAIN} select cast(count(*) as bigint) as lines,
+        cast(0 as bigint) as corrupt_lines, cast(count(*) filter (where number % 20 <> 0)
+        - count(distinct number) filter (where number % 20 <> 0) as bigint) as repeated_lines from lined""",
+    "q_stream_geo": GEO,
     "q_stream_velocity": f"""{SKEWED_LAYERS}, measured as (select {VELOCITY} from bronze {VELOCITY_WINDOW})
         select * from measured where {PASSED.format(table="bronze")}""",
     "q_stream_devices": f"{DEVICES} where {PASSED.format(table='timed')}",

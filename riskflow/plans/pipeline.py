@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from riskflow import schemas
 from riskflow.operators import marts
 from riskflow.operators.enrich import enrich
+from riskflow.operators.geo import Places
 from riskflow.operators.layout import ROWS_PER_FILE, cluster_table, file_count, write_clustered
 from riskflow.operators.timelines import VelocityRule
 from riskflow.sources.feed import MAX_FILE_AGE
@@ -33,10 +34,13 @@ def run_bronze(
     spark: SparkSession, feed: str, store: Store, pace: Pace = Pace(), dq: bool = True,
     keep_corrupt: bool = True, keep_pii: bool = False, card_salt: str | None = None,
     gather_dates: bool = True, timeout: float | None = None, max_file_age: str = MAX_FILE_AGE,
+    places: Places | None = None, audit: bool = False, repeats_within: str | None = None,
 ) -> dict[str, int | None]:
     """Take all new files of the feed. Returns the numbers of lines and corrupt lines (None with
     an interval, or if a batch did not tell), which are also written per batch as batches end,
-    whatever is kept.
+    whatever is kept, with the number of lines that repeat a transaction.
+
+    ``audit`` adds the source of each row and keeps the table of all lines' sources.
 
     ``pace`` limits the feed; the report tails the bronze table, whose files are other ones. A
     clean feed is parsed once, also with an interval: the quarantine runs only when corrupt lines
@@ -48,18 +52,21 @@ def run_bronze(
     pending = read_state(spark, store.state("quarantine"), "open").get("open") == "yes"
     if not pending:
         write_state(spark, store.state("quarantine"), open="yes")
-    pii = layers.start_pii(spark, feed, store, pace, max_file_age) if keep_pii else []
+    beside = layers.start_pii(spark, feed, store, pace, max_file_age) if keep_pii else []
+    if audit:
+        beside += layers.start_sources(spark, feed, store, pace, max_file_age)
+    options = {"places": places, "audit": audit, "repeats_within": repeats_within}
     if pace.interval is not None:  # the mark stays: a stopped run may not know of its last batch
         once = Pace(pace.max_files, pace.max_bytes)
         late = _OnDemand(
             lambda: layers.start_quarantine(spark, feed, store, once, max_file_age), pending,
         ) if keep_corrupt else None
         _await_counted(spark, store, lambda: start_bronze_layer(
-            spark, feed, store, pace, dq, False, card_salt, gather_dates, max_file_age,
-        ), pii, timeout, late)
+            spark, feed, store, pace, dq, False, card_salt, gather_dates, max_file_age, **options,
+        ), beside, timeout, late)
         return {"lines": None, "corrupt_lines": None}
     counts = _await_counted(spark, store, lambda: layers.start_bronze(
-        spark, feed, store, pace, card_salt, gather_dates, max_file_age), pii, timeout)
+        spark, feed, store, pace, card_salt, gather_dates, max_file_age, **options), beside, timeout)
     lines, corrupt = counts or (None, None)
     missing = corrupt != 0 or pending
     if missing and keep_corrupt:
@@ -74,10 +81,11 @@ def run_bronze(
 def start_bronze_layer(
     spark: SparkSession, feed: str, store: Store, pace: Pace, dq: bool = True,
     keep_corrupt: bool = True, card_salt: str | None = None, gather_dates: bool = True,
-    max_file_age: str = MAX_FILE_AGE,
+    max_file_age: str = MAX_FILE_AGE, **options,
 ) -> list[StreamingQuery]:
     """Bronze, quarantine and report side by side."""
-    queries = layers.start_bronze(spark, feed, store, pace, card_salt, gather_dates, max_file_age)
+    queries = layers.start_bronze(
+        spark, feed, store, pace, card_salt, gather_dates, max_file_age, **options)
     if keep_corrupt:
         queries += layers.start_quarantine(spark, feed, store, pace, max_file_age)
     if dq:
@@ -119,13 +127,15 @@ def _await_counted(
     ``on_corrupt`` is called for by a batch with corrupt lines. A folder per batch under the reports, layer ``feed``; a replay replaces it. Returns the sums
     of lines and corrupt lines, None if a batch's counts did not come.
     """
-    told, first, last, sums = Observed("feed"), None, None, [0, 0, 0]
+    told, first, last, sums = Observed("feed", "landed"), None, None, [0, 0, 0]
 
     def write() -> None:
         nonlocal first, last
         for c in told.take(queries[0]):
             values = c["lines"], c["corrupt_lines"]
-            row = spark.createDataFrame([values], "lines long, corrupt_lines long")
+            good = values[0] - values[1]
+            row = spark.createDataFrame(
+                [(*values, good - c.get("landed", good))], "lines long, corrupt_lines long, repeated_lines long")
             overwrite_batch_json(row.coalesce(1), store.feed_counts(), c["batch_id"])
             first, last = c["batch_id"] if first is None else first, c["batch_id"]
             sums[:] = sums[0] + 1, sums[1] + values[0], sums[2] + values[1]

@@ -6,12 +6,14 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskflow import schemas
 from riskflow.functions.privacy import mask_card, mask_card_unanchored
 from riskflow.operators import marts, quality
 from riskflow.operators.bronze import pii_copy, to_bronze
 from riskflow.operators.enrich import enrich
+from riskflow.operators.geo import load_places, with_places
 from riskflow.operators.layout import cluster_table, file_count, write_clustered
 from riskflow.operators.timelines import VelocityRule, device_changes, velocity
 from riskflow.operators.validation import schema_diff
@@ -173,6 +175,28 @@ def schema_mismatches(spark, sf_dir):
     return reports[0].unionByName(reports[1])
 
 
+# Places of addresses
+
+
+def _placed(spark, sf_dir, broadcast_limit):
+    raw = model.odd_addresses(model.raw(spark, sf_dir))
+    places = load_places(model.ranges(spark, sf_dir), scratch_dir(spark, "segments"), broadcast_limit, raw)
+    return to_bronze(with_places(raw, places), keep=GEO_COLUMNS).select("transaction_id", "hash_ip", *GEO_COLUMNS)
+
+
+GEO_COLUMNS = ("geo_country", "geo_region", "missing_geo")
+
+
+def geo(spark, sf_dir):
+    """The place of each transaction's address, found before the address is hashed."""
+    return _placed(spark, sf_dir, BROADCAST_LIMIT_BYTES)
+
+
+def geo_shuffled(spark, sf_dir):
+    """The same with segments that are joined by shuffle."""
+    return _placed(spark, sf_dir, 0)
+
+
 # Timelines
 
 
@@ -371,6 +395,57 @@ def stream_late(spark, sf_dir):
     return _plain_time(read_table(spark, store.table("bronze"), schemas.BRONZE))
 
 
+def _sent_again(spark, sf_dir, label):
+    """Bronze of a feed in two runs: a third of the transactions comes twice in the first, and every
+    fifth again in the second, with some rows without an id, twice as well."""
+    root = scratch_dir(spark, label)
+    store = Store(f"{root}/store")
+    number = F.substr("session_id", F.lit(2)).cast("long")
+
+    def resent(share):
+        def change(rows):
+            lacking = F.when(number % 20 != 0, F.col("transaction_id"))
+            return rows.where(share).withColumn("transaction_id", lacking)
+        return change
+
+    for name, share in (("first", F.lit(True)), ("twice", number % 3 == 0), ("later", number % 5 == 0)):
+        model.write_feed(spark, sf_dir, f"{root}/{name}", change=resent(share))
+        model.move_files(spark, f"{root}/{name}", f"{root}/feed", name, 0)
+        if name != "first":
+            pipeline.run_bronze(spark, f"{root}/feed", store, dq=False, keep_corrupt=False, audit=True,
+                                repeats_within="30 days")
+    return store
+
+
+def stream_dedup(spark, sf_dir):
+    """Transactions that landed, with the number of lines and files that they came in."""
+    store = _sent_again(spark, sf_dir, "stream-dedup")
+    audited = T.StructType(schemas.BRONZE.fields + schemas.AUDIT.fields)
+    bronze = read_table(spark, store.table("bronze"), audited)
+    sources = read_table(spark, store.table("sources"), schemas.SOURCES).groupBy("transaction_id").agg(
+        F.count("*").alias("lines"), F.count_distinct("source_file").alias("files"))
+    landed = bronze.select("transaction_id", "session_id", "event_time", "amount", "hash_ip",
+                           F.col("source_file").isNotNull().alias("has_source"))
+    return _plain_time(landed.join(sources, "transaction_id", "left"))
+
+
+def stream_feed_counts(spark, sf_dir):
+    """Lines and repeated lines of the same runs, added up over the batches."""
+    counts = layers.read_feed_counts(spark, _sent_again(spark, sf_dir, "stream-counts"))
+    return counts.agg(*[F.sum(name).alias(name) for name in ("lines", "corrupt_lines", "repeated_lines")])
+
+
+def stream_geo(spark, sf_dir):
+    """Places in the bronze stream."""
+    root = scratch_dir(spark, "stream-geo")
+    model.write_feed(spark, sf_dir, f"{root}/feed", change=model.odd_addresses)
+    places = load_places(model.ranges(spark, sf_dir), f"{root}/segments")
+    store = Store(f"{root}/store")
+    pipeline.run_bronze(spark, f"{root}/feed", store, dq=False, keep_corrupt=False, places=places)
+    bronze = read_table(spark, store.table("bronze"), T.StructType(schemas.BRONZE.fields + schemas.GEO.fields))
+    return bronze.select("transaction_id", "hash_ip", *GEO_COLUMNS)
+
+
 def _in_order_of_time(spark, sf_dir, label, change, follow):
     """Bronze in three runs, each over a third of the feed's time, ``follow`` after each of them."""
     root = scratch_dir(spark, label)
@@ -545,6 +620,8 @@ QUERIES = {
     "q_event_dates": event_date_list,
     "q_date_slice": day_slice,
     "q_schema_diff": schema_mismatches,
+    "q_geo": geo,
+    "q_geo_shuffled": geo_shuffled,
     "q_velocity": user_velocity,
     "q_device_change": device_change,
     "q_user_spend": user_spend,
@@ -567,6 +644,9 @@ QUERIES = {
     "q_stream_bytes": stream_bytes,
     "q_stream_named": stream_named,
     "q_stream_late": stream_late,
+    "q_stream_dedup": stream_dedup,
+    "q_stream_feed_counts": stream_feed_counts,
+    "q_stream_geo": stream_geo,
     "q_stream_velocity": stream_velocity,
     "q_stream_devices": stream_devices,
     "q_stream_silver": stream_silver,

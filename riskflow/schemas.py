@@ -29,6 +29,12 @@ BRONZE = _struct("""
     event_date date
 """)
 
+# Columns that bronze has besides, where asked for: where a line came from, and its address's place.
+AUDIT = _struct("source_file string, source_modified timestamp, ingested_at timestamp")
+GEO = _struct("geo_country string, geo_region string, missing_geo boolean")
+SOURCES = T.StructType(_struct("transaction_id string").fields + AUDIT.fields
+                       + _struct("ingest_date date").fields)
+
 SILVER = T.StructType(BRONZE.fields + _struct("""
     country string, user_status string, missing_user boolean,
     product_name string, category string, price double, missing_product boolean,
@@ -52,6 +58,7 @@ DQ_REPORT = _struct("""
 """)
 
 PII = _struct("transaction_id string, ip_address string, card_number string, batch_id long")
+FEED_COUNTS = _struct("lines long, corrupt_lines long, repeated_lines long, batch_id long")
 QUARANTINE = _struct("corrupt_record string, source_file string")
 
 # Per-batch partial aggregates behind the two daily tables.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,8 +65,35 @@ def _parsed_whole() -> Column:
     return F.hash(*RAW.names) <= F.lit(2**31 - 1)
 
 
-def good_rows(feed: DataFrame) -> DataFrame:
-    return feed.where(F.col(CORRUPT).isNull() & _parsed_whole()).select(*RAW.names)
+def good_rows(feed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The feed columns, and those of ``keep``, of lines that are not corrupt."""
+    return feed.where(F.col(CORRUPT).isNull() & _parsed_whole()).select(*RAW.names, *keep)
+
+
+def with_source(feed: DataFrame) -> DataFrame:
+    """The feed as it was read, with where each line came from and when it was taken.
+
+    The time is that of the micro-batch, which a replay keeps.
+    """
+    return feed.select(
+        "*", F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_modification_time").alias("source_modified"),
+        F.current_timestamp().alias("ingested_at"),
+    )
+
+
+def once(rows: DataFrame, within: str) -> DataFrame:
+    """A stream's rows (with ``source_file`` and ``ingested_at``) without those whose
+    transaction_id came before, in the same batch or up to ``within`` earlier.
+
+    Time is the time of arrival: an old transaction or a late file is never dropped for its age,
+    and the ids are forgotten ``within`` after they came. Rows without an id are all kept: each has
+    a key of its own, from its file, its batch and two numbers drawn for it.
+    """
+    own = F.concat_ws("|", "source_file", "ingested_at", F.rand(seed=31), F.rand(seed=37))
+    keyed = rows.withColumn("_key", F.when(F.col("transaction_id").isNull(), own).otherwise(
+        F.concat(F.lit("="), "transaction_id")))
+    return keyed.withWatermark("ingested_at", within).dropDuplicatesWithinWatermark(["_key"]).drop("_key")
 
 
 def corrupt_rows(feed: DataFrame) -> DataFrame:

@@ -21,19 +21,24 @@ from riskflow import schemas
 from riskflow.operators import marts, quality
 from riskflow.operators.bronze import pii_copy, to_bronze
 from riskflow.operators.enrich import enrich
+from riskflow.operators.geo import Places, with_places
 from riskflow.operators.timelines import VelocityRule
 from riskflow.operators.validation import require_schema
-from riskflow.sources.feed import MAX_FILE_AGE, corrupt_rows, counted, good_rows, stream_feed
+from riskflow.sources.feed import (
+    MAX_FILE_AGE, corrupt_rows, counted, good_rows, once, stream_feed, with_source,
+)
 from riskflow.sources.limits import parse_bytes
 from riskflow.sources.lookups import Lookup
 from riskflow.sources.tables import (
-    by_date, exists, read_table, require_adaptive, stream_table, table_or_empty, write_table,
+    by_date, by_date_parts, exists, read_table, require_adaptive, stream_table, table_or_empty, write_table,
 )
 from riskflow.streaming.sinks import (
     overwrite_batch_json, overwrite_batch_table, read_state, start_batch_sink, start_table_sink,
     write_state,
 )
-from riskflow.streaming.timelines import stream_device_changes, stream_velocity
+from riskflow.streaming.timelines import (
+    ready_for_state, stream_device_changes, stream_velocity,
+)
 
 # How far behind the newest event time a transaction may come and still be on its timeline.
 TIMELINE_DELAY = "1 hour"
@@ -73,6 +78,9 @@ class Store:
     def compacted(self, name: str, run: str) -> str:
         return f"{self.root}/compacted/{name}/run={run}"
 
+    def segments(self, run: str) -> str:
+        return f"{self.root}/segments/run={run}"
+
     def laid_out(self, run: str) -> str:
         return f"{self.root}/laid_out/run={run}"
 
@@ -104,19 +112,48 @@ class Pace:
 def start_bronze(
     spark: SparkSession, feed: str, store: Store, pace: Pace = Pace(),
     card_salt: str | None = None, gather_dates: bool = True,
-    max_file_age: str = MAX_FILE_AGE,
+    max_file_age: str = MAX_FILE_AGE, places: Places | None = None, audit: bool = False,
+    repeats_within: str | None = None,
 ) -> list[StreamingQuery]:
     """Feed to bronze, with the lines and corrupt lines of each batch as its metric ``feed``.
 
     Gathering the dates shuffles the feed; turn it off for a feed whose files hold one date each.
+    ``places`` adds the place of the address, ``audit`` the file and time that a row came with.
+    With ``repeats_within`` a transaction that is sent again within that time lands once, and the
+    metric ``landed`` counts what did.
     """
-    if gather_dates:
+    lines = stream_feed(spark, feed, pace.max_files, pace.max_bytes, max_file_age)
+    source = schemas.AUDIT.names if audit or repeats_within else []
+    lines = counted(with_source(lines) if source else lines)
+    rows = require_schema(good_rows(lines, source), schemas.RAW, "raw")
+    if repeats_within:
+        ready_for_state(spark)
+        rows = once(rows, repeats_within).observe("landed", F.count(F.lit(1)).alias("landed"))
+    if places:
+        rows = with_places(rows, places)
+    keep = (schemas.GEO.names if places else []) + (source if audit else [])
+    bronze = to_bronze(rows, card_salt, keep=keep)
+    if gather_dates and repeats_within:
+        bronze = by_date_parts(bronze, "transaction_id")
+    elif gather_dates:
         require_adaptive(spark)
-    lines = counted(stream_feed(spark, feed, pace.max_files, pace.max_bytes, max_file_age))
-    bronze = to_bronze(require_schema(good_rows(lines), schemas.RAW, "raw"), card_salt)
+        bronze = by_date(bronze)
+    return [start_table_sink(
+        bronze, store.table("bronze"), store.checkpoint("bronze"), "bronze", interval=pace.interval,
+    )]
+
+
+def start_sources(
+    spark: SparkSession, feed: str, store: Store, pace: Pace = Pace(),
+    max_file_age: str = MAX_FILE_AGE,
+) -> list[StreamingQuery]:
+    """Where each good line came from, repeats too: a row per line with its transaction, file and
+    time. A parse of its own."""
+    lines = with_source(stream_feed(spark, feed, pace.max_files, pace.max_bytes, max_file_age))
+    rows = good_rows(lines, schemas.AUDIT.names).withColumn("ingest_date", F.to_date("ingested_at"))
     return [start_table_sink(
-        by_date(bronze) if gather_dates else bronze, store.table("bronze"),
-        store.checkpoint("bronze"), "bronze", interval=pace.interval,
+        rows.select(*schemas.SOURCES.names), store.table("sources"), store.checkpoint("sources"),
+        "sources", partition_by=("ingest_date",), interval=pace.interval,
     )]
 
 
@@ -314,6 +351,11 @@ def read_alerts(spark: SparkSession, store: Store) -> DataFrame:
     return read_table(spark, store.table("risk"), schemas.RISK).where("is_high_risk_txn")
 
 
+def read_feed_counts(spark: SparkSession, store: Store) -> DataFrame:
+    """Lines, corrupt lines and repeated lines of each batch of the feed."""
+    return spark.read.schema(schemas.FEED_COUNTS).json(store.feed_counts())
+
+
 def read_dq(spark: SparkSession, store: Store) -> DataFrame:
     return spark.read.schema(schemas.DQ_REPORT).json(store.dq_root()).select(
         *schemas.DQ_REPORT.names

@@ -83,13 +83,14 @@ def read_state(spark: SparkSession, path: str, *names: str) -> dict[str, str]:
 
 
 class Observed(StreamingQueryListener):
-    """Batch id and the values of an observed metric for each batch of a query that is over.
+    """Batch id and the values of observed metrics for each batch of a query that is over.
 
-    Batches come as they end, however many the session remembers. Add it before the query starts.
+    The first metric has to be there, others may be. Batches come as they end, however many the
+    session remembers. Add it before the query starts.
     """
 
-    def __init__(self, metric: str) -> None:
-        self._metric = metric
+    def __init__(self, *metrics: str) -> None:
+        self._metrics = metrics
         self._came: deque[tuple[str, dict]] = deque()
         self._ended: set[str] = set()
 
@@ -98,9 +99,10 @@ class Observed(StreamingQueryListener):
 
     def onQueryProgress(self, event) -> None:
         progress = event.progress
-        values = progress.observedMetrics.get(self._metric)
-        if values:
-            self._came.append((str(progress.runId), {"batch_id": progress.batchId, **values.asDict()}))
+        found = [progress.observedMetrics.get(metric) for metric in self._metrics]
+        if found[0]:
+            row = {name: value for values in found if values for name, value in values.asDict().items()}
+            self._came.append((str(progress.runId), {"batch_id": progress.batchId, **row}))
 
     def onQueryIdle(self, event) -> None:
         pass
