@@ -41,9 +41,10 @@ SPACE_MARK = chr(0x2581)
 PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 ODD = re.compile(f"[{SEPARATORS}]")
 JOINS = re.compile(f"[^{WHITE}{SPACE_MARK}][{WHITE}{SPACE_MARK}]")
-KEPT_PIECES = 300_000
+KEPT_PIECES = 500_000
 JOINED_CHARS = 1 << 16
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20  # of texts
+TOKEN_BYTES = 1 << 19  # of one side's ids
 # Pairs with their counts that every task may hold: about 100 MB.
 MAX_TABLE_PAIRS = 4_000_000
 ALIGNED = "row long, doc_id long, a binary, b binary, cut_a binary, cut_b binary"
@@ -401,7 +402,7 @@ def pair_counts(aligned: DataFrame, vocab: Vocabularies) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = pd.Series(dtype=np.int64)
-        for batch in batches:
+        for batch in slices(batches, "a", TOKEN_BYTES):
             doc, pair = Batch.read(batch, vocab.sides).links(vocab.b_ids)
             code, pairs = pd.factorize(pair)
             once = pd.unique(doc * max(1, len(pairs)) + code) % max(1, len(pairs))
@@ -448,7 +449,7 @@ def scored(aligned: DataFrame, counts: DataFrame, vocab: Vocabularies,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, docs, best = table.value
-        for batch in slices(batches, "a", BATCH_BYTES):
+        for batch in slices(batches, "a", TOKEN_BYTES):
             found = Batch.read(batch, vocab.sides)
             doc, pair = found.links(vocab.b_ids)
             code, pairs = pd.factorize(pair)
