@@ -13,7 +13,7 @@ import heapq
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskflow.session import ship_package
@@ -90,7 +90,12 @@ def segments_of(ranges: DataFrame) -> DataFrame:
         "first", "last", "place.*",
     )
     ship_package(ranges.sparkSession)
-    return pieces.groupBy("bucket").applyInPandas(_swept, SEGMENTS)
+    pieces = pieces.withColumn("n", F.count("*").over(Window.partitionBy("bucket")))
+    # Most buckets lie within one wide range: its piece is the segment.
+    low = F.col("bucket") * BUCKET
+    alone = pieces.where("n = 1").select(
+        "bucket", F.greatest("first", low).alias("first"), F.least("last", low + (BUCKET - 1)).alias("last"), *PLACE)
+    return alone.unionByName(pieces.where("n > 1").drop("n").groupBy("bucket").applyInPandas(_swept, SEGMENTS))
 
 
 def _swept(pieces: pd.DataFrame) -> pd.DataFrame:
