@@ -321,6 +321,7 @@ ORACLE = {
     "q_stream_silver_shuffled": _select("silver", layers=SKEWED_LAYERS),
     "q_stream_alerts": _select("risk", rest="where is_high_risk_txn"),
     "q_stream_compacted": _select("spend"),
+    "q_stream_compacted_usage": _select("usage"),
     "q_stream_spend": _select("spend"),
     "q_stream_usage": _select("usage"),
     "q_stream_risk": _select("risk"),
@@ -333,6 +334,11 @@ ORACLE = {
     ]),
     "q_dates_again": _select(
         "risk", rest="where event_date between date '2024-01-15' and date '2024-01-17'"),
+    "q_layout_again": f"""{LAYERS}
+        select 'risk' as table_name, transaction_id as key, event_date,
+          cast(is_high_risk_txn as integer)::double as value from risk
+        union all select 'spend', user_id, event_date, "Total_spent_per_user" from spend
+        union all select 'usage', product_id, event_date, average_usage_cost_ratio from usage""",
     "q_clustered": _select("risk"),
     "q_clustered_spend": _select("spend"),
     "q_clustered_usage": _select("usage"),

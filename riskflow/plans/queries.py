@@ -26,7 +26,7 @@ from riskflow.sources.lookups import (
 from riskflow.sources.tables import date_slice, event_dates, read_table, write_table
 from riskflow.streaming import layers
 from riskflow.streaming.layers import Pace, Store
-from riskflow.streaming.sinks import await_all
+from riskflow.streaming.sinks import await_all, overwrite_batch_table
 
 SLICE_DAY = dt.date(2024, 1, 15)
 LAST_DAY = dt.date(2024, 1, 17)
@@ -493,11 +493,31 @@ def stream_alerts(spark, sf_dir):
     return _plain_time(layers.read_alerts(spark, store))
 
 
+def _compacted(spark, sf_dir, name):
+    """A daily table whose closed dates were folded, with batches before and after that, twice."""
+    root = scratch_dir(spark, f"stream-compacted-{name}")
+    store = Store(f"{root}/store")
+    lookups = load_lookups(spark, model.write_lookups(spark, sf_dir, f"{root}/lookups"))
+    number = F.col("transaction_id").cast("long")
+    for part in range(2):
+        model.write_feed(spark, sf_dir, f"{root}/part{part}", change=lambda rows, part=part: rows.where(number % 2 == part))
+        model.move_files(spark, f"{root}/part{part}", f"{root}/feed", f"part{part}", 0)
+        pipeline.run_bronze(spark, f"{root}/feed", store, dq=False, keep_corrupt=False)
+        pipeline.run_silver(spark, store, lookups, dq=False)
+        pipeline.run_gold(spark, store, _pace(spark, store, "silver"), wanted=(name,))
+        if part == 0:
+            layers.compact(spark, store, name, SLICE_DAY)
+    layers.compact(spark, store, name, LAST_DAY)
+    return store
+
+
 def stream_compacted(spark, sf_dir):
     """Daily spend after the partials of closed dates were folded."""
-    store = _run(spark, sf_dir, "stream-compacted", marts_wanted=("spend",))
-    layers.compact(spark, store, "spend", SLICE_DAY)
-    return _rounded_spend(layers.read_spend(spark, store))
+    return _rounded_spend(layers.read_spend(spark, _compacted(spark, sf_dir, "spend")))
+
+
+def stream_compacted_usage(spark, sf_dir):
+    return _rounded_usage(layers.read_usage(spark, _compacted(spark, sf_dir, "usage")))
 
 
 def stream_silver(spark, sf_dir):
@@ -597,6 +617,33 @@ def dates_again(spark, sf_dir):
     return _plain_time(read_table(spark, f"{root}/dates/risk", schemas.RISK))
 
 
+def layout_again(spark, sf_dir):
+    """The clustered gold tables after two runs, one date having grown in between."""
+    root = scratch_dir(spark, "layout")
+    store = Store(f"{root}/store")
+    late = (F.col("event_date") == F.lit(SLICE_DAY)) & (F.col("transaction_id").cast("long") % 2 == 0)
+    silver = _silver(spark, sf_dir)
+    for batch, part in enumerate((silver.where(~late), silver.where(late))):
+        write_table(marts.flag_high_risk(part), store.table("risk"))
+        overwrite_batch_table(marts.spend_partial(part), store.partials("spend"), batch)
+        overwrite_batch_table(marts.usage_partial(part), store.partials("usage"), batch)
+        pipeline.run_layout(spark, store, f"{root}/clustered")
+
+    def rows(name, schema, key, value):
+        return read_table(spark, f"{root}/clustered/{name}", schema).select(
+            F.lit(name).alias("table_name"), F.col(key).alias("key"), "event_date", value.alias("value"))
+
+    key_date = T.StructType([f for f in schemas.SPEND_PARTIAL if f.name in ("user_id", "event_date")])
+    spend = key_date.add("Total_spent_per_user", "double")
+    usage = T.StructType([f for f in schemas.USAGE_PARTIAL if f.name in ("product_id", "event_date")]).add(
+        "average_usage_cost_ratio", "double")
+    return (
+        rows("risk", schemas.RISK, "transaction_id", F.col("is_high_risk_txn").cast("double"))
+        .unionByName(rows("spend", spend, "user_id", F.round("Total_spent_per_user", 2)))
+        .unionByName(rows("usage", usage, "product_id", F.round("average_usage_cost_ratio", 6)))
+    )
+
+
 def clustered_spend(spark, sf_dir):
     return _rounded_spend(_clustered(spark, marts.user_spend(_bronze(spark, sf_dir)), "user_id"))
 
@@ -653,6 +700,7 @@ QUERIES = {
     "q_stream_silver_shuffled": stream_silver_shuffled,
     "q_stream_alerts": stream_alerts,
     "q_stream_compacted": stream_compacted,
+    "q_stream_compacted_usage": stream_compacted_usage,
     "q_stream_spend": stream_spend,
     "q_stream_usage": stream_usage,
     "q_stream_risk": stream_risk,
@@ -661,6 +709,7 @@ QUERIES = {
     "q_stream_quarantine": stream_quarantine,
     "q_stream_replay": stream_replay,
     "q_dates_again": dates_again,
+    "q_layout_again": layout_again,
     "q_clustered": clustered,
     "q_clustered_spend": clustered_spend,
     "q_clustered_usage": clustered_usage,

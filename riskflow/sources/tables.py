@@ -69,11 +69,14 @@ def stream_table(
     """Tail a table that a file-sink stream writes; only committed files are seen.
 
     The table may be without files yet: its folder is made, so that a reader can start before the
-    first batch is written.
+    first batch is written. Such a reader cannot see from the folders that event_date is not in the
+    files; it is declared last, where Spark puts such columns once there are folders.
     """
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(folder)
-    reader = limited(spark.readStream.schema(schema), max_files, max_bytes)
+    fields = [f for f in schema.fields if f.name != "event_date"]
+    declared = T.StructType(fields + [f for f in schema.fields if f.name == "event_date"])
+    reader = limited(spark.readStream.schema(declared), max_files, max_bytes)
     return reader.parquet(path).select(*schema.names)
 
 
