@@ -30,13 +30,16 @@ MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27
 
 @dataclass(frozen=True)
 class Sizes:
-    """Bounds of what is learnt: documents per language (by hashed id) of up to ``max_chars``
-    characters, n-grams per language, and the table's rows and hashes per n-gram."""
+    """Bounds of what is learnt: documents per language (by hashed id), ``max_chars`` characters of
+    each (spread evenly over a longer text), n-grams per language, and the table's rows and hashes
+    per n-gram. An n-gram is in ``min_docs`` documents of a language at least, or in one where the
+    sample has under ``few_docs`` of it."""
 
     docs_per_language: int = 2_000
     max_chars: int = 100_000
     grams_per_language: int = 20_000
     min_docs: int = 2
+    few_docs: int = 50
     rows: int = 1 << 20
     hashes: int = 3
 
@@ -79,7 +82,6 @@ class Filters:
             np.bitwise_or.at(self.table, (row, word), np.uint64(1) << bit.astype(np.uint64))
         fill = np.array([self._bit(self.table, n).mean() for n in range(len(languages))])
         self.chance = fill**sizes.hashes  # a foreign n-gram's share of false positives
-        # What share of its own texts' n-grams a filter holds is learnt afterwards.
 
     def _rows(self, codes: np.ndarray) -> Iterator[np.ndarray]:
         for k in range(self.sizes.hashes):
@@ -119,23 +121,42 @@ class Filters:
         return self.languages[best], float(real[best] / every) if every else 1 / len(real)
 
 
+SPREAD = 16  # pieces that stand for a long text
+
+
+def _bounded(text: str, max_chars: int) -> str:
+    """The text, or ``SPREAD`` pieces of it at even distances."""
+    if len(text) <= max_chars:
+        return text
+    size = max(1, max_chars // SPREAD)
+    return " ".join(text[at:at + size] for at in range(0, len(text) - size + 1, -(-len(text) // SPREAD)))
+
+
 def _sample(docs: DataFrame, allowed: Column | str, sizes: Sizes, id_col: str, text_col: str,
             lang_col: str) -> DataFrame:
-    """Bounded training rows: the same number per language at most, by hashed id."""
+    """Bounded training rows: the same number per language at most, by hashed id.
+
+    Of rows with one id and language the one of the least hash counts, before any are ranked. Rows
+    without an id, a language or a text are not learnt from.
+    """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.col(lang_col).cast("string").alias("lang")) \
-        .where(allowed).where("lang is not null").where(F.char_length("text") <= sizes.max_chars)
-    chosen = hashed_sample(rows, "lang", "doc_id", sizes.docs_per_language)
-    chosen = stored(chosen.select("doc_id", "lang"), "language-sample")
-    return rows.join(F.broadcast(chosen.distinct()), ["doc_id", "lang"])
+        .where(allowed).where("doc_id is not null and lang is not null and text is not null") \
+        .withColumn("key", F.xxhash64("text"))
+    one = rows.groupBy("doc_id", "lang").agg(F.min("key").alias("key"))
+    chosen = hashed_sample(one, "lang", "doc_id", sizes.docs_per_language).select("doc_id", "lang")
+    chosen = stored(one.join(F.broadcast(chosen), ["doc_id", "lang"]), "language-sample")
+    return rows.join(F.broadcast(chosen), ["doc_id", "lang", "key"]) \
+        .groupBy("doc_id", "lang", "key").agg(F.min("text").alias("text"))
 
 
 def train(docs: DataFrame, allowed: Column | str, sizes: Sizes | None = None, *, id_col: str = "doc_id",
           text_col: str = "text", lang_col: str = "lang") -> Filters:
     """Fill the filters with each language's n-grams of the most documents of a bounded sample.
 
-    ``allowed`` says by doc_id which rows may be learnt from; rows without a language or text are
-    not. Without any such row every prediction is ``UNKNOWN``.
+    ``allowed`` says by doc_id which rows may be learnt from; rows without an id, a language or a
+    text are not. Without any such row every prediction is ``UNKNOWN``. Every language with a text
+    that has a letter is learnt, whatever the number or length of its documents.
     """
     sizes = sizes or Sizes()
 
@@ -143,7 +164,7 @@ def train(docs: DataFrame, allowed: Column | str, sizes: Sizes | None = None, *,
         for batch in slices(batches, "text"):
             langs, codes = [], []
             for text, lang in zip(batch["text"].to_pylist(), batch["lang"].to_pylist(), strict=True):
-                own = np.unique(gram_codes(text))
+                own = np.unique(gram_codes(_bounded(text, sizes.max_chars)))
                 langs.extend(itertools.repeat(lang, len(own)))
                 codes.append(own)
             merged = np.concatenate(codes) if codes else np.empty(0, np.uint64)
@@ -151,9 +172,13 @@ def train(docs: DataFrame, allowed: Column | str, sizes: Sizes | None = None, *,
                 [pa.array(langs, pa.string()), pa.array(merged.view(np.int64))], names=["lang", "code"]
             )
 
-    grams = _sample(docs, allowed, sizes, id_col, text_col, lang_col) \
-        .select("text", "lang").mapInArrow(run, "lang string, code long") \
-        .groupBy("lang", "code").agg(F.count("*").alias("n")).where(F.col("n") >= sizes.min_docs)
+    sample = stored(_sample(docs, allowed, sizes, id_col, text_col, lang_col).select("text", "lang"),
+                    "language-texts")
+    least = sample.groupBy("lang").agg(F.when(F.count("*") < sizes.few_docs, 1).otherwise(sizes.min_docs)
+                                       .alias("least"))  # a row per language
+    grams = sample.mapInArrow(run, "lang string, code long") \
+        .groupBy("lang", "code").agg(F.count("*").alias("n")) \
+        .join(F.broadcast(least), "lang").where(F.col("n") >= F.col("least"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
     kept = grams.withColumn("rank", rank).where(F.col("rank") <= sizes.grams_per_language) \
         .select("lang", "code").toPandas()

@@ -224,7 +224,8 @@ def train(measured: DataFrame, labels: DataFrame, allowed: Column | str, how: Fi
     """Fit the model on at most ``how.max_rows`` labelled rows, those of the smallest hashed ids.
 
     ``measured`` is the frame of ``with_measures``; ``allowed`` says by doc_id which labels may be
-    used. Of repeated labels of an id the larger counts; null ids and labels do not count.
+    used. Of repeated labels of an id the larger counts, and of repeated documents the least
+    measures, so the bound holds for rows as well; null ids and labels do not count.
     """
     how = how or Fit()
     known = labels.select(
@@ -233,7 +234,8 @@ def train(measured: DataFrame, labels: DataFrame, allowed: Column | str, how: Fi
         .groupBy("doc_id").agg(F.max("label").alias("label")).where(allowed)
     taken = hashed_sample(known.withColumn("one", F.lit(1)), "one", "doc_id", how.max_rows)
     taken = known.join(F.broadcast(taken.select("doc_id")), "doc_id")
-    rows = measured.join(F.broadcast(taken), "doc_id").toPandas()
+    rows = measured.join(F.broadcast(taken), "doc_id").groupBy("doc_id", "label").agg(
+        F.min("measures").alias("measures")).toPandas()
     rows = rows.sort_values("doc_id", kind="stable")
     x = np.array(rows["measures"].to_list(), dtype=float).reshape(-1, len(MEASURES))
     return fit(x, rows["label"].to_numpy(float), how)

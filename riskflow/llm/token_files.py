@@ -3,7 +3,7 @@
 A data set is a folder of shards, each for a range of document ids in ascending order:
 
 - ``shard-00000.arrow``: Arrow file format, each record batch ``BATCH_ROWS`` rows of two
-  fixed-size lists, ``ids`` and ``mask`` (true for an id, false for padding). The documents of the
+  fixed-size lists, ``ids`` and ``mask`` (bytes: 1 for an id, 0 for padding). The documents of the
   shard run on through its sequences; only the last sequence is padded. As every list has the same
   length and nothing is compressed, row r of batch b is found by arithmetic in a memory map.
 - ``shard-00000.docs.arrow``: one row per document with its first position in the shard and its
@@ -58,10 +58,10 @@ class Shard:
         return self._open(".docs.arrow").read_all()
 
     def sequence(self, row: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of one sequence; the ids are a view of the file's memory."""
+        """Ids and mask of one sequence, both views of the file's memory."""
         batch = self.sequences().get_batch(row // BATCH_ROWS)
         ids, mask = (batch.column(c)[row % BATCH_ROWS].values for c in ("ids", "mask"))
-        return ids.to_numpy(), mask.to_numpy(zero_copy_only=False)
+        return ids.to_numpy(zero_copy_only=True), mask.to_numpy(zero_copy_only=True)
 
     def write(self, suffix: str, schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> None:
         """Write under a name of this attempt, then rename: a reader never meets half a file."""
@@ -78,7 +78,7 @@ class Shard:
 
 def _sequence_schema(dtype: np.dtype, length: int) -> pa.Schema:
     return pa.schema([
-        ("ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.bool_(), length)),
+        ("ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.uint8(), length)),
     ])
 
 
@@ -87,7 +87,7 @@ def _sequence_batch(schema: pa.Schema, ids: np.ndarray, length: int) -> pa.Recor
     padded = np.zeros(rows * length, dtype=ids.dtype)
     padded[:len(ids)] = ids
     lists = (pa.FixedSizeListArray.from_arrays(pa.array(x), length)
-             for x in (padded, np.arange(rows * length) < len(ids)))
+             for x in (padded, (np.arange(rows * length) < len(ids)).view(np.uint8)))
     return pa.RecordBatch.from_arrays(list(lists), schema=schema)
 
 
@@ -102,10 +102,13 @@ def write_token_files(
     an empty manifest. Other columns are not read.
     """
     spark = docs.sparkSession
+    # The ranges cut through an id with very many rows, by its texts and then by row.
+    order = [F.asc_nulls_first("doc_id"), F.asc_nulls_first("key"), F.asc_nulls_first("row")]
     ordered = (
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-        .repartitionByRange(shards or width(spark), F.asc_nulls_first("doc_id"))
-        .sortWithinPartitions(F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
+        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                    F.xxhash64(text_col).alias("key"), F.monotonically_increasing_id().alias("row"))
+        .repartitionByRange(shards or width(spark), *order)
+        .sortWithinPartitions(*order).select("doc_id", "text")
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,8 +186,8 @@ def _shard_documents(shard: Shard, base: int) -> Iterator[pa.RecordBatch]:
     for b in range(reader.num_record_batches):
         batch = reader.get_batch(b)
         ids = batch.column("ids").flatten().to_numpy()
-        mask = batch.column("mask").flatten().to_numpy(zero_copy_only=False)
-        wide = ids[mask].astype("<u4")
+        mask = batch.column("mask").flatten().to_numpy()
+        wide = ids[mask.view(bool)].astype("<u4")
         until = at + len(wide)
         while doc < len(stops) and stops[doc] <= until:
             crcs[doc] = zlib.crc32(wide[max(at, _first(stops, doc)) - at:stops[doc] - at], crc)

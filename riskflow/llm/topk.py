@@ -43,7 +43,7 @@ def _matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.diff(offsets)
     width = int(lengths.max()) if len(lengths) else 0
     values = lists.values.to_numpy()
-    if len(lengths) and lengths.min() == width:
+    if width and lengths.min() == width:
         return batch.column("vec_id").to_numpy(), values[offsets[0]:offsets[-1]].reshape(-1, width)
     rows = np.zeros((len(lengths), width), dtype=np.int64)
     for i, (a, b) in enumerate(zip(offsets, offsets[1:])):
@@ -52,8 +52,13 @@ def _matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _blocks(vectors: DataFrame, parts: int, size: int) -> DataFrame:
-    """One row per range part with rows: part, and its blocks in ascending id order."""
-    ordered = vectors.repartitionByRange(parts, "vec_id").sortWithinPartitions("vec_id")
+    """One row per range part with rows: part, and its blocks in ascending id order.
+
+    The ranges cut through an id with very many rows, by its vectors and then by row.
+    """
+    tied = vectors.withColumns({"__key": F.xxhash64("vector"), "__row": F.monotonically_increasing_id()})
+    ordered = tied.repartitionByRange(parts, "vec_id", "__key", "__row").sortWithinPartitions("vec_id") \
+        .select("vec_id", "vector")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
@@ -80,7 +85,7 @@ def _blocks(vectors: DataFrame, parts: int, size: int) -> DataFrame:
 class _Block:
     def __init__(self, raw: dict, width: int):
         def wide(name: str) -> np.ndarray:
-            x = np.frombuffer(raw[name], np.int64).reshape(-1, raw["width"])
+            x = np.frombuffer(raw[name], np.int64).reshape(raw["size"] if name == "rows" else 1, raw["width"])
             return np.pad(x, ((0, 0), (0, width - raw["width"])))
 
         self.ids = np.frombuffer(raw["ids"], np.int64)
@@ -153,22 +158,35 @@ def _found_in(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.mapInArrow(run, FOUND)
 
 
-def _best_parts(pairs: DataFrame) -> DataFrame:
-    """For each chunk the part whose blocks have the highest bounds, summed over the queries."""
+def _pair_bounds(pairs: DataFrame) -> DataFrame:
+    """For each chunk and part the highest bound of each query (with its id), and their sum."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (r for i in range(batch.num_rows) for r in batch.slice(i, 1).to_pylist()):
                 width = _width(row)
                 blocks = [_Block({**b, "rows": b["high"]}, width) for b in row["blocks"]]
-                total = sum(float(_bounds(c.rows, blocks).max(axis=1).sum(dtype=float))
-                            for c in _unpack(row, "chunk_blocks", width))
-                yield pa.RecordBatch.from_pydict({
-                    "chunk": pa.array([row["chunk"]], pa.int32()),
-                    "part": pa.array([row["part"]], pa.int32()), "total": [total],
-                })
-
-    found = pairs.mapInArrow(run, "chunk int, part int, total double")
-    return found.groupBy("chunk").agg(F.max_by("part", F.struct("total", "part")).alias("part"))
+                chunks = _unpack(row, "chunk_blocks", width)
+                most = [_bounds(c.rows, blocks).max(axis=1) for c in chunks]
+                queries = [{"query_id": q, "bound": v} for c, m in zip(chunks, most, strict=True)
+                           for q, v in zip(c.ids.tolist(), m.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["chunk"]], pa.int32()), pa.array([row["part"]], pa.int32()),
+                     pa.array([queries], pa.list_(pa.struct([("query_id", pa.int64()), ("bound", pa.int64())]))),
+                     pa.array([sum(float(m.sum(dtype=float)) for m in most)])],
+                    names=["chunk", "part", "bounds", "total"])
+
+    return pairs.mapInArrow(
+        run, "chunk int, part int, bounds array<struct<query_id:long,bound:long>>, total double")
+
+
+def _alive(bounds: DataFrame, floors: DataFrame) -> DataFrame:
+    """The pairs (chunk, part) in which some query's bound reaches its floor; a query without a
+    floor reaches any part."""
+    known = F.map_from_entries(F.transform("floors", lambda f: F.struct(f["query_id"], f["score"])))
+    floor = F.col("__floors")
+    reached = F.exists("bounds", lambda b: F.coalesce(b["bound"] >= floor[b["query_id"]], F.lit(True)))
+    return bounds.join(floors.withColumn("__floors", known).drop("floors"), "chunk", "left") \
+        .where(F.col("__floors").isNull() | reached).select("chunk", "part")
 
 
 def top_k(queries: DataFrame, rows: DataFrame, k: int, *, id_col: str = "vec_id",
@@ -198,7 +216,8 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int, *, id_col: str = "vec_id"
         F.lit(1).alias("size"), b["width"].alias("width"), b["ids"].substr(1, 0).alias("ids"),
         empty, b["high"].alias("high"), b["low"].alias("low"),
     )).alias("blocks"))
-    first = _best_parts(each.join(extremes, "part"))
+    bounds = stored(_pair_bounds(each.join(extremes, "part")), "bounds")
+    first = bounds.groupBy("chunk").agg(F.max_by("part", F.struct("total", "part")).alias("part"))
     none = F.array().cast("array<struct<query_id:long,score:long>>").alias("floors")
     seeds = _found_in(
         asking.join(first, "chunk").join(index, "part").select("*", none), k
@@ -209,7 +228,9 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int, *, id_col: str = "vec_id"
         .groupBy("chunk").agg(F.collect_list(F.struct("query_id", "score")).alias("floors"))
     )
     floors = stored(floors, "floors")
-    found = _found_in(each.join(floors, "chunk", "left").join(index, "part"), k)
+    # Only pairs that may hold a score as high as a floor meet with their rows.
+    alive = _alive(bounds, floors)
+    found = _found_in(alive.join(asking, "chunk").join(floors, "chunk", "left").join(index, "part"), k)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")

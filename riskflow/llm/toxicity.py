@@ -79,7 +79,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Col
                     sample: Sample, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Bounded training rows: doc_id, text, label, weight (rows of the class per row taken).
 
-    ``labels`` has one row per document at most (of repeated rows the larger label counts).
+    ``labels`` has one row per document at most (of repeated rows the larger label counts). Of
+    documents with one id the least text is taken, so the bound holds for rows as well.
     """
     known = labels.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")
@@ -92,6 +93,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Col
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return stored(
         texts.join(F.broadcast(chosen), "doc_id").where(F.char_length("text") <= sample.max_chars)
+        .groupBy("doc_id", "label", "weight").agg(F.min("text").alias("text"))
         .select("doc_id", "text", "label", "weight"), "labelled-sample"
     )
 

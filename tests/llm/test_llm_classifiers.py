@@ -198,3 +198,55 @@ def test_url_query(spark):
     # Rules that the classifier learnt from are told again from the address alone.
     ruled = [r for r in found if r["rule"]]
     assert np.mean([(r["score"] >= 0.5) == (r["verdict"] == "block") for r in ruled]) > 0.95
+
+
+def test_small_languages_and_long_texts_are_learnt_with_the_default_bounds(spark):
+    english = [(i, f"the quick brown fox number {i} jumps over the lazy dog and the cat", "en") for i in range(20)]
+    polish = [(100, "szybki brązowy lis przeskakuje nad leniwym psem oraz kotem", "pl")]
+    german = [(200 + i, f"der schnelle braune Fuchs {i} springt über den faulen Hund und die Katze. " * 1900, "de")
+              for i in range(5)]
+    docs = spark.createDataFrame(english + polish + german, "doc_id long, text string, lang string")
+    filters = language.train(docs, ALL)
+    assert filters.languages == ["de", "en", "pl"]
+    found = language.with_languages(docs, filters).collect()
+    want = {r[0]: r[2] for r in english + polish + german}
+    assert {r["doc_id"]: r["lang_pred"] for r in found} == want
+
+
+def test_a_long_text_is_learnt_from_all_over():
+    text = "".join(chr(97 + i % 26) for i in range(100_000))
+    part = language._bounded(text, 1600)
+    assert 1500 < len(part) < 1700 and part[:100] == text[:100] and text.find(part[-100:]) >= 0
+    assert language._bounded("short", 1600) == "short"
+
+
+def test_bounds_hold_for_rows_of_one_id(spark):
+    """An id with a third of all rows is one training row."""
+    hot = [(7, f"text {i % 50} of one id, idiot", "en") for i in range(3000)]
+    rows = hot + [(100 + i, f"another text number {i}", "en") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
+    ids = sorted({r[0] for r in rows})
+    known = spark.createDataFrame([(i, int(i == 7 or i % 2), int(i == 7 or i % 2)) for i in ids],
+                                  "doc_id long, toxic int, quality int")
+    taken = toxicity.labelled_sample(docs, known, "toxic", ALL, toxicity.Sample(rows_per_class=2)).collect()
+    assert len(taken) <= 4
+    every = toxicity.labelled_sample(docs, known, "toxic", ALL, toxicity.Sample(rows_per_class=10_000)).collect()
+    assert len(every) == len(ids) and [r["text"] for r in every if r["doc_id"] == 7] == [min(r[1] for r in hot)]
+    sizes = language.Sizes(docs_per_language=2)
+    assert language._sample(docs, ALL, sizes, "doc_id", "text", "lang").count() == 2
+    whole = language._sample(docs, ALL, language.Sizes(docs_per_language=10_000), "doc_id", "text", "lang")
+    assert whole.count() == len(ids) and whole.where("doc_id = 7").count() == 1
+    seen = []
+    measured = quality.with_measures(docs)
+
+    def counted(x, y, how):
+        seen.append(len(y))
+        return real(x, y, how)
+
+    real = quality.fit
+    quality.fit = counted
+    try:
+        quality.train(measured, known, ALL, quality.Fit(max_rows=20))
+    finally:
+        quality.fit = real
+    assert seen == [20]

@@ -165,3 +165,16 @@ def test_query_takes_its_digests_from_the_packed_ids(spark, monkeypatch):
     assert found.columns == [c for c in packed.columns if c != "ids"]
     assert found.dtypes == packed.drop("ids").dtypes
     assert sorted(found.select(keys).collect()) == sorted(packed.select(keys).collect())
+
+
+def test_an_id_with_very_many_rows_is_in_many_shards(spark, tmp_path):
+    rows = [(5, f"text {i}") for i in range(900)] + [(5, "same")] * 300 + [(i, "x") for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    manifest = write_token_files(docs, f"file://{tmp_path}/out", vocabulary_path(), 1, shards=8, sequence_length=64)
+    shards = manifest.collect()
+    assert len(shards) == 8 and max(s.documents for s in shards) < 600
+    back = read_documents(spark, f"file://{tmp_path}/out").orderBy("start").collect()
+    assert len(back) == 2000
+    ids = [r.doc_id for r in back]
+    assert ids == sorted(ids)
+    assert all(b.start == a.start + a.n_tokens for a, b in zip(back, back[1:]))

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from oracle_check import compare, connect
 from pyspark.sql import functions as F
 
@@ -70,3 +72,46 @@ def test_vectors_that_are_not_finite_take_no_part(spark):
         (6, cast(array() as array<double>)) as t(vec_id, v)""")
     got = {r[0]: r[1] for r in df.select("vec_id", quantised(F.col("v"))).collect()}
     assert got == {1: [128, -1], 2: None, 3: None, 4: None, 5: None, 6: []}
+
+
+def test_only_empty_vectors(spark):
+    rows = spark.createDataFrame([(1, []), (2, [])], "vec_id long, vector array<long>")
+    found = top_k(rows, rows, 5).collect()
+    assert sorted((r.query_id, r.vec_id, r.score) for r in found) == [(1, 2, 0), (2, 1, 0)]
+
+
+def test_an_id_in_a_third_of_the_rows_is_in_many_parts(spark):
+    rows = [(5 if i % 3 == 0 else i, [i % 50, (i * 7) % 31]) for i in range(6000)]
+    rows += [(5, [1, 1])] * 3000  # and equal rows of it
+    df = spark.createDataFrame(rows, "vec_id long, vector array<long>").repartition(5)
+    blocks = topk._blocks(df, 9, 256).select("part", F.size("blocks").alias("blocks")).collect()
+    assert len(blocks) == 9 and max(r.blocks for r in blocks) <= 8  # of 4 or so each
+
+
+def test_parts_without_a_chance_are_not_read(spark, monkeypatch):
+    """Clustered vectors in the order of their ids: a query's floor rules out all other clusters."""
+    monkeypatch.setattr(topk, "PART_ROWS", 200)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 50)
+    rng = np.random.default_rng(4)
+    centres = 1000 * np.eye(8, dtype=int)
+    rows = [(i, (centres[i // 200] + rng.integers(-20, 20, 8)).tolist()) for i in range(1600)]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<long>")
+    kept = []
+    real = topk._alive
+
+    def counted(bounds, floors):
+        out = real(bounds, floors)
+        kept.append((out.count(), bounds.count()))
+        return out
+
+    monkeypatch.setattr(topk, "_alive", counted)
+    queries = df.where("vec_id < 40")
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in top_k(queries, df, 5).collect())
+    vectors = {i: np.array(v) for i, v in rows}
+    want = []
+    for q in range(40):
+        best = sorted((-int(vectors[q] @ v), i) for i, v in vectors.items() if i != q)[:5]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert got == sorted(want)
+    (alive, pairs), = kept
+    assert alive <= 2 < pairs
