@@ -9,6 +9,7 @@ import uuid
 from pathlib import Path
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskflow.operators.geo import load_places, read_ranges
 from riskflow.operators.layout import ROWS_PER_FILE
@@ -49,6 +50,9 @@ def arguments() -> argparse.Namespace:
                              help="keep the source of each row, and a table of all lines' sources")
             job.add_argument("--repeats-within",
                              help="a transaction sent again within this time, such as '2 days', lands once")
+            job.add_argument("--more", help="further keys of the feed to keep, such as 'channel string'")
+            job.add_argument("--watch-drift", action="store_true",
+                             help="write how each batch's keys and types differ from the declared ones")
             job.add_argument("--geo", help="CSV file of address ranges: network,geo_country,geo_region")
             salt = job.add_mutually_exclusive_group()
             salt.add_argument("--card-salt-file", type=Path, help="file with the salt of card hashes")
@@ -115,7 +119,8 @@ def main() -> None:
             keep_pii=args.keep_pii, card_salt=card_salt(args),
             gather_dates=not args.one_date_files, timeout=args.timeout,
             max_file_age=args.max_file_age, places=places, audit=args.audit,
-            repeats_within=args.repeats_within,
+            repeats_within=args.repeats_within, more=T.StructType.fromDDL(args.more) if args.more else T.StructType(),
+            watch_drift=args.watch_drift,
         )
         print(f"lines {counts['lines']}, corrupt {counts['corrupt_lines']}")
     elif args.layer in ("silver", "dates"):

@@ -227,6 +227,23 @@ def write_feed(
     return files
 
 
+def write_drifting_feed(spark: SparkSession, sf_dir: str, path: str) -> int:
+    """A feed whose odd transactions have a new key (with numbers for some, texts for others), a
+    number as their user, and no referral code at all."""
+    number = F.col("transaction_id").cast("long")
+    rows = raw(spark, sf_dir)
+    old = F.to_json(F.struct(*schemas.RAW.names), {"timestampFormat": JSON_TIMESTAMP})
+    kept = [F.col(n) for n in schemas.RAW.names if n not in ("user_id", "referral_code")]
+    new = F.to_json(F.struct(
+        *kept, F.col("user_id").cast("long").alias("user_id"),
+        F.when(number % 5 != 0, F.concat(F.lit("app-"), _text(number % 7))).alias("channel"),
+        F.when(number % 5 == 0, number % 3).alias("visits")), {"timestampFormat": JSON_TIMESTAMP})
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.repartition(files, "session_id").select(
+        F.when(number % 2 == 1, new).otherwise(old).alias("value")).write.text(path)
+    return files
+
+
 def move_files(spark: SparkSession, source: str, target: str, prefix: str, days_back: int) -> None:
     """Move the data files of a folder into another, dated some days back."""
     jvm = spark._jvm

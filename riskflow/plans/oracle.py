@@ -254,6 +254,48 @@ lined as (
   select * from sent union all select * from sent where number % 3 = 0
   union all select * from sent where number % 5 = 0)"""
 
+RAW_TYPES = dict(event_time="timestamp", amount="double", is_new_user="boolean")
+KINDS = dict(amount="number", is_new_user="boolean")
+
+
+def _drift_rows():
+    """Key, kind, declared type, status and which lines have it; nulls are not written."""
+    for name in RAW_COLUMNS:
+        declared, kind = RAW_TYPES.get(name, "string"), KINDS.get(name, "string")
+        if name == "user_id":
+            yield name, "integer", declared, "other type", "number % 2 = 1 and user_id is not null"
+            yield name, "string", declared, "as declared", "number % 2 = 0 and user_id is not null"
+        elif name == "referral_code":
+            yield name, kind, declared, "as declared", "number % 2 = 0 and referral_code is not null"
+        elif name == "amount":
+            whole = "amount is not null and amount = trunc(amount)"
+            yield name, "integer", declared, "as declared", f"false and {whole}"
+            yield name, "number", declared, "as declared", "amount is not null"
+        else:
+            yield name, kind, declared, "as declared", f"{name} is not null"
+    yield "channel", "string", None, "new", "number % 2 = 1 and number % 5 <> 0"
+    yield "visits", "integer", None, "new", "number % 2 = 1 and number % 5 = 0"
+
+
+def _quoted(text):
+    return "null" if text is None else f"'{text}'"
+
+
+DRIFT = f"""{LAYERS}, numbered as (select *, cast(transaction_id as bigint) as number from raw)
+select * from (""" + " union all ".join(
+    f"""select '{name}' as "column", '{kind}' as kind, {_quoted(declared)} as declared, '{status}' as status,
+    cast(count(*) filter (where {lines}) as bigint) as line_count from numbered"""
+    for name, kind, declared, status, lines in _drift_rows()
+) + ") where line_count > 0"
+
+MERGED = f"""{LAYERS}, numbered as (select *, cast(transaction_id as bigint) as number from raw)
+select transaction_id, user_id, cast(3 as bigint) as row_count,
+  case when number % 2 = 1 and number % 5 <> 0 then 1::bigint else 0::bigint end as channels,
+  case when number % 2 = 1 and number % 5 <> 0 then concat('app-', number % 7) end as channel,
+  case when number % 2 = 1 and number % 5 = 0 then 2::bigint else 0::bigint end as visit_rows,
+  case when number % 2 = 1 and number % 5 = 0 then 2.0::double * (number % 3) end as visits
+from numbered"""
+
 ORACLE = {
     "q_bronze": _select("bronze"),
     "q_pii_copy": _select("raw", "transaction_id, ip_address, card_number"),
@@ -314,6 +356,8 @@ ORACLE = {
         cast(0 as bigint) as corrupt_lines, cast(count(*) filter (where number % 20 <> 0)
         - count(distinct number) filter (where number % 20 <> 0) as bigint) as repeated_lines from lined""",
     "q_stream_geo": GEO,
+    "q_stream_drift": DRIFT,
+    "q_stream_merged": MERGED,
     "q_stream_velocity": f"""{SKEWED_LAYERS}, measured as (select {VELOCITY} from bronze {VELOCITY_WINDOW})
         select * from measured where {PASSED.format(table="bronze")}""",
     "q_stream_devices": f"{DEVICES} where {PASSED.format(table='timed')}",

@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskflow import schemas
@@ -35,12 +36,15 @@ def run_bronze(
     keep_corrupt: bool = True, keep_pii: bool = False, card_salt: str | None = None,
     gather_dates: bool = True, timeout: float | None = None, max_file_age: str = MAX_FILE_AGE,
     places: Places | None = None, audit: bool = False, repeats_within: str | None = None,
+    more: T.StructType = T.StructType(), watch_drift: bool = False,
 ) -> dict[str, int | None]:
     """Take all new files of the feed. Returns the numbers of lines and corrupt lines (None with
     an interval, or if a batch did not tell), which are also written per batch as batches end,
     whatever is kept, with the number of lines that repeat a transaction.
 
-    ``audit`` adds the source of each row and keeps the table of all lines' sources.
+    ``audit`` adds the source of each row and keeps the table of all lines' sources. ``more`` are
+    further keys of the feed to keep, which later runs keep as well; ``watch_drift`` writes for each
+    batch how its keys and types differ from the declared ones.
 
     ``pace`` limits the feed; the report tails the bronze table, whose files are other ones. A
     clean feed is parsed once, also with an interval: the quarantine runs only when corrupt lines
@@ -55,11 +59,15 @@ def run_bronze(
     beside = layers.start_pii(spark, feed, store, pace, max_file_age) if keep_pii else []
     if audit:
         beside += layers.start_sources(spark, feed, store, pace, max_file_age)
-    options = {"places": places, "audit": audit, "repeats_within": repeats_within}
+    more = layers.keep_more(spark, store, more)
+    if watch_drift:
+        declared = T.StructType(schemas.RAW.fields + more.fields)
+        beside += layers.start_drift(spark, feed, store, pace, max_file_age, declared)
+    options = {"places": places, "audit": audit, "repeats_within": repeats_within, "more": more}
     if pace.interval is not None:  # the mark stays: a stopped run may not know of its last batch
         once = Pace(pace.max_files, pace.max_bytes)
         late = _OnDemand(
-            lambda: layers.start_quarantine(spark, feed, store, once, max_file_age), pending,
+            lambda: layers.start_quarantine(spark, feed, store, once, max_file_age, more), pending,
         ) if keep_corrupt else None
         _await_counted(spark, store, lambda: start_bronze_layer(
             spark, feed, store, pace, dq, False, card_salt, gather_dates, max_file_age, **options,
@@ -70,7 +78,7 @@ def run_bronze(
     lines, corrupt = counts or (None, None)
     missing = corrupt != 0 or pending
     if missing and keep_corrupt:
-        await_all(layers.start_quarantine(spark, feed, store, pace, max_file_age), timeout)
+        await_all(layers.start_quarantine(spark, feed, store, pace, max_file_age, more), timeout)
     if keep_corrupt or not missing:  # else a later run with a quarantine takes the lines up
         write_state(spark, store.state("quarantine"), open="no")
     if dq:

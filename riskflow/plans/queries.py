@@ -435,6 +435,31 @@ def stream_feed_counts(spark, sf_dir):
     return counts.agg(*[F.sum(name).alias(name) for name in ("lines", "corrupt_lines", "repeated_lines")])
 
 
+def stream_drift(spark, sf_dir):
+    """Keys and kinds of values of all batches, added up, against the declared columns."""
+    root = scratch_dir(spark, "stream-drift")
+    files = model.write_drifting_feed(spark, sf_dir, f"{root}/feed")
+    store = Store(f"{root}/store")
+    pipeline.run_bronze(spark, f"{root}/feed", store, Pace(max_files=-(-files // MICRO_BATCHES)), dq=False,
+                        keep_corrupt=False, watch_drift=True)
+    return layers.read_drift(spark, store).groupBy("column", "kind", "declared", "status").agg(
+        F.sum("line_count").alias("line_count"))
+
+
+def stream_merged(spark, sf_dir):
+    """Bronze files of three schemas read as one: without a new key, with it, and with its wider type."""
+    root = scratch_dir(spark, "stream-merged")
+    store = Store(f"{root}/store")
+    for name, more in (("old", ""), ("narrow", "visits int"), ("wide", "channel string, visits double")):
+        model.write_drifting_feed(spark, sf_dir, f"{root}/{name}")
+        model.move_files(spark, f"{root}/{name}", f"{root}/feed", name, 0)
+        pipeline.run_bronze(spark, f"{root}/feed", store, dq=False, keep_corrupt=False,
+                            more=T.StructType.fromDDL(more) if more else T.StructType())
+    return layers.read_bronze(spark, store).groupBy("transaction_id", "user_id").agg(
+        F.count("*").alias("row_count"), F.count("channel").alias("channels"),
+        F.max("channel").alias("channel"), F.count("visits").alias("visit_rows"), F.sum("visits").alias("visits"))
+
+
 def stream_geo(spark, sf_dir):
     """Places in the bronze stream."""
     root = scratch_dir(spark, "stream-geo")
@@ -694,6 +719,8 @@ QUERIES = {
     "q_stream_dedup": stream_dedup,
     "q_stream_feed_counts": stream_feed_counts,
     "q_stream_geo": stream_geo,
+    "q_stream_drift": stream_drift,
+    "q_stream_merged": stream_merged,
     "q_stream_velocity": stream_velocity,
     "q_stream_devices": stream_devices,
     "q_stream_silver": stream_silver,

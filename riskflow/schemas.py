@@ -75,3 +75,7 @@ DEVICES = _struct("""
     transaction_id string, user_id string, event_time timestamp, device_id string,
     previous_device string, device_changed boolean, device_is_new boolean, event_date date
 """)
+
+DRIFT = _struct("""
+    column string, kind string, declared string, line_count long, status string, batch_id long
+""")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskflow.schemas import RAW
+from riskflow.schemas import AUDIT, RAW
 from riskflow.sources.limits import limited
 
 CORRUPT = "_corrupt_record"
@@ -34,13 +34,17 @@ def stream_feed(
     max_bytes: int | str | None = None,
     max_file_age: str = MAX_FILE_AGE,
     archive: str | None = None,
+    more: T.StructType = T.StructType(),
 ) -> DataFrame:
     """Streaming read of the same columns, with an optional limit on the size of a micro-batch.
 
+    ``more`` are further keys to read; a value of the wrong type makes its line corrupt as well.
+
     ``archive`` moves files that were read to that folder, so that the next run lists fewer. Give
     it only where a single query reads the feed.
     """
-    reader = spark.readStream.schema(FEED).options(**OPTIONS).option("maxFileAge", max_file_age)
+    schema = T.StructType(RAW.fields + more.fields + FEED.fields[len(RAW):])
+    reader = spark.readStream.schema(schema).options(**OPTIONS).option("maxFileAge", max_file_age)
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return limited(reader, max_files, max_bytes).json(path)
@@ -55,19 +59,33 @@ def counted(feed: DataFrame) -> DataFrame:
     )
 
 
-def _parsed_whole() -> Column:
+def stream_lines(
+    spark: SparkSession, path: str, max_files: int | None = None,
+    max_bytes: int | str | None = None, max_file_age: str = MAX_FILE_AGE,
+) -> DataFrame:
+    """The feed's lines as they are: value."""
+    reader = spark.readStream.option("maxFileAge", max_file_age)
+    return limited(reader, max_files, max_bytes).text(path)
+
+
+def _parsed_whole(names: Sequence[str] = RAW.names) -> Column:
     """True for every row, which the optimizer cannot tell.
 
     The JSON source parses only the columns that a query needs, so a query that leaves out a
     column with a wrong type would take that line for a good one. This condition needs them all,
     and every query agrees on the bad lines.
     """
-    return F.hash(*RAW.names) <= F.lit(2**31 - 1)
+    return F.hash(*names) <= F.lit(2**31 - 1)
 
 
 def good_rows(feed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The feed columns, and those of ``keep``, of lines that are not corrupt."""
-    return feed.where(F.col(CORRUPT).isNull() & _parsed_whole()).select(*RAW.names, *keep)
+    return feed.where(F.col(CORRUPT).isNull() & _parsed_whole(_read(feed))).select(*RAW.names, *keep)
+
+
+def _read(feed: DataFrame) -> list[str]:
+    """The columns that were read from the lines."""
+    return [name for name in feed.columns if name != CORRUPT and name not in AUDIT.names]
 
 
 def with_source(feed: DataFrame) -> DataFrame:
@@ -99,6 +117,6 @@ def once(rows: DataFrame, within: str) -> DataFrame:
 def corrupt_rows(feed: DataFrame) -> DataFrame:
     """Lines that are no JSON object or hold a value of the wrong type, as they came, with the
     name of their file. Takes the feed as it was read."""
-    return feed.where(F.col(CORRUPT).isNotNull() & _parsed_whole()).select(
+    return feed.where(F.col(CORRUPT).isNotNull() & _parsed_whole(_read(feed))).select(
         F.col(CORRUPT).alias("corrupt_record"), F.col("_metadata.file_name").alias("source_file")
     )

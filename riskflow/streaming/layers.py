@@ -20,12 +20,13 @@ from pyspark.sql.streaming import StreamingQuery
 from riskflow import schemas
 from riskflow.operators import marts, quality
 from riskflow.operators.bronze import pii_copy, to_bronze
+from riskflow.operators.drift import ddl, drift, widest
 from riskflow.operators.enrich import enrich
 from riskflow.operators.geo import Places, with_places
 from riskflow.operators.timelines import VelocityRule
 from riskflow.operators.validation import require_schema
 from riskflow.sources.feed import (
-    MAX_FILE_AGE, corrupt_rows, counted, good_rows, once, stream_feed, with_source,
+    MAX_FILE_AGE, corrupt_rows, counted, good_rows, once, stream_feed, stream_lines, with_source,
 )
 from riskflow.sources.limits import parse_bytes
 from riskflow.sources.lookups import Lookup
@@ -69,6 +70,9 @@ class Store:
     def feed_counts(self) -> str:
         return f"{self.root}/feed_counts"
 
+    def drift(self) -> str:
+        return f"{self.root}/drift"
+
     def checkpoint(self, query: str) -> str:
         return f"{self.root}/checkpoints/{query}"
 
@@ -113,25 +117,25 @@ def start_bronze(
     spark: SparkSession, feed: str, store: Store, pace: Pace = Pace(),
     card_salt: str | None = None, gather_dates: bool = True,
     max_file_age: str = MAX_FILE_AGE, places: Places | None = None, audit: bool = False,
-    repeats_within: str | None = None,
+    repeats_within: str | None = None, more: T.StructType = T.StructType(),
 ) -> list[StreamingQuery]:
     """Feed to bronze, with the lines and corrupt lines of each batch as its metric ``feed``.
 
     Gathering the dates shuffles the feed; turn it off for a feed whose files hold one date each.
     ``places`` adds the place of the address, ``audit`` the file and time that a row came with.
     With ``repeats_within`` a transaction that is sent again within that time lands once, and the
-    metric ``landed`` counts what did.
+    metric ``landed`` counts what did. ``more`` are further keys of the feed that are kept.
     """
-    lines = stream_feed(spark, feed, pace.max_files, pace.max_bytes, max_file_age)
+    lines = stream_feed(spark, feed, pace.max_files, pace.max_bytes, max_file_age, more=more)
     source = schemas.AUDIT.names if audit or repeats_within else []
     lines = counted(with_source(lines) if source else lines)
-    rows = require_schema(good_rows(lines, source), schemas.RAW, "raw")
+    rows = require_schema(good_rows(lines, source + more.names), schemas.RAW, "raw")
     if repeats_within:
         ready_for_state(spark)
         rows = once(rows, repeats_within).observe("landed", F.count(F.lit(1)).alias("landed"))
     if places:
         rows = with_places(rows, places)
-    keep = (schemas.GEO.names if places else []) + (source if audit else [])
+    keep = (schemas.GEO.names if places else []) + (source if audit else []) + more.names
     bronze = to_bronze(rows, card_salt, keep=keep)
     if gather_dates and repeats_within:
         bronze = by_date_parts(bronze, "transaction_id")
@@ -159,16 +163,58 @@ def start_sources(
 
 def start_quarantine(
     spark: SparkSession, feed: str, store: Store, pace: Pace = Pace(),
-    max_file_age: str = MAX_FILE_AGE,
+    max_file_age: str = MAX_FILE_AGE, more: T.StructType = T.StructType(),
 ) -> list[StreamingQuery]:
     """Corrupt lines to the restricted store. A parse of its own, of all files since its last run."""
-    lines = stream_feed(spark, feed, pace.max_files, pace.max_bytes, max_file_age)
+    lines = stream_feed(spark, feed, pace.max_files, pace.max_bytes, max_file_age, more=more)
     return [start_table_sink(
         corrupt_rows(lines), store.private("quarantine"), store.checkpoint("quarantine"),
         "quarantine", partition_by=(), fmt="json", interval=pace.interval,
     )]
 
 
+def start_drift(
+    spark: SparkSession, feed: str, store: Store, pace: Pace = Pace(),
+    max_file_age: str = MAX_FILE_AGE, declared: T.StructType = schemas.RAW,
+) -> list[StreamingQuery]:
+    """For each batch of the feed its keys and kinds of values, and how they differ from
+    ``declared``. A parse of its own."""
+    def write_drift(batch: DataFrame, batch_id: int) -> None:
+        overwrite_batch_json(drift(batch, declared).coalesce(1), store.drift(), batch_id)
+
+    lines = stream_lines(spark, feed, pace.max_files, pace.max_bytes, max_file_age)
+    return [start_batch_sink(lines, write_drift, store.checkpoint("drift"), "drift", pace.interval)]
+
+
+def read_drift(spark: SparkSession, store: Store) -> DataFrame:
+    return spark.read.schema(schemas.DRIFT).json(store.drift())
+
+
+def more_columns(spark: SparkSession, store: Store) -> T.StructType:
+    """The further keys that bronze has come to keep."""
+    kept = read_state(spark, store.state("more-columns"), "ddl").get("ddl")
+    return T.StructType.fromDDL(kept) if kept else T.StructType()
+
+
+def keep_more(spark: SparkSession, store: Store, more: T.StructType) -> T.StructType:
+    """Record further keys; a key that was kept before stays, with the wider of both types."""
+    old = more_columns(spark, store)
+    merged = widest(old, more)
+    taken = [name for name in merged.names if name in schemas.RISK.names + schemas.AUDIT.names + schemas.GEO.names]
+    if taken:
+        raise ValueError(f"names that the tables use themselves: {taken}")
+    if merged != old:
+        write_state(spark, store.state("more-columns"), ddl=ddl(merged))
+    return merged
+
+
+def read_bronze(spark: SparkSession, store: Store) -> DataFrame:
+    """The bronze table over files of all its schemas: a column that a file lacks is null, and one
+    of a narrower type is read as the wider one."""
+    return read_table(spark, store.table("bronze"),
+                      T.StructType(schemas.BRONZE.fields + more_columns(spark, store).fields))
+
+
 def start_pii(
     spark: SparkSession, feed: str, store: Store, pace: Pace = Pace(),
     max_file_age: str = MAX_FILE_AGE,
