@@ -74,6 +74,8 @@ def arguments() -> argparse.Namespace:
         if name == "silver":
             job.add_argument("--since", type=dt.date.fromisoformat,
                              help="first date in which to look for frequent keys")
+            job.add_argument("--join-metrics", action="store_true",
+                             help="count each lookup's misses, and their keys by a sketch")
         if name == "compact":
             job.add_argument("--before", type=dt.date.fromisoformat, required=True,
                              help="first date that is left as it is")
@@ -127,7 +129,8 @@ def main() -> None:
         paths = {spec.name: getattr(args, spec.name) for spec in SPECS}
         lookups = load_lookups(spark, paths, args.broadcast_limit)
         if args.layer == "silver":
-            pipeline.run_silver(spark, store, lookups, pace, timeout=args.timeout, since=args.since)
+            pipeline.run_silver(spark, store, lookups, pace, timeout=args.timeout, since=args.since,
+                                metrics=args.join_metrics)
         else:
             pipeline.run_dates(spark, store, lookups, args.target, args.from_date, args.to_date)
     elif args.layer == "gold":

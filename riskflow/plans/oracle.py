@@ -296,6 +296,46 @@ select transaction_id, user_id, cast(3 as bigint) as row_count,
   case when number % 2 = 1 and number % 5 = 0 then 2.0::double * (number % 3) end as visits
 from numbered"""
 
+def _misses(lookup, key, flag):
+    return f"""select '{lookup}' as lookup, cast(count(*) as bigint) as row_count,
+    cast(count(*) filter (where {flag}) as bigint) as missing_rows,
+    cast(count(*) filter (where {flag} and {key} is null) as bigint) as null_keys,
+    round(1 - count(*) filter (where {flag}) / count(*)::double, 9) as hit_share,
+    cast(count(distinct {key}) filter (where {flag}) as bigint) as exact_missing_keys,
+    true as estimate_is_near from silver"""
+
+
+JOIN_METRICS = SKEWED_LAYERS + " union all ".join([
+    _misses("users", "user_id", "missing_user"), _misses("products", "product_id", "missing_product"),
+    _misses("plans", "subscription_type", "missing_subscription"), _misses("ip_risk", "hash_ip", "missing_ip"),
+])
+
+# A visit begins where no transaction of the user lies less than the gap before.
+VISITS = """{timed},
+marked as (select user_id, event_time, case when event_time - lag(event_time) over w < interval {gap}
+    then 0 else 1 end as begins from {table} where user_id is not null
+    window w as (partition by user_id order by event_time)),
+islands as (select *, sum(begins) over (partition by user_id order by event_time
+    rows between unbounded preceding and current row) as visit from marked),
+visits as (select user_id, min(event_time) as visit_start, max(event_time) as visit_end,
+    count(*) as transactions from islands group by user_id, visit)"""
+
+CHURN = VISITS.format(timed=SKEWED_LAYERS, gap="30 minutes", table="bronze") + """,
+daily as (select user_id, event_date, count(*) as n from bronze where user_id is not null group by all),
+placed as (select *, event_date - cast(row_number() over (partition by user_id order by event_date) as integer)
+    as island, event_date - min(event_date) over (partition by user_id) as day from daily),
+streaks as (select user_id, max(n) as longest from (select user_id, island, count(*) as n from placed group by all)
+    group by user_id),
+days as (select user_id, min(event_date) as first_day, max(event_date) as last_day, count(*) as active_days,
+    case when count(*) > 1 then regr_slope(n, day) end as trend from placed group by user_id),
+seen as (select user_id, count(*) as visits, avg(transactions) as mean_visit from visits group by user_id),
+today as (select max(event_date) as today from daily)
+select user_id, first_day, last_day, cast(active_days as bigint) as active_days, cast(longest as bigint)
+  as longest_streak, cast(visits as bigint) as visits, round(mean_visit, 6) as mean_visit,
+  round(trend, 6) as trend, cast(today - last_day as integer) as days_away, today - last_day > 14 as is_gone,
+  round(active_days / (today - first_day + 1)::double, 6) as retention
+from days join streaks using (user_id) join seen using (user_id), today"""
+
 ORACLE = {
     "q_bronze": _select("bronze"),
     "q_pii_copy": _select("raw", "transaction_id, ip_address, card_number"),
@@ -324,6 +364,10 @@ ORACLE = {
     "q_geo_shuffled": GEO,
     "q_velocity": _select("bronze", VELOCITY, VELOCITY_WINDOW, SKEWED_LAYERS),
     "q_device_change": DEVICES,
+    "q_join_metrics": JOIN_METRICS,
+    "q_visits": VISITS.format(timed=DEVICES.split("lined as")[0].rstrip().rstrip(","), gap="5 hours", table="timed")
+        + " select user_id, visit_start, visit_end, cast(transactions as bigint) as transactions from visits",
+    "q_churn": CHURN,
     "q_user_spend": _select("spend"),
     "q_product_usage": _select("usage"),
     "q_risk_flag": _select("risk", "transaction_id, is_high_risk_txn"),
@@ -357,6 +401,7 @@ ORACLE = {
         - count(distinct number) filter (where number % 20 <> 0) as bigint) as repeated_lines from lined""",
     "q_stream_geo": GEO,
     "q_stream_drift": DRIFT,
+    "q_stream_join_metrics": JOIN_METRICS,
     "q_stream_merged": MERGED,
     "q_stream_velocity": f"""{SKEWED_LAYERS}, measured as (select {VELOCITY} from bronze {VELOCITY_WINDOW})
         select * from measured where {PASSED.format(table="bronze")}""",

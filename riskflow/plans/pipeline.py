@@ -171,8 +171,11 @@ def _await_counted(
 def run_silver(
     spark: SparkSession, store: Store, lookups: Mapping[str, Lookup], pace: Pace = Pace(),
     dq: bool = True, timeout: float | None = None, since: dt.date | None = None,
+    metrics: bool = False,
 ) -> None:
-    """Lookups beyond the broadcast bound first get the frequent keys of what is to be joined.
+    """``dq`` and ``metrics`` add the report and the join metrics of each batch that was written.
+
+    Lookups beyond the broadcast bound first get the frequent keys of what is to be joined.
 
     That is looked for in the bronze files written since the last run began, so old rows cannot
     outweigh a key that is frequent only now. ``since`` leaves out earlier dates. A query kept
@@ -190,12 +193,16 @@ def run_silver(
     if pace.interval is not None:
         queries = layers.start_silver(spark, store, lookups, pace)
         write_state(spark, store.state("silver"), started=started.isoformat())
-        await_all(queries + (layers.start_silver_dq(spark, store, pace.of_tables()) if dq else []), timeout)
+        beside = pace.of_tables()
+        queries += layers.start_silver_dq(spark, store, beside) if dq else []
+        queries += layers.start_join_metrics(spark, store, beside) if metrics else []
+        await_all(queries, timeout)
         return
     await_all(layers.start_silver(spark, store, lookups, pace), timeout)
     write_state(spark, store.state("silver"), started=started.isoformat())
-    if dq:
-        await_all(layers.start_silver_dq(spark, store, pace), timeout)
+    reports = layers.start_silver_dq(spark, store, pace) if dq else []
+    reports += layers.start_join_metrics(spark, store, pace) if metrics else []
+    await_all(reports, timeout)
 
 
 def run_gold(

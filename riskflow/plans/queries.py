@@ -10,10 +10,11 @@ from pyspark.sql import types as T
 
 from riskflow import schemas
 from riskflow.functions.privacy import mask_card, mask_card_unanchored
-from riskflow.operators import marts, quality
+from riskflow.operators import joins, marts, quality
 from riskflow.operators.bronze import pii_copy, to_bronze
 from riskflow.operators.enrich import enrich
 from riskflow.operators.geo import load_places, with_places
+from riskflow.operators.habits import churn, visits
 from riskflow.operators.layout import cluster_table, file_count, write_clustered
 from riskflow.operators.timelines import VelocityRule, device_changes, velocity
 from riskflow.operators.validation import schema_diff
@@ -560,6 +561,55 @@ def stream_usage(spark, sf_dir):
     return _rounded_usage(layers.read_usage(spark, store))
 
 
+def _checked_metrics(metrics, silver):
+    """Merged metrics, with the estimate of missing keys against the exact number: within four
+    standard errors."""
+    exact = silver.agg(*[
+        F.count_distinct(F.when(F.col(spec.flag), F.col(spec.feed_key))).alias(spec.name) for spec in SPEC_BY_NAME.values()
+    ]).select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("lookup"), F.col(name).alias("exact")) for name in SPEC_BY_NAME])))
+    near = F.abs(F.col("missing_keys") - F.col("exact")) <= 4 * joins.SKETCH_ERROR * F.col("exact")
+    return metrics.join(exact, "lookup").select(
+        "lookup", "row_count", "missing_rows", "null_keys", F.round("hit_share", 9).alias("hit_share"),
+        F.col("exact").alias("exact_missing_keys"), near.alias("estimate_is_near"))
+
+
+def join_metric(spark, sf_dir):
+    """Misses of each lookup, from the metrics of three parts of the rows."""
+    silver = enrich(_skewed_bronze(spark, sf_dir), model.lookups(spark, sf_dir))
+    number = F.col("transaction_id").cast("long")
+    parts = [joins.join_metrics(silver.where(number % 3 == part)) for part in range(3)]
+    merged = joins.merged_metrics(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    return _checked_metrics(merged, silver)
+
+
+def stream_join_metrics(spark, sf_dir):
+    """The same, kept per batch of the silver stream."""
+    root = scratch_dir(spark, "stream-metrics")
+    files = model.write_feed(spark, sf_dir, f"{root}/feed", change=model.skewed)
+    store = Store(f"{root}/store")
+    pipeline.run_bronze(spark, f"{root}/feed", store, Pace(max_files=-(-files // MICRO_BATCHES)), dq=False,
+                        keep_corrupt=False)
+    lookups = load_lookups(spark, model.write_lookups(spark, sf_dir, f"{root}/lookups"))
+    pipeline.run_silver(spark, store, lookups, _pace(spark, store, "bronze"), dq=False, metrics=True)
+    silver = read_table(spark, store.table("silver"), schemas.SILVER)
+    return _checked_metrics(layers.read_join_metrics(spark, store), silver)
+
+
+def user_visits(spark, sf_dir):
+    """Visits on a feed with a hot user; some transactions share a time."""
+    found = visits(model.few_devices(_skewed_bronze(spark, sf_dir)), VISIT_GAP)
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("visit_start", "visit_end")})
+
+
+VISIT_GAP = 5 * 3600
+
+
+def user_churn(spark, sf_dir):
+    found = churn(_skewed_bronze(spark, sf_dir))
+    return found.withColumns({c: F.round(c, 6) for c in ("mean_visit", "trend", "retention")})
+
+
 def stream_risk(spark, sf_dir):
     store = _run(spark, sf_dir, "stream-risk", marts_wanted=("risk",))
     return _plain_time(read_table(spark, store.table("risk"), schemas.RISK))
@@ -696,6 +746,9 @@ QUERIES = {
     "q_geo_shuffled": geo_shuffled,
     "q_velocity": user_velocity,
     "q_device_change": device_change,
+    "q_join_metrics": join_metric,
+    "q_visits": user_visits,
+    "q_churn": user_churn,
     "q_user_spend": user_spend,
     "q_product_usage": product_usage,
     "q_risk_flag": risk_flag,
@@ -720,6 +773,7 @@ QUERIES = {
     "q_stream_feed_counts": stream_feed_counts,
     "q_stream_geo": stream_geo,
     "q_stream_drift": stream_drift,
+    "q_stream_join_metrics": stream_join_metrics,
     "q_stream_merged": stream_merged,
     "q_stream_velocity": stream_velocity,
     "q_stream_devices": stream_devices,

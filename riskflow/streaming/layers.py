@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskflow import schemas
-from riskflow.operators import marts, quality
+from riskflow.operators import joins, marts, quality
 from riskflow.operators.bronze import pii_copy, to_bronze
 from riskflow.operators.drift import ddl, drift, widest
 from riskflow.operators.enrich import enrich
@@ -70,6 +70,9 @@ class Store:
     def feed_counts(self) -> str:
         return f"{self.root}/feed_counts"
 
+    def join_metrics(self) -> str:
+        return f"{self.root}/join_metrics"
+
     def drift(self) -> str:
         return f"{self.root}/drift"
 
@@ -270,6 +273,26 @@ def start_silver_dq(
     )]
 
 
+def start_join_metrics(
+    spark: SparkSession, store: Store, pace: Pace = Pace()
+) -> list[StreamingQuery]:
+    """Counts and sketches of lookups' misses, a folder per batch of the written silver table."""
+    def write_metrics(batch: DataFrame, batch_id: int) -> None:
+        joins.join_metrics(batch).coalesce(1).write.mode("overwrite").parquet(
+            f"{store.join_metrics()}/batch_id={batch_id}")
+
+    return [start_batch_sink(
+        _silver(spark, store, pace).select(*joins.INPUT), write_metrics,
+        store.checkpoint("join_metrics"), "join_metrics", pace.interval,
+    )]
+
+
+def read_join_metrics(spark: SparkSession, store: Store) -> DataFrame:
+    """Per lookup over all batches."""
+    found = table_or_empty(spark, store.join_metrics(), schemas.JOIN_METRICS)
+    return joins.merged_metrics(found)
+
+
 def start_risk(spark: SparkSession, store: Store, pace: Pace = Pace()) -> list[StreamingQuery]:
     return [start_table_sink(
         marts.flag_high_risk(_silver(spark, store, pace)), store.table("risk"),
