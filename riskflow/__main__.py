@@ -27,7 +27,7 @@ STREAMED = ("bronze", "silver", "gold", "timelines")
 def arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="riskflow", description=__doc__)
     layer = parser.add_subparsers(dest="layer", required=True)
-    for name in ("bronze", "silver", "gold", "timelines", "dates", "compact", "layout"):
+    for name in ("bronze", "silver", "gold", "timelines", "dates", "compact", "layout", "check"):
         job = layer.add_parser(name)
         job.add_argument("--store", required=True, help="root folder of tables and checkpoints")
         if name in STREAMED:
@@ -58,6 +58,8 @@ def arguments() -> argparse.Namespace:
             salt.add_argument("--card-salt-file", type=Path, help="file with the salt of card hashes")
             salt.add_argument("--card-salt-env", help="environment variable with the salt")
         if name == "timelines":
+            job.add_argument("--only", nargs="+", choices=("velocity", "devices", "lifetime"),
+                             default=("velocity", "devices", "lifetime"))
             job.add_argument("--delay", default=TIMELINE_DELAY,
                              help="how far behind the newest event time a transaction may come")
             job.add_argument("--window-seconds", type=int, default=VelocityRule.window_seconds)
@@ -138,9 +140,15 @@ def main() -> None:
     elif args.layer == "timelines":
         rule = VelocityRule(args.window_seconds, args.limit,
                             max(args.window_seconds, VelocityRule.stretch_seconds))
-        pipeline.run_timelines(spark, store, pace, args.timeout, rule, args.delay)
+        pipeline.run_timelines(spark, store, pace, args.timeout, rule, args.delay, tuple(args.only))
     elif args.layer == "compact":
         pipeline.run_compact(spark, store, args.before)
+    elif args.layer == "check":
+        wrong = [rows.where("status != 'same'") for rows in pipeline.check_layers(spark, store)]
+        for rows in wrong:
+            rows.orderBy("event_date", "layer").show(1000, truncate=False)
+        if not all(rows.isEmpty() for rows in wrong):
+            raise SystemExit("layers differ")
     else:
         pipeline.run_layout(spark, store, args.target, args.rows_per_file, dates(args))
 

@@ -336,6 +336,35 @@ select user_id, first_day, last_day, cast(active_days as bigint) as active_days,
   round(active_days / (today - first_day + 1)::double, 6) as retention
 from days join streaks using (user_id) join seen using (user_id), today"""
 
+ALTERED = f"""{LAYERS}, altered as (
+  select * replace (case when transaction_id = '900' then amount + 1 else amount end as amount)
+  from silver, range(2) copies(c)
+  where c < case transaction_id when '500' then 0 when '700' then 2 else 1 end),
+per_date as (
+  select event_date, count(*) as b, coalesce(sum(round(amount * 10000)), 0) as b_units,
+    bool_or(transaction_id in ('500', '700')) as rows_differ, bool_or(transaction_id = '900') as values_differ
+  from bronze group by event_date),
+altered_dates as (select event_date, count(*) as s, coalesce(sum(round(amount * 10000)), 0) as s_units
+  from altered group by event_date)"""
+
+LAYER_CHECK = f"""{ALTERED}
+select event_date, 'bronze' as upstream, 'silver' as layer, cast(b as bigint) as rows_upstream,
+  cast(s as bigint) as rows, round((s_units - b_units) / 10000, 4) as amount_difference,
+  case when s <> b then 'rows differ' when values_differ or s_units <> b_units then 'values differ'
+    else 'same' end as status
+from per_date join altered_dates using (event_date)
+union all select event_date, 'silver', 'risk', cast(s as bigint), cast(s as bigint), 0.0::double, 'same'
+from altered_dates"""
+
+DAILY_CHECK = f"""{ALTERED}, sums as (
+  select event_date, sum(amount) as spent, count(usage_cost_ratio) as ratios from altered group by event_date),
+whole as (select event_date, sum(amount) as spent, count(usage_cost_ratio) as ratios from silver group by event_date)
+select event_date, 'spend' as layer, round(a.spent, 2) as expected, round(w.spent, 2) as found,
+  case when abs(a.spent - w.spent) < 0.00001 then 'same' else 'differs' end as status
+from sums a join whole w using (event_date)
+union all select event_date, 'usage', a.ratios::double, w.ratios::double,
+  case when a.ratios = w.ratios then 'same' else 'differs' end from sums a join whole w using (event_date)"""
+
 ORACLE = {
     "q_bronze": _select("bronze"),
     "q_pii_copy": _select("raw", "transaction_id, ip_address, card_number"),
@@ -405,6 +434,11 @@ ORACLE = {
     "q_stream_merged": MERGED,
     "q_stream_velocity": f"""{SKEWED_LAYERS}, measured as (select {VELOCITY} from bronze {VELOCITY_WINDOW})
         select * from measured where {PASSED.format(table="bronze")}""",
+    "q_stream_lifetime": f"""{SKEWED_LAYERS}, totals as (select user_id, count(*) as n,
+        coalesce(sum(round(amount * 10000)), 0) / 10000 as total, min(event_time) as first_time,
+        max(event_time) as last_time from bronze where user_id is not null group by user_id)
+        select user_id, cast(n as bigint) as transactions, total as total_amount, total / n as mean_amount,
+          first_time, last_time, total / (last_time::date - first_time::date + 1) as value_per_day from totals""",
     "q_stream_devices": f"{DEVICES} where {PASSED.format(table='timed')}",
     "q_stream_silver": _select("silver"),
     "q_stream_silver_shuffled": _select("silver", layers=SKEWED_LAYERS),
@@ -423,6 +457,8 @@ ORACLE = {
     ]),
     "q_dates_again": _select(
         "risk", rest="where event_date between date '2024-01-15' and date '2024-01-17'"),
+    "q_layer_check": LAYER_CHECK,
+    "q_daily_check": DAILY_CHECK,
     "q_layout_again": f"""{LAYERS}
         select 'risk' as table_name, transaction_id as key, event_date,
           cast(is_high_risk_txn as integer)::double as value from risk

@@ -17,6 +17,7 @@ from riskflow.operators import marts
 from riskflow.operators.enrich import enrich
 from riskflow.operators.geo import Places
 from riskflow.operators.layout import ROWS_PER_FILE, cluster_table, file_count, write_clustered
+from riskflow.operators.reconcile import compare_daily, compare_layers
 from riskflow.operators.timelines import VelocityRule
 from riskflow.sources.feed import MAX_FILE_AGE
 from riskflow.sources.lookups import Lookup, with_heavy_keys
@@ -218,12 +219,14 @@ def run_timelines(
     rule: VelocityRule = VelocityRule(), delay: str = layers.TIMELINE_DELAY,
     wanted: tuple[str, ...] = ("velocity", "devices"),
 ) -> None:
-    """Velocity and changes of device of the bronze transactions, each written once final.
+    """Velocity and changes of device of the bronze transactions, each written once final, and
+    (if wanted) the lifetime value per user.
 
     A transaction that comes more than ``delay`` behind the newest event time is on no timeline.
     """
     queries = layers.start_velocity(spark, store, pace, rule, delay) if "velocity" in wanted else []
     queries += layers.start_devices(spark, store, pace, delay) if "devices" in wanted else []
+    queries += layers.start_lifetime(spark, store, pace) if "lifetime" in wanted else []
     await_all(queries, timeout)
 
 
@@ -248,6 +251,15 @@ def run_dates(
         write_table(df, f"{target}/{name}", replace_dates=True)
 
 
+def check_layers(spark: SparkSession, store: Store) -> tuple[DataFrame, DataFrame]:
+    """Whether bronze, silver and the flagged table hold the same rows, and the daily tables what
+    silver sums up to, date by date. Layers that lag behind differ until they have caught up."""
+    tables = {name: table_or_empty(spark, store.table(name), schema) for name, schema in (
+        ("bronze", schemas.BRONZE), ("silver", schemas.SILVER), ("risk", schemas.RISK))}
+    return compare_layers(tables), compare_daily(
+        tables["silver"], layers.partials(spark, store, "spend"), layers.partials(spark, store, "usage"))
+
+
 def run_compact(spark: SparkSession, store: Store, before: dt.date) -> None:
     """Fold the partials of closed dates of both daily tables."""
     for name in layers.DAILY:

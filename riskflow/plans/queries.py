@@ -506,6 +506,18 @@ def stream_devices(spark, sf_dir):
     return _plain_time(found.select(*DEVICE_COLUMNS))
 
 
+def stream_lifetime(spark, sf_dir):
+    """Lifetime value after several batches."""
+    root = scratch_dir(spark, "stream-lifetime")
+    files = model.write_feed(spark, sf_dir, f"{root}/feed", change=model.skewed)
+    store = Store(f"{root}/store")
+    pipeline.run_bronze(spark, f"{root}/feed", store, Pace(max_files=-(-files // MICRO_BATCHES)), dq=False,
+                        keep_corrupt=False)
+    pipeline.run_timelines(spark, store, _pace(spark, store, "bronze"), wanted=("lifetime",))
+    times = {c: F.col(c).cast("timestamp_ntz") for c in ("first_time", "last_time")}
+    return layers.read_lifetime(spark, store).withColumns(times)
+
+
 def stream_silver_shuffled(spark, sf_dir):
     """Silver with all lookups joined by shuffle, on a feed with a hot user."""
     store = _run(spark, sf_dir, "stream-shuffled", silver=True, change=model.skewed,
@@ -719,6 +731,35 @@ def layout_again(spark, sf_dir):
     )
 
 
+def _stored_layers(spark, sf_dir, label):
+    """All layers as tables, of which silver lacks a row of one date, has one of another twice and
+    one of a third with another amount; the daily tables are those of the whole silver."""
+    root = scratch_dir(spark, label)
+    store = Store(f"{root}/store")
+    bronze = _bronze(spark, sf_dir)
+    write_table(bronze, store.table("bronze"))
+    silver = enrich(bronze, model.lookups(spark, sf_dir)).select(*schemas.SILVER.names)
+    number = F.col("transaction_id").cast("long")
+    copies = F.when(number == 500, 0).when(number == 700, 2).otherwise(1)
+    altered = silver.withColumn("amount", F.when(number == 900, F.col("amount") + 1).otherwise(F.col("amount"))) \
+        .withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies))).drop("_copy")
+    write_table(altered, store.table("silver"))
+    write_table(marts.flag_high_risk(read_table(spark, store.table("silver"), schemas.SILVER)), store.table("risk"))
+    overwrite_batch_table(marts.spend_partial(silver), store.partials("spend"), 0)
+    overwrite_batch_table(marts.usage_partial(silver), store.partials("usage"), 0)
+    return store
+
+
+def layer_check(spark, sf_dir):
+    rows, _ = pipeline.check_layers(spark, _stored_layers(spark, sf_dir, "check"))
+    return rows.withColumn("amount_difference", F.round("amount_difference", 4))
+
+
+def daily_check(spark, sf_dir):
+    _, daily = pipeline.check_layers(spark, _stored_layers(spark, sf_dir, "check-daily"))
+    return daily.withColumns({c: F.round(c, 2) for c in ("expected", "found")})
+
+
 def clustered_spend(spark, sf_dir):
     return _rounded_spend(_clustered(spark, marts.user_spend(_bronze(spark, sf_dir)), "user_id"))
 
@@ -777,6 +818,7 @@ QUERIES = {
     "q_stream_merged": stream_merged,
     "q_stream_velocity": stream_velocity,
     "q_stream_devices": stream_devices,
+    "q_stream_lifetime": stream_lifetime,
     "q_stream_silver": stream_silver,
     "q_stream_silver_shuffled": stream_silver_shuffled,
     "q_stream_alerts": stream_alerts,
@@ -791,6 +833,8 @@ QUERIES = {
     "q_stream_replay": stream_replay,
     "q_dates_again": dates_again,
     "q_layout_again": layout_again,
+    "q_layer_check": layer_check,
+    "q_daily_check": daily_check,
     "q_clustered": clustered,
     "q_clustered_spend": clustered_spend,
     "q_clustered_usage": clustered_usage,

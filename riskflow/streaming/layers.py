@@ -33,6 +33,7 @@ from riskflow.sources.lookups import Lookup
 from riskflow.sources.tables import (
     by_date, by_date_parts, exists, read_table, require_adaptive, stream_table, table_or_empty, write_table,
 )
+from riskflow.streaming import lifetime
 from riskflow.streaming.sinks import (
     overwrite_batch_json, overwrite_batch_table, read_state, start_batch_sink, start_table_sink,
     write_state,
@@ -70,6 +71,9 @@ class Store:
     def feed_counts(self) -> str:
         return f"{self.root}/feed_counts"
 
+    def lifetime(self) -> str:
+        return f"{self.root}/lifetime"
+
     def join_metrics(self) -> str:
         return f"{self.root}/join_metrics"
 
@@ -333,6 +337,30 @@ def start_devices(
     )]
 
 
+def start_lifetime(
+    spark: SparkSession, store: Store, pace: Pace = Pace(), buckets: int = lifetime.BUCKETS
+) -> list[StreamingQuery]:
+    """Lifetime value per user over all bronze batches. The number of buckets stays what it was
+    when the table began."""
+    kept = read_state(spark, store.state("lifetime"), "buckets").get("buckets")
+    if kept is None:
+        write_state(spark, store.state("lifetime"), buckets=buckets)
+    elif int(kept) != buckets:
+        raise ValueError(f"the lifetime table has {kept} buckets")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        lifetime.write_batch(batch, batch_id, store.lifetime(), buckets)
+
+    return [start_batch_sink(
+        _bronze(spark, store, pace).select(*lifetime.INPUT), write, store.checkpoint("lifetime"),
+        "lifetime", pace.interval,
+    )]
+
+
+def read_lifetime(spark: SparkSession, store: Store) -> DataFrame:
+    return lifetime.lifetime(spark, store.lifetime())
+
+
 @dataclass(frozen=True)
 class Daily:
     """A daily table: its partials' columns, how they fold, what they read as, and their key."""

@@ -1,0 +1,143 @@
+"""The lifetime table over batches and replays, and the checks between layers."""
+
+import datetime as dt
+import random
+from collections import Counter
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from riskflow import schemas
+from riskflow.operators.reconcile import compare_daily, compare_layers
+from riskflow.streaming import layers, lifetime
+from riskflow.streaming.layers import Store
+
+FEED = "user_id string, amount double, event_time timestamp"
+START = dt.datetime(2024, 1, 1)
+
+
+def rows(n, seed=1):
+    rng = random.Random(seed)
+    return [(rng.choice(["hot"] * 5 + [f"u{i}" for i in range(30)] + [None]), rng.choice([None, 1.1, 2.25, -3.0]),
+             rng.choice([None, START + dt.timedelta(hours=rng.randint(0, 5000))])) for _ in range(n)]
+
+
+def plain(data):
+    out = {}
+    for user in {r[0] for r in data} - {None}:
+        own = [r for r in data if r[0] == user]
+        times = sorted(r[2] for r in own if r[2])
+        total = round(sum(r[1] or 0 for r in own), 4)
+        days = (times[-1].date() - times[0].date()).days + 1 if times else None
+        out[user] = (len(own), total, round(total / len(own), 9), times[0] if times else None,
+                     times[-1] if times else None, round(total / days, 9) if days else None)
+    return out
+
+
+def found(spark, path):
+    return {r.user_id: (r.transactions, r.total_amount, round(r.mean_amount, 9), r.first_time, r.last_time,
+                        None if r.value_per_day is None else round(r.value_per_day, 9))
+            for r in lifetime.lifetime(spark, str(path)).collect()}
+
+
+def test_ten_batches_equal_one_and_replays_change_nothing(spark, tmp_path):
+    data = rows(600)
+    path = tmp_path / "ten"
+    for i in range(10):
+        part = spark.createDataFrame(data[i * 60:(i + 1) * 60], FEED)
+        lifetime.write_batch(part, i, str(path), 8)
+        if i in (4, 9):
+            before = found(spark, path)
+            lifetime.write_batch(part, i, str(path), 8)  # the same batch again
+            assert found(spark, path) == before
+    lifetime.write_batch(spark.createDataFrame(data, FEED), 0, str(tmp_path / "one"), 8)
+    assert found(spark, path) == found(spark, tmp_path / "one") == plain(data)
+
+
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    path = tmp_path / "t"
+    lifetime.write_batch(spark.createDataFrame([(f"u{i}", 1.0, START) for i in range(200)], FEED), 0, str(path), 16)
+    touched = lifetime.write_batch(spark.createDataFrame([("u1", 2.0, START), (None, 1.0, START)], FEED), 1, str(path), 16)
+    assert len(touched) == 1
+    assert [p.name for p in (path / "batch_id=1").glob("bucket=*")] == [f"bucket={touched[0]}"]
+    assert len(list((path / "batch_id=0").glob("bucket=*"))) == 16
+    assert lifetime.write_batch(spark.createDataFrame([(None, 1.0, START)], FEED), 2, str(path), 16) == []
+    assert len(found(spark, path)) == 200 and found(spark, path)["u1"][:2] == (2, 3.0)
+
+
+def test_a_batch_that_is_not_whole_is_not_read(spark, tmp_path):
+    path = tmp_path / "t"
+    for i in range(2):
+        lifetime.write_batch(spark.createDataFrame([("u", 1.0, START)], FEED), i, str(path), 4)
+    mark = path / "batch_id=1" / "_SUCCESS"
+    mark.rename(mark.with_name("_moved"))
+    assert found(spark, path)["u"][:2] == (1, 1.0)
+    lifetime.write_batch(spark.createDataFrame([("u", 1.0, START)], FEED), 1, str(path), 4)
+    assert found(spark, path)["u"][:2] == (2, 2.0)
+    assert lifetime.lifetime(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_the_number_of_buckets_stays(spark, tmp_path):
+    store = Store(str(tmp_path / "store"))
+    for query in layers.start_lifetime(spark, store, buckets=8):
+        query.awaitTermination(60)
+    with pytest.raises(ValueError, match="has 8 buckets"):
+        layers.start_lifetime(spark, store, buckets=9)
+    assert Path(store.state("lifetime")).exists()
+
+
+def table(spark, changes=()):
+    """Forty rows over four dates and none; ``changes`` map a row's number to its copies or columns."""
+    changes = dict(changes)
+    out = []
+    for i in range(40):
+        what = changes.get(i, {})
+        if isinstance(what, int):
+            out += [{"i": i}] * what
+        else:
+            out.append({"i": i, **what})
+    df = spark.createDataFrame([(r["i"], r.get("amount", float(r["i"])), r.get("location", "x")) for r in out],
+                               "i int, amount double, location string")
+    day = F.when(F.col("i") % 5 != 0, F.date_add(F.lit(dt.date(2024, 1, 1)), F.col("i") % 5))
+    made = df.withColumns({"transaction_id": F.concat(F.lit("t"), "i"), "event_date": day,
+                           "usage_cost_ratio": F.when(F.col("i") % 3 != 0, F.col("amount"))})
+    lacking = [F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.SILVER if f.name not in made.columns]
+    return made.select("*", *lacking).select(*schemas.SILVER.names)
+
+
+@pytest.mark.parametrize("changes, day, status", [
+    ({7: 0}, 2, "rows differ"), ({7: 2}, 2, "rows differ"), ({7: {"amount": 7.5}}, 2, "values differ"),
+    ({7: {"location": "y"}}, 2, "values differ"), ({7: 0, 12: 2}, 2, "values differ"), ({10: 0}, None, "rows differ"),
+    ({7: {"amount": 12.0}, 12: {"amount": 7.0}}, 2, "values differ"),
+])
+def test_a_lost_repeated_or_altered_row_marks_its_date(spark, changes, day, status):
+    good, bad = table(spark), table(spark, changes)
+    where = None if day is None else dt.date(2024, 1, 1) + dt.timedelta(days=day)
+    for layers_, link in (({"bronze": good, "silver": bad, "risk": bad}, "silver"),
+                          ({"bronze": good, "silver": good, "risk": bad}, "risk")):
+        rows_ = compare_layers(layers_).collect()
+        assert len(rows_) == 10
+        assert {(r.layer, r.event_date, r.status) for r in rows_ if r.status != "same"} == {(link, where, status)}
+
+
+def test_dates_of_one_layer_only_and_empty_layers(spark):
+    good = table(spark)
+    some = good.where("event_date is null or event_date != '2024-01-02'")
+    wrong = [(r.event_date, r.rows_upstream, r.rows) for r in compare_layers({"a": good, "b": some}).collect() if r.status != "same"]
+    assert wrong == [(dt.date(2024, 1, 2), 8, 0)]
+    extra = [(r.event_date, r.rows_upstream, r.rows) for r in compare_layers({"a": some, "b": good}).collect() if r.status != "same"]
+    assert extra == [(dt.date(2024, 1, 2), 0, 8)]
+    assert compare_layers({"a": good.limit(0), "b": good.limit(0)}).collect() == []
+
+
+def test_daily_tables(spark):
+    silver = table(spark)
+    spend = silver.groupBy("user_id", "event_date").agg(F.sum("amount").alias("spent_sum"))
+    usage = silver.groupBy("product_id", "event_date").agg(F.count("usage_cost_ratio").alias("ratio_count"))
+    assert Counter(r.status for r in compare_daily(silver, spend, usage).collect()) == Counter(same=10)
+    day = "event_date = '2024-01-03'"
+    less = spend.withColumn("spent_sum", F.when(F.expr(day), F.col("spent_sum") - 0.01).otherwise(F.col("spent_sum")))
+    none = usage.where(f"event_date is null or not {day}")
+    wrong = {(r.layer, r.event_date) for r in compare_daily(silver, less, none).collect() if r.status != "same"}
+    assert wrong == {("spend", dt.date(2024, 1, 3)), ("usage", dt.date(2024, 1, 3))}
