@@ -51,8 +51,9 @@ def run_bronze(
     clean feed is parsed once, also with an interval: the quarantine runs only when corrupt lines
     were met, or if an earlier run ended before it knew, and takes all files since its last run.
     """
-    if keep_corrupt:
-        store.private("quarantine")  # refuses a store without a restricted folder
+    for name, wanted in (("quarantine", keep_corrupt), ("pii", keep_pii)):
+        if wanted:
+            store.private(name)  # refuses a store without a restricted folder
     # Marked before the feed is read and cleared when its corrupt lines are known to be kept.
     pending = read_state(spark, store.state("quarantine"), "open").get("open") == "yes"
     if not pending:
