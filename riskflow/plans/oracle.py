@@ -229,7 +229,7 @@ GEO = f"""
 with odd as (select cast(event_id as varchar) as transaction_id, {ODD_ADDRESSES} as ip from events),
 numbered as (
   select transaction_id, sha256(ip) as hash_ip,
-    case when regexp_full_match(ip, '10\.0\.[0-9]+\.[0-9]+')
+    case when regexp_full_match(ip, '10[.]0[.][0-9]+[.][0-9]+')
         and cast(split_part(ip, '.', 4) as integer) <= 255
       then cast(split_part(ip, '.', 3) as integer) * 256 + cast(split_part(ip, '.', 4) as integer) end as n
   from odd),
