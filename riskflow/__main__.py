@@ -22,12 +22,13 @@ from riskflow.sources.lookups import BROADCAST_LIMIT_BYTES, SPECS, load_lookups
 from riskflow.streaming.layers import TIMELINE_DELAY, Pace, Store
 
 STREAMED = ("bronze", "silver", "gold", "timelines")
+TIMELINES = ("velocity", "devices", "lifetime", "amounts")
 
 
 def arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="riskflow", description=__doc__)
     layer = parser.add_subparsers(dest="layer", required=True)
-    for name in ("bronze", "silver", "gold", "timelines", "dates", "compact", "layout", "check"):
+    for name in ("bronze", "silver", "gold", "timelines", "dates", "compact", "layout", "check", "anomalies"):
         job = layer.add_parser(name)
         job.add_argument("--store", required=True, help="root folder of tables and checkpoints")
         if name in STREAMED:
@@ -58,8 +59,7 @@ def arguments() -> argparse.Namespace:
             salt.add_argument("--card-salt-file", type=Path, help="file with the salt of card hashes")
             salt.add_argument("--card-salt-env", help="environment variable with the salt")
         if name == "timelines":
-            job.add_argument("--only", nargs="+", choices=("velocity", "devices", "lifetime"),
-                             default=("velocity", "devices", "lifetime"))
+            job.add_argument("--only", nargs="+", choices=TIMELINES, default=TIMELINES)
             job.add_argument("--delay", default=TIMELINE_DELAY,
                              help="how far behind the newest event time a transaction may come")
             job.add_argument("--window-seconds", type=int, default=VelocityRule.window_seconds)
@@ -81,6 +81,8 @@ def arguments() -> argparse.Namespace:
         if name == "compact":
             job.add_argument("--before", type=dt.date.fromisoformat, required=True,
                              help="first date that is left as it is")
+        if name == "anomalies":
+            job.add_argument("--target", required=True, help="folder of the classes and their shares")
         if name == "layout":
             job.add_argument("--target", required=True, help="folder of the clustered copies")
             job.add_argument("--rows-per-file", type=int, default=ROWS_PER_FILE)
@@ -143,6 +145,8 @@ def main() -> None:
         pipeline.run_timelines(spark, store, pace, args.timeout, rule, args.delay, tuple(args.only))
     elif args.layer == "compact":
         pipeline.run_compact(spark, store, args.before)
+    elif args.layer == "anomalies":
+        pipeline.run_anomalies(spark, store, args.target)
     elif args.layer == "check":
         wrong = [rows.where("status != 'same'") for rows in pipeline.check_layers(spark, store)]
         for rows in wrong:

@@ -336,6 +336,36 @@ select user_id, first_day, last_day, cast(active_days as bigint) as active_days,
   round(active_days / (today - first_day + 1)::double, 6) as retention
 from days join streaks using (user_id) join seen using (user_id), today"""
 
+QUANTILES = f"""{SKEWED_LAYERS} select user_id, cast(count(amount) as bigint) as amount_count,
+  true as usual_is_near, true as high_is_near
+from bronze where user_id is not null group by user_id having count(amount) > 0"""
+
+# A quantile is the first of a user's ordered amounts that has the share of them up to it.
+ANOMALIES = f"""{LAYERS}, timed as (
+  select transaction_id, user_id, time_bucket(interval 2 hours, event_time) as event_time, event_date, amount,
+    risk_score, case when cast(transaction_id as bigint) % 11 <> 0
+      then concat('device_', cast(cast(transaction_id as bigint) // 13 % 4 as varchar)) end as device_id
+  from silver),
+placed as (select user_id, amount, row_number() over (partition by user_id order by amount) as place,
+    count(*) over (partition by user_id) as n from silver where amount is not null),
+limits as (select user_id, cast(n as bigint) as amount_count,
+    min(amount) filter (where place >= 0.5 * n) as usual_amount,
+    min(amount) filter (where place >= 0.95 * n) as high_amount from placed group by user_id, n),
+signals as (
+  select *, count(*) over (partition by user_id, event_time) >= 2 as is_fast,
+    device_id <> last_value(device_id ignore nulls) over (partition by user_id
+      order by event_time, transaction_id rows between unbounded preceding and 1 preceding) as changed,
+    device_id is not null and row_number() over (partition by user_id, device_id
+      order by event_time, transaction_id) = 1 as is_new,
+    case when amount_count >= 20 then amount > high_amount end as amount_is_high
+  from timed left join limits using (user_id)),
+classed as (
+  select *, case when is_fast and changed then 'velocity_attack' when is_fast then 'card_testing'
+    when is_new and changed and amount_is_high then 'account_takeover'
+    when risk_score >= 8 and amount_is_high then 'risky_address'
+    when amount_is_high then 'unusual_amount' else 'usual' end as anomaly_class from signals)
+"""
+
 ALTERED = f"""{LAYERS}, altered as (
   select * replace (case when transaction_id = '900' then amount + 1 else amount end as amount)
   from silver, range(2) copies(c)
@@ -397,6 +427,12 @@ ORACLE = {
     "q_visits": VISITS.format(timed=DEVICES.split("lined as")[0].rstrip().rstrip(","), gap="5 hours", table="timed")
         + " select user_id, visit_start, visit_end, cast(transactions as bigint) as transactions from visits",
     "q_churn": CHURN,
+    "q_amount_quantiles": QUANTILES,
+    "q_anomalies": ANOMALIES + """select transaction_id, amount_count, usual_amount, high_amount, amount_is_high,
+        anomaly_class from classed""",
+    "q_anomaly_shares": ANOMALIES + """select event_date, anomaly_class, cast(count(*) as bigint) as transactions,
+        round(count(*) / sum(count(*)) over (partition by event_date), 9) as share,
+        round(coalesce(sum(amount), 0), 2) as amount from classed group by event_date, anomaly_class""",
     "q_user_spend": _select("spend"),
     "q_product_usage": _select("usage"),
     "q_risk_flag": _select("risk", "transaction_id, is_high_risk_txn"),
@@ -434,6 +470,7 @@ ORACLE = {
     "q_stream_merged": MERGED,
     "q_stream_velocity": f"""{SKEWED_LAYERS}, measured as (select {VELOCITY} from bronze {VELOCITY_WINDOW})
         select * from measured where {PASSED.format(table="bronze")}""",
+    "q_stream_quantiles": QUANTILES,
     "q_stream_lifetime": f"""{SKEWED_LAYERS}, totals as (select user_id, count(*) as n,
         coalesce(sum(round(amount * 10000)), 0) / 10000 as total, min(event_time) as first_time,
         max(event_time) as last_time from bronze where user_id is not null group by user_id)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,14 +13,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskflow import schemas
-from riskflow.operators import marts
+from riskflow.operators import anomalies, marts
 from riskflow.operators.enrich import enrich
 from riskflow.operators.geo import Places
 from riskflow.operators.layout import ROWS_PER_FILE, cluster_table, file_count, write_clustered
 from riskflow.operators.reconcile import compare_daily, compare_layers
 from riskflow.operators.timelines import VelocityRule
 from riskflow.sources.feed import MAX_FILE_AGE
-from riskflow.sources.lookups import Lookup, with_heavy_keys
+from riskflow.sources.lookups import BROADCAST_LIMIT_BYTES, Lookup, with_heavy_keys
 from riskflow.sources.tables import exists, find_table, read_table, table_or_empty, write_table
 from riskflow.streaming import layers
 from riskflow.streaming.layers import Pace, Store
@@ -30,6 +30,10 @@ from riskflow.streaming.sinks import (
 
 # Files are taken for new if they were written this long before the last run began, as clocks differ.
 CLOCK_MARGIN = dt.timedelta(hours=1)
+ANOMALY_COLUMNS = (
+    "transaction_id", "user_id", "event_time", "amount", "velocity_score", "device_changed", "device_is_new",
+    "risk_score", "usual_amount", "high_amount", "anomaly_class", "event_date",
+)
 
 
 def run_bronze(
@@ -221,13 +225,14 @@ def run_timelines(
     wanted: tuple[str, ...] = ("velocity", "devices"),
 ) -> None:
     """Velocity and changes of device of the bronze transactions, each written once final, and
-    (if wanted) the lifetime value per user.
+    (if wanted) the lifetime value and the sketch of the amounts per user.
 
     A transaction that comes more than ``delay`` behind the newest event time is on no timeline.
     """
     queries = layers.start_velocity(spark, store, pace, rule, delay) if "velocity" in wanted else []
     queries += layers.start_devices(spark, store, pace, delay) if "devices" in wanted else []
     queries += layers.start_lifetime(spark, store, pace) if "lifetime" in wanted else []
+    queries += layers.start_amounts(spark, store, pace) if "amounts" in wanted else []
     await_all(queries, timeout)
 
 
@@ -261,6 +266,22 @@ def check_layers(spark: SparkSession, store: Store) -> tuple[DataFrame, DataFram
         tables["silver"], layers.partials(spark, store, "spend"), layers.partials(spark, store, "usage"))
 
 
+def run_anomalies(
+    spark: SparkSession, store: Store, target: str, rule: VelocityRule = VelocityRule(),
+    rules: Sequence[anomalies.AnomalyRule] = anomalies.RULES, broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+) -> None:
+    """Class each silver row, from the kept sketches of amounts: all rows with their class as
+    ``classes``, the shares per date as ``shares``, both in ``target``, which a further run replaces."""
+    limits = f"{target}/limits"
+    anomalies.amount_limits(layers.read_amounts(spark, store)).write.mode("overwrite").parquet(limits)
+    silver = table_or_empty(spark, store.table("silver"), schemas.SILVER)
+    found = anomalies.signals(silver, spark.read.parquet(limits), rule, broadcast_limit=broadcast_limit)
+    kept = anomalies.classify(found, rules).select(*ANOMALY_COLUMNS)
+    path = f"{target}/classes"
+    write_table(kept, path, "overwrite")
+    anomalies.class_shares(read_table(spark, path, kept.schema)).write.mode("overwrite").parquet(f"{target}/shares")
+
+
 def run_compact(spark: SparkSession, store: Store, before: dt.date) -> None:
     """Fold the partials of closed dates of both daily tables."""
     for name in layers.DAILY:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from riskflow import schemas
 from riskflow.functions.privacy import mask_card, mask_card_unanchored
-from riskflow.operators import joins, marts, quality
+from riskflow.operators import anomalies, joins, marts, quality
 from riskflow.operators.bronze import pii_copy, to_bronze
 from riskflow.operators.enrich import enrich
 from riskflow.operators.geo import load_places, with_places
@@ -622,6 +622,67 @@ def user_churn(spark, sf_dir):
     return found.withColumns({c: F.round(c, 6) for c in ("mean_visit", "trend", "retention")})
 
 
+def _checked_limits(sketches, rows):
+    """The limits of each user, with whether each stands where it should among the user's amounts:
+    within three times the error that a sketch states."""
+    limits = anomalies.amount_limits(sketches)
+    slack = F.when(F.col("amount_count") > anomalies.SKETCH_K, 3 * anomalies.RANK_ERROR).otherwise(0.0)
+    below = {c: F.count_if(F.col("amount") < F.col(c)) for c in ("usual_amount", "high_amount")}
+    upto = {c: F.count_if(F.col("amount") <= F.col(c)) for c in below}
+
+    def near(name, rank):
+        return (below[name] <= (rank + slack) * F.col("amount_count")) \
+            & (upto[name] >= (rank - slack) * F.col("amount_count"))
+
+    placed = rows.select("user_id", "amount").join(limits, "user_id")
+    return placed.groupBy("user_id", "amount_count").agg(
+        near("usual_amount", anomalies.USUAL).alias("usual_is_near"),
+        near("high_amount", anomalies.HIGH).alias("high_is_near"))
+
+
+def amount_quantiles(spark, sf_dir):
+    """Quantiles of each user's amounts, a hot user among them, from the sketches of three parts."""
+    bronze = _skewed_bronze(spark, sf_dir)
+    number = F.col("transaction_id").cast("long")
+    parts = [anomalies.amount_sketches(bronze.where(number % 3 == part)) for part in range(3)]
+    return _checked_limits(anomalies.merged_sketches(parts[0].unionByName(parts[1]).unionByName(parts[2])), bronze)
+
+
+def stream_quantiles(spark, sf_dir):
+    """The same, kept per batch of the bronze stream."""
+    root = scratch_dir(spark, "stream-quantiles")
+    files = model.write_feed(spark, sf_dir, f"{root}/feed", change=model.skewed)
+    store = Store(f"{root}/store")
+    pipeline.run_bronze(spark, f"{root}/feed", store, Pace(max_files=-(-files // MICRO_BATCHES)), dq=False,
+                        keep_corrupt=False)
+    pipeline.run_timelines(spark, store, _pace(spark, store, "bronze"), wanted=("amounts",))
+    return _checked_limits(layers.read_amounts(spark, store), read_table(spark, store.table("bronze"), schemas.BRONZE))
+
+
+def _anomalies(spark, sf_dir, broadcast_limit):
+    """Classes of all rows, on a feed with few devices; scores of addresses go to ten."""
+    silver = enrich(model.few_devices(_bronze(spark, sf_dir)), model.lookups(spark, sf_dir, ["ip_risk"]), ["ip_risk"])
+    limits = f"{scratch_dir(spark, 'limits')}/limits"
+    anomalies.amount_limits(anomalies.amount_sketches(silver)).write.parquet(limits)
+    return anomalies.classify(anomalies.signals(
+        silver, spark.read.parquet(limits), ANOMALY_VELOCITY, broadcast_limit=broadcast_limit))
+
+
+ANOMALY_VELOCITY = VelocityRule(window_seconds=3600, limit=2)
+
+
+def anomaly_classes(spark, sf_dir):
+    found = _anomalies(spark, sf_dir, BROADCAST_LIMIT_BYTES)
+    return found.select("transaction_id", "amount_count", "usual_amount", "high_amount", "amount_is_high",
+                        "anomaly_class")
+
+
+def anomaly_shares(spark, sf_dir):
+    """With limits joined by shuffle, but for users with a thousandth of the rows."""
+    found = anomalies.class_shares(_anomalies(spark, sf_dir, 0))
+    return found.withColumns({"share": F.round("share", 9), "amount": F.round("amount", 2)})
+
+
 def stream_risk(spark, sf_dir):
     store = _run(spark, sf_dir, "stream-risk", marts_wanted=("risk",))
     return _plain_time(read_table(spark, store.table("risk"), schemas.RISK))
@@ -790,6 +851,9 @@ QUERIES = {
     "q_join_metrics": join_metric,
     "q_visits": user_visits,
     "q_churn": user_churn,
+    "q_amount_quantiles": amount_quantiles,
+    "q_anomalies": anomaly_classes,
+    "q_anomaly_shares": anomaly_shares,
     "q_user_spend": user_spend,
     "q_product_usage": product_usage,
     "q_risk_flag": risk_flag,
@@ -819,6 +883,7 @@ QUERIES = {
     "q_stream_velocity": stream_velocity,
     "q_stream_devices": stream_devices,
     "q_stream_lifetime": stream_lifetime,
+    "q_stream_quantiles": stream_quantiles,
     "q_stream_silver": stream_silver,
     "q_stream_silver_shuffled": stream_silver_shuffled,
     "q_stream_alerts": stream_alerts,

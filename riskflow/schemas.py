@@ -79,6 +79,7 @@ DEVICES = _struct("""
 DRIFT = _struct("""
     column string, kind string, declared string, line_count long, status string, batch_id long
 """)
+AMOUNT_SKETCHES = _struct("user_id string, amount_count long, amounts binary, batch_id long")
 JOIN_METRICS = _struct("""
     lookup string, row_count long, missing_rows long, null_keys long, missing_keys binary,
     batch_id long

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskflow import schemas
-from riskflow.operators import joins, marts, quality
+from riskflow.operators import anomalies, joins, marts, quality
 from riskflow.operators.bronze import pii_copy, to_bronze
 from riskflow.operators.drift import ddl, drift, widest
 from riskflow.operators.enrich import enrich
@@ -77,6 +77,9 @@ class Store:
     def join_metrics(self) -> str:
         return f"{self.root}/join_metrics"
 
+    def amounts(self) -> str:
+        return f"{self.root}/amount_sketches"
+
     def drift(self) -> str:
         return f"{self.root}/drift"
 
@@ -361,6 +364,22 @@ def read_lifetime(spark: SparkSession, store: Store) -> DataFrame:
     return lifetime.lifetime(spark, store.lifetime())
 
 
+def start_amounts(spark: SparkSession, store: Store, pace: Pace = Pace()) -> list[StreamingQuery]:
+    """A sketch of each user's amounts in a batch, a folder per bronze batch, which a replay replaces."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        anomalies.amount_sketches(batch).write.mode("overwrite").parquet(f"{store.amounts()}/batch_id={batch_id}")
+
+    return [start_batch_sink(
+        _bronze(spark, store, pace).select(*anomalies.INPUT), write, store.checkpoint("amounts"), "amounts",
+        pace.interval,
+    )]
+
+
+def read_amounts(spark: SparkSession, store: Store) -> DataFrame:
+    """Per user over all batches."""
+    return anomalies.merged_sketches(table_or_empty(spark, store.amounts(), schemas.AMOUNT_SKETCHES))
+
+
 @dataclass(frozen=True)
 class Daily:
     """A daily table: its partials' columns, how they fold, what they read as, and their key."""

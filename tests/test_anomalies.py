@@ -1,0 +1,154 @@
+"""Quantile sketches, limits and classes of transactions against plain loops."""
+
+import datetime as dt
+import math
+import random
+from bisect import bisect_left, bisect_right
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from riskflow import schemas
+from riskflow.operators import anomalies
+from riskflow.operators.anomalies import (
+    HIGH, RANK_ERROR, USUAL, AnomalyRule, amount_limits, amount_sketches, class_shares, classify, merged_sketches,
+    with_limits,
+)
+from riskflow.plans import model, pipeline
+from riskflow.sources.lookups import load_lookups
+from riskflow.sources.tables import read_table
+from riskflow.streaming import layers
+from riskflow.streaming.layers import Pace, Store
+
+FEED = "user_id string, amount double, event_date date"
+SF_DIR = "/root/testdata/sf0.001"
+DAY = dt.date(2024, 1, 1)
+
+
+def feed(n, seed=1):
+    rng = random.Random(seed)
+    odd = [None, math.nan, math.inf, -math.inf]
+    return [(rng.choice(["hot"] * 8 + [f"u{i}" for i in range(12)] + [None]),
+             rng.choice(odd) if rng.random() < 0.05 else round(rng.lognormvariate(3, 2), 2),
+             rng.choice([DAY, DAY + dt.timedelta(days=1), None])) for _ in range(n)]
+
+
+def amounts_of(rows):
+    own = defaultdict(list)
+    for user, amount, _ in rows:
+        if user is not None and amount is not None and math.isfinite(amount):
+            own[user].append(amount)
+    return {user: sorted(amounts) for user, amounts in own.items()}
+
+
+def test_sketches_of_parts_merge_within_the_stated_error(spark):
+    rows = feed(30_000)
+    parts = [amount_sketches(spark.createDataFrame(rows[i::5], FEED)) for i in range(5)]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    exact = amounts_of(rows)
+    found = {r.user_id: r for r in amount_limits(merged_sketches(whole)).collect()}
+    assert set(found) == set(exact) and len(exact["hot"]) > 10 * anomalies.SKETCH_K
+    for user, row in found.items():
+        own = exact[user]
+        assert row.amount_count == len(own)
+        for value, rank in ((row.usual_amount, USUAL), (row.high_amount, HIGH)):
+            slack = 3 * RANK_ERROR * len(own)
+            assert bisect_left(own, value) <= rank * len(own) + slack
+            assert bisect_right(own, value) >= rank * len(own) - slack
+
+
+def test_few_amounts_are_exact(spark):
+    rows = feed(600, seed=2)
+    found = amount_limits(merged_sketches(amount_sketches(spark.createDataFrame(rows, FEED)))).collect()
+    assert {r.user_id: (r.usual_amount, r.high_amount) for r in found} == {
+        user: tuple(own[math.ceil(rank * len(own)) - 1] for rank in (USUAL, HIGH))
+        for user, own in amounts_of(rows).items()}
+
+
+def test_nothing_to_sketch(spark):
+    assert amount_sketches(spark.createDataFrame([], FEED)).collect() == []
+    assert amount_sketches(spark.createDataFrame([("u", None, DAY), (None, 1.0, DAY)], FEED)).collect() == []
+
+
+def test_sketches_are_filled_before_the_shuffle_without_a_sort_of_amounts(spark):
+    df = spark.createDataFrame(feed(50), FEED)
+    plan = amount_sketches(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ObjectHashAggregate") == 2 and plan.index("partial_kll") and "Window" not in plan
+
+
+def test_limits_by_broadcast_and_by_shuffle(spark, tmp_path):
+    rows = [(*row, i) for i, row in enumerate(feed(3000, seed=3))] + [("unknown", 1.0, DAY, -1)]
+    df = spark.createDataFrame(rows, f"{FEED}, number int").repartition(5)
+    limits = amount_limits(amount_sketches(df.where("user_id != 'unknown'")))
+    limits.write.parquet(str(tmp_path / "limits"))
+    limits = spark.read.parquet(str(tmp_path / "limits"))
+    small, large = with_limits(df, limits), with_limits(df, limits, broadcast_limit=0)
+    assert small.columns == large.columns
+    both = [Counter(str(tuple(r)) for r in found.collect()) for found in (small, large)]
+    assert both[0] == both[1] and both[0].total() == len(rows)
+    # All users here are hot; with none of them hot, all come by the shuffle.
+    many = limits.unionByName(limits.limit(1).withColumns({
+        "user_id": F.lit("giant"), "amount_count": F.lit(10**9)}))
+    apart = with_limits(df, many, broadcast_limit=0)
+    assert Counter(str(tuple(r)) for r in apart.collect()) == both[0]
+    empty = with_limits(df, limits.where("false"), broadcast_limit=0)
+    assert empty.where("amount_count is not null").isEmpty() and empty.count() == len(rows)
+
+
+def test_first_rule_that_holds_names_the_class(spark):
+    rules = (AnomalyRule("both", (("fast", 100), ("changed", 1))), AnomalyRule("fast", (("fast", 100),)))
+    rows = [(1, 100.0, True), (2, 100.0, False), (3, 100.0, None), (4, 99.9, True), (5, None, None), (5, None, None)]
+    found = classify(spark.createDataFrame(rows, "id int, fast double, changed boolean"), rules)
+    assert sorted((r.id, r.anomaly_class) for r in found.collect()) == [
+        (1, "both"), (2, "fast"), (3, "fast"), (4, "usual"), (5, "usual"), (5, "usual")]
+
+
+def test_shares_of_classes(spark):
+    rows = [(DAY, "a", 1.5), (DAY, "a", None), (DAY, "b", 2.0), (DAY, "b", 0.1), (None, "a", 3.0)]
+    schema = "event_date date, anomaly_class string, amount double"
+    found = class_shares(spark.createDataFrame(rows, schema))
+    assert Counter(map(tuple, found.collect())) == Counter(
+        [(DAY, "a", 2, 0.5, 1.5), (DAY, "b", 2, 0.5, 2.1), (None, "a", 1, 1.0, 3.0)])
+    assert class_shares(spark.createDataFrame([], schema)).collect() == []
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    store = Store(str(tmp_path / "store"))
+    files = model.write_feed(spark, SF_DIR, str(tmp_path / "feed"), change=model.skewed)
+    pipeline.run_bronze(spark, str(tmp_path / "feed"), store, Pace(max_files=-(-files // 3)), dq=False,
+                        keep_corrupt=False)
+    lookups = load_lookups(spark, model.write_lookups(spark, SF_DIR, str(tmp_path / "lookups")))
+    pipeline.run_silver(spark, store, lookups, dq=False)
+    return store
+
+
+def test_job_over_a_store(spark, tmp_path, stored):
+    target = str(tmp_path / "anomalies")
+    pipeline.run_timelines(spark, stored, wanted=("amounts",))
+    silver = read_table(spark, stored.table("silver"), schemas.SILVER)
+    for _ in range(2):  # a further run replaces what the first wrote
+        pipeline.run_anomalies(spark, stored, target)
+        classes = spark.read.parquet(f"{target}/classes")
+        shares = spark.read.parquet(f"{target}/shares")
+        assert classes.count() == silver.count() == shares.agg(F.sum("transactions")).first()[0] == 1000
+        assert shares.groupBy("event_date").agg(F.sum("share").alias("s")).where("abs(s - 1) > 1e-9").isEmpty()
+    assert classes.where("anomaly_class != 'usual'").count() > 0
+
+
+def test_job_over_an_empty_store(spark, tmp_path):
+    target = str(tmp_path / "anomalies")
+    pipeline.run_anomalies(spark, Store(str(tmp_path / "store")), target)
+    assert spark.read.parquet(f"{target}/limits").isEmpty()
+
+
+def test_a_replayed_batch_replaces_its_sketches(spark, stored):
+    pipeline.run_timelines(spark, stored, wanted=("amounts",))
+    before = {tuple(r) for r in amount_limits(layers.read_amounts(spark, stored)).collect()}
+    assert spark.read.parquet(stored.amounts()).agg(F.max("batch_id")).first()[0] == 0  # one batch
+    bronze = read_table(spark, stored.table("bronze"), schemas.BRONZE)
+    amount_sketches(bronze).write.mode("overwrite").parquet(f"{stored.amounts()}/batch_id=0")
+    assert {tuple(r) for r in amount_limits(layers.read_amounts(spark, stored)).collect()} == before
