@@ -1,7 +1,8 @@
 """Benchmark decontamination over a distributed positional inverted index, in DataFrame functions.
 
-The index is a table of postings (term, document, position), each file sorted by term, written once
-for the terms that the benchmark uses. Every window of ten words of a benchmark item is a phrase.
+The index is a table of postings (term, document, position) of all words of all documents, each file
+sorted by term. It is written once and answers any benchmark. Every window of ten words of a benchmark
+item is a phrase. Terms are 64-bit hashes of words, as a document is told by the one of its text.
 A phrase starts from the postings of its rarest term, shifted by that term's place in the phrase;
 these candidates are intersected with the shifted postings of the next rarest term, and what is
 left with those of all other terms. With a slop, a term may stand up to that many places off.
@@ -21,6 +22,9 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW_WORDS = 10
 # Rows of two or three numbers; about 64 MB in an executor.
 MAX_BROADCAST_ROWS = 1_000_000
+# Phrases with a thousandth of all matches, so at most a thousand, are split over so many tasks.
+HOT_SHARE = 1 / 1000
+SALTS = 32
 NO_ID = -(1 << 63)
 DOC = ["doc", "text_key"]
 PLACE = [*DOC, "position", "term"]
@@ -28,9 +32,11 @@ PLACE = [*DOC, "position", "term"]
 
 @dataclass(frozen=True)
 class Phrases:
-    """The benchmark's windows: ``table`` (phrase, words, items) and ``terms`` (word, term)."""
+    """The benchmark's windows: ``table`` (phrase, words), ``items`` (phrase, item), a row for each
+    item that has the phrase, and ``terms`` (word, term)."""
 
     table: DataFrame
+    items: DataFrame
     terms: DataFrame
 
 
@@ -48,43 +54,40 @@ def phrases_of(items: DataFrame, window: int = WINDOW_WORDS, *, id_col: str = "i
         "item", length.alias("length"), "words",
         F.explode(F.sequence(F.lit(1), F.size("words") - length + 1)).alias("start"),
     ).select("item", F.slice("words", F.col("start"), F.col("length")).alias("words"))
-    table = stored(
-        windows.groupBy("words").agg(F.collect_set("item").alias("items"))
-        .select(F.monotonically_increasing_id().alias("phrase"), "words", "items"), "phrases"
-    )
+    held = stored(windows.select(F.xxhash64("words").alias("phrase"), "words", "item").distinct(), "windows")
+    table = stored(held.select("phrase", "words").distinct(), "phrases")
+    if not table.groupBy("phrase").count().where("count > 1").isEmpty():
+        raise ValueError("two benchmark phrases share a 64-bit hash")
     terms = stored(
         table.select(F.explode("words").alias("word")).distinct()
         .select("word", F.xxhash64("word").alias("term")), "phrase-terms"
     )
     if not terms.groupBy("term").count().where("count > 1 or term = 0").isEmpty():
         raise ValueError("two benchmark words share a 64-bit hash, or one has that of the empty word")
-    return Phrases(table, terms)
+    return Phrases(table, held.where("item is not null").select("phrase", "item"), terms)
 
 
-def build_index(docs: DataFrame, terms: DataFrame, *, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
-    """Postings of the given terms in all documents: doc, text_key, position, term.
+def build_index(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Postings of all words of all documents: doc, text_key, position, term.
 
     A document is its id and the hash of its text, so that repeated ids with other texts stay
     apart. The empty word is a term (0) of every document: its last position is the number of
     pieces that the text splits into, any other is an empty piece at either end.
     """
-    empty = docs.sparkSession.sql("select '' as word, 0L as term")
     text = F.coalesce(F.col(text_col), F.lit(""))
     pieces = F.concat(F.split(text, SEPARATORS), F.array(F.lit("")))
     raw = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
         F.xxhash64(text).alias("text_key"), F.posexplode(pieces).alias("position", "piece"),
     )
-    placed = raw.select(*DOC, "position", ascii_lower(F.col("piece")).alias("word")).join(
-        hinted(terms.union(empty), MAX_BROADCAST_ROWS), "word"
-    )
-    return stored(placed.select("term", *DOC, "position").sortWithinPartitions("term"), "postings")
+    term = F.when(F.col("piece") == "", F.lit(0).cast("long")).otherwise(F.xxhash64(ascii_lower(F.col("piece"))))
+    return stored(raw.select(term.alias("term"), *DOC, "position").sortWithinPartitions("term"), "postings")
 
 
 def _steps(phrases: Phrases, index: DataFrame) -> DataFrame:
     """For each phrase whose terms all occur its slots (count, slot, term), rarest first."""
-    counts = stored(index.where("term != 0").groupBy("term").agg(F.count("*").alias("n")),
+    wanted = hinted(phrases.terms.select("term"), MAX_BROADCAST_ROWS)
+    counts = stored(index.join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n")),
                     "term-counts")
     slots = (
         phrases.table.select("phrase", F.size("words").alias("length"),
@@ -149,6 +152,25 @@ def find_phrases(phrases: Phrases, index: DataFrame, slop: int = 0) -> DataFrame
     return full.unionByName(kept.where("length <= 2"))
 
 
+def _with_items(found: DataFrame, items: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Matches with the items that have their phrase, a narrow row each.
+
+    Items beyond a broadcast are joined by phrase; the matches of a frequent one are split over
+    ``SALTS`` tasks, each of which gets its items.
+    """
+    if items.limit(max_rows + 1).count() <= max_rows:
+        return found.join(F.broadcast(items), "phrase")
+    counts = stored(found.groupBy("phrase").agg(F.count("*").alias("n")), "phrase-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(counts.where(F.col("n") >= total * HOT_SHARE).select("phrase", F.lit(True).alias("hot")))
+    part = F.when(F.col("hot"), F.pmod(F.xxhash64(*DOC), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
+    parts = F.when(F.col("hot"), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))) \
+        .otherwise(F.array(F.lit(0).cast("long")))
+    split = found.join(hot, "phrase", "left").withColumn("part", part)
+    copies = items.join(hot, "phrase", "left").withColumn("part", F.explode(parts))
+    return split.drop("hot").join(copies.drop("hot"), ["phrase", "part"])
+
+
 def contamination(docs: DataFrame, items: DataFrame, *, window: int = WINDOW_WORDS,
                   id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
                   item_text_col: str = "text") -> DataFrame:
@@ -157,8 +179,12 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = WINDOW_WOR
     A null text has no words. Repeated rows each have their row. Null ids have doc null. An empty
     benchmark hits nothing; an empty table gives no row; other columns are not read.
     """
-    phrases = phrases_of(items, window, id_col=item_id_col, text_col=item_text_col)
-    index = build_index(docs, phrases.terms, id_col=id_col, text_col=text_col)
+    return report(build_index(docs, id_col=id_col, text_col=text_col),
+                  phrases_of(items, window, id_col=item_id_col, text_col=item_text_col))
+
+
+def report(index: DataFrame, phrases: Phrases) -> DataFrame:
+    """What ``contamination`` gives, from an index that may have answered other benchmarks before."""
     found = stored(find_phrases(phrases, index), "phrase-matches")
     sizes = index.where("term = 0").groupBy(*DOC).agg(
         F.max("position").alias("pieces"), F.count_distinct("position").alias("blanks"),
@@ -173,10 +199,7 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = WINDOW_WOR
     hits = found.select(*DOC, "start", "length").distinct().select(*DOC, new.alias("new")) \
         .groupBy(*DOC).agg(F.sum("new").alias("n_hit"))
     listed = (
-        found.select(*DOC, "phrase").distinct()
-        .join(hinted(phrases.table.select("phrase", "items"), MAX_BROADCAST_ROWS // 8), "phrase")
-        .select(*DOC, F.explode("items").alias("item"))
-        .groupBy(*DOC)
+        _with_items(found.select(*DOC, "phrase").distinct(), phrases.items).groupBy(*DOC)
         .agg(F.sort_array(F.collect_set(F.col("item").cast("string"))).alias("items"))
     )
     no_items = F.array().cast("array<string>")

@@ -6,10 +6,12 @@ from edge_rows import ROWS, documents
 from oracle_check import compare, connect
 
 from riskflow.llm.decontaminate import (
+    _with_items,
     build_index,
     contamination,
     find_phrases,
     phrases_of,
+    report,
     without_contaminated,
 )
 from riskflow.llm.queries import LLM_ORACLE, LLM_QUERIES
@@ -99,11 +101,44 @@ def test_proximity(spark):
     docs = documents(spark, [(1, "alpha beta then gamma", None, None, None),
                              (2, "alpha beta one two three gamma", None, None, None)])
     phrases = phrases_of(items_frame(spark, [(1, "alpha beta gamma")]))
-    index = build_index(docs, phrases.terms)
+    index = build_index(docs)
     assert find_phrases(phrases, index).isEmpty()
     assert {r["doc"] for r in find_phrases(phrases, index, slop=1).collect()} == {1}
 
 
+def test_one_index_answers_several_benchmarks(spark):
+    index = build_index(documents(spark))
+    for items in (ITEMS, ITEMS[:2], ITEMS[5:]):
+        got = {r["doc"]: r for r in report(index, phrases_of(items_frame(spark, items))).collect()}
+        for doc_id, text, *_ in ROWS:
+            if doc_id != 5:
+                r = got[doc_id]
+                assert (r["n_words"], r["n_hit"], r["items"]) == brute(text, items)
+
+
+def test_a_phrase_in_very_many_items(spark):
+    template = "which of the following is true about the given text here"
+    n = 100_000
+    items = spark.range(n).selectExpr("id as item_id", f"'{template}' as text")
+    phrases = phrases_of(items)
+    assert phrases.table.count() == 2 and phrases.items.count() == 2 * n
+    docs = documents(spark, [(1, f"a {template} b", None, None, None), (2, "clean words", None, None, None)])
+    got = {r["doc"]: r for r in contamination(docs, items).collect()}
+    assert (got[1]["n_words"], got[1]["n_hit"], len(got[1]["items"])) == (13, 11, n)
+    assert got[1]["items"] == sorted(map(str, range(n))) and got[2]["items"] == []
+
+
+def test_items_beyond_a_broadcast(spark):
+    found = spark.range(2000).selectExpr(
+        "id as doc", "id as text_key", "if(id % 3 = 0, 7L, id % 2500) as phrase")
+    items = spark.range(50).selectExpr("if(id < 20, 7L, id * 11) as phrase", "id as item").union(
+        spark.range(3000).selectExpr("id as phrase", "id + 100 as item"))
+    small, large = (sorted(map(tuple, _with_items(found, items, limit).select("doc", "phrase", "item").collect()))
+                    for limit in (10**6, 0))
+    assert small == large and len(small) > 12_000
+    assert _with_items(found.limit(0), items, 0).isEmpty()
+
+
 def test_plan_has_no_python(spark):
     plan = contamination(documents(spark), items_frame(spark, ITEMS))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
