@@ -76,10 +76,11 @@ def build_index(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     pieces = F.concat(F.split(text, SEPARATORS), F.array(F.lit("")))
-    raw = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
-        F.xxhash64(text).alias("text_key"), F.posexplode(pieces).alias("position", "piece"),
-    )
+    # A step of its own, or the hash of the text would be taken anew for each of its words. No row
+    # is without a piece; the outer form spares the filter that would split each text a second time.
+    split = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
+                        F.xxhash64(text).alias("text_key"), pieces.alias("pieces"))
+    raw = split.select(*DOC, F.posexplode_outer("pieces").alias("position", "piece"))
     term = F.when(F.col("piece") == "", F.lit(0).cast("long")).otherwise(F.xxhash64(ascii_lower(F.col("piece"))))
     return stored(raw.select(term.alias("term"), *DOC, "position").sortWithinPartitions("term"), "postings")
 
