@@ -16,6 +16,9 @@ CONTEXT_CHARS = 40
 CONTEXT_GAIN = 0.3
 MIN_SCORE = 0.5
 SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
+# Spans are worked on in blocks of so many: an aggregate copies its state at every step, so a list of
+# all spans in it would take a time that grows with their square.
+BLOCK = 128
 
 
 def _digits(found: Column) -> Column:
@@ -95,16 +98,39 @@ KINDS = (
 )
 
 
+def _block_starts(size: Column) -> Column:
+    """Where the blocks of a list begin, from 1; the list is not empty."""
+    return F.sequence(F.lit(1), size, F.lit(BLOCK))
+
+
+def _running(blocks: Column, step) -> Column:
+    """What stands before each block, and after the last: 0, then ``step`` of that and the block."""
+    return F.aggregate(blocks, F.array(F.lit(0)),
+                       lambda sofar, block: F.concat(sofar, F.array(step(F.element_at(sofar, -1), block))))
+
+
 def _spans(kind: Kind, found: Column, gaps: Column) -> Column:
     """Confirmed spans from the matches of a pattern and the texts between them."""
-    after = F.slice(gaps, F.lit(2), F.greatest(F.size(found), F.lit(1)))
-    parts = F.arrays_zip(
-        found.alias("found"),
-        F.transform(gaps, lambda g: F.char_length(g)).alias("gap"),
-        F.transform(gaps, lambda g: F.right(g, F.lit(CONTEXT_CHARS))).alias("left"),
-        F.transform(after, lambda g: F.left(g, F.lit(CONTEXT_CHARS))).alias("right"),
-    )
     row = "struct<found:string,start:int,end:int,near:string>"
+    # Each block has the gap before each match, and one more.
+    blocks = F.transform(_block_starts(F.size(found)), lambda i: F.struct(
+        F.slice(found, i, F.lit(BLOCK)).alias("found"), F.slice(gaps, i, F.lit(BLOCK + 1)).alias("gaps")))
+
+    def length(block: Column) -> Column:
+        before = F.slice(block["gaps"], F.lit(1), F.size(block["found"]))
+        return F.char_length(F.array_join(before, "")) + F.char_length(F.array_join(block["found"], ""))
+
+    starts = _running(blocks, lambda at, block: at + length(block))
+
+    def parts(block: Column) -> Column:
+        before = F.slice(block["gaps"], F.lit(1), F.size(block["found"]))
+        after = F.slice(block["gaps"], F.lit(2), F.size(block["found"]))
+        return F.arrays_zip(
+            block["found"].alias("found"),
+            F.transform(before, lambda g: F.char_length(g)).alias("gap"),
+            F.transform(before, lambda g: F.right(g, F.lit(CONTEXT_CHARS))).alias("left"),
+            F.transform(after, lambda g: F.left(g, F.lit(CONTEXT_CHARS))).alias("right"),
+        )
 
     def place(state: Column, part: Column) -> Column:
         start = state["at"] + part["gap"]
@@ -114,9 +140,15 @@ def _spans(kind: Kind, found: Column, gaps: Column) -> Column:
             part["found"].alias("found"), start.alias("start"), end.alias("end"), near.alias("near")
         ))).alias("rows"))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{row}>").alias("rows"))
-    # The last part is the text after the last match.
-    placed = F.aggregate(F.slice(parts, F.lit(1), F.size(found)), start, place)["rows"]
+    def placed_block(block: Column) -> Column:
+        return F.aggregate(parts(block), F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{row}>").alias("rows")),
+                           place, lambda state: state["rows"])
+
+    in_blocks = F.arrays_zip(F.transform(blocks, placed_block).alias("rows"),
+                             F.slice(starts, F.lit(1), F.size(blocks)).alias("at"))
+    placed = F.flatten(F.transform(in_blocks, lambda block: F.transform(block["rows"], lambda r: F.struct(
+        r["found"].alias("found"), (r["start"] + block["at"]).alias("start"),
+        (r["end"] + block["at"]).alias("end"), r["near"].alias("near")))))
     confirmed = F.filter(placed, lambda p: kind.confirm(p["found"]))
 
     def scored(p: Column) -> Column:
@@ -167,22 +199,31 @@ def masked(docs: DataFrame, *, text_col: str = "text", length_col: str = "n_char
     """
     text = F.col(text_col)
     ordered = F.array_sort(F.transform("__spans", lambda s: F.struct(s["start"], s["end"], s["kind"])))
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def cut(state: Column, span: Column) -> Column:
-        between = F.substring(text, state["at"] + 1, span["start"] - state["at"])
-        tag = F.concat(F.lit("<"), F.upper(span["kind"]), F.lit(">"))
-        whole = span["start"] >= state["at"]
-        return F.struct(
-            F.when(whole, F.concat(state["out"], between, tag)).otherwise(state["out"]).alias("out"),
-            F.greatest(state["at"], span["end"]).alias("at"),
-        )
-
-    def joined(state: Column) -> Column:
-        return F.concat(state["out"], F.substring(text, state["at"] + 1, F.char_length(text)))
-
-    found = with_spans(docs, text_col=text_col)
-    new = F.when(F.size("__spans") > 0, F.aggregate(ordered, start, cut, joined)).otherwise(text)
+    blocks = F.transform(_block_starts(F.size("__ordered")), lambda i: F.slice("__ordered", i, F.lit(BLOCK)))
+    # How far the spans before a block reach.
+    reached = _running(blocks, lambda at, block: F.greatest(at, F.array_max(F.transform(block, lambda s: s["end"]))))
+    # A cut reads a text from its start, so each block cuts out its own stretch of the text first.
+    stretches = F.transform(
+        F.arrays_zip(blocks.alias("spans"), F.slice(reached, F.lit(1), F.size(blocks)).alias("at")),
+        lambda block: F.struct(block["spans"].alias("spans"), block["at"].alias("at"), F.substring(
+            text, block["at"] + 1, F.element_at(block["spans"], -1)["start"] - block["at"]).alias("near")))
+
+    def changed(block: Column) -> Column:
+        def cut(state: Column, span: Column) -> Column:
+            between = F.substring(block["near"], state["at"] - block["at"] + 1, span["start"] - state["at"])
+            tag = F.concat(F.lit("<"), F.upper(span["kind"]), F.lit(">"))
+            whole = span["start"] >= state["at"]
+            return F.struct(
+                F.greatest(state["at"], span["end"]).alias("at"),
+                F.when(whole, F.concat(state["out"], between, tag)).otherwise(state["out"]).alias("out"))
+
+        start = F.struct(block["at"].alias("at"), F.lit("").alias("out"))
+        return F.aggregate(block["spans"], start, cut, lambda state: state["out"])
+
+    last = F.substring(text, F.element_at(reached, -1) + 1, F.char_length(text))
+    cleared = F.concat(F.array_join(F.transform(stretches, changed), ""), last)
+    found = with_spans(docs, text_col=text_col).withColumn("__ordered", ordered)
+    new = F.when(F.size("__spans") > 0, cleared).otherwise(text)
     out = found.withColumn("__text", new)
     if length_col in docs.columns:
         length = F.char_length("__text").cast(docs.schema[length_col].dataType)

@@ -97,6 +97,30 @@ def test_overlapping_spans_are_masked_once(spark):
     assert text == "x <CARD> y"
 
 
+def masked_plainly(spans, text):
+    out, at = [], 0
+    for kind, start, end in sorted(spans, key=lambda s: (s[1], s[2], s[0])):
+        if start >= at:
+            out += [text[at:start], f"<{kind.upper()}>"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_texts_of_thousands_of_spans(spark):
+    rng = random.Random(8)
+    pieces = ["é𝔘 mail a{0}@b{0}.co", "ip 10.0.{0}.1", "+44 20 7946 0{0}", "4111 1111 1111 1111", "no data {0}", "x" * 3000]
+    texts = [" ".join(rng.choice(pieces[:5] if i < 2 else pieces).format(rng.randint(100, 255)) for _ in range(n))
+             for i, n in enumerate([127, 6000, 128, 129, 3000])]
+    docs = frame(spark, texts)
+    spans = found(with_spans(docs))
+    out = {r["doc_id"]: r["text"] for r in masked(docs).collect()}
+    for i, text in enumerate(texts):
+        own = [s.split(":") for s in spans[i]]
+        assert [":".join(s) for s in own if s[0] in PATTERNS] == base_spans(text)
+        assert out[i] == masked_plainly([(k, int(a), int(b)) for k, a, b in own], text)
+    assert len(spans[1]) > 3000
+
+
 def test_plan_has_no_python(spark):
     plan = with_spans(documents(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
