@@ -67,9 +67,12 @@ def phrases_of(items: DataFrame, window: int = WINDOW_WORDS, *, id_col: str = "i
     return Phrases(table, held.where("item is not null").select("phrase", "item"), terms)
 
 
-def build_index(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def build_index(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                only: DataFrame | None = None) -> DataFrame:
     """Postings of all words of all documents: doc, text_key, position, term.
 
+    ``only`` (term) names the terms to keep, for an index that serves one benchmark and then goes.
+
     A document is its id and the hash of its text, so that repeated ids with other texts stay
     apart. The empty word is a term (0) of every document: its last position is the number of
     pieces that the text splits into, any other is an empty piece at either end.
@@ -82,7 +85,11 @@ def build_index(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                         F.xxhash64(text).alias("text_key"), pieces.alias("pieces"))
     raw = split.select(*DOC, F.posexplode_outer("pieces").alias("position", "piece"))
     term = F.when(F.col("piece") == "", F.lit(0).cast("long")).otherwise(F.xxhash64(ascii_lower(F.col("piece"))))
-    return stored(raw.select(term.alias("term"), *DOC, "position").sortWithinPartitions("term"), "postings")
+    postings = raw.select(term.alias("term"), *DOC, "position")
+    if only is not None:
+        empty = docs.sparkSession.sql("select 0L as term")
+        postings = postings.join(hinted(only.select("term").union(empty), MAX_BROADCAST_ROWS), "term", "left_semi")
+    return stored(postings.sortWithinPartitions("term"), "postings")
 
 
 def _steps(phrases: Phrases, index: DataFrame) -> DataFrame:
@@ -220,8 +227,9 @@ def report(index: DataFrame, phrases: Phrases) -> DataFrame:
 def without_contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
     """The documents of which no word is hit, with all their columns."""
-    report = contamination(docs, items, id_col=id_col, text_col=text_col)
-    hit = stored(report.where("contaminated").select(
+    phrases = phrases_of(items)
+    found = report(build_index(docs, id_col=id_col, text_col=text_col, only=phrases.terms), phrases)
+    hit = stored(found.where("contaminated").select(
         F.coalesce("doc", F.lit(NO_ID)).alias("__doc"), F.col("text_key").alias("__key")
     ).distinct(), "contaminated")
     same = (
