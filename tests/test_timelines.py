@@ -4,6 +4,7 @@ import datetime as dt
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,10 +12,12 @@ from riskflow import schemas
 from riskflow.operators.timelines import VelocityRule, device_changes, velocity
 from riskflow.plans.pipeline import run_timelines
 from riskflow.sources.tables import read_table, write_table
-from riskflow.streaming import layers
+from riskflow.streaming import layers, timelines
 from riskflow.streaming.layers import Store
 from riskflow.streaming.sinks import await_all, start_table_sink
-from riskflow.streaming.timelines import stream_device_changes, stream_velocity
+from riskflow.streaming.timelines import (
+    STRETCH_PARTS, USER_PARTS, VELOCITY_STATE, stream_device_changes, stream_velocity,
+)
 
 FEED = "transaction_id string, user_id string, event_time timestamp, amount double, device_id string"
 RULE = VelocityRule(window_seconds=600, limit=4, stretch_seconds=900)
@@ -201,6 +204,34 @@ def test_state_of_a_past_stretch_is_removed(spark, settings, tmp_path):
                                                            .total_seconds() // RULE.stretch_seconds) for m in (0, 15, 30)}
 
 
+@pytest.mark.parametrize("name, keys", [("velocity", 3 * STRETCH_PARTS), ("devices", USER_PARTS)])
+def test_users_share_state_keys(spark, settings, tmp_path, name, keys):
+    """Each key costs calls of its own, so their number must not follow that of the users."""
+    settings(spark__sql__shuffle__partitions="2")
+    stream = Timeline(spark, tmp_path, name, {
+        "velocity": lambda df: stream_velocity(df, RULE, "1 hour"),
+        "devices": lambda df: stream_device_changes(df, "1 hour")}[name])
+    rows = [(f"t{i}", f"u{i}", START + dt.timedelta(seconds=i % 60), 1.0, "x") for i in range(3 * USER_PARTS)]
+    stream.add([*rows, ("last", "u0", START + dt.timedelta(seconds=3630), 1.0, "x")])  # half of them wait
+    state = spark.read.format("statestore").option("stateVarName", "rows").load(f"{tmp_path}/cp")
+    assert 0 < state.select("key").distinct().count() <= keys
+
+
+def test_times_of_many_users_do_not_overflow(monkeypatch):
+    """Users are worked on in blocks whose numbers fit; blocks of one give the same."""
+    rng = random.Random(8)
+    rows = pa.Table.from_pylist([
+        {"user_id": f"u{rng.randrange(9)}", "at": rng.randrange(-40, 40), "units": rng.randrange(5),
+         "own": rng.random() < 0.8, "transaction_id": f"t{i}"} for i in range(300)], VELOCITY_STATE)
+    whole = timelines._measured(rows, 7).to_pylist()
+    plain = [(r["transaction_id"], [x["units"] for x in rows.to_pylist() if x["user_id"] == r["user_id"]
+                                    and r["at"] - 7 <= x["at"] <= r["at"]]) for r in rows.to_pylist() if r["own"]]
+    assert {r["transaction_id"]: (r["velocity_count"], r["units"]) for r in whole} == {
+        t: (len(found), sum(found)) for t, found in plain}
+    monkeypatch.setattr(timelines, "WIDEST", 1)
+    assert timelines._measured(rows, 7).to_pylist() == whole
+
+
 def test_job_over_the_bronze_table(spark, settings, tmp_path):
     settings(spark__sql__shuffle__partitions="2")
     store = Store(str(tmp_path / "store"))
