@@ -17,9 +17,8 @@ TAKES = {
 WIDER = (("int", "bigint"), ("int", "double"), ("float", "double"))
 
 
-def kind_of(value: Column) -> Column:
-    """string, integer, number, boolean, array, object or null of a variant value."""
-    name = F.schema_of_variant(value)
+def kind_of(name: Column) -> Column:
+    """string, integer, number, boolean, array, object or null, of the schema of a variant value."""
     return (
         F.when(name == "VOID", "null").when(name == "BIGINT", "integer")
         .when(name.startswith("DECIMAL") | name.isin("DOUBLE", "FLOAT"), "number")
@@ -38,14 +37,17 @@ def drift(lines: DataFrame, declared: T.StructType, line_col: str = "value") ->
     ``no object``; an empty input has no row at all. Counts are added up before they are shuffled,
     a row per key and kind.
     """
-    parsed = lines.select(F.try_parse_json(F.col(line_col)).alias("v"), F.col(line_col).alias("_line"))
-    whole = F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))
-    keys = F.when(whole, F.json_object_keys("_line"))
-    value = F.try_variant_get(F.col("v"), F.concat(F.lit("$['"), F.col("column"), F.lit("']")), "variant")
-    rows = parsed.select("v", F.explode_outer(F.array_distinct(keys)).alias("column"), whole.alias("_whole"))
-    plain = ~F.col("column").contains("'")  # a path cannot name a key with a quote
+    parsed = lines.select(F.try_parse_json(F.col(line_col)).alias("v"))
+    parsed = parsed.withColumn("_whole", F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False)))
+    # One walk over a parsed line gives all its keys and values; a line that is no object gives one
+    # row without a key.
+    objects = parsed.select(F.when(F.col("_whole"), F.col("v")).alias("v"), "_whole")
+    keys = lines.sparkSession.tvf.variant_explode_outer(F.col("v").outer())
+    rows = objects.lateralJoin(keys).select(
+        F.col("key").alias("column"), F.schema_of_variant("value").alias("_type"), "_whole")
+    plain = ~F.col("column").contains("'")  # told as an object, whatever its value
     found = rows.where("column is not null or not _whole").select(
-        "column", F.when(F.col("column").isNotNull(), F.when(plain, kind_of(value)).otherwise("object")).alias("kind"))
+        "column", F.when(F.col("column").isNotNull(), F.when(plain, kind_of(F.col("_type"))).otherwise("object")).alias("kind"))
     counts = found.groupBy("column", "kind").agg(F.count("*").alias("line_count"))
     types = {f.name: f.dataType.simpleString() for f in declared}
     table = lines.sparkSession.createDataFrame(
@@ -59,7 +61,9 @@ def drift(lines: DataFrame, declared: T.StructType, line_col: str = "value") ->
     )
     report = joined.select("column", "kind", "declared", "line_count", status.alias("status"))
     known = F.when(F.col("column").isin(list(types)), F.col("column"))  # of the declared ones only
-    seen = counts.where("column is not null").agg(F.collect_set(known).alias("_seen"), F.count("*").alias("_n"))
+    # It reads all that the counts have, so that both share one shuffle and the lines are read once.
+    lines_with_keys = F.sum(F.when(F.col("column").isNotNull() | F.col("kind").isNotNull(), F.col("line_count")))
+    seen = counts.agg(F.collect_set(known).alias("_seen"), lines_with_keys.alias("_n"))
     lacking = table.join(F.broadcast(seen), F.lit(True)).where(
         (F.col("_n") > 0) & ~F.array_contains("_seen", F.col("name")))
     return report.unionByName(lacking.select(

@@ -43,6 +43,15 @@ def test_empty_and_objectless_feeds(spark):
     assert report(spark, ["{}"]) == Counter()
 
 
+def test_a_line_is_parsed_once_and_walked_once(spark):
+    """No value is looked up by its path, and no line is parsed again for each of its keys."""
+    df = drift(spark.createDataFrame([('{"id":"a","more":1}',)], "value string"), T.StructType.fromDDL(DECLARED))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "variant_explode" in plan and "ReusedExchange" in plan
+    assert "variant_get" not in plan.lower() and "variantget" not in plan.lower() and "json_object_keys" not in plan
+
+
 def test_widest_schema(spark):
     def of(text):
         return T.StructType.fromDDL(text)
