@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskflow.functions.measures import usage_cost_ratio
 from riskflow.sources.lookups import SPECS, Lookup
+from riskflow.sources.tables import HASHES, packed, unpacked
 
 SPREAD = "_spread"
 
@@ -23,18 +24,21 @@ def enrich(
     """
     names = {spec.name for spec in SPECS} if only is None else set(only)
     chosen = [lookups[spec.name] for spec in SPECS if spec.name in names]
-    if any(not lookup.broadcast for lookup in chosen):
+    shuffled = any(not lookup.broadcast for lookup in chosen)
+    keys = [lookup.spec.feed_key for lookup in chosen]
+    hashes = [name for name in HASHES if shuffled and name in bronze.columns and name not in keys]
+    if shuffled:
         # Drawn here, before the first shuffle: on rows straight from files a retried task draws
         # the same numbers again. They only say which task joins a row.
         bronze = bronze.withColumn(SPREAD, (F.rand(seed=17) * 2**53).cast("long"))
-    out = bronze
+    out = packed(bronze, hashes)
     for lookup in chosen:
         out = _attach_broadcast(out, lookup) if lookup.broadcast else _attach_shuffled(out, lookup)
     if "plans" in names:
         out = out.withColumn(
             "usage_cost_ratio", usage_cost_ratio(F.col("amount"), F.col("monthly_cost"))
         )
-    return out.drop(SPREAD)
+    return unpacked(out, hashes).drop(SPREAD)
 
 
 def _side(lookup: Lookup, prefix: str) -> DataFrame:

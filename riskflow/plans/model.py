@@ -203,6 +203,15 @@ def odd_addresses(df: DataFrame) -> DataFrame:
         .when(number % 3 == 0, "10.0.65.3").otherwise(F.col("ip_address")))
 
 
+def _dealt(spark: SparkSession, sf_dir: str, files: int) -> DataFrame:
+    """The feed columns, dealt to so many tasks by session_id.
+
+    The shuffle is of the narrow rows that the columns are made of.
+    """
+    session = F.concat(F.lit("s"), _text(F.col("event_id")))
+    return raw_view(table(spark, sf_dir, "events").repartition(files, session))
+
+
 def write_feed(
     spark: SparkSession, sf_dir: str, path: str, broken: bool = False, change=lambda rows: rows
 ) -> int:
@@ -212,7 +221,7 @@ def write_feed(
     ``change`` alters the rows first.
     """
     files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = change(raw(spark, sf_dir)).repartition(files, "session_id")
+    rows = change(_dealt(spark, sf_dir, files))
     number = F.substr("session_id", F.lit(2)).cast("long")
     line = F.to_json(F.struct(*schemas.RAW.names), {"timestampFormat": JSON_TIMESTAMP})
     if broken:
@@ -231,15 +240,15 @@ def write_drifting_feed(spark: SparkSession, sf_dir: str, path: str) -> int:
     """A feed whose odd transactions have a new key (with numbers for some, texts for others), a
     number as their user, and no referral code at all."""
     number = F.col("transaction_id").cast("long")
-    rows = raw(spark, sf_dir)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = _dealt(spark, sf_dir, files)
     old = F.to_json(F.struct(*schemas.RAW.names), {"timestampFormat": JSON_TIMESTAMP})
     kept = [F.col(n) for n in schemas.RAW.names if n not in ("user_id", "referral_code")]
     new = F.to_json(F.struct(
         *kept, F.col("user_id").cast("long").alias("user_id"),
         F.when(number % 5 != 0, F.concat(F.lit("app-"), _text(number % 7))).alias("channel"),
         F.when(number % 5 == 0, number % 3).alias("visits")), {"timestampFormat": JSON_TIMESTAMP})
-    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows.repartition(files, "session_id").select(
+    rows.select(
         F.when(number % 2 == 1, new).otherwise(old).alias("value")).write.text(path)
     return files
 

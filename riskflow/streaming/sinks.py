@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from riskflow.sources.tables import write_table
+from riskflow.sources.tables import CODEC, write_table
 
 
 def _trigger(interval: str | None) -> dict:
@@ -27,6 +27,8 @@ def start_table_sink(
     By default the query takes all input there is and ends; ``interval`` keeps it running.
     """
     writer = df.writeStream.outputMode("append").format(fmt).queryName(name)
+    if fmt == "parquet":
+        writer = writer.option("compression", CODEC)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     return (
