@@ -8,12 +8,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskflow.sources.tables import CODEC, HASHES, packed, unpacked
+
 ROWS_PER_FILE = 5_000_000
+# Of rows as a shuffle holds them before it compresses them: what one task reads and sorts.
+BYTES_PER_FILE = 1 << 30
+
 
+def file_count(
+    table: DataFrame, rows_per_file: int = ROWS_PER_FILE, bytes_per_file: int = BYTES_PER_FILE
+) -> int:
+    """Files for the rows of a stored table, each within both bounds.
 
-def file_count(table: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> int:
-    """Files for the rows of a stored table; the count comes from the Parquet footers."""
-    return max(1, math.ceil(table.count() / rows_per_file))
+    A row has eight bytes per column and those of its texts, which are added up in one pass.
+    """
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in table.schema if f.dataType == T.StringType()]
+    width = sum(texts, F.lit(8 * len(table.columns))).cast("long")
+    rows, size = table.agg(F.count(F.lit(1)), F.sum(width)).first()
+    return max(1, math.ceil(rows / rows_per_file), math.ceil((size or 0) / bytes_per_file))
 
 
 def write_clustered(
@@ -28,12 +40,14 @@ def write_clustered(
     """
     order = ["event_date", key] + ([tie] if tie else [])
     columns = [name for name in df.columns if name != tie]
+    hashes = [name for name in HASHES if name in columns and name != key]
+    ranged = packed(df, hashes).repartitionByRange(files, *order).sortWithinPartitions("event_date", key)
     (
-        df.repartitionByRange(files, *order)
-        .sortWithinPartitions("event_date", key)
+        unpacked(ranged, hashes)
         .select(*columns)
         .write.mode("overwrite" if replace_dates else "errorifexists")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", CODEC)
         .partitionBy("event_date")
         .parquet(target)
     )

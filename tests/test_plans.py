@@ -12,11 +12,11 @@ from riskflow import schemas
 from riskflow.operators import marts, quality
 from riskflow.operators.bronze import to_bronze
 from riskflow.operators.enrich import enrich
-from riskflow.operators.layout import cluster_table, write_clustered
+from riskflow.operators.layout import cluster_table, file_count, write_clustered
 from riskflow.plans import model, queries
 from riskflow.sources.feed import CORRUPT, good_rows, read_feed
 from riskflow.sources.lookups import check_lookups
-from riskflow.sources.tables import date_slice, read_table, write_table
+from riskflow.sources.tables import by_date, date_slice, read_table, write_table
 from riskflow.streaming.layers import Store, start_bronze
 from riskflow.streaming.sinks import await_all
 
@@ -143,3 +143,32 @@ def test_clustering_refuses_an_existing_target(spark, tmp_path):
     write_clustered(_skewed(spark), target, "user_id", files=2)
     with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
         write_clustered(_skewed(spark), target, "user_id", files=2)
+
+
+def test_files_are_bounded_by_bytes_too(spark):
+    """Rows as wide as these fill a task long before the bound of rows."""
+    rows = spark.range(1000).select("id", F.repeat(F.lit("x"), 1000).alias("text"), F.lit(None).cast("string").alias("no"))
+    assert file_count(rows) == 1 and file_count(rows, rows_per_file=300) == 4
+    assert file_count(rows, bytes_per_file=100 * (1000 + 3 * 8)) == 10
+    assert file_count(rows.where("id < 0")) == 1
+
+
+def test_hashes_are_shuffled_as_bytes(spark, tmp_path):
+    """Half of their length; texts that are no lower-case hex digits come out as they went in."""
+    texts = ["ab" * 32, "AB" * 32, "abc", "", None, "no hash", "0f", "é"]
+    df = spark.createDataFrame([(i, a, texts[-1 - i]) for i, a in enumerate(texts)], "id long, hash_ip string, hash_card_number string") \
+        .withColumn("event_date", F.lit("2024-01-01").cast("date"))
+    moved = by_date(df)
+    assert moved.schema == df.schema and sorted(moved.collect()) == sorted(df.collect())
+    plan = moved._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("hex(") < plan.index("RebalancePartitions") < plan.index("unhex(")
+    write_clustered(df, str(tmp_path / "out"), "id", 1)
+    assert sorted(spark.read.schema(df.schema).parquet(str(tmp_path / "out")).collect()) == sorted(df.collect())
+
+
+def test_the_feed_is_dealt_before_it_is_widened(spark, tmp_path):
+    """The shuffle of a written feed has the narrow rows, and the rows are those of the view."""
+    rows = model._dealt(spark, SF_DIR, 3)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("card_number") < plan.index("RepartitionByExpression") and "card_number" not in plan[plan.index("RepartitionByExpression"):]
+    assert rows.exceptAll(model.raw(spark, SF_DIR)).isEmpty() and rows.count() == model.raw(spark, SF_DIR).count()
