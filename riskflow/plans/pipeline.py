@@ -20,7 +20,7 @@ from riskflow.operators.layout import ROWS_PER_FILE, cluster_table, file_count,
 from riskflow.operators.reconcile import compare_daily, compare_layers
 from riskflow.operators.timelines import VelocityRule
 from riskflow.sources.feed import MAX_FILE_AGE
-from riskflow.sources.lookups import BROADCAST_LIMIT_BYTES, Lookup, with_heavy_keys
+from riskflow.sources.lookups import BROADCAST_LIMIT_BYTES, Lookup, with_heavy_keys, with_near_keys
 from riskflow.sources.tables import exists, find_table, read_table, table_or_empty, write_table
 from riskflow.streaming import layers
 from riskflow.streaming.layers import Pace, Store
@@ -181,7 +181,8 @@ def run_silver(
 ) -> None:
     """``dq`` and ``metrics`` add the report and the join metrics of each batch that was written.
 
-    Lookups beyond the broadcast bound first get the frequent keys of what is to be joined.
+    Lookups beyond the broadcast bound first get the frequent keys of what is to be joined, and their
+    rows for its keys where these can be broadcast: rows with such keys are then not shuffled.
 
     That is looked for in the bronze files written since the last run began, so old rows cannot
     outweigh a key that is frequent only now. ``since`` leaves out earlier dates. A query kept
@@ -195,7 +196,7 @@ def run_silver(
         bronze = table_or_empty(spark, store.table("bronze"), schemas.BRONZE, after)
         if since is not None:
             bronze = bronze.where(F.col("event_date") >= F.lit(since))
-        lookups = with_heavy_keys(lookups, bronze)
+        lookups = with_near_keys(lookups, bronze, store.state("silver-near"))
     if pace.interval is not None:
         queries = layers.start_silver(spark, store, lookups, pace)
         write_state(spark, store.state("silver"), started=started.isoformat())
