@@ -35,6 +35,8 @@ COLUMNS = {
     "part": "p_partkey bigint, p_name string, p_type string, p_size int, p_retailprice double",
 }
 
+# Feeds come compressed: their lines repeat all keys. A file is read by one task.
+FEED_CODEC = "gzip"
 # Writes event_time to JSON with microseconds; the default keeps milliseconds.
 JSON_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -213,12 +215,14 @@ def _dealt(spark: SparkSession, sf_dir: str, files: int) -> DataFrame:
 
 
 def write_feed(
-    spark: SparkSession, sf_dir: str, path: str, broken: bool = False, change=lambda rows: rows
+    spark: SparkSession, sf_dir: str, path: str, broken: bool = False, change=lambda rows: rows,
+    codec: str = FEED_CODEC,
 ) -> int:
     """Write the feed as NDJSON, one file per shuffle partition, and return how many that are.
 
     With ``broken``, every 50th line is cut short and every 75th has a text as its amount.
-    ``change`` alters the rows first.
+    ``change`` alters the rows first. ``codec`` is that of the files, which a limit of a micro-batch
+    by bytes counts as they are.
     """
     files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = change(_dealt(spark, sf_dir, files))
@@ -232,7 +236,7 @@ def write_feed(
             ))
             .otherwise(line)
         )
-    rows.select(line.alias("value")).write.text(path)
+    rows.select(line.alias("value")).write.text(path, compression=codec)
     return files
 
 
@@ -249,7 +253,7 @@ def write_drifting_feed(spark: SparkSession, sf_dir: str, path: str) -> int:
         F.when(number % 5 != 0, F.concat(F.lit("app-"), _text(number % 7))).alias("channel"),
         F.when(number % 5 == 0, number % 3).alias("visits")), {"timestampFormat": JSON_TIMESTAMP})
     rows.select(
-        F.when(number % 2 == 1, new).otherwise(old).alias("value")).write.text(path)
+        F.when(number % 2 == 1, new).otherwise(old).alias("value")).write.text(path, compression=FEED_CODEC)
     return files
 
 

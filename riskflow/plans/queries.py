@@ -362,7 +362,7 @@ def stream_bronze(spark, sf_dir):
 def stream_bytes(spark, sf_dir):
     """Bronze in micro-batches limited by bytes."""
     root = scratch_dir(spark, "stream-bytes")
-    model.write_feed(spark, sf_dir, f"{root}/feed")
+    model.write_feed(spark, sf_dir, f"{root}/feed", codec="none")
     store = Store(f"{root}/store")
     pipeline.run_bronze(spark, f"{root}/feed", store, Pace(max_bytes=BATCH_BYTES), dq=False,
                         keep_corrupt=False)
