@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +12,8 @@ from riskflow.sources.lookups import KEY, LISTED, SPECS, Lookup
 from riskflow.sources.tables import HASHES, packed, unpacked
 
 SPREAD = "_spread"
+# Says that rows came whose keys were not there when the near keys of a lookup were found.
+NOT_NEAR = "a key is not among the near ones"
 
 
 def enrich(
@@ -23,51 +24,29 @@ def enrich(
     Lookup keys are unique (checked on load), so no row is lost or repeated; a query that needs
     the columns of one lookup leaves the other joins out.
     """
-    here, moved = enriched_parts(bronze, lookups, only)
-    if here is None or moved is None:
-        return moved if here is None else here
-    return here.unionByName(moved)
-
-
-def enriched_parts(
-    bronze: DataFrame, lookups: Mapping[str, Lookup], only: Iterable[str] | None = None
-) -> tuple[DataFrame | None, DataFrame | None]:
-    """The rows that are enriched where they lie, and those that go through a shuffle.
-
-    Where a large lookup has near keys, rows with one of these or without a key take their lookup
-    row from the broadcast; the others meet the whole lookup by shuffle, so a key that came after the
-    near ones were found is not missed. If another large lookup has none, all rows meet that one by
-    shuffle.
-    """
     names = {spec.name for spec in SPECS} if only is None else set(only)
     chosen = [lookups[spec.name] for spec in SPECS if spec.name in names]
-    near = [lookup for lookup in chosen if not lookup.broadcast and lookup.near is not None]
-    far = [lookup for lookup in chosen if not lookup.broadcast and lookup.near is None]
-    small = [lookup for lookup in chosen if lookup.broadcast]
-    hashes = [name for name in HASHES if name in bronze.columns]
-    order = [*bronze.columns, *[name for lookup in chosen for name in (*lookup.spec.take.values(), lookup.spec.flag)]]
-
-    def ready(df: DataFrame) -> DataFrame:
-        df = df.select(*order)
-        if "plans" not in names:
-            return df
-        return df.withColumn("usage_cost_ratio", usage_cost_ratio(F.col("amount"), F.col("monthly_cost")))
-
-    if not near and not far:
-        return ready(_joined(bronze, small)), None
-    # The numbers are drawn here, before the first shuffle: on rows straight from files a retried
-    # task draws the same numbers again. They only say which task joins a row.
-    spread = bronze.withColumn(SPREAD, (F.rand(seed=17) * 2**53).cast("long"))
-    if not near:
-        return None, ready(_joined(packed(spread, hashes), [*far, *small], hashes))
-    marked = reduce(_attach_near, near, spread)
-    known = reduce(lambda a, b: a & b, [F.col(lookup.spec.flag).isNotNull() for lookup in near])
-    here = marked.where(known)
-    rest = _joined(packed(marked.where(~known).select(*spread.columns), hashes), near, hashes)
-    if not far:
-        return ready(_joined(here, small)), ready(_joined(rest, small))
-    both = packed(here.unionByName(rest), hashes)
-    return None, ready(_joined(both, [*far, *small], hashes))
+    far = [lookup for lookup in chosen if is_shuffled(lookup)]
+    out = bronze
+    if far:  # first, while rows are narrow
+        hashes = [name for name in HASHES if name in bronze.columns]
+        # Drawn here, before the first shuffle: on rows straight from files a retried task draws
+        # the same numbers again. They only say which task joins a row.
+        out = packed(bronze.withColumn(SPREAD, (F.rand(seed=17) * 2**53).cast("long")), hashes)
+        out = _joined(out, far, hashes)
+    out = _joined(out, [lookup for lookup in chosen if not is_shuffled(lookup)])
+    out = out.select(*bronze.columns, *[
+        name for lookup in chosen for name in (*lookup.spec.take.values(), lookup.spec.flag)])
+    if "plans" in names:
+        out = out.withColumn(
+            "usage_cost_ratio", usage_cost_ratio(F.col("amount"), F.col("monthly_cost"))
+        )
+    return out
+
+
+def is_shuffled(lookup: Lookup) -> bool:
+    """Whether a join to the lookup moves the rows."""
+    return not lookup.broadcast and lookup.near is None
 
 
 def _joined(df: DataFrame, lookups: Sequence[Lookup], hashes: Sequence[str] = ()) -> DataFrame:
@@ -78,19 +57,23 @@ def _joined(df: DataFrame, lookups: Sequence[Lookup], hashes: Sequence[str] = ()
         if lookup.spec.feed_key in left:
             df = unpacked(df, [lookup.spec.feed_key])
             left.remove(lookup.spec.feed_key)
-        df = _attach_broadcast(df, lookup) if lookup.broadcast else _attach_shuffled(df, lookup)
+        if lookup.broadcast:
+            df = _attach_broadcast(df, lookup)
+        else:
+            df = _attach_shuffled(df, lookup) if lookup.near is None else _attach_near(df, lookup)
     return unpacked(df, left) if left else df
 
 
 def _attach_near(df: DataFrame, lookup: Lookup) -> DataFrame:
-    """Join to the near keys of a lookup; the flag is null where the row's key is not one of them."""
+    """Join to the near keys of a lookup. A key that is not one of them is no miss: it fails the query."""
     spec = lookup.spec
     side = lookup.near.select(KEY, LISTED, *[F.col(name).alias(f"_n_{name}") for name in spec.take.values()])
     joined = df.join(F.broadcast(side), F.col(spec.feed_key) == F.col(KEY), "left")
     return joined.select(
         *df.columns,
         *[F.col(f"_n_{name}").alias(name) for name in spec.take.values()],
-        F.when(F.col(spec.feed_key).isNull(), True).otherwise(~F.col(LISTED)).alias(spec.flag),
+        F.when(F.col(spec.feed_key).isNull(), True).when(F.col(LISTED).isNotNull(), ~F.col(LISTED))
+        .otherwise(F.raise_error(F.lit(f"{NOT_NEAR}: {spec.name}"))).alias(spec.flag),
     )
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskflow import schemas
 from riskflow.operators import anomalies, marts
-from riskflow.operators.enrich import enrich
+from riskflow.operators.enrich import NOT_NEAR, enrich
 from riskflow.operators.geo import Places
 from riskflow.operators.layout import ROWS_PER_FILE, cluster_table, file_count, write_clustered
 from riskflow.operators.reconcile import compare_daily, compare_layers
@@ -182,7 +184,8 @@ def run_silver(
     """``dq`` and ``metrics`` add the report and the join metrics of each batch that was written.
 
     Lookups beyond the broadcast bound first get the frequent keys of what is to be joined, and their
-    rows for its keys where these can be broadcast: rows with such keys are then not shuffled.
+    rows for all its keys where these can be broadcast: then nothing is shuffled. A run that meets
+    rows with other keys, which bronze got meanwhile, takes these by shuffle.
 
     That is looked for in the bronze files written since the last run began, so old rows cannot
     outweigh a key that is frequent only now. ``since`` leaves out earlier dates. A query kept
@@ -196,7 +199,10 @@ def run_silver(
         bronze = table_or_empty(spark, store.table("bronze"), schemas.BRONZE, after)
         if since is not None:
             bronze = bronze.where(F.col("event_date") >= F.lit(since))
-        lookups = with_near_keys(lookups, bronze, store.state("silver-near"))
+        if pace.interval is None and since is None:
+            lookups = with_near_keys(lookups, bronze, store.state("silver-near"))
+        else:  # not all keys of the rows to come are known
+            lookups = with_heavy_keys(lookups, bronze)
     if pace.interval is not None:
         queries = layers.start_silver(spark, store, lookups, pace)
         write_state(spark, store.state("silver"), started=started.isoformat())
@@ -205,7 +211,14 @@ def run_silver(
         queries += layers.start_join_metrics(spark, store, beside) if metrics else []
         await_all(queries, timeout)
         return
-    await_all(layers.start_silver(spark, store, lookups, pace), timeout)
+    try:
+        await_all(layers.start_silver(spark, store, lookups, pace), timeout)
+    except StreamingQueryException as error:
+        if NOT_NEAR not in str(error):
+            raise
+        # Bronze has got more rows meanwhile: the batch that failed, and those after it, go by shuffle.
+        lookups = {name: replace(lookup, near=None) for name, lookup in lookups.items()}
+        await_all(layers.start_silver(spark, store, lookups, pace), timeout)
     write_state(spark, store.state("silver"), started=started.isoformat())
     reports = layers.start_silver_dq(spark, store, pace) if dq else []
     reports += layers.start_join_metrics(spark, store, pace) if metrics else []

@@ -14,8 +14,8 @@ from riskflow import schemas
 
 # A lookup is broadcast only when its measured size is within this bound.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-# Frequent keys, or none, in at least this share of the rows: these rows then stay out of the shuffle.
-NEAR_SHARE = 0.9
+# As many keys of a feed as there may be frequent ones are near whatever the bound.
+NEAR_KEYS = 1000
 KEY, LISTED = "_near_key", "_near_listed"
 
 
@@ -61,8 +61,8 @@ SPEC_BY_NAME = {spec.name: spec for spec in SPECS}
 class Lookup:
     """A checked lookup. ``heavy_keys`` are feed keys so frequent that they get a join of their own.
 
-    ``limit`` is the bound of what is broadcast of it. ``near`` (see ``with_near_keys``) are keys of
-    the feed with what the lookup has for them, few enough to be broadcast.
+    ``limit`` is the bound of what is broadcast of it. ``near`` (see ``with_near_keys``) are all keys
+    of the feed with what the lookup has for them, few enough to be broadcast.
     """
 
     spec: LookupSpec
@@ -154,20 +154,11 @@ def load_lookups(
     return check_lookups(frames, broadcast_limit)
 
 
-@dataclass(frozen=True)
-class KeyProfile:
-    """Of a column: its frequent keys, the share of rows with one of them or none, and about how many
-    keys there are."""
-
-    frequent: tuple[str, ...]
-    share: float
-    distinct: int
-
-
 def key_profiles(
     feed: DataFrame, columns: Sequence[str], share: float = 0.001
-) -> dict[str, KeyProfile]:
-    """Per column, the keys that hold at least ``share`` of the rows (at most ``1 / share`` keys).
+) -> dict[str, tuple[tuple[str, ...], int]]:
+    """Per column, the keys that hold at least ``share`` of the rows (at most ``1 / share`` keys), and
+    about how many keys there are.
 
     Sketches of all columns in one pass, without a shuffle by key. They only decide the route of a
     row through the join, so their estimates cannot change a result.
@@ -178,28 +169,25 @@ def key_profiles(
         *[
             F.struct(
                 F.call_function("approx_top_k", F.col(c), F.lit(most), F.lit(10 * most)).alias("top"),
-                F.approx_count_distinct(c).alias("distinct"), F.count_if(F.col(c).isNull()).alias("nulls"),
+                F.approx_count_distinct(c).alias("keys"),
             ).alias(c)
             for c in columns
         ],
     ).first()
-    profiles = {}
-    for c in columns:
-        top = [
-            t for t in row[c]["top"] or []
-            if t["item"] is not None and t["count"] >= share * row["total"]
-        ]
-        settled = sum(t["count"] for t in top) + row[c]["nulls"]
-        profiles[c] = KeyProfile(
-            tuple(t["item"] for t in top), settled / max(row["total"], 1), row[c]["distinct"])
-    return profiles
+    return {
+        c: (tuple(
+            top["item"] for top in row[c]["top"] or []
+            if top["item"] is not None and top["count"] >= share * row["total"]
+        ), row[c]["keys"])
+        for c in columns
+    }
 
 
 def frequent_keys(
     feed: DataFrame, columns: Sequence[str], share: float = 0.001
 ) -> dict[str, tuple[str, ...]]:
     """Per column, the keys that hold at least ``share`` of the rows."""
-    return {c: profile.frequent for c, profile in key_profiles(feed, columns, share).items()}
+    return {c: frequent for c, (frequent, _) in key_profiles(feed, columns, share).items()}
 
 
 def with_heavy_keys(lookups: Mapping[str, Lookup], feed: DataFrame) -> dict[str, Lookup]:
@@ -211,9 +199,9 @@ def with_near_keys(lookups: Mapping[str, Lookup], feed: DataFrame, path: str) ->
     """The same, and what these lookups have for the keys of the feed, where that can be broadcast.
 
     A feed mostly has few of the keys of a large lookup. Where the lookup rows of all its keys are
-    within the lookup's limit, these are the near ones; else the frequent ones are, if most rows have
-    one of them. They are written under ``path`` once and read by every micro-batch. Keys that the
-    lookup lacks are among them, so that a key which is not near is one that was not seen here.
+    within the lookup's limit (or the keys are no more than frequent ones may be), they are written
+    under ``path`` once and read by every micro-batch. Keys that the lookup lacks are among them. A
+    join to near keys fails on a key that is not one of them, as the feed must have been this one.
     """
     return _with_keys(lookups, feed, path)
 
@@ -227,29 +215,22 @@ def _with_keys(
     profiles = key_profiles(feed, [lookup.spec.feed_key for lookup in large.values()])
     found = dict(lookups)
     for name, lookup in large.items():
-        profile = profiles[lookup.spec.feed_key]
+        frequent, keys = profiles[lookup.spec.feed_key]
+        few = keys <= NEAR_KEYS or keys * lookup.row_bytes <= lookup.limit
         found[name] = replace(
-            lookup, heavy_keys=profile.frequent,
-            near=None if path is None else _near(lookup, feed, profile, f"{path}/{name}"))
+            lookup, heavy_keys=frequent,
+            near=_near(lookup, feed, f"{path}/{name}") if path and keys and few else None)
     return found
 
 
-def _near(lookup: Lookup, feed: DataFrame, profile: KeyProfile, path: str) -> DataFrame | None:
-    spec, spark = lookup.spec, feed.sparkSession
+def _near(lookup: Lookup, feed: DataFrame, path: str) -> DataFrame | None:
+    """None if there are more keys, or longer ones, than it seemed."""
+    spec = lookup.spec
+    keys = feed.select(F.col(spec.feed_key).alias(KEY)).where(f"{KEY} is not null").distinct()
     side = lookup.frame.select(
         spec.key, *[F.col(source).alias(name) for source, name in spec.take.items()])
-    heavy = list(profile.frequent)
-    bound = None
-    if profile.distinct and profile.distinct * lookup.row_bytes <= lookup.limit:
-        keys, bound = feed.select(F.col(spec.feed_key).alias(KEY)).where(f"{KEY} is not null").distinct(), lookup.limit
-    elif heavy and profile.share >= NEAR_SHARE:
-        keys = spark.createDataFrame([(key,) for key in heavy], f"{KEY} string")
-        side = F.broadcast(side.where(F.col(spec.key).isin(heavy)))
-    else:
-        return None
     keys.join(side, F.col(KEY) == F.col(spec.key), "left").select(
         KEY, *spec.take.values(), F.col(spec.key).isNotNull().alias(LISTED)).write.mode("overwrite").parquet(path)
-    near = spark.read.parquet(path)
-    if bound is not None and (near.agg(F.sum(_row_bytes(near.schema))).first()[0] or 0) > bound:
-        return None  # there are more keys, or longer ones, than it seemed
-    return near
+    near = feed.sparkSession.read.parquet(path)
+    size = near.agg(F.sum(_row_bytes(near.schema))).first()[0] or 0
+    return near if size <= max(lookup.limit, 2 * NEAR_KEYS * lookup.row_bytes) else None

@@ -21,7 +21,7 @@ from riskflow import schemas
 from riskflow.operators import anomalies, joins, marts, quality
 from riskflow.operators.bronze import pii_copy, to_bronze
 from riskflow.operators.drift import ddl, drift, widest
-from riskflow.operators.enrich import enriched_parts
+from riskflow.operators.enrich import enrich, is_shuffled
 from riskflow.operators.geo import Places, with_places
 from riskflow.operators.timelines import VelocityRule
 from riskflow.operators.validation import require_schema
@@ -253,28 +253,23 @@ def start_silver(
 ) -> list[StreamingQuery]:
     """Bronze to silver: a row-wise stream-static join.
 
-    With broadcast lookups, and for rows whose keys are near, there is no shuffle, and files hold one
-    date as those of bronze do. A shuffle join mixes the dates, so they are gathered again.
+    With broadcast lookups, or near keys, there is no shuffle, and files hold one date as those of
+    bronze do. A shuffle join mixes the dates, so they are gathered again.
     """
     bronze = stream_table(
         spark, store.table("bronze"), schemas.BRONZE, pace.max_files, pace.max_bytes
     )
-    here, moved = enriched_parts(bronze, lookups)
-    if moved is not None:
+    silver = require_schema(enrich(bronze, lookups), schemas.SILVER, "silver")
+    silver = silver.select(*schemas.SILVER.names)
+    shuffled = any(is_shuffled(lookup) for lookup in lookups.values())
+    if shuffled:
         require_adaptive(spark)
-        moved = by_date(_silver_columns(moved))
-    silver = moved if here is None else _silver_columns(here)
-    if here is not None and moved is not None:
-        silver = silver.unionByName(moved)
     return [start_table_sink(
-        silver, store.table("silver"), store.checkpoint("silver"), "silver", interval=pace.interval,
+        by_date(silver) if shuffled else silver, store.table("silver"), store.checkpoint("silver"),
+        "silver", interval=pace.interval,
     )]
 
 
-def _silver_columns(df: DataFrame) -> DataFrame:
-    return require_schema(df, schemas.SILVER, "silver").select(*schemas.SILVER.names)
-
-
 def start_silver_dq(
     spark: SparkSession, store: Store, pace: Pace = Pace(),
     high_risk_score: float = quality.HIGH_RISK_SCORE,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskflow import schemas
 from riskflow.operators.bronze import to_bronze
-from riskflow.operators.enrich import SPREAD, _attach_shuffled, enrich, enriched_parts
+from riskflow.operators.enrich import NOT_NEAR, SPREAD, _attach_shuffled, enrich
 from riskflow.operators.validation import schema_diff
 from riskflow.plans import model
 from riskflow.sources.lookups import (
@@ -146,43 +146,39 @@ def _many_users(spark, lookup_frames):
     return check_lookups(frames), check_lookups(frames, broadcast_limit=10_000)
 
 
-def test_rows_of_known_keys_are_not_shuffled(spark, raw, lookup_frames, settings, tmp_path):
-    """Their lookup rows are broadcast; a key that came after they were found is joined as well."""
+def test_rows_are_not_shuffled_to_a_large_lookup(spark, raw, lookup_frames, settings, tmp_path):
+    """Lookup rows of the feed's keys are broadcast; a key that was not there is never taken for a miss."""
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
     small, large = _many_users(spark, lookup_frames)
     assert not large["users"].broadcast and large["plans"].broadcast
-    seen = [{}, {"user_id": None}, {"user_id": "ghost"}, {"user_id": "n5"}, {"user_id": "n5"}]
-    near = with_near_keys(large, to_bronze(raw(*seen)), str(tmp_path / "near"))
+    df = to_bronze(raw({}, {"user_id": None}, {"user_id": "ghost"}, {"user_id": "n5"}, {"user_id": "n5"}))
+    near = with_near_keys(large, df, str(tmp_path / "near"))
     assert {r[0] for r in near["users"].near.collect()} == {"u1", "ghost", "n5"}
-    assert "users" in near and near["plans"].near is None
-    df = to_bronze(raw(*seen, {"user_id": "n6"}, {"user_id": "late ghost"}))
-    here, moved = enriched_parts(df, near)
-    assert "Exchange hashpartitioning" not in here._jdf.queryExecution().executedPlan().toString()
-    assert here.count() == 5 and {r.user_id: r.country for r in moved.collect()} == {"n6": "India", "late ghost": None}
-    both = enrich(df, near)
-    assert both.schema.names == schemas.SILVER.names
-    assert Counter(both.collect()) == Counter(enrich(df, small).collect())
-
-
-def test_too_many_keys_are_joined_by_shuffle(spark, raw, lookup_frames, settings, tmp_path):
-    """Only frequent keys are near then, if most rows have them, and only what was measured is."""
+    assert near["plans"].near is None
+    silver = enrich(df, near)
+    assert "Exchange hashpartitioning" not in silver._jdf.queryExecution().executedPlan().toString()
+    assert silver.schema.names == schemas.SILVER.names
+    assert Counter(silver.collect()) == Counter(enrich(df, small).collect())
+    with pytest.raises(Exception, match=NOT_NEAR):
+        enrich(to_bronze(raw({"user_id": "n6"})), near).collect()
+
+
+def test_only_few_keys_are_near(spark, raw, lookup_frames, settings, tmp_path):
+    """Else rows are shuffled; lookups with near keys and without work together."""
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
     small, large = _many_users(spark, lookup_frames)
     many = spark.range(2000).select(F.concat(F.lit("n"), "id").alias("user_id"))
-    assert with_near_keys({"users": large["users"]}, many, str(tmp_path / "a"))["users"].near is None
-    long = spark.range(20).select(F.concat(F.repeat(F.lit("x"), 1000), "id").alias("user_id"))
-    assert with_near_keys({"users": large["users"]}, long, str(tmp_path / "b"))["users"].near is None
-    none = with_near_keys({"users": large["users"]}, many.where("false"), str(tmp_path / "c"))["users"]
-    assert none.near is None and none.heavy_keys == ()
+    long = spark.range(20).select(F.concat(F.repeat(F.lit("x"), 20_000), "id").alias("user_id"))
+    for name, feed in (("many", many), ("long", long), ("none", many.where("false"))):
+        assert with_near_keys({"users": large["users"]}, feed, str(tmp_path / name))["users"].near is None
     forced = check_lookups(lookup_frames, broadcast_limit=0)
-    df = to_bronze(raw(*[{}] * 20, {"user_id": "u2"}, *[{"user_id": None, "product_id": f"p{i}"} for i in range(30)]))
-    near = with_near_keys(forced, df, str(tmp_path / "d"))
-    assert near["users"].near is not None
-    df = df.unionByName(to_bronze(raw({"user_id": "u9"}, {"subscription_type": "free"})))
-    some = {**near, "plans": forced["plans"]}  # one lookup without near keys: all rows meet it by shuffle
-    for lookups in (near, some):
-        assert Counter(enrich(df, lookups).collect()) == Counter(enrich(df, small).collect())
-    assert enriched_parts(df, some)[0] is None
+    df = to_bronze(raw(*[{}] * 5, {"user_id": "u2"}, {"user_id": None, "product_id": "p9"}, {"subscription_type": "free"}))
+    near = with_near_keys(forced, df, str(tmp_path / "forced"))
+    assert all(lookup.near is not None for lookup in near.values())
+    for lookups in (near, {**near, "users": forced["users"]}, {**near, "ip_risk": forced["ip_risk"]}):
+        silver = enrich(df, lookups)
+        assert silver.schema.names == schemas.SILVER.names
+        assert Counter(silver.collect()) == Counter(enrich(df, small).collect())
 
 
 def test_only_wanted_lookups_are_joined(raw, lookups):

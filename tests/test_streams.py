@@ -24,7 +24,7 @@ from riskflow.plans.pipeline import (
 )
 from riskflow.sources.feed import good_rows, read_feed
 from riskflow.sources.limits import parse_bytes
-from riskflow.sources.lookups import SPEC_BY_NAME, check_lookups, with_near_keys
+from riskflow.sources.lookups import SPEC_BY_NAME, check_lookups
 from riskflow.sources.tables import date_slice, event_dates, read_table, stream_table
 from riskflow.streaming import layers
 from riskflow.streaming.layers import Pace, Store
@@ -329,18 +329,23 @@ def test_hot_keys_are_those_of_the_new_files(run, lookup_frames, settings, monke
     assert run.rows()["silver"] == run.batch_rows()["silver"]
 
 
-def test_silver_finds_keys_that_came_after_the_near_ones(run, lookup_frames, settings):
-    """Lookups too large to broadcast: known keys are not shuffled, later ones are joined all the same."""
+def test_silver_finds_keys_that_came_after_the_near_ones(run, lookup_frames, settings, monkeypatch):
+    """Lookups too large to broadcast: the feed's keys are not shuffled, later ones are joined all the same."""
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
     spark, store = run.spark, run.store
-    run.lookups = check_lookups(lookup_frames, broadcast_limit=0)
+    lookups = check_lookups(lookup_frames, broadcast_limit=0)
     run_bronze(spark, str(run.feed), store, ONE_FILE, dq=False, timeout=300)
-    bronze = read_table(spark, store.table("bronze"), schemas.BRONZE)
-    near = with_near_keys(run.lookups, bronze, store.state("silver-near"))
-    assert all(lookup.near is not None for lookup in near.values())
+    seen, started = [], layers.start_silver
+    monkeypatch.setattr(layers, "start_silver", lambda spark, store, lookups, pace:
+                        seen.append(lookups) or started(spark, store, lookups, pace))
+    run_silver(spark, store, lookups, THREE_FILES, dq=False, timeout=300)
+    assert len(seen) == 1 and all(lookup.near is not None for lookup in seen[0].values())
     run.add("late.json", [line(70, user_id="u3"), line(71, product_id="p2"), line(72, event_time=day(5))])
     run_bronze(spark, str(run.feed), store, dq=False, timeout=300)
-    await_all(layers.start_silver(spark, store, near, THREE_FILES), 300)
+    monkeypatch.setattr(pipeline, "with_near_keys", lambda *_: seen[0])  # as if these files came just after
+    run_silver(spark, store, lookups, THREE_FILES, dq=False, timeout=300)
+    assert len(seen) == 3 and all(lookup.near is None for lookup in seen[2].values())
+    run.lookups = lookups
     found = read_table(spark, store.table("silver"), schemas.SILVER)
     assert Counter(map(_plain, found.collect())) == run.batch_rows()["silver"]
 
