@@ -115,3 +115,52 @@ def test_parts_without_a_chance_are_not_read(spark, monkeypatch):
     assert got == sorted(want)
     (alive, pairs), = kept
     assert alive <= 2 < pairs
+
+
+def test_ranges_sampled_on_the_driver_do_not_follow_the_rows(spark, monkeypatch):
+    """The driver holds sampled rows for each range: many parts share one."""
+    for name, size in (("BLOCK_ROWS", 8), ("PART_ROWS", 16), ("QUERY_ROWS", 4)):
+        monkeypatch.setattr(topk, name, size)
+    ranges, real = [], type(spark.range(0)).repartitionByRange
+
+    def counted(df, number, *columns):
+        ranges.append(number)
+        return real(df, number, *columns)
+
+    monkeypatch.setattr(type(spark.range(0)), "repartitionByRange", counted)
+    rng = random.Random(5)
+    rows = [(i, [rng.randint(-9, 9) for _ in range(3)]) for i in range(800)]
+    queries = [r for r in rows if r[0] % 10 == 0]
+    assert found(top_k(frame(spark, queries), frame(spark, rows), 4)) == brute(queries, rows, 4)
+    assert len(ranges) == 2 and max(ranges) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_a_range_is_cut_into_parts(spark, monkeypatch):
+    monkeypatch.setattr(topk, "PART_ROWS", 40)
+    rows = [(i, [i]) for i in range(200)]
+    parts = topk._blocks(frame(spark, rows).select("vec_id", "vector"), 2, 16).collect()
+    sizes = [[b["size"] for b in p.blocks] for p in parts]
+    assert len({p.part for p in parts}) == len(parts) >= 5
+    assert sum(map(sum, sizes)) == 200 and max(map(sum, sizes)) <= 40 and max(map(max, sizes)) <= 16
+
+
+def test_values_of_all_widths_and_tiles(spark, monkeypatch):
+    """Products in single and double precision and in longs, over tiles of several parts and chunks."""
+    sizes = {"BLOCK_ROWS": 8, "PART_ROWS": 16, "QUERY_ROWS": 4, "TILE_PARTS": 3, "TILE_CHUNKS": 5}
+    for name, size in sizes.items():
+        monkeypatch.setattr(topk, name, size)
+    rng = random.Random(7)
+    # 2 ** 30 and its neighbours are one single float, products of them beyond doubles.
+    rows = [(i, [rng.choice([1, -3, 127, -(1 << 15), (1 << 24) + 1, (1 << 30) + rng.randint(-2, 2)])
+                 for _ in range(3)] if i > 300 else [rng.randint(-99, 99) for _ in range(3)])
+            for i in range(600)]
+    queries = [r for r in rows if r[0] % 4 == 0]
+    assert found(top_k(frame(spark, queries), frame(spark, rows), 5)) == brute(queries, rows, 5)
+
+
+def test_many_floors_beyond_single_floats(spark):
+    """A floor of 2 ** 24 and more meets parts whose products are single floats."""
+    rows = [(i, [(1 << 13) - i % 7, 1]) for i in range(1, 30)]
+    rows += [(100 + i, [i % 11, -i]) for i in range(9000)]
+    queries = [r for r in rows if r[0] % 5 == 0 and r[0] < 200]
+    assert found(top_k(frame(spark, queries), frame(spark, rows), 3)) == brute(queries, rows, 3)
