@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import os
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,11 @@ ODD = r"[\x1c-\x1f]|<\|"  # or what may be a special token, whose case counts
 JOINED_WORDS = 2_000
 
 
+def _letters(word: str) -> bool:
+    """Whether the tokenizer sees letters only: its normalizer splits marks off some letters."""
+    return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+
+
 class WordEncoder:
     """Ids take 2 bytes if the vocabulary fits into them, else 4."""
 
@@ -104,7 +110,7 @@ class WordEncoder:
         stem_of, new_stems, rest = {}, {}, []
         for word in words:
             body = word[:-1] if word[-1] in ".," else word
-            if body.isalpha():
+            if _letters(body):
                 if body is not word:
                     stem_of[word] = body
                 if body not in self.known:

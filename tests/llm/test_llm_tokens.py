@@ -41,6 +41,17 @@ def test_words_give_the_ids_of_the_whole_text(texts):
         assert ids[offsets[i]:offsets[i + 1]].tolist() == want
 
 
+def test_letters_that_the_normalizer_splits_before_a_mark():
+    """A dotted capital I is lower-cased to two signs, and some letters are decomposed for good."""
+    words = WordEncoder(vocabulary_path())
+    texts = [f"{before}{letter}{mark}" for letter in "İ\u0958\u09dc\u0b5d\u0f43é"
+             for before in ("", "a") for mark in ".,"]
+    ids, offsets = words.encode(pa.array(texts, pa.string()))
+    for i, text in enumerate(texts):
+        want = words.tokenizer.encode(text, add_special_tokens=False).ids
+        assert ids[offsets[i]:offsets[i + 1]].tolist() == want
+
+
 def test_query_of_token_files(spark, tokenizer):
     got = {r["doc_id"]: r for r in LLM_QUERIES["op4_token_files"](spark, SF_DIR).collect()}
     start = 0
